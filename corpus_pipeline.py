@@ -6,16 +6,21 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
-from veritrail.llm import mixing
+from veritrail.llm import mixing, quality
 from veritrail.llm.common import shared_dir, table
 
 
+def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Keep the documents that pass the base limits and the learned decision list."""
+    return quality.keep_good(docs, table(spark, sf_dir, "labels"))
+
+
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Take documents, some of them more than once, so that sources come near their target weights."""
     return mixing.mix(docs)
 
 
-STAGES = [("mixing", mix_sources)]
+STAGES = [("quality rules", quality_rules), ("mixing", mix_sources)]
 ORACLE_SQL = None
 
 

@@ -6,10 +6,14 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from veritrail.llm import mixing, url_filter
+from veritrail.llm import mixing, quality, url_filter
 from veritrail.llm.common import table
 
 
+def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.quality_report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op7_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter.judge_urls(table(spark, sf_dir, "pages"))
 
@@ -19,6 +23,6 @@ def op8_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op7_url_filter, op8_source_mixing)
+    f.__name__: f for f in (op2_quality_rules, op7_url_filter, op8_source_mixing)
 }
 ORACLES: dict[str, str] = {}
