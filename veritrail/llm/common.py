@@ -19,6 +19,13 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def tokenizer_path(name: str) -> str:
+    """Place of a public tokenizer's file; such files are installed on every machine."""
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The folder that the cluster names in spark.checkpoint.dir; one of our own only where none is set (tests)."""
     at = spark.conf.get("spark.checkpoint.dir", None)
@@ -52,3 +59,8 @@ def free_name(df: DataFrame, stem: str) -> str:
     while name.lower() in have:
         name = f"_{name}"
     return name
+
+
+def small_batches(spark: SparkSession, rows: int = 512) -> None:
+    """Hand Python few rows at a time, as texts may be long; a batch is some MB of ordinary documents."""
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))

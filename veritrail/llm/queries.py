@@ -6,8 +6,13 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from veritrail.llm import mixing, quality, url_filter
-from veritrail.llm.common import table
+from veritrail.llm import mixing, quality, token_store, url_filter
+from veritrail.llm.common import table, tokenizer_path
+
+
+def op1_token_output(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = token_store.write_tokens(table(spark, sf_dir, "documents"), tokenizer_path("byte_bpe_50k.json"))
+    return token_store.read_tokens(spark, path)
 
 
 def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -23,6 +28,6 @@ def op8_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op2_quality_rules, op7_url_filter, op8_source_mixing)
+    f.__name__: f for f in (op1_token_output, op2_quality_rules, op7_url_filter, op8_source_mixing)
 }
 ORACLES: dict[str, str] = {}
