@@ -6,7 +6,7 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
-from veritrail.llm import mixing, quality
+from veritrail.llm import mixing, quality, simhash
 from veritrail.llm.common import shared_dir, table
 
 
@@ -15,12 +15,17 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
     return quality.keep_good(docs, table(spark, sf_dir, "labels"))
 
 
+def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Keep the document of the smallest id of each group of near duplicates."""
+    return simhash.drop_near_duplicates(docs)
+
+
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Take documents, some of them more than once, so that sources come near their target weights."""
     return mixing.mix(docs)
 
 
-STAGES = [("quality rules", quality_rules), ("mixing", mix_sources)]
+STAGES = [("quality rules", quality_rules), ("near dedup", near_dedup), ("mixing", mix_sources)]
 ORACLE_SQL = None
 
 
