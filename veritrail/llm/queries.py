@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from veritrail.llm import mixing, quality, simhash, token_store, url_filter
+from veritrail.llm import mixing, quality, simhash, suffix_dedup, token_store, url_filter
 from veritrail.llm.common import table, tokenizer_path
 
 
@@ -23,6 +23,10 @@ def op4_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op5_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.repeats_report(table(spark, sf_dir, "documents"))
+
+
 def op7_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter.judge_urls(table(spark, sf_dir, "pages"))
 
@@ -32,6 +36,6 @@ def op8_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_token_output, op2_quality_rules, op4_simhash, op7_url_filter, op8_source_mixing)
+    f.__name__: f for f in (op1_token_output, op2_quality_rules, op4_simhash, op5_suffix_dedup, op7_url_filter, op8_source_mixing)
 }
 ORACLES: dict[str, str] = {}
