@@ -197,16 +197,21 @@ def halve(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 ends = roller.of(sums, np.array([core[0], part[0]]), np.array([core[1], part[1]]))
                 new = int((ends[:1] * np.uint64(a * LENGTH + b + 1)).view(np.int64)[0])
                 out.append((new, key, print_, at + first, last - first + 1, data[part[0] : part[1]], place - first, a, b, int(ends[1:].view(np.int64)[0])))
-        yield pa.RecordBatch.from_arrays([pa.array(c) for c in zip(*out, strict=True)], names=SPLIT_NAMES) if out else pa.RecordBatch.from_pylist([], schema=SPLIT_ARROW)
+        yield split_batch(out)
 
 
 SPLIT = "group long, key long, print long, at int, n int, bytes binary, place int, lo int, hi int, sub long"
 SPLIT_NAMES = [c.split()[0] for c in SPLIT.split(", ")]
 KINDS = {"long": pa.int64(), "int": pa.int32(), "binary": pa.binary()}
-SPLIT_ARROW = pa.schema([(c.split()[0], KINDS[c.split()[1]]) for c in SPLIT.split(", ")])
+SPLIT_TYPES = [KINDS[c.split()[1]] for c in SPLIT.split(", ")]
 FOUND = "key long, print long, ranges array<struct<a:int,b:int>>"
 
 
+def split_batch(rows: list[tuple]) -> pa.RecordBatch:
+    columns = list(zip(*rows, strict=True)) or [()] * len(SPLIT_NAMES)
+    return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, SPLIT_TYPES, strict=True)], names=SPLIT_NAMES)
+
+
 def fetch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """(text, wanted runs) -> their bytes."""
     for batch in batches:
@@ -215,7 +220,7 @@ def fetch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             data = to_utf8(text)
             for w in want:
                 out.append((w["key"], w["key"], w["print"], 0, w["n"], data[w["start"] : w["start"] + w["n"] + LENGTH - 1], w["place"], 0, LENGTH - GRAM, w["print"]))
-        yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out, strict=True), SPLIT_ARROW.types, strict=True)], names=SPLIT_NAMES) if out else pa.RecordBatch.from_pylist([], schema=SPLIT_ARROW)
+        yield split_batch(out)
 
 
 def shared_windows(contents: DataFrame, hot: int) -> list[DataFrame]:
