@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from veritrail.llm import mixing, quality, simhash, suffix_dedup, token_store, url_filter
+from veritrail.llm import lm_scoring, mixing, quality, simhash, suffix_dedup, token_store, url_filter
 from veritrail.llm.common import table, tokenizer_path
 
 
@@ -35,7 +35,11 @@ def op8_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix_report(table(spark, sf_dir, "documents"))
 
 
+def op10_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm_scoring.lm_scores(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_token_output, op2_quality_rules, op4_simhash, op5_suffix_dedup, op7_url_filter, op8_source_mixing)
+    f.__name__: f for f in (op1_token_output, op2_quality_rules, op4_simhash, op5_suffix_dedup, op7_url_filter, op8_source_mixing, op10_lm_scoring)
 }
 ORACLES: dict[str, str] = {}
