@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from veritrail.llm import lm_scoring, mixing, quality, simhash, suffix_dedup, token_store, url_filter
+from veritrail.llm import ann, lm_scoring, mixing, quality, simhash, suffix_dedup, token_store, url_filter
 from veritrail.llm.common import table, tokenizer_path
 
 
@@ -27,6 +27,10 @@ def op5_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffix_dedup.repeats_report(table(spark, sf_dir, "documents"))
 
 
+def op6_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ann.nearest(table(spark, sf_dir, "embeddings"))
+
+
 def op7_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter.judge_urls(table(spark, sf_dir, "pages"))
 
@@ -40,6 +44,6 @@ def op10_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_token_output, op2_quality_rules, op4_simhash, op5_suffix_dedup, op7_url_filter, op8_source_mixing, op10_lm_scoring)
+    f.__name__: f for f in (op1_token_output, op2_quality_rules, op4_simhash, op5_suffix_dedup, op6_nearest_neighbours, op7_url_filter, op8_source_mixing, op10_lm_scoring)
 }
 ORACLES: dict[str, str] = {}
