@@ -6,7 +6,7 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
-from veritrail.llm import mixing, quality, simhash
+from veritrail.llm import mixing, packing, quality, simhash, suffix_dedup
 from veritrail.llm.common import shared_dir, table
 
 
@@ -20,13 +20,29 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return simhash.drop_near_duplicates(docs)
 
 
+def repeat_removal(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Take out of texts what occurs elsewhere at 200 bytes or more."""
+    return suffix_dedup.drop_repeats(docs)
+
+
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Take documents, some of them more than once, so that sources come near their target weights."""
     return mixing.mix(docs)
 
 
-STAGES = [("quality rules", quality_rules), ("near dedup", near_dedup), ("mixing", mix_sources)]
-ORACLE_SQL = None
+def best_fit_packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Place every document's words in sequences of the permitted lengths."""
+    return packing.pack_documents(docs)
+
+
+STAGES = [
+    ("quality rules", quality_rules),
+    ("SimHash near-dedup", near_dedup),
+    ("suffix-array dedup", repeat_removal),
+    ("source mixing", mix_sources),
+    ("best-fit packing", best_fit_packing),
+]
+ORACLE_SQL = None  # SQL expresses neither the learned rules nor the fingerprints
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -217,4 +217,6 @@ def keep_good(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """The rows of docs that are kept, with the columns of docs."""
     rules = learn(docs, labels)
     counted, at = with_counts(docs)
+    # a filter is not pushed below a generator, where it would repeat the counting for each of its tests
+    counted = counted.select(*[F.col(f"`{c}`") for c in docs.columns], F.explode(F.array(F.col(at))).alias(at))
     return counted.filter(verdict(rules, at)).drop(at)

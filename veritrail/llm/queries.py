@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from veritrail.llm import ann, lm_scoring, mixing, quality, simhash, suffix_dedup, token_store, url_filter
+from veritrail.llm import ann, lm_scoring, mixing, packing, quality, simhash, suffix_dedup, token_store, url_filter
 from veritrail.llm.common import table, tokenizer_path
 
 
@@ -39,11 +39,15 @@ def op8_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix_report(table(spark, sf_dir, "documents"))
 
 
+def op9_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack_documents(table(spark, sf_dir, "documents"))
+
+
 def op10_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lm_scoring.lm_scores(table(spark, sf_dir, "documents"))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_token_output, op2_quality_rules, op4_simhash, op5_suffix_dedup, op6_nearest_neighbours, op7_url_filter, op8_source_mixing, op10_lm_scoring)
+    f.__name__: f for f in (op1_token_output, op2_quality_rules, op4_simhash, op5_suffix_dedup, op6_nearest_neighbours, op7_url_filter, op8_source_mixing, op9_best_fit_packing, op10_lm_scoring)
 }
 ORACLES: dict[str, str] = {}
