@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from veritrail.llm import ann, lm_scoring, mixing, packing, quality, simhash, suffix_dedup, token_store, url_filter
+from veritrail.llm import ann, html_extract, lm_scoring, mixing, packing, quality, simhash, suffix_dedup, token_store, url_filter
 from veritrail.llm.common import table, tokenizer_path
 
 
@@ -19,6 +19,10 @@ def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.quality_report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op3_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_extract.extract_text(table(spark, sf_dir, "pages"))
+
+
 def op4_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"))
 
@@ -48,6 +52,6 @@ def op10_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_token_output, op2_quality_rules, op4_simhash, op5_suffix_dedup, op6_nearest_neighbours, op7_url_filter, op8_source_mixing, op9_best_fit_packing, op10_lm_scoring)
+    f.__name__: f for f in (op1_token_output, op2_quality_rules, op3_html_extraction, op4_simhash, op5_suffix_dedup, op6_nearest_neighbours, op7_url_filter, op8_source_mixing, op9_best_fit_packing, op10_lm_scoring)
 }
 ORACLES: dict[str, str] = {}
