@@ -64,3 +64,11 @@ def free_name(df: DataFrame, stem: str) -> str:
 def small_batches(spark: SparkSession, rows: int = 512) -> None:
     """Hand Python few rows at a time, as texts may be long; a batch is some MB of ordinary documents."""
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))
+
+
+def process_store() -> dict:
+    """What a Python worker keeps from task to task; functions sent by value have no lasting globals."""
+    import sys
+    from types import ModuleType
+
+    return sys.modules.setdefault("_veritrail_process_store", ModuleType("_veritrail_process_store")).__dict__

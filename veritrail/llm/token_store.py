@@ -18,9 +18,12 @@ encoded whole.
 from __future__ import annotations
 
 import hashlib
+import os
 import struct
 import zlib
+from array import array
 from collections.abc import Iterator
+from itertools import islice
 
 import numpy as np
 import pyarrow as pa
@@ -28,7 +31,7 @@ import zstandard
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from veritrail.llm.common import new_path, small_batches
+from veritrail.llm.common import new_path, process_store, small_batches
 
 MAGIC = b"VTOK1"
 HEAD = "<5sB32sI"
@@ -36,8 +39,9 @@ END_ID = 0
 #: Bounds of the dictionary's sample: documents (smallest id hashes), characters of each, size of the result.
 SAMPLE_DOCS, SAMPLE_CHARS, DICT_BYTES = 256, 65_536, 65_536
 SHARD_BYTES = 4 << 20  #: a shard is closed after the document that passes this
-LEVEL = 3
-MAX_PIECES = 400_000  #: cached encodings a worker; the cache starts anew beyond that
+LEVEL = 1
+MAX_PIECES = 600_000  #: cached encodings a worker, before those of the next batch; the newer half goes beyond that
+MARKS = ".,;:!?|%$#*&<>()[]{}\"-+=/@~^"  #: punctuation that may be cut from the end of a word
 
 SHARDS = "part int, seq int, n_docs int, part_start long, n_tokens long, dict_hash string, shard binary"
 DECODED = "doc_id long, part_start long, n_tokens long, ids_crc32 long"
@@ -48,30 +52,65 @@ class PieceEncoder:
 
     The byte-level pre-tokenizer takes a space only as the first character of a piece, so a text whose
     spaces all stand singly between visible characters can be cut before each of them, and the pieces' ids joined
-    are the text's. Any other text is encoded as it is.
+    are the text's. Any other text is encoded as it is. It also cuts letters from the punctuation after them, so
+    words are cached without it; new words are encoded together, as one text of single words.
     """
 
     def __init__(self, path: str):
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"  # the executor's other cores have tasks of their own
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
         self.width = 2 if self.tokenizer.get_vocab_size() <= 1 << 16 else 4
-        self.kind = f"<u{self.width}"
+        self.kind = "HI"[self.width // 4]
         self.pieces: dict[str, bytes | None] = {}
 
+    @classmethod
+    def of_process(cls, path: str) -> PieceEncoder:
+        """The one of this worker process, kept from task to task."""
+        store = process_store()
+        key = f"tokenizer {path}"
+        if key not in store:
+            store[key] = cls(path)
+        return store[key]
+
     def raw(self, texts: list[str]) -> list[bytes]:
-        return [np.array(e.ids, self.kind).tobytes() for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+        return [array(self.kind, e.ids).tobytes() for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+
+    def words(self, words: list[str]) -> list[bytes]:
+        """Ids of words of letters, each with a space before it."""
+        if not words:
+            return []
+        found = self.tokenizer.encode(" " + " ".join(words), add_special_tokens=False)
+        raw, of = array(self.kind, found.ids).tobytes(), np.array(found.word_ids)
+        cuts = np.flatnonzero(np.diff(of, prepend=-1, append=of[-1] + 1)) * self.width
+        if len(cuts) != len(words) + 1:  # not one piece a word after all
+            return self.raw([f" {w}" for w in words])
+        cuts = cuts.tolist()
+        return [raw[a:b] for a, b in zip(cuts, cuts[1:], strict=False)]
+
+    def learn(self, new: list[str]) -> None:
+        """Cache new pieces; None marks one that touches white space, so that its text can't be cut."""
+        known = self.pieces
+        cores = {p: p.rstrip(MARKS) for p in new}
+        letters = [c for c in set(cores.values()).difference(known) if c.isalpha()]
+        known.update(zip(letters, self.words(letters), strict=True))
+        known.update(dict.fromkeys(p for p in new if not p or p[0].isspace() or p[-1].isspace()))
+        ends = {p: p[len(c) :] for p, c in cores.items() if len(c) < len(p) and c.isalpha()}
+        marks = [f"\n{m}" for m in set(ends.values())]  # the new line keeps these apart from pieces
+        fresh = [m for m in marks if m not in known]
+        known.update(zip(fresh, self.raw([m[1:] for m in fresh]), strict=True))
+        known.update((p, known[cores[p]] + known[f"\n{m}"]) for p, m in ends.items())
+        rest = [p for p in new if p not in known]
+        known.update(zip(rest, self.raw([f" {p}" for p in rest]), strict=True))
 
     def encode(self, texts: list[str]) -> list[bytes]:
         cut = [t.split(" ") for t in texts]
-        if len(self.pieces) > MAX_PIECES:
-            self.pieces = {}
+        if len(self.pieces) > MAX_PIECES:  # the oldest half has the frequent words
+            self.pieces = dict(islice(self.pieces.items(), MAX_PIECES // 2))
         known = self.pieces
-        new = list(set().union(*(c[1:] for c in cut)).difference(known))
-        plain = [p for p in new if p and not p[0].isspace() and not p[-1].isspace()]
-        known.update(dict.fromkeys(new))
-        known.update(zip(plain, self.raw([f" {p}" for p in plain]), strict=True))
+        self.learn(list(set().union(*(c[1:] for c in cut)).difference(known)))
         first = self.raw([c[0] for c in cut])
         out: list[bytes] = []
         for text, head, c in zip(texts, first, cut, strict=True):
@@ -146,8 +185,8 @@ def write_tokens(docs: DataFrame, tokenizer_path: str, path: str | None = None)
         from pyspark import TaskContext
 
         part = TaskContext.get().partitionId()
-        encoder = PieceEncoder(tokenizer_path)
-        end = np.array([END_ID], encoder.kind).tobytes()
+        encoder = PieceEncoder.of_process(tokenizer_path)
+        end = array(encoder.kind, [END_ID]).tobytes()
         squeeze = zstandard.ZstdCompressor(level=LEVEL, dict_data=loaded(data)).compress
         seq, start, tokens, size = 0, 0, 0, 0
         doc_ids: list[int | None] = []
