@@ -33,9 +33,9 @@ from veritrail.llm.anchors import mix
 from veritrail.llm.common import new_path, settle, small_batches
 
 HELD_OUT, FOLDS = 2, 7
-UNIT_BYTES = 16 << 20  #: text of a unit; the last document may pass it
+UNIT_BYTES = 8 << 20  #: text of a unit; the last document may pass it
 JOIN_BYTES = 1 << 20  #: text tokenised at a time
-RANGE_ENTRIES = 1 << 22  #: entries that a task adds up at a time, on average
+RANGE_ENTRIES = 1 << 20  #: entries that a task adds up at a time, on average
 BUCKETS = 32
 STEPS = 4  #: of a power of two, in the statistics for the mixture weights
 CELLS = 161  #: probabilities down to 2 ** -40, and zero
