@@ -53,25 +53,31 @@ def read_trajectories(spark: SparkSession, path: str) -> tuple[DataFrame, DataFr
         lines = spark.createDataFrame([], "value string, file string")
     else:
         lines = spark.read.text(path).select("value", F.col("_metadata.file_path").alias("file"))
+    return split(lines, "file")
+
+
+def split(lines: DataFrame, *kept: str) -> tuple[DataFrame, DataFrame]:
+    """Lines (value, *kept) -> rows, and rejects (value, *kept, reasons)."""
     parsed = parse(lines)
-    good = parsed.filter(F.size("reasons") == 0).select("row.*", "file", "value")
+    good = parsed.filter(F.size("reasons") == 0).select("row.*", "value", *kept)
     good = good.withColumns({"created_at": F.coalesce("created_at", F.current_timestamp()), "metadata": F.coalesce("metadata", F.lit("{}"))})
     checked = broken_rules(good)
-    rejects = parsed.filter(F.size("reasons") > 0).select("file", "value", "reasons")
-    rejects = rejects.unionByName(checked.filter(F.size("broken") > 0).select("file", "value", F.col("broken").alias("reasons")))
-    rows = checked.filter(F.size("broken") == 0).drop("broken", "file", "value")
+    rejects = parsed.filter(F.size("reasons") > 0).select(*kept, "value", "reasons")
+    rejects = rejects.unionByName(checked.filter(F.size("broken") > 0).select(*kept, "value", F.col("broken").alias("reasons")))
+    rows = checked.filter(F.size("broken") == 0).drop("broken", "value", *kept)
     return rows.withColumns({"truncated": truncated(), "policy_lag": policy_lag()}), rejects
 
 
 def first_bad_line(spark: SparkSession, path: str) -> str | None:
-    """"file:line" of the first rejected line, blank lines counted; looked for on the error path only."""
-    _, rejects = read_trajectories(spark, path)
-    bad = rejects.orderBy("file").limit(1).collect()
-    if not bad:
+    """"file:line" of the first rejected line, blank lines counted; lines are numbered on the error path only."""
+    if not exists(spark, path):
+        return None
+    at = split(spark.read.text(path).select("value", F.col("_metadata.file_path").alias("file")), "file")[1].agg(F.min("file")).first()[0]
+    if at is None:
         return None
-    lines = spark.read.text(bad[0].file).rdd.zipWithIndex()
-    n = lines.filter(lambda x: x[0].value == bad[0].value).map(lambda x: x[1]).min()
-    return f"{bad[0].file}:{n + 1}"
+    lines = spark.read.text(at).rdd.zipWithIndex().map(lambda x: (x[0].value, x[1]))
+    n = split(spark.createDataFrame(lines, "value string, line long"), "line")[1].agg(F.min("line")).first()[0]
+    return f"{at}:{n + 1}"
 
 
 def read_strict(spark: SparkSession, path: str) -> DataFrame:
