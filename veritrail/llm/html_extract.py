@@ -54,7 +54,7 @@ HINT_INDEX = {w: i for i, words in enumerate(HINTS.values()) for w in words}
 FRAMES = ("nav", "header", "footer", "aside", "form", "button", "script", "style", "title", "noscript", "article", "main", "textarea", "iframe", "menu", "head", "select", "label")
 FRAME_INDEX = {t: i + len(HINTS) for i, t in enumerate(FRAMES)}
 WITHIN = len(HINTS) + len(FRAMES)  #: what a node is in: hints and tags of itself or of an element around it
-N_FEATURES = len(TAGS) + 1 + WITHIN + 5
+N_FEATURES = len(TAGS) + 1 + 2 * WITHIN + 5  #: twice: of all elements around it, and of the nearest that has any
 KEEP = 0.5
 
 
@@ -150,13 +150,16 @@ def features(tree: Tree) -> np.ndarray:
             depth[i] = depth[p] + 1
             linked[i] = linked[p] or tree.tag[i] == "a"
         x[i, TAG_INDEX.get(tree.tag[i], len(TAGS))] = 1
-        inside = x[i, len(TAGS) + 1 : len(TAGS) + 1 + WITHIN]
+        inside = x[i, len(TAGS) + 1 : len(TAGS) + 1 + 2 * WITHIN]
         if p >= 0:
-            inside[:] = x[p, len(TAGS) + 1 : len(TAGS) + 1 + WITHIN]
-        for h in tree.hints[i]:
-            inside[h] = 1
+            inside[:] = x[p, len(TAGS) + 1 : len(TAGS) + 1 + 2 * WITHIN]
+        own = tree.hints[i]
         if tree.tag[i] in FRAME_INDEX:
-            inside[FRAME_INDEX[tree.tag[i]]] = 1
+            own = (*own, FRAME_INDEX[tree.tag[i]])
+        if own:
+            inside[WITHIN:] = 0
+            for h in own:
+                inside[[h, WITHIN + h]] = 1
         s = tree.text[i]
         if s is not None:
             size[i] = len(s)
@@ -167,7 +170,7 @@ def features(tree: Tree) -> np.ndarray:
         size[p] += size[i]
         link[p] += link[i]
         marks[p] += marks[i]
-    base = len(TAGS) + 1 + WITHIN
+    base = len(TAGS) + 1 + 2 * WITHIN
     x[:, base] = np.log1p(size) / 5
     x[:, base + 1] = link / np.maximum(size, 1)
     x[:, base + 2] = np.minimum(marks * 50 / np.maximum(size, 50), 2)
@@ -210,7 +213,7 @@ def log_add(a: float, b: float) -> float:
     return a + log1p(exp(b - a)) if a > b else b + log1p(exp(a - b))
 
 
-def train(pages: list[str], rounds: int = 400, rate: float = 0.5, decay: float = 1e-4) -> Model:
+def train(pages: list[str], rounds: int = 300, rate: float = 0.5, decay: float = 1e-5) -> Model:
     """From pages whose content carries the generator's marks."""
     from veritrail.llm.html_training import labelled_tree
 

@@ -88,7 +88,8 @@ def clutter(r: random.Random) -> str:
         return f"<form action=/x><label>{words(r, 2)}</label><input name=q><select><option>{words(r, 1)}<option>{words(r, 1)}</select><button>{words(r, 1)}</button></form>"
     if kind == 6:
         each = "".join(f'<div class="{r.choice(("comment", "reply", "comment-body"))}"><b>{words(r, 1)}</b><p>{paragraph(r)}</p></div>' for _ in range(r.randint(1, 5)))
-        return f'<{r.choice(("section", "div"))} class="{r.choice(("comments", "discussion", "comment-list"))}"><h3>{words(r, 1)}</h3>{each}</div>'
+        tag = r.choice(("section", "div"))
+        return f'<{tag} class="{r.choice(("comments", "discussion", "comment-list"))}"><h3>{words(r, 1)}</h3>{each}</{tag}>'
     if kind == 7:
         return f"<script>var a=\"<p>{words(r, 3)}</p>\";</script><style>p{{x:{r.randint(1, 9)}}}</style>"
     if kind == 8:
@@ -105,8 +106,9 @@ def page(r: random.Random) -> str:
     foot = f"<footer>&copy; {sentence(r)} &middot; {paragraph(r)}</footer>" if r.random() < 0.75 else f'<div class="footer">{sentence(r)}</div>'
     wrap = r.choice(("article", "article", "article", "main", 'div class="content"', 'div id="main"', 'div class="post-body entry"', "div"))
     body = f"<{wrap}>{content(r)}</{wrap.split()[0]}>"
-    if r.random() < 0.25:
-        body = f"<main>{body}{clutter(r)}</main>"
+    if r.random() < 0.5:
+        around = r.choice(("main", "main", 'div class="content"', 'div id="page"', "div", "article"))
+        body = f"<{around}>{clutter(r) if r.random() < 0.5 else ''}{body}{clutter(r)}</{around.split()[0]}>"
     parts = [top, *(clutter(r) for _ in range(r.randint(0, 4))), body, *(clutter(r) for _ in range(r.randint(0, 4))), foot]
     return head + "".join(parts) + ("</body></html>" if r.random() < 0.8 else "")
 
