@@ -9,7 +9,7 @@ from __future__ import annotations
 import re
 
 import pandas as pd
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import BooleanType
 
@@ -124,8 +124,13 @@ def native_match(a: Column, truths: Column) -> Column:
     )
 
 
-def matches(answer: Column, truths: Column) -> Column:
-    """Whether an extracted answer equals one of the accepted ones."""
-    a, ys = normalize_answer(answer), F.transform(truths, normalize_answer)
-    native = native_match(a, ys)
-    return F.coalesce(native, any_same_value(F.when(native.isNull(), a), ys))
+def with_match(rows: DataFrame, answer: str, truths: str, out: str) -> DataFrame:
+    """rows with out: whether the column of extracted answers equals one of the accepted ones.
+
+    Normal forms and the native verdict are columns of their own, so each is computed once a row.
+    """
+    a, ys, native = "_match_answer", "_match_truths", "_match_native"
+    df = rows.withColumns({a: normalize_answer(F.col(answer)), ys: F.transform(truths, normalize_answer)})
+    df = df.withColumn(native, native_match(F.col(a), F.col(ys)))
+    left = any_same_value(F.when(F.col(native).isNull(), F.col(a)), F.col(ys))
+    return df.withColumn(out, F.coalesce(native, left, F.lit(False))).drop(a, ys, native)

@@ -16,7 +16,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from veritrail.functions.answers import extract_answer, extract_code, matches
+from veritrail.functions.answers import extract_answer, extract_code, with_match
 from veritrail.schemas import RESULT
 
 CAPTURE = 32_000  #: characters kept of the end of a program's output
@@ -28,7 +28,7 @@ def math_verify(rows: DataFrame) -> DataFrame:
     answer = extract_answer(F.col("completion"))
     bad = F.when(F.col("kind") != "math", F.raise_error("the math verifier needs a math task")).when(F.col("ground_truth").isNull(), F.raise_error("a math task needs a ground truth"))
     df = rows.withColumn("extracted_answer", F.coalesce(bad.cast("string"), answer))
-    df = df.withColumn("passed", F.coalesce(matches(F.col("extracted_answer"), F.col("ground_truth")), F.lit(False)))
+    df = with_match(df, "extracted_answer", "ground_truth", "passed")
     return df.withColumns(
         {
             "reward": F.col("passed").cast("double"),
