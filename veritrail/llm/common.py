@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -66,6 +68,17 @@ def small_batches(spark: SparkSession, rows: int = 512) -> None:
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))
 
 
+@contextmanager
+def batches_of(spark: SparkSession, rows: int) -> Iterator[None]:
+    """Hand Python so many rows at a time in what runs inside, and as many as before after it."""
+    was = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    small_batches(spark, rows)
+    try:
+        yield
+    finally:
+        small_batches(spark, int(was))
+
+
 def process_store() -> dict:
     """What a Python worker keeps from task to task; functions sent by value have no lasting globals."""
     import sys

@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame, Row
 from pyspark.sql import functions as F
 
 from veritrail.llm.anchors import mix
-from veritrail.llm.common import new_path, settle, small_batches
+from veritrail.llm.common import batches_of, new_path, settle, small_batches
 
 HELD_OUT, FOLDS = 2, 7
 UNIT_BYTES = 8 << 20  #: text of a unit; the last document may pass it
@@ -372,8 +372,15 @@ def lm_scores(docs: DataFrame) -> DataFrame:
     made = rows.mapInArrow(make_units, UNITS)
     buckets = max(1, min(rows.rdd.getNumPartitions(), 100_000))
     made.write.bucketBy(buckets, "unit").format("parquet").option("path", new_path(spark, "lm-units")).option("compression", "none").saveAsTable(name)
-    units = spark.table(name)
-    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "1")  # a unit is some MB
+    try:
+        with batches_of(spark, 1):  # a unit is some MB
+            return scored(spark.table(name))
+    finally:
+        spark.sql(f"DROP TABLE {name}")  # its name alone: the files are in the shared folder
+
+
+def scored(units: DataFrame) -> DataFrame:
+    """SCORED for every document of the units, written: both joins find units where they are, by their buckets."""
     facts = units.agg(F.sum("n_words").alias("n"), F.sum(F.aggregate("held", F.lit(0), lambda s, h: s + (~h).cast("int"))).alias("docs"), F.sum(F.size("sizes")).alias("all"), F.sum(F.aggregate("sizes", F.lit(0).cast("long"), lambda s, x: s + x)).alias("tokens")).first()
     documents = facts.docs or 0
     asked = units.select("unit", "words", "trained").mapInArrow(ask_words(range_bits(facts.n or 0)), ASKED)
@@ -384,4 +391,4 @@ def lm_scores(docs: DataFrame) -> DataFrame:
     pairs, stats = answered(asked, True, tokens)
     weights = mixture([tuple(s) for s in stats], vocabulary)
     both = units.join(words.hint("shuffle_hash"), "unit").join(pairs.withColumnRenamed("answers", "pair_answers").hint("shuffle_hash"), "unit", "left")
-    return both.mapInArrow(score(tokens, vocabulary, documents, weights), SCORED)
+    return settle(both.mapInArrow(score(tokens, vocabulary, documents, weights), SCORED), "lm-scores")
