@@ -27,6 +27,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, IntegerType, LongType, StructField, StructType
 
 from veritrail.llm.anchors import GRAM, LENGTH, Roller, runs
 from veritrail.llm.common import settle, small_batches
@@ -34,23 +35,27 @@ from veritrail.llm.suffix_array import repeated
 
 HOT = 8192  #: contents of a key that one task sorts at most
 SORT_BYTES = 2 << 20  #: contents sorted together, besides the rest of a key
-BLOOM_MOST = 1 << 26  #: bits (8 MB), however many keys; overfull, it only lets more through
+BLOOM_MOST = 1 << 28  #: bits (32 MB), however many keys; overfull, it only lets more through
 BLOOM_PARTS = 64
-BLOOM_RATE = 12  #: bits a key
+BLOOM_RATE = 24  #: bits a key; so few others pass that most documents without repeats are finished early
+BLOOM_SHIFTS = (6, 25, 44)
 
 RESULT = "n_bytes long, n_removed long, n_spans long, kept_sha256 string"
-RUN = "struct<start:int,n:int,key:long,place:int,print:long>"
+RUNS = StructField("runs", ArrayType(StructType([StructField(n, t()) for n, t in (("start", IntegerType), ("n", IntegerType), ("key", LongType), ("place", IntegerType), ("print", LongType))])))
 
 
 def to_utf8(text: str | None) -> bytes:
     return (text or "").encode("utf-8", "surrogatepass")
 
 
-def identified(docs: DataFrame) -> DataFrame:
-    """(doc_id, did, th, text): did and th are never null and tell all rows but full copies apart."""
+def identified(docs: DataFrame, *kept: str) -> DataFrame:
+    """(did, th, text, rest): did and th are never null and tell all rows but copies in both id and text apart.
+
+    rest is a struct of the columns kept, doc_id at least.
+    """
     doc_id = F.col("doc_id").cast("long")
-    text = F.coalesce("text", F.lit(""))
-    return docs.select(doc_id.alias("doc_id"), F.coalesce(doc_id, F.lit(-(1 << 63))).alias("did"), F.xxhash64(doc_id.isNull(), text).alias("th"), text.alias("text"))
+    rest = F.struct(*[F.col(f"`{c}`") for c in kept]) if kept else F.struct(doc_id.alias("doc_id"))
+    return docs.select(F.coalesce(doc_id, F.lit(-(1 << 63))).alias("did"), F.xxhash64(doc_id.isNull(), F.coalesce("text", F.lit(""))).alias("th"), "text", rest.alias("rest"))
 
 
 def repeated_keys(rows: DataFrame) -> DataFrame:
@@ -68,7 +73,7 @@ def repeated_keys(rows: DataFrame) -> DataFrame:
 
 
 def bloom(keys: DataFrame) -> np.ndarray:
-    """Bits over the keys, two for each: BLOOM_PARTS rows reach the driver, 8 MB at most in all."""
+    """Bits over the keys, three for each: BLOOM_PARTS rows reach the driver, 32 MB at most in all."""
     want = max(1 << 16, min(BLOOM_MOST, keys.count() * BLOOM_RATE))
     bits = 1 << (want - 1).bit_length()
     part_bits = bits // BLOOM_PARTS
@@ -94,7 +99,7 @@ def bloom(keys: DataFrame) -> np.ndarray:
         for k, v in parts.items():
             yield pa.RecordBatch.from_arrays([pa.array([k], pa.int32()), pa.array([v.tobytes()])], names=["part", "bits"])
 
-    # a key's two bits lie in one part, so each task of the first step makes few parts
+    # a key's bits lie in one part, so each task of the first step makes few parts
     own = F.pmod(F.col("key"), F.lit(BLOOM_PARTS)).cast("int")
     made = keys.select(own.alias("part"), "key").repartition("part").mapInArrow(run, "part int, bits binary")
     out = np.zeros(bits // 8, np.uint8)
@@ -103,10 +108,10 @@ def bloom(keys: DataFrame) -> np.ndarray:
     return out
 
 
-def bloom_places(keys: np.ndarray, bits: int) -> tuple[np.ndarray, np.ndarray]:
+def bloom_places(keys: np.ndarray, bits: int) -> tuple[np.ndarray, ...]:
     part_bits = np.uint64(bits // BLOOM_PARTS)
     base = keys % np.uint64(BLOOM_PARTS) * part_bits
-    return tuple((base + (keys >> np.uint64(s)) % part_bits).astype(np.int64) for s in (7, 35))
+    return tuple((base + (keys >> np.uint64(s)) % part_bits).astype(np.int64) for s in BLOOM_SHIFTS)
 
 
 def in_bloom(keys: np.ndarray, bits: np.ndarray) -> np.ndarray:
@@ -129,13 +134,13 @@ def result_of(data: bytes, starts: np.ndarray, ends: np.ndarray) -> tuple[int, i
 
 
 def marked(rows: DataFrame, bits: np.ndarray) -> DataFrame:
-    """(doc_id, did, th, text, runs): runs whose keys may repeat; text is null where there are none."""
+    """(did, th, text, rest, runs): runs are those whose keys may repeat."""
     held = rows.sparkSession.sparkContext.broadcast(bits)  # BLOOM_MOST bits at most
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         roller = Roller()
         for batch in batches:
-            found = runs([to_utf8(t) for t in batch.column(3).to_pylist()], roller)
+            found = runs([to_utf8(t) for t in batch.column(2).to_pylist()], roller)
             use = np.flatnonzero(in_bloom(found["key"], held.value))
             text = found["text"][use]
             offsets = np.searchsorted(text, np.arange(batch.num_rows + 1))
@@ -144,9 +149,9 @@ def marked(rows: DataFrame, bits: np.ndarray) -> DataFrame:
             arrays = [pa.array(p.view(np.int64).astype(t)) for p, t in zip(parts, kinds, strict=True)]
             packed = pa.StructArray.from_arrays(arrays, names=["start", "n", "key", "place", "print"])
             lists = pa.ListArray.from_arrays(pa.array(offsets.astype(np.int32)), packed)
-            yield pa.RecordBatch.from_arrays([*(batch.column(i) for i in range(4)), lists], names=["doc_id", "did", "th", "text", "runs"])
+            yield pa.RecordBatch.from_arrays([*(batch.column(i) for i in range(4)), lists], names=["did", "th", "text", "rest", "runs"])
 
-    return rows.mapInArrow(run, f"doc_id long, did long, th long, text string, runs array<{RUN}>")
+    return rows.mapInArrow(run, StructType([*rows.schema.fields, RUNS]))
 
 
 def sort_task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -244,10 +249,10 @@ def shared_windows(contents: DataFrame, hot: int) -> list[DataFrame]:
         first = False
 
 
-def covered(docs: DataFrame, hot: int = HOT) -> tuple[DataFrame, DataFrame]:
-    """The marked documents (doc_id, did, th, text, runs), and (did, th, ranges) of what of them repeats."""
+def covered(docs: DataFrame, hot: int, *kept: str) -> tuple[DataFrame, DataFrame]:
+    """(text, rest) of documents in which nothing may repeat, and (text, rest, ranges) of the others."""
     small_batches(docs.sparkSession)
-    rows = identified(docs)
+    rows = identified(docs, *kept)
     page = marked(rows, bloom(repeated_keys(rows)))
     page = settle(page, "repeat-marked")
     each = page.select("did", "th", F.explode("runs").alias("r")).select("did", "th", "r.*")
@@ -264,14 +269,15 @@ def covered(docs: DataFrame, hot: int = HOT) -> tuple[DataFrame, DataFrame]:
         twice = twice.unionByName(f)
     back = each.select("did", "th", "key", "print", "start").join(twice, ["key", "print"])
     spans = back.select("did", "th", F.transform("ranges", lambda r: F.struct((F.col("start") + r["a"]).alias("a"), (F.col("start") + r["b"] + LENGTH - 1).alias("b"))).alias("ranges"))
-    return page, spans.groupBy("did", "th").agg(F.array_distinct(F.flatten(F.collect_list("ranges"))).alias("ranges"))
+    ranges = spans.groupBy("did", "th").agg(F.flatten(F.collect_list("ranges")).alias("ranges"))
+    rest = page.filter(F.size("runs") > 0).select("did", "th", "text", "rest").join(ranges, ["did", "th"], "left")
+    return page.filter(F.size("runs") == 0).select("text", "rest"), rest.select("text", "rest", "ranges")
 
 
 def repeats_report(docs: DataFrame, hot: int = HOT) -> DataFrame:
     """(doc_id, n_bytes, n_removed, n_spans, kept_sha256) of every document."""
-    page, ranges = covered(docs, hot)
-    plain = page.filter(F.size("runs") == 0).select("doc_id", "text", F.lit(None).cast("array<struct<a:int,b:int>>").alias("ranges"))
-    rest = page.filter(F.size("runs") > 0).select("doc_id", "did", "th", "text").join(ranges, ["did", "th"], "left").select("doc_id", "text", "ranges")
+    plain, rest = covered(docs, hot)
+    plain = plain.withColumn("ranges", F.lit(None).cast("array<struct<a:int,b:int>>"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -280,7 +286,8 @@ def repeats_report(docs: DataFrame, hot: int = HOT) -> DataFrame:
             kinds = [pa.int64(), pa.int64(), pa.int64(), pa.string()]
             yield pa.RecordBatch.from_arrays([batch.column(0), *(pa.array(c, t) for c, t in zip(columns, kinds, strict=True))], names=["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256"])
 
-    return plain.mapInArrow(run, f"doc_id long, {RESULT}").unionByName(rest.mapInArrow(run, f"doc_id long, {RESULT}"))
+    done = [df.select("rest.doc_id", "text", "ranges").mapInArrow(run, f"doc_id long, {RESULT}") for df in (plain, rest)]
+    return done[0].unionByName(done[1])
 
 
 def edges(ranges: list[dict] | None) -> tuple[np.ndarray, np.ndarray]:
@@ -289,18 +296,14 @@ def edges(ranges: list[dict] | None) -> tuple[np.ndarray, np.ndarray]:
 
 def drop_repeats(docs: DataFrame, hot: int = HOT) -> DataFrame:
     """docs with all repeated bytes taken out of text; rows whose text loses nothing are as they were."""
-    page, ranges = covered(docs, hot)
-    names = [f"`{c}`" for c in docs.columns]
-    doc_id, text = F.col("doc_id").cast("long"), F.coalesce("text", F.lit(""))
-    keyed = docs.withColumns({"__did": F.coalesce(doc_id, F.lit(-(1 << 63))), "__th": F.xxhash64(doc_id.isNull(), text)})
-    ranges = ranges.select(F.col("did").alias("__did"), F.col("th").alias("__th"), F.col("ranges").alias("__ranges"))
-    joined = keyed.join(ranges, ["__did", "__th"], "left")
+    plain, rest = covered(docs, hot, *[c for c in docs.columns if c != "text"])
 
     @F.pandas_udf("string")
     def cut(text, spans):  # noqa: ANN001, ANN202
         import pandas as pd
 
-        return pd.Series([result_of(to_utf8(t), *edges(list(s)))[4].decode("utf-8", "ignore") for t, s in zip(text, spans, strict=True)], dtype=object)
+        kept = [t if s is None else result_of(to_utf8(t), *edges(list(s)))[4].decode("utf-8", "ignore") for t, s in zip(text, spans, strict=True)]
+        return pd.Series(kept, dtype=object)
 
-    changed = joined.filter(F.col("__ranges").isNotNull()).withColumn("text", cut("text", "__ranges"))
-    return joined.filter(F.col("__ranges").isNull()).select(*names).unionByName(changed.select(*names))
+    columns = [F.col("text") if c == "text" else F.col("rest").getField(c).alias(c) for c in docs.columns]
+    return plain.select(*columns).unionByName(rest.withColumn("text", cut("text", "ranges")).select(*columns))
