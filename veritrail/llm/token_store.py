@@ -176,7 +176,9 @@ def write_tokens(docs: DataFrame, tokenizer_path: str, path: str | None = None)
     path = path or new_path(spark, "tokens")
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
     short = rows.filter(F.length("text") <= SAMPLE_CHARS)
-    sample = [r.text for r in short.orderBy(F.xxhash64("doc_id"), "doc_id").limit(SAMPLE_DOCS).collect()]  # SAMPLE_DOCS x SAMPLE_CHARS at most
+    chosen = short.select("doc_id").orderBy(F.xxhash64("doc_id"), "doc_id").limit(SAMPLE_DOCS).distinct()  # ids alone are ordered
+    found = short.join(F.broadcast(chosen), "doc_id").limit(SAMPLE_DOCS).collect()  # SAMPLE_DOCS x SAMPLE_CHARS at most
+    sample = [r.text for r in sorted(found, key=lambda r: (r.doc_id, r.text))]
     data = dictionary(PieceEncoder(tokenizer_path).encode(sample)) if sample else b""
     hashed = hashlib.sha256(data).digest()
     spark.createDataFrame([(bytearray(data), hashed.hex())], "data binary, dict_hash string").write.parquet(f"{path}/dictionary")
