@@ -263,4 +263,5 @@ def drop_near_duplicates(docs: DataFrame) -> DataFrame:
     """One document of each component, that of the smallest id, with the columns of docs."""
     found = near_duplicates(docs)
     keep = settle(found.filter(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias("keep_id")).distinct(), "simhash-keep")
-    return docs.join(keep, docs["doc_id"].eqNullSafe(keep["keep_id"]), "left_semi")
+    # both sides grow with the corpus, so the ids are not broadcast even while they are few: one plan at every size
+    return docs.join(keep.hint("merge"), docs["doc_id"].eqNullSafe(keep["keep_id"]), "left_semi")
