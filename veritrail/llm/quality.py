@@ -100,7 +100,8 @@ def with_counts(docs: DataFrame) -> tuple[DataFrame, str]:
         "n_shouts": F.regexp_count(c["text"], F.lit(r"!")),
         "n_lines": F.size(c["lines"]),
     }
-    return df.select(*kept, F.struct(*[v.cast("long").alias(k) for k, v in counts.items()]).alias(at)), at
+    # filters are not pushed below a generator, where they would repeat the counting for each of their tests
+    return df.select(*kept, F.explode(F.array(F.struct(*[v.cast("long").alias(k) for k, v in counts.items()]))).alias(at)), at
 
 
 def base_failed(at: str) -> Column:
@@ -217,6 +218,4 @@ def keep_good(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """The rows of docs that are kept, with the columns of docs."""
     rules = learn(docs, labels)
     counted, at = with_counts(docs)
-    # a filter is not pushed below a generator, where it would repeat the counting for each of its tests
-    counted = counted.select(*[F.col(f"`{c}`") for c in docs.columns], F.explode(F.array(F.col(at))).alias(at))
     return counted.filter(verdict(rules, at)).drop(at)
