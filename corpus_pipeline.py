@@ -6,7 +6,7 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
-from veritrail.llm import mixing, packing, quality, simhash, suffix_dedup
+from veritrail.llm import mixing, packing, quality, similar, suffix_dedup
 from veritrail.llm.common import shared_dir, table
 
 
@@ -16,8 +16,8 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keep the document of the smallest id of each group of near duplicates."""
-    return simhash.drop_near_duplicates(docs)
+    """Keep the document of the smallest id of each group alike in five-word shingles at 0.8 or more."""
+    return similar.drop_similar(docs)
 
 
 def repeat_removal(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
