@@ -5,7 +5,7 @@ import random
 import pytest
 
 import corpus_pipeline
-from veritrail.llm import similar
+from veritrail.llm import similar, simhash, suffix_dedup
 
 SF = "/root/testdata/sf0.01"
 
@@ -73,3 +73,16 @@ def test_large_groups(spark, monkeypatch, small):
     want, links = plain_kept(rows)
     assert links > 300 and len(want) > 45
     assert ids(similar.drop_similar(docs)) == want
+
+
+def test_repeated_rows(spark):
+    """A document whose row is repeated stays once and keeps its text; so does one of several copies without an id."""
+    r = random.Random(8)
+    a, b = (" ".join(r.choice("abcdefgh") * r.randint(1, 9) for _ in range(90)) for _ in range(2))
+    rows = [(1, a, "x"), (1, a, "x"), (1, a, "w"), (None, b, "y"), (None, b, "y"), (7, "short text here", "z")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, `odd.name` string").repartition(3)
+    for drop in (similar.drop_similar, simhash.drop_near_duplicates):
+        kept = drop(docs)
+        assert kept.columns == docs.columns
+        assert sorted(map(tuple, kept.collect()), key=str) == sorted([(1, a, "w"), (None, b, "y"), (7, "short text here", "z")], key=str)
+    assert sorted(x.text for x in suffix_dedup.drop_repeats(similar.drop_similar(docs)).collect()) == sorted([a, b, "short text here"])

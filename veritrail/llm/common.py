@@ -63,6 +63,14 @@ def free_name(df: DataFrame, stem: str) -> str:
     return name
 
 
+def one_each(df: DataFrame, keys: list[str], other: list[str]) -> DataFrame:
+    """One row of those with the same keys, without the keys' own columns: the first by its other columns' JSON; rows come grouped by keys."""
+    row = [F.col(f"`{c}`") for c in df.columns if c not in keys]
+    order = F.to_json(F.struct(*(F.col(f"`{c}`") for c in other))) if other else F.lit("")
+    best = df.groupBy(*keys).agg(F.min_by(F.struct(*row), order).alias("_best"))
+    return best.select(*(F.col(f"_best.`{c}`") for c in df.columns if c not in keys))
+
+
 def small_batches(spark: SparkSession, rows: int = 512) -> None:
     """Hand Python few rows at a time, as texts may be long; a batch is some MB of ordinary documents."""
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))

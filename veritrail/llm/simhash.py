@@ -24,7 +24,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from veritrail.llm.common import settle, small_batches
+from veritrail.llm.common import free_name, one_each, settle, small_batches
 from veritrail.llm.components import components
 
 SHINGLE, SEED, RADIUS = 3, 42, 2
@@ -260,8 +260,11 @@ def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, radius: int = RADIU
 
 
 def drop_near_duplicates(docs: DataFrame) -> DataFrame:
-    """One document of each component, that of the smallest id, with the columns of docs."""
+    """One document of each component, that of the smallest id, with the columns of docs; one row for each of its texts."""
     found = near_duplicates(docs)
     keep = settle(found.filter(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias("keep_id")).distinct(), "simhash-keep")
     # both sides grow with the corpus, so the ids are not broadcast even while they are few: one plan at every size
-    return docs.join(keep.hint("merge"), docs["doc_id"].eqNullSafe(keep["keep_id"]), "left_semi")
+    kept = docs.join(keep.hint("merge"), docs["doc_id"].eqNullSafe(keep["keep_id"]), "left_semi")
+    k1, k2 = free_name(docs, "k1"), free_name(docs, "k2")
+    marked = kept.withColumns({k1: F.xxhash64("doc_id", F.col("doc_id").isNull(), "text", F.col("text").isNull()), k2: F.xxhash64(F.lit(7), "text", "doc_id")})
+    return one_each(marked, [k1, k2], [c for c in docs.columns if c not in ("doc_id", "text")])

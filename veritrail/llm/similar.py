@@ -25,7 +25,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from veritrail.llm.common import free_name, settle, small_batches
+from veritrail.llm.common import free_name, one_each, settle, small_batches
 from veritrail.llm.components import components
 
 SHINGLE, SEED = 5, 42
@@ -259,7 +259,10 @@ def groups(rows: DataFrame, nodes: DataFrame) -> DataFrame:
 
 
 def drop_similar(docs: DataFrame) -> DataFrame:
-    """The rows of docs without those that are like another at SHARE: of each group the smallest id stays, nulls last."""
+    """The rows of docs without those that are like another at SHARE: of each group one row stays, of the smallest id, nulls last.
+
+    Rows with the same id and text are ordered by their other columns.
+    """
     rows = keyed(docs)
     small_batches(docs.sparkSession)
     nodes = node_table(rows)
@@ -271,4 +274,4 @@ def drop_similar(docs: DataFrame) -> DataFrame:
     marked = docs.withColumns({k1: own[0], k2: own[1]})
     # both sides grow with the corpus, so the keys are not broadcast even while they are few: one plan at every size
     kept = marked.join(keep.select(F.col("k1").alias(k1), F.col("k2").alias(k2)).hint("merge"), [k1, k2], "left_semi")
-    return kept.select(*(F.col(f"`{c}`") for c in docs.columns))
+    return one_each(kept, [k1, k2], [c for c in docs.columns if c not in ("doc_id", "text")]).select(*(F.col(f"`{c}`") for c in docs.columns))
