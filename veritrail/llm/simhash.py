@@ -212,7 +212,9 @@ def deal(rows: DataFrame, hot: int = HOT) -> DataFrame:
 
 
 def link_table(nodes: DataFrame, radius: int = RADIUS, hot: int = HOT) -> DataFrame:
-    """(u, v) links between fingerprints such that all within the radius are connected."""
+    """(u, v) links between fingerprints such that all within the radius are connected; the buckets hold all up to RADIUS."""
+    if not 0 <= radius <= RADIUS:
+        raise ValueError(f"a radius of {radius}: two of four bands and one of three parts agree for certain only up to {RADIUS}")
     rows = deal(bucket_rows(nodes), hot)
     keys = ["k1", "k2", "k3"]
 
@@ -248,7 +250,7 @@ def link_table(nodes: DataFrame, radius: int = RADIUS, hot: int = HOT) -> DataFr
 
 
 def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, radius: int = RADIUS) -> DataFrame:
-    """(doc_id, fingerprint, component_id) of every document."""
+    """(doc_id, fingerprint, component_id) of every document; radius: at most RADIUS."""
     prints = settle(fingerprints(docs, shingle), "simhash")
     nodes = settle(prints.groupBy("fp").agg(F.min("doc_id").alias("least")), "simhash-nodes")
     roots = components(link_table(nodes.select("fp"), radius))  # (u, v)
