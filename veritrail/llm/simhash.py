@@ -3,7 +3,7 @@
 Rows with one fingerprint are one node from the start. Fingerprints within the radius of 2 agree on at
 least two of four 16-bit bands, so each node goes to six buckets, one for each pair of bands. In a
 bucket, bit planes stand vertically: bit i of 64 fingerprints is one machine word, a query's XOR
-with a plane is added to counters by carry-save logic, and a block is left as soon as all its distances
+with a plane is added to counters by carry-save logic, and a word of lanes is left as soon as all its distances
 exceed the radius. A bucket gives only a star of links for each of its groups. Buckets of more than
 HOT nodes are dealt anew by thirds of their other 32 bits, of which one must agree too, and what is still
 larger goes to several tasks as pairs of blocks; no link is lost.
@@ -16,7 +16,7 @@ by drop_near_duplicates(). An empty table gives an empty table.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -38,25 +38,36 @@ SMALL = 64  #: buckets up to this size are compared many at a time
 LANES = np.array([sum(((b >> i) & 1) << (8 * i) for i in range(8)) for b in range(256)], np.uint64)
 
 
-def fingerprint(text: str | None, shingle: int = SHINGLE) -> int:
+def shingle_hashes(text: str | None, shingle: int) -> Iterator[np.ndarray]:
+    """Hashes of a text's shingles, CHUNK at a time; none for a text without words."""
     words = (text or "").encode("utf-8", "surrogatepass").lower().split()  # of bytes: A-Z, and the six ASCII spaces
     if not words:
-        return 0
+        return
     n = max(1, len(words) - shingle + 1)
     ends = np.cumsum([len(w) + 1 for w in words]) - 1
     starts = np.concatenate([[0], ends[:-1] + 1])
     line = b" ".join(words)
     first, last = starts[:n].tolist(), ends[-n:].tolist()
     digest = xxhash.xxh64_intdigest
-    counts = np.zeros(64, np.int64)
     for k in range(0, n, CHUNK):
-        hashes = np.array([digest(line[a:b], SEED) for a, b in zip(first[k : k + CHUNK], last[k : k + CHUNK], strict=True)], "<u8")
+        yield np.array([digest(line[a:b], SEED) for a, b in zip(first[k : k + CHUNK], last[k : k + CHUNK], strict=True)], "<u8")
+
+
+def majority(parts: Iterable[np.ndarray]) -> int:
+    """64 bits, each set in over half of the hashes."""
+    counts, n = np.zeros(64, np.int64), 0
+    for hashes in parts:
         lanes = LANES[hashes.view(np.uint8).reshape(-1, 8)]
         sums = np.add.reduceat(lanes, np.arange(0, len(hashes), 255), axis=0)  # at most 255 in a counter
         counts += sums.view(np.uint8).reshape(-1, 64).sum(axis=0, dtype=np.int64)
+        n += len(hashes)
     return int(np.packbits(2 * counts > n, bitorder="little").view("<u8")[0])
 
 
+def fingerprint(text: str | None, shingle: int = SHINGLE) -> int:
+    return majority(shingle_hashes(text, shingle))
+
+
 def fingerprints(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
     """(doc_id, fp): fp is the fingerprint's 64 bits as a signed long."""
     small_batches(docs.sparkSession)
@@ -76,26 +87,61 @@ def planes_of(x: np.ndarray) -> np.ndarray:
     return np.ascontiguousarray(np.packbits(np.pad(bits, ((0, pad), (0, 0))).T, axis=1, bitorder="little")).view("<u8")
 
 
-def near_lanes(planes: np.ndarray, flips: np.ndarray | None, radius: int) -> np.ndarray:
+def near_lanes(planes: np.ndarray, flips: np.ndarray | None, radius: int, skip: np.ndarray | None = None) -> np.ndarray:
     """Lanes whose distance is at most radius; planes: (64, words), flips: (queries, 64) words of ones or zeros.
 
-    Counters are bit-sliced too: counter[k] holds bit k of every lane's distance so far, over its overflow.
+    Counters are bit-sliced too: counter[k] holds bit k of every lane's distance so far, over its overflow. A block is a word of
+    lanes for one query; blocks all of whose lanes exceed the radius are left, and only those still alive go on.
+    skip: lanes out of the question, which don't keep a block alive.
     """
-    shape = planes.shape[1:] if flips is None else (len(flips), planes.shape[1])
+    words = planes.shape[1]
+    if flips is None:
+        flips = np.zeros((1, 64), np.uint64)
+    n = len(flips) * words
     width = max(1, int(radius + 1).bit_length())
-    counter = [np.zeros(shape, np.uint64) for _ in range(width)]
-    over = np.zeros(shape, np.uint64)
-    beyond = over
+    counter = [np.zeros(n, np.uint64) for _ in range(width)]
+    over = np.zeros(n, np.uint64) if skip is None else np.broadcast_to(skip, (len(flips), words)).ravel().copy()
+    out = np.zeros(n, np.uint64)
+    alive = of = at = None
     for b in range(64):
-        carry = planes[b] if flips is None else planes[b][None, :] ^ flips[:, b, None]
+        carry = (planes[b][None, :] ^ flips[:, b, None]).ravel() if alive is None else planes[b][at] ^ flips[of, b]
         for k in range(width):
             counter[k], carry = counter[k] ^ carry, counter[k] & carry
         over |= carry
-        if b >= radius and b % 8 == 7:
-            beyond = over | greater(counter, radius)
-            if (beyond == ~np.uint64(0)).all():  # all of the block exceed the radius
-                break
-    return ~(over | greater(counter, radius))
+        if b >= radius and b % 8 == 7 and b < 63:
+            left = np.flatnonzero(~(over | greater(counter, radius)))
+            if not len(left):
+                return out.reshape(-1, words)
+            if 2 * len(left) < len(over):
+                alive = left if alive is None else alive[left]
+                of, at = np.divmod(alive, words)
+                counter, over = [c[left] for c in counter], over[left]
+    near = ~(over | greater(counter, radius))
+    if alive is None:
+        return near.reshape(-1, words)
+    out[alive] = near
+    return out.reshape(-1, words)
+
+
+def lanes_beyond(n: int) -> np.ndarray:
+    """Words of lanes with those set that stand for none of n."""
+    out = np.zeros(-(-n // 64), np.uint64)
+    if n % 64:
+        out[-1] = ~np.uint64(0) << np.uint64(n % 64)
+    return out
+
+
+def near_pairs(a: np.ndarray, b: np.ndarray, radius: int) -> np.ndarray:
+    """Whether a[i] and b[i] differ in radius bits at most: lane i is pair i."""
+    if not len(a):
+        return np.zeros(0, bool)
+    return lanes_set(near_lanes(planes_of(a ^ b), None, radius, lanes_beyond(len(a)))[0], len(a)).astype(bool)
+
+
+def flips_of(x: np.ndarray) -> np.ndarray:
+    """(queries, 64): a word of ones for each bit set."""
+    bits = np.unpackbits(x.astype("<u8").view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").astype(bool)
+    return np.where(bits, ~np.uint64(0), np.uint64(0))
 
 
 def greater(counter: list[np.ndarray], limit: int) -> np.ndarray:
@@ -146,7 +192,7 @@ def links(x: np.ndarray, group: np.ndarray, block: np.ndarray, radius: int = RAD
             same = np.flatnonzero(g[offset:] == g[:-offset])
             if not len(same):
                 break
-            hit = lanes_set(near_lanes(planes_of(y[same] ^ y[same + offset]), None, radius), len(same)).astype(bool)
+            hit = near_pairs(y[same], y[same + offset], radius)
             pairs_a.append(small[same[hit]])
             pairs_b.append(small[same[hit] + offset])
     for s, k in zip(starts, sizes, strict=True):
@@ -164,15 +210,17 @@ def compare(x: np.ndarray, block: np.ndarray, radius: int, queries: int = 64) ->
     planes = planes_of(x)
     label = np.arange(n)
     ask = np.flatnonzero(block == 1) if paired else np.arange(n)
+    others = np.packbits(np.pad(block != 2, (0, -n % 64), constant_values=True), bitorder="little").view("<u8") if paired else lanes_beyond(n)
+    word = np.arange(planes.shape[1])
     for k in range(0, len(ask), queries):
         q = ask[k : k + queries]
-        bits = np.unpackbits(x[q].astype("<u8").view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").astype(bool)
-        flips = np.where(bits, ~np.uint64(0), np.uint64(0))
-        at, lane = np.nonzero(lanes_set(near_lanes(planes, flips, radius), n))
-        a = q[at]
-        use = (block[lane] == 2) if paired else lane > a
+        skip = np.repeat(others[None, :], len(q), axis=0)
+        if not paired:  # a query's own lane and those before it
+            skip[word[None, :] < (q // 64)[:, None]] = ~np.uint64(0)
+            skip[np.arange(len(q)), q // 64] |= ~np.uint64(0) >> (63 - q % 64).astype(np.uint64)
+        at, lane = np.nonzero(lanes_set(near_lanes(planes, flips_of(x[q]), radius, skip), n))
         rest = np.flatnonzero(label != np.arange(n))
-        label = stars(n, np.concatenate([a[use], rest]), np.concatenate([lane[use], label[rest]]))
+        label = stars(n, np.concatenate([q[at], rest]), np.concatenate([lane, label[rest]]))
     rest = np.flatnonzero(label != np.arange(n))
     return rest, label[rest]
 
@@ -193,7 +241,7 @@ def deal(rows: DataFrame, hot: int = HOT) -> DataFrame:
     """(fp, k1, k2, k3, block): groups of at most about hot rows, or two blocks of hot rows each."""
     sizes = settle(rows.groupBy("key").agg(F.count("*").alias("n")).filter("n > 1"), "simhash-buckets")
     plain = rows.join(sizes.filter(F.col("n") <= hot).select("key"), "key", "left_semi")
-    out = plain.select("fp", F.col("key").alias("k1"), F.lit(0).cast("long").alias("k2"), F.lit(0).alias("k3"), F.lit(0).alias("block"))
+    out = plain.select("fp", F.col("key").alias("k1"), F.lit(0).cast("long").alias("k2"), F.lit(0).cast("long").alias("k3"), F.lit(0).alias("block"))
     large = sizes.filter(F.col("n") > hot)
     if large.isEmpty():
         return out
@@ -203,10 +251,10 @@ def deal(rows: DataFrame, hot: int = HOT) -> DataFrame:
     again = settle(again, "simhash-large")
     n = again.groupBy("k1", "k2").agg(F.count("*").alias("n")).filter("n > 1")
     again = again.join(n, ["k1", "k2"])
-    out = out.unionByName(again.filter(F.col("n") <= hot).select("fp", "k1", "k2", F.lit(0).alias("k3"), F.lit(0).alias("block")))
-    blocks = F.ceil(F.col("n") / hot).cast("int")
-    mine = F.pmod(F.xxhash64("fp"), blocks).cast("int")
-    others = F.transform(F.sequence(F.lit(0), blocks - 1), lambda o: F.struct((F.least(mine, o) * 4096 + F.greatest(mine, o)).alias("k3"), F.when(mine == o, 0).when(mine < o, 1).otherwise(2).alias("block")))
+    out = out.unionByName(again.filter(F.col("n") <= hot).select("fp", "k1", "k2", F.lit(0).cast("long").alias("k3"), F.lit(0).alias("block")))
+    blocks = F.ceil(F.col("n") / hot)
+    mine = F.pmod(F.xxhash64("fp"), blocks)
+    others = F.transform(F.sequence(F.lit(0).cast("long"), blocks - 1), lambda o: F.struct((F.least(mine, o) * (1 << 31) + F.greatest(mine, o)).alias("k3"), F.when(mine == o, 0).when(mine < o, 1).otherwise(2).alias("block")))
     split = again.filter(F.col("n") > hot).select("fp", "k1", "k2", F.explode(others).alias("o"))
     return out.unionByName(split.select("fp", "k1", "k2", "o.k3", "o.block"))
 
