@@ -53,10 +53,10 @@ def test_all_pairs_of_documents(spark):
     assert ids(stage(spark, docs, SF)) == want
 
 
-@pytest.mark.parametrize("small", [16, 2])
-def test_large_groups(spark, monkeypatch, small):
+@pytest.mark.parametrize(("hot", "leaders"), [(4096, 32), (10, 2)])
+def test_large_groups(spark, monkeypatch, hot, leaders):
     """More near copies of a text than are compared each with each, some alike only through others."""
-    monkeypatch.setattr(similar, "SMALL", small)
+    monkeypatch.setattr(similar, "LEADERS", leaders)
     r = random.Random(3)
     words = [f"w{k}" for k in range(400)]
     rows = []
@@ -72,7 +72,7 @@ def test_large_groups(spark, monkeypatch, small):
     docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(5)
     want, links = plain_kept(rows)
     assert links > 300 and len(want) > 45
-    assert ids(similar.drop_similar(docs)) == want
+    assert ids(similar.drop_similar(docs, hot)) == want
 
 
 def test_repeated_rows(spark):

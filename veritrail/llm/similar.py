@@ -1,15 +1,18 @@
-"""Near-duplicates by exact similarity: one row of each group whose five-word shingle sets are alike at 0.8 or more.
+"""SimHash near-duplicates by similarity: one row of each group whose five-word shingle sets are alike at 0.8 or more.
 
-Two rows are linked if the Jaccard similarity of their sets of shingles is SHARE or more, and groups are the connected
-components of links. No radius of fingerprints holds all such pairs (at 0.8 SimHash differs in 10 of 64 bits on average, and
-in up to 19 on the skewed check table), so candidates come from a filter that is complete by arithmetic: if all shingles have one
-global order, sets of n and m shingles that are alike share one among the first n - ceil(0.8 n) + 1 and m - ceil(0.8 m) + 1.
-Rare shingles come first in that order. How rare they are is counted on a sample, which has a say in how many candidates there are
-only, not in which pairs are found. Candidates whose sizes or places in the order rule out the similarity are left
-out, and all others are decided by their whole sets.
+Two rows are linked if their fingerprints, of five-word shingles, are within RADIUS and the Jaccard similarity of their sets of
+shingles is SHARE or more; groups are the connected components of links. At 0.8 fingerprints differ in 10 of 64 bits on average, in
+12 for sets of a few shingles, and in more than RADIUS with a chance of less than one in 100,000, so the radius decides nothing that
+whole sets would not: it spares their comparison.
 
-Rows with one set are one node from the start. Of a shingle that more than SMALL nodes begin with, first all of its nodes are
-compared with one of them; once these links have made components, pairs across components are compared, all of them.
+No bands of a fingerprint are complete for such a radius. Buckets come from the sets: if all shingles have one
+global order, sets of n and m shingles that are alike share one among the first n - ceil(0.8 n) + 1 and m - ceil(0.8 m) + 1. Rare
+shingles come first in that order. How rare they are is counted on a sample, which has a say in how large buckets are only.
+
+1. In a bucket, or a part of HOT rows of a large one with the bucket's first node, leaders are chosen: each row is paired with the first leader
+   within the radius (bit-sliced), or becomes one. Whole sets decide these pairs, and their links make components.
+2. In buckets that still hold several components, all rows of different ones are compared bit-sliced, in large buckets those outside the
+   most frequent component with all; again whole sets decide.
 
 Edge cases: words are cut at the six ASCII spaces and A-Z is lowered; a text of fewer words than a shingle is one shingle, so null and
 empty texts and those of white space are alike. Shingles and sets are known by 64-bit hashes. An empty table gives an empty table.
@@ -25,26 +28,24 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from veritrail.llm.common import free_name, one_each, settle, small_batches
+from veritrail.llm.common import batches_of, free_name, one_each, settle, small_batches
 from veritrail.llm.components import components
+from veritrail.llm.simhash import SEED, flips_of, lanes_beyond, lanes_set, majority, near_lanes, near_pairs, planes_of, shingle_hashes
 
-SHINGLE, SEED = 5, 42
+SHINGLE, RADIUS = 5, 26
 SHARE = (4, 5)  #: similarity of a link, as a fraction
 SAMPLE_DOCS, OFTEN, MAX_OFTEN = 8192, 3, 65_536  #: for the order alone: documents counted, count of a frequent shingle, shingles kept
 MAX_SENT = 1 << 20  #: up to so many nodes' keys are broadcast to find their texts; more are joined
-SMALL = 16  #: up to so many nodes of a shingle are compared each with each
+HOT = 4096  #: rows of a bucket that one task compares at a time
+LEADERS = 32  #: chosen in a bucket before the rest waits for the second step
 BATCH_ROWS = 1 << 16
+QUERIES = 64
 
 
 def shingle_set(text: str | None, shingle: int = SHINGLE) -> np.ndarray:
-    """Hashes of a text's distinct shingles, ascending."""
-    words = (text or "").encode("utf-8", "surrogatepass").lower().split()
-    n = max(1, len(words) - shingle + 1)
-    ends = np.cumsum([len(w) + 1 for w in words]).astype(np.int64) - 1 if words else np.zeros(1, np.int64)
-    starts = np.concatenate([[0], ends[:-1] + 1])
-    line = b" ".join(words)
-    digest = xxhash.xxh64_intdigest
-    return np.unique(np.array([digest(line[a:b], SEED) for a, b in zip(starts[:n].tolist(), ends[-n:].tolist(), strict=True)], np.uint64))
+    """Hashes of a text's distinct shingles, ascending; a text without words has one empty shingle."""
+    parts = list(shingle_hashes(text, shingle))
+    return np.unique(np.concatenate(parts)) if parts else np.array([xxhash.xxh64_intdigest(b"", SEED)], np.uint64)
 
 
 def prefix(found: np.ndarray, often: np.ndarray, counts: np.ndarray) -> np.ndarray:
@@ -86,19 +87,21 @@ def frequent(rows: DataFrame) -> tuple[np.ndarray, np.ndarray]:
 
 
 def node_table(rows: DataFrame) -> DataFrame:
-    """(node, best): a node for each distinct set; best has the key of its first row, number of shingles and first shingles."""
+    """(node, best): a node for each distinct set; best has the key of its first row, number of shingles, fingerprint and first shingles."""
     often, counts = frequent(rows)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             sets = [shingle_set(t) for t in batch.column("text").to_pylist()]
             node = np.array([xxhash.xxh64_intdigest(s.tobytes(), SEED) for s in sets], np.uint64).view(np.int64)
+            fp = np.array([majority([s]) for s in sets], np.uint64).view(np.int64)
             first = [prefix(s, often, counts).view(np.int64) for s in sets]
             n = pa.array([len(s) for s in sets], pa.int32())
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("k1"), batch.column("k2"), pa.array(node), n, pa.array(first, pa.list_(pa.int64()))], names=["doc_id", "k1", "k2", "node", "n", "first"])
+            values = [batch.column("doc_id"), batch.column("k1"), batch.column("k2"), pa.array(node), n, pa.array(fp), pa.array(first, pa.list_(pa.int64()))]
+            yield pa.RecordBatch.from_arrays(values, names=["doc_id", "k1", "k2", "node", "n", "fp", "first"])
 
-    made = rows.mapInArrow(run, "doc_id long, k1 long, k2 long, node long, n int, first array<long>")
-    best = F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "k1", "k2", "n", "first"))
+    made = rows.mapInArrow(run, "doc_id long, k1 long, k2 long, node long, n int, fp long, first array<long>")
+    best = F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "k1", "k2", "n", "fp", "first"))
     return settle(made.groupBy("node").agg(best.alias("best")), "similar-nodes")
 
 
@@ -110,12 +113,15 @@ def may_be_alike(n: np.ndarray, p: np.ndarray, m: np.ndarray, q: np.ndarray) ->
 
 
 def grouped(batches: Iterator[pa.RecordBatch], of) -> Iterator[pa.RecordBatch]:
-    """of(table, starts, sizes) for tables of whole runs of one token, from batches sorted by token."""
+    """of(table, starts, sizes) for tables of whole runs of one (token, part), from batches sorted by these."""
+
+    def change(t: pa.Table) -> np.ndarray:
+        token, part = t.column("token").to_numpy(), t.column("part").to_numpy()
+        return np.flatnonzero((token[1:] != token[:-1]) | (part[1:] != part[:-1])) + 1
 
-    def emit(t: pa.Table) -> Iterator[pa.RecordBatch]:
-        token = t.column("token").to_numpy()
-        starts = np.flatnonzero(np.concatenate([[True], token[1:] != token[:-1]]))
-        yield from of(t, starts, np.diff(np.append(starts, len(token))))
+    def emit(t: pa.Table, cuts: np.ndarray) -> Iterator[pa.RecordBatch]:
+        starts = np.append(0, cuts)
+        yield from of(t, starts, np.diff(np.append(starts, t.num_rows)))
 
     held: list[pa.RecordBatch] = []
     rows = 0
@@ -124,97 +130,133 @@ def grouped(batches: Iterator[pa.RecordBatch], of) -> Iterator[pa.RecordBatch]:
             continue
         held.append(batch)
         rows += batch.num_rows
-        if rows < BATCH_ROWS or batch.column("token")[0].as_py() == batch.column("token")[-1].as_py():
+        if rows < BATCH_ROWS:
             continue
         t = pa.Table.from_batches(held)
-        token = t.column("token").to_numpy()
-        cut = int(np.flatnonzero(token != token[-1])[-1]) + 1
-        yield from emit(t.slice(0, cut))
-        held = t.slice(cut).to_batches()
-        rows = t.num_rows - cut
+        cuts = change(t)
+        if len(cuts):
+            yield from emit(t.slice(0, int(cuts[-1])), cuts[:-1])
+            held = t.slice(int(cuts[-1])).to_batches()
+            rows = t.num_rows - int(cuts[-1])
     if held:
-        yield from emit(pa.Table.from_batches(held))
-
-
-def first_pairs(nodes: DataFrame) -> DataFrame:
-    """(a, b, n, m, c, r): how many rare first shingles a and b, of n and m shingles, have in common, and the most that can be common from any of these on.
-
-    For a frequent first shingle: (a, token, n, m), b null, with m its place; and c null in pairs of its nodes with one of them.
-    """
-    rows = nodes.select("node", F.col("best.n").alias("n"), F.posexplode("best.first").alias("p", "token"))
-    names = {"a": "long", "b": "long", "token": "long", "n": "int", "m": "int", "r": "int"}
-
-    def pairs(t: pa.Table, starts: np.ndarray, sizes: np.ndarray) -> Iterator[pa.RecordBatch]:
-        token, node, n, p = (t.column(c).to_numpy() for c in ("token", "node", "n", "p"))
-        size, start = np.repeat(sizes, sizes), np.repeat(starts, sizes)
-        at = np.arange(len(token))
-        a, b = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
-        few = size <= SMALL
-        for offset in range(1, min(SMALL, int(size.max()))):  # sorted by node, so the smaller node is first
-            i = np.flatnonzero(few & (at + offset < start + size))
-            j = i + offset
-            use = SHARE[1] * np.minimum(n[i], n[j]) >= SHARE[0] * np.maximum(n[i], n[j])
+        t = pa.Table.from_batches(held)
+        yield from emit(t, change(t))
+
+
+ROWS = ("token", "part", "node", "n", "p", "fp")
+
+
+def bucket_rows(nodes: DataFrame, hot: int) -> DataFrame:
+    """ROWS of all first shingles; parts of a bucket of more than hot rows all begin with its first node."""
+    rows = nodes.select(F.posexplode("best.first").alias("p", "token"), "node", F.col("best.n").alias("n"), F.col("best.fp").alias("fp"))
+    large = rows.groupBy("token").agg(F.count("*").alias("rows"), F.min(F.struct("node", "n", "p", "fp")).alias("one")).filter(F.col("rows") > hot)
+    large = settle(large, "similar-large")
+    if large.isEmpty():
+        return rows.withColumn("part", F.lit(0)).select(*ROWS)
+    parts = F.ceil(F.col("rows") / F.lit(hot)).cast("int")
+    # each has more than hot rows, so there are few; a join that is dealt anew where one token holds many rows
+    named = rows.join(large.select("token", parts.alias("parts"), F.col("one.node").alias("least")), "token", "left")
+    plain = named.filter(F.col("least").isNull() | (F.col("node") != F.col("least")))
+    dealt = plain.withColumn("part", F.coalesce(F.pmod(F.xxhash64("node"), F.col("parts")).cast("int"), F.lit(0))).select(*ROWS)
+    ones = large.select("token", F.explode(F.sequence(F.lit(0), parts - 1)).alias("part"), "one.*")
+    return dealt.unionByName(ones.select(*ROWS))
+
+
+def led(t: pa.Table, starts: np.ndarray, sizes: np.ndarray) -> Iterator[pa.RecordBatch]:
+    """(a, b): pairs with leaders; and the rows of buckets of more than two that made a pair, b null, with token, n, p and fp."""
+    token, node, n, p, fp = (t.column(c).to_numpy() for c in ("token", "node", "n", "p", "fp"))
+    bits = fp.view(np.uint64)
+    group = np.repeat(np.arange(len(starts)), sizes)
+    active = np.flatnonzero(np.repeat(sizes > 1, sizes))
+    a, b = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+    for _ in range(LEADERS):
+        if not len(active):
+            break
+        own = group[active]
+        new = np.append(True, own[1:] != own[:-1])
+        lead = active[np.flatnonzero(new)[np.cumsum(new) - 1]]  # the first row left of each bucket
+        at = np.flatnonzero(~new)
+        i, j = lead[at], active[at]
+        hit = may_be_alike(n[i], p[i], n[j], p[j])
+        hit[hit] = near_pairs(bits[i[hit]], bits[j[hit]], RADIUS)
+        a.append(i[hit])
+        b.append(j[hit])
+        active = j[~hit]
+    i, j = np.concatenate(a), np.concatenate(b)
+    waits = np.zeros(len(starts), bool)
+    waits[group[i]] = True
+    waits[group[active]] = True
+    # a part's first row may be in others too, so a part of any size may wait for the others
+    keep = np.flatnonzero((waits & ((sizes > 2) | (t.column("part").to_numpy()[starts] > 0)))[group])
+    names = ["a", "b", "token", "n", "p", "fp"]
+    none = lambda k, kind: pa.nulls(k, kind)
+    u, v = np.minimum(node[i], node[j]), np.maximum(node[i], node[j])
+    yield pa.RecordBatch.from_arrays([pa.array(u), pa.array(v), none(len(u), pa.int64()), none(len(u), pa.int32()), none(len(u), pa.int32()), none(len(u), pa.int64())], names=names)
+    yield pa.RecordBatch.from_arrays([pa.array(node[keep]), none(len(keep), pa.int64()), *(pa.array(x[keep]) for x in (token, n, p, fp))], names=names)
+
+
+def first_pairs(nodes: DataFrame, hot: int) -> tuple[DataFrame, DataFrame]:
+    """(a, b) of the first step, and (token, node, n, p, fp) of the rows that wait for the second."""
+    dealt = bucket_rows(nodes, hot).repartition("token", "part").sortWithinPartitions("token", "part", "node")
+    with batches_of(nodes.sparkSession, 16384):
+        made = settle(dealt.mapInArrow(lambda batches: grouped(batches, led), "a long, b long, token long, n int, p int, fp long"), "similar-led")
+    pairs = settle(made.filter(F.col("b").isNotNull()).select("a", "b").distinct(), "similar-pairs")
+    return pairs, made.filter(F.col("b").isNull()).select("token", F.col("a").alias("node"), "n", "p", "fp").distinct()
+
+
+def across(t: pa.Table, starts: np.ndarray, sizes: np.ndarray) -> Iterator[pa.RecordBatch]:
+    """(a, b) of near rows of different components: those that ask with all of their part."""
+    node, n, p, fp, root, asks = (t.column(c).to_numpy() for c in ("node", "n", "p", "fp", "root", "asks"))
+    bits = fp.view(np.uint64)
+    a, b = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+    size, start = np.repeat(sizes, sizes), np.repeat(starts, sizes)
+    at, small = np.arange(len(node)), np.repeat(sizes <= QUERIES, sizes)
+    for offset in range(1, QUERIES):  # many small buckets at a time: lane i is the pair (i, i + offset)
+        i = np.flatnonzero(small & (at + offset < start + size))
+        if not len(i):
+            break
+        j = i + offset
+        use = (root[i] != root[j]) & (asks[i] | asks[j]) & may_be_alike(n[i], p[i], n[j], p[j])
+        i, j = i[use], j[use]
+        hit = near_pairs(bits[i], bits[j], RADIUS)
+        a.append(i[hit])
+        b.append(j[hit])
+    for s, k in zip(starts.tolist(), sizes.tolist(), strict=True):
+        if k <= QUERIES:
+            continue
+        planes, beyond = planes_of(bits[s : s + k]), lanes_beyond(k)
+        ask = np.flatnonzero(asks[s : s + k])
+        for q in range(0, len(ask), QUERIES):
+            own = ask[q : q + QUERIES]
+            i, j = np.nonzero(lanes_set(near_lanes(planes, flips_of(bits[s + own]), RADIUS, beyond), k))
+            i, j = s + own[i], s + j
+            use = (root[i] != root[j]) & may_be_alike(n[i], p[i], n[j], p[j])
             a.append(i[use])
             b.append(j[use])
-        many = np.flatnonzero(~few)  # with one of their nodes, another for each shingle
-        pivot = start[many] + (token[many].view(np.uint64) % size[many].astype(np.uint64)).astype(np.int64)
-        use = (many != pivot) & may_be_alike(n[many], p[many], n[pivot], p[pivot])
-        x, y = np.concatenate(a), np.concatenate(b)
-        u, v = np.minimum(many[use], pivot[use]), np.maximum(many[use], pivot[use])
-        for i, j, r in ((x, y, np.minimum(n[x] - p[x], n[y] - p[y])), (u, v, np.full(len(u), -1, np.int32))):
-            none = pa.nulls(len(i), pa.int64())
-            yield pa.RecordBatch.from_arrays([pa.array(node[i]), pa.array(node[j]), none, pa.array(n[i]), pa.array(n[j]), pa.array(r.astype(np.int32))], names=[*names])
-        none = pa.nulls(len(many), pa.int64())
-        yield pa.RecordBatch.from_arrays([pa.array(node[many]), none, pa.array(token[many]), pa.array(n[many]), pa.array(p[many]), pa.array(np.zeros(len(many), np.int32))], names=[*names])
-
-    small_batches(nodes.sparkSession, 16384)
-    dealt = rows.repartition("token").sortWithinPartitions("token", "node")
-    made = dealt.mapInArrow(lambda batches: grouped(batches, pairs), ", ".join(f"{c} {k}" for c, k in names.items()))
-    least = [F.min(c).alias(c) for c in ("n", "m")]
-    starred = F.min("r") < 0  # such a pair goes on whatever its counts
-    return settle(made.groupBy("a", "b", "token").agg(*least, F.when(~starred, F.count("*")).alias("c"), F.max("r").alias("r")), "similar-pairs")
-
-
-def possible(found: DataFrame, hot: DataFrame | None) -> DataFrame:
-    """(a, b) of the pairs whose sets can be alike by what they have in common among their first shingles.
-
-    Of two sets, let the one whose first shingles end first in the order have n: whatever else is common is among its ceil(0.8 n) - 1
-    last ones. Shingles of hot are not counted in pairs, so all that both nodes have of these may be common.
-    """
-    s, t = SHARE
-    pairs = found.filter(F.col("b").isNotNull())
-    unseen = F.lit(0)
-    if hot is not None:
-        h = hot.groupBy("a").agg(F.count("*").alias("h"))
-        pairs = pairs.join(h.withColumnRenamed("h", "ha"), "a", "left").join(h.select(F.col("a").alias("b"), F.col("h").alias("hb")), "b", "left")
-        unseen = F.least(F.coalesce("ha", F.lit(0)), F.coalesce("hb", F.lit(0)))
-    need = s * (F.col("n") + F.col("m"))
-    last = F.ceil(F.greatest("n", "m") * F.lit(s) / F.lit(t)) - 1
-    enough = ((s + t) * (F.col("c") + unseen + last) >= need) & ((unseen > 0) | ((s + t) * F.col("r") >= need))
-    return settle(pairs.filter(F.col("c").isNull() | enough).select("a", "b"), "similar-possible")
-
-
-def cross_pairs(rows: DataFrame) -> DataFrame:
-    """(a, b) of candidates across components; rows: (token, node, n, p, root)."""
-
-    def pairs(t: pa.Table, starts: np.ndarray, sizes: np.ndarray) -> Iterator[pa.RecordBatch]:
-        node, n, p, root = (t.column(c).to_numpy() for c in ("node", "n", "p", "root"))
-        for s, k in zip(starts.tolist(), sizes.tolist(), strict=True):
-            own = root[s : s + k]
-            names, of, count = np.unique(own, return_inverse=True, return_counts=True)
-            if len(names) == 1:
-                continue
-            largest = of == count.argmax()
-            for i in np.flatnonzero(~largest):  # each with the largest component, and with the others after it
-                j = np.flatnonzero((largest | (np.arange(k) > i)) & (of != of[i]))
-                j = j[may_be_alike(n[s + i], p[s + i], n[s + j], p[s + j])]
-                if len(j):
-                    x, y = np.full(len(j), node[s + i]), node[s + j]
-                    yield pa.RecordBatch.from_arrays([pa.array(np.minimum(x, y)), pa.array(np.maximum(x, y))], names=["a", "b"])
-
-    small_batches(rows.sparkSession, 16384)
-    dealt = rows.repartition("token").sortWithinPartitions("token", "node")
-    return settle(dealt.mapInArrow(lambda batches: grouped(batches, pairs), "a long, b long").distinct(), "similar-pairs")
+    i, j = np.concatenate(a), np.concatenate(b)
+    pairs = np.unique(np.stack([np.minimum(node[i], node[j]), np.maximum(node[i], node[j])]), axis=1)
+    yield pa.RecordBatch.from_arrays([pa.array(pairs[0]), pa.array(pairs[1])], names=["a", "b"])
+
+
+def cross_pairs(waiting: DataFrame, roots: DataFrame, hot: int) -> DataFrame:
+    """(a, b) of candidates across components, in buckets that hold several."""
+    named = waiting.join(roots.select(F.col("u").alias("node"), F.col("v").alias("root")), "node", "left").withColumn("root", F.coalesce("root", "node"))
+    named = settle(named, "similar-waiting")
+    live = settle(named.groupBy("token").agg(F.count("*").alias("rows"), F.min("root").alias("r0"), F.max("root").alias("r1")).filter("r0 < r1").select("token", "rows"), "similar-live")
+    rows = named.join(live, "token")
+    columns = ["token", "part", "node", "n", "p", "fp", "root", "asks"]
+    out = rows.filter(F.col("rows") <= hot).withColumns({"part": F.lit(0), "asks": F.lit(True)}).select(*columns)
+    if not live.filter(F.col("rows") > hot).isEmpty():
+        large = rows.filter(F.col("rows") > hot)
+        main = large.groupBy("token", "root").agg(F.count("*").alias("k")).groupBy("token").agg(F.max_by("root", F.struct("k", "root")).alias("main"))
+        large = large.join(main, "token").withColumn("parts", F.ceil(F.col("rows") / F.lit(hot)).cast("int"))
+        own = F.pmod(F.xxhash64("node"), F.col("parts")).cast("int")
+        outside = F.col("root") != F.col("main")
+        everywhere = large.filter(outside).withColumn("part", F.explode(F.sequence(F.lit(0), F.col("parts") - 1))).withColumn("asks", F.lit(True))
+        out = out.unionByName(large.filter(~outside).withColumns({"part": own, "asks": F.lit(False)}).select(*columns)).unionByName(everywhere.select(*columns))
+    dealt = out.repartition("token", "part").sortWithinPartitions("token", "part", "node")
+    with batches_of(waiting.sparkSession, 16384):
+        return settle(dealt.mapInArrow(lambda batches: grouped(batches, across), "a long, b long").distinct(), "similar-cross")
 
 
 def sets_of(rows: DataFrame, nodes: DataFrame, wanted: DataFrame) -> DataFrame:
@@ -241,24 +283,23 @@ def alike(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     return settle(both.filter((s + t) * common >= s * (F.size("of_a") + F.size("of_b"))).select(F.col("a").alias("u"), F.col("b").alias("v")), "similar-links")
 
 
-def groups(rows: DataFrame, nodes: DataFrame) -> DataFrame:
+def groups(rows: DataFrame, nodes: DataFrame, hot: int = HOT) -> DataFrame:
     """(u, v): v is the smallest node of u's group, for all nodes of groups but the smallest."""
-    found = first_pairs(nodes)
-    hot = found.filter(F.col("b").isNull()).select("a", "token", "n", F.col("m").alias("p"))
-    some = not hot.isEmpty()
-    pairs = possible(found, hot if some else None)
-    wanted = pairs.select(F.explode(F.array("a", "b")).alias("node")).unionByName(hot.select(F.col("a").alias("node"))).distinct()
-    sets = sets_of(rows, nodes, wanted)
-    links = alike(pairs, sets)
-    roots = components(links)
-    if not some:
+    pairs, waiting = first_pairs(nodes, hot)
+    roots = components(linked(rows, nodes, pairs))
+    cross = cross_pairs(waiting, roots, hot)
+    if cross.isEmpty():
         return roots
-    named = hot.select("token", F.col("a").alias("node"), "n", "p").join(roots.select(F.col("u").alias("node"), F.col("v").alias("root")), "node", "left")
-    more = alike(cross_pairs(named.withColumn("root", F.coalesce("root", "node"))), sets)
+    more = linked(rows, nodes, cross)
     return roots if more.isEmpty() else components(roots.unionByName(more))
 
 
-def drop_similar(docs: DataFrame) -> DataFrame:
+def linked(rows: DataFrame, nodes: DataFrame, pairs: DataFrame) -> DataFrame:
+    """(u, v) of the pairs whose whole sets are alike."""
+    return alike(pairs, sets_of(rows, nodes, pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()))
+
+
+def drop_similar(docs: DataFrame, hot: int = HOT) -> DataFrame:
     """The rows of docs without those that are like another at SHARE: of each group one row stays, of the smallest id, nulls last.
 
     Rows with the same id and text are ordered by their other columns.
@@ -266,7 +307,7 @@ def drop_similar(docs: DataFrame) -> DataFrame:
     rows = keyed(docs)
     small_batches(docs.sparkSession)
     nodes = node_table(rows)
-    roots = groups(rows, nodes)
+    roots = groups(rows, nodes, hot)
     of = nodes.select("node", F.struct("best.no_id", "best.doc_id", "best.k1", "best.k2").alias("best")).join(roots.withColumnRenamed("u", "node"), "node", "left")
     keep = settle(of.groupBy(F.coalesce("v", "node").alias("root")).agg(F.min("best").alias("best")).select("best.k1", "best.k2"), "similar-keep")
     k1, k2 = free_name(docs, "k1"), free_name(docs, "k2")
