@@ -203,6 +203,18 @@ def test_suffix_dedup(docs, rows, hot):
     by_rows(suffix_dedup.repeats_report(docs, hot).collect(), [(r[0], *w) for r, w in zip(rows, want, strict=True)])
 
 
+@pytest.mark.parametrize("hot", [8192, 50])
+def test_suffix_dedup_of_repeated_rows(spark, hot):
+    """Many copies of a row and many texts that share a passage: at most two of equal contents are fetched."""
+    r = random.Random(9)
+    text = lambda n: " ".join("".join(r.choice("abcdef") for _ in range(r.randint(2, 9))) for _ in range(n))
+    passage, copy = text(50), text(120)
+    items = [(k, f"{text(9)} {passage} {text(9)}") for k in range(60)] + [(900, copy)] * 500 + [(901, copy), (902, copy + " x"), (903, text(300))]
+    want = plain_repeats([i[1] for i in items])
+    df = spark.createDataFrame(items, "doc_id long, text string").repartition(4)
+    by_rows(suffix_dedup.repeats_report(df, hot).collect(), [(i[0], *w) for i, w in zip(items, want, strict=True)])
+
+
 def test_suffix_dedup_rows(docs, rows):
     got = suffix_dedup.drop_repeats(docs)
     assert got.columns == docs.columns and got.count() == len(rows)

@@ -3,11 +3,14 @@
 1. Every text is cut into runs of windows by content-defined anchors (anchors.py); equal windows have equal anchor keys.
    Keys are counted; those seen twice or more go into a Bloom filter of bounded size.
 2. Documents with no such key are finished. The others are written with their runs.
-3. Runs of equal key and content are counted as one. One that occurs twice is covered, whatever else there is.
-   Where a key has several contents, one copy of each is fetched, and the suffix array of all those
+3. Runs of equal key and content are counted as one. Of each content one copy is fetched, of those that occur twice a second
+   one from another place, and the suffix array of all copies of a key's contents that are
    in a task, by two-stage sorting, gives the windows that neighbours in its order share.
 4. The windows found go back to the documents, by key and content, and become byte ranges.
 
+Rows are told apart by a number that is written with them, so each of many copies of a row is a row of its own and at most two
+of them are fetched.
+
 A key with more contents than HOT is dealt anew: its windows are halved by where the anchor lies in them, and each
 half's key is a hash of all bytes that its windows share, which are more than before. At the end
 that is the window itself. Contents and keys are compared by 64-bit hashes, of two kinds; suffixes byte by byte.
@@ -25,7 +28,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, IntegerType, LongType, StructField, StructType
 
@@ -49,13 +52,9 @@ def to_utf8(text: str | None) -> bytes:
 
 
 def identified(docs: DataFrame, *kept: str) -> DataFrame:
-    """(did, th, text, rest): did and th are never null and tell all rows but copies in both id and text apart.
-
-    rest is a struct of the columns kept, doc_id at least.
-    """
-    doc_id = F.col("doc_id").cast("long")
-    rest = F.struct(*[F.col(f"`{c}`") for c in kept]) if kept else F.struct(doc_id.alias("doc_id"))
-    return docs.select(F.coalesce(doc_id, F.lit(-(1 << 63))).alias("did"), F.xxhash64(doc_id.isNull(), F.coalesce("text", F.lit(""))).alias("th"), "text", rest.alias("rest"))
+    """(text, rest): rest is a struct of the columns kept, doc_id at least."""
+    rest = F.struct(*[F.col(f"`{c}`") for c in kept]) if kept else F.struct(F.col("doc_id").cast("long").alias("doc_id"))
+    return docs.select("text", rest.alias("rest"))
 
 
 def repeated_keys(rows: DataFrame) -> DataFrame:
@@ -134,13 +133,13 @@ def result_of(data: bytes, starts: np.ndarray, ends: np.ndarray) -> tuple[int, i
 
 
 def marked(rows: DataFrame, bits: np.ndarray) -> DataFrame:
-    """(did, th, text, rest, runs): runs are those whose keys may repeat."""
+    """(text, rest, runs): runs are those whose keys may repeat."""
     held = rows.sparkSession.sparkContext.broadcast(bits)  # BLOOM_MOST bits at most
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         roller = Roller()
         for batch in batches:
-            found = runs([to_utf8(t) for t in batch.column(2).to_pylist()], roller)
+            found = runs([to_utf8(t) for t in batch.column(0).to_pylist()], roller)
             use = np.flatnonzero(in_bloom(found["key"], held.value))
             text = found["text"][use]
             offsets = np.searchsorted(text, np.arange(batch.num_rows + 1))
@@ -149,13 +148,13 @@ def marked(rows: DataFrame, bits: np.ndarray) -> DataFrame:
             arrays = [pa.array(p.view(np.int64).astype(t)) for p, t in zip(parts, kinds, strict=True)]
             packed = pa.StructArray.from_arrays(arrays, names=["start", "n", "key", "place", "print"])
             lists = pa.ListArray.from_arrays(pa.array(offsets.astype(np.int32)), packed)
-            yield pa.RecordBatch.from_arrays([*(batch.column(i) for i in range(4)), lists], names=["did", "th", "text", "rest", "runs"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), lists], names=["text", "rest", "runs"])
 
     return rows.mapInArrow(run, StructType([*rows.schema.fields, RUNS]))
 
 
 def sort_task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows (group, key, print, at, n, bytes) sorted by group -> (key, print, ranges) of windows found."""
+    """Rows (group, key, print, at, n, bytes, twin) sorted by group -> (key, print, ranges) of windows found, but for twins."""
     held: list[tuple] = []
     size = 0
 
@@ -163,7 +162,7 @@ def sort_task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         found = repeated([r[5] for r in held], np.array([r[4] for r in held], np.int64), LENGTH)
         keys, prints, ranges = [], [], []
         for r, at in zip(held, found, strict=True):
-            if len(at):
+            if len(at) and not r[6]:
                 cuts = np.flatnonzero(np.diff(at) > 1)
                 keys.append(r[1])
                 prints.append(r[2])
@@ -190,7 +189,7 @@ def halve(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     roller = Roller()
     for batch in batches:
         out = []
-        for group, key, print_, at, n, data, place, lo, hi in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+        for group, key, print_, at, n, data, twin, place, lo, hi in zip(*(c.to_pylist() for c in batch.columns), strict=True):
             mid = (lo + hi) // 2
             sums = roller.sums(np.frombuffer(data, np.uint8))
             for a, b in ((lo, mid), (mid + 1, hi)):
@@ -201,13 +200,13 @@ def halve(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 part = (first, last + LENGTH)
                 ends = roller.of(sums, np.array([core[0], part[0]]), np.array([core[1], part[1]]))
                 new = int((ends[:1] * np.uint64(a * LENGTH + b + 1)).view(np.int64)[0])
-                out.append((new, key, print_, at + first, last - first + 1, data[part[0] : part[1]], place - first, a, b, int(ends[1:].view(np.int64)[0])))
+                out.append((new, key, print_, at + first, last - first + 1, data[part[0] : part[1]], twin, place - first, a, b, int(ends[1:].view(np.int64)[0])))
         yield split_batch(out)
 
 
-SPLIT = "group long, key long, print long, at int, n int, bytes binary, place int, lo int, hi int, sub long"
+SPLIT = "group long, key long, print long, at int, n int, bytes binary, twin boolean, place int, lo int, hi int, sub long"
 SPLIT_NAMES = [c.split()[0] for c in SPLIT.split(", ")]
-KINDS = {"long": pa.int64(), "int": pa.int32(), "binary": pa.binary()}
+KINDS = {"long": pa.int64(), "int": pa.int32(), "binary": pa.binary(), "boolean": pa.bool_()}
 SPLIT_TYPES = [KINDS[c.split()[1]] for c in SPLIT.split(", ")]
 FOUND = "key long, print long, ranges array<struct<a:int,b:int>>"
 
@@ -224,14 +223,14 @@ def fetch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for text, want in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
             data = to_utf8(text)
             for w in want:
-                out.append((w["key"], w["key"], w["print"], 0, w["n"], data[w["start"] : w["start"] + w["n"] + LENGTH - 1], w["place"], 0, LENGTH - GRAM, w["print"]))
+                out.append((w["key"], w["key"], w["print"], 0, w["n"], data[w["start"] : w["start"] + w["n"] + LENGTH - 1], w["twin"], w["place"], 0, LENGTH - GRAM, w["print"]))
         yield split_batch(out)
 
 
 def shared_windows(contents: DataFrame, hot: int) -> list[DataFrame]:
     """Tables (key, print, ranges) of what the contents of each group share."""
     found = []
-    names = ["group", "key", "print", "at", "n", "bytes"]
+    names = ["group", "key", "print", "at", "n", "bytes", "twin"]
     first = True
     while True:
         groups = contents.groupBy("group").agg(F.count("*").alias("rows"), (F.min("sub") == F.max("sub")).alias("same")).filter("rows > 1")
@@ -253,24 +252,27 @@ def covered(docs: DataFrame, hot: int, *kept: str) -> tuple[DataFrame, DataFrame
     """(text, rest) of documents in which nothing may repeat, and (text, rest, ranges) of the others."""
     small_batches(docs.sparkSession)
     rows = identified(docs, *kept)
-    page = marked(rows, bloom(repeated_keys(rows)))
-    page = settle(page, "repeat-marked")
-    each = page.select("did", "th", F.explode("runs").alias("r")).select("did", "th", "r.*")
-    place = F.struct("did", "th", "start", "n", "place")
-    contents = settle(each.groupBy("key", "print").agg(F.count("*").alias("c"), F.min(place).alias("p")), "repeat-contents")
-    several = contents.groupBy("key").agg(F.count("*").alias("kinds")).filter("kinds > 1").select("key")
-    wanted = contents.join(several, "key").select("p.did", "p.th", F.struct("key", "print", "p.start", "p.n", "p.place").alias("w"))
-    wanted = wanted.groupBy("did", "th").agg(F.collect_list("w").alias("want"))
-    texts = page.filter(F.size("runs") > 0).select("did", "th", "text")
-    contents_bytes = settle(texts.join(wanted, ["did", "th"]).select("text", "want").mapInArrow(fetch, SPLIT), "repeat-bytes")
-    found = shared_windows(contents_bytes, hot)
-    twice = contents.filter("c > 1").select("key", "print", F.array(F.struct(F.lit(0).alias("a"), F.col("p.n").alias("b"))).alias("ranges"))
-    for f in found:
-        twice = twice.unionByName(f)
-    back = each.select("did", "th", "key", "print", "start").join(twice, ["key", "print"])
-    spans = back.select("did", "th", F.transform("ranges", lambda r: F.struct((F.col("start") + r["a"]).alias("a"), (F.col("start") + r["b"] + LENGTH - 1).alias("b"))).alias("ranges"))
-    ranges = spans.groupBy("did", "th").agg(F.flatten(F.collect_list("ranges")).alias("ranges"))
-    rest = page.filter(F.size("runs") > 0).select("did", "th", "text", "rest").join(ranges, ["did", "th"], "left")
+    page = marked(rows, bloom(repeated_keys(rows))).withColumn("row", F.monotonically_increasing_id())
+    page = settle(page, "repeat-marked")  # a row's number is what is written
+    each = page.select("row", F.explode("runs").alias("r")).select("row", "r.*")
+    place = F.struct("row", "start", "n", "place")
+    contents = settle(each.groupBy("key", "print").agg(F.count("*").alias("c"), F.min(place).alias("p"), F.max(place).alias("q")), "repeat-contents")
+    asked = settle(contents.groupBy("key").agg(F.sum("c").alias("of_key")).filter("of_key > 1").select("key"), "repeat-asked")
+
+    def copy_at(at: str, twin: bool) -> Column:
+        return F.struct(F.col(f"{at}.row").alias("row"), F.struct("key", "print", f"{at}.start", f"{at}.n", f"{at}.place", F.lit(twin).alias("twin")).alias("w"))
+
+    copies = F.when(F.col("c") > 1, F.array(copy_at("p", False), copy_at("q", True))).otherwise(F.array(copy_at("p", False)))
+    wanted = contents.join(asked, "key").select(F.explode(copies).alias("x")).groupBy("x.row").agg(F.collect_list("x.w").alias("want"))  # of one row's text each
+    texts = page.filter(F.size("runs") > 0).select("row", "text")
+    contents_bytes = settle(texts.join(wanted, "row").select("text", "want").mapInArrow(fetch, SPLIT), "repeat-bytes")
+    found, *more = shared_windows(contents_bytes, hot)
+    for f in more:
+        found = found.unionByName(f)
+    back = each.select("row", "key", "print", "start").join(found, ["key", "print"])
+    spans = back.select("row", F.transform("ranges", lambda r: F.struct((F.col("start") + r["a"]).alias("a"), (F.col("start") + r["b"] + LENGTH - 1).alias("b"))).alias("ranges"))
+    ranges = spans.groupBy("row").agg(F.flatten(F.collect_list("ranges")).alias("ranges"))
+    rest = page.filter(F.size("runs") > 0).select("row", "text", "rest").join(ranges, "row", "left")
     return page.filter(F.size("runs") == 0).select("text", "rest"), rest.select("text", "rest", "ranges")
 
 
