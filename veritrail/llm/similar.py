@@ -5,14 +5,17 @@ shingles is SHARE or more; groups are the connected components of links. At 0.8
 12 for sets of a few shingles, and in more than RADIUS with a chance of less than one in 100,000, so the radius decides nothing that
 whole sets would not: it spares their comparison.
 
-No bands of a fingerprint are complete for such a radius. Buckets come from the sets: if all shingles have one
-global order, sets of n and m shingles that are alike share one among the first n - ceil(0.8 n) + 1 and m - ceil(0.8 m) + 1. Rare
-shingles come first in that order. How rare they are is counted on a sample, which has a say in how large buckets are only.
+No bands of a fingerprint are complete for such a radius, so buckets come from the sets: BANDS keys a set, each of the least of WIDTH
+random orders of its shingles. Sets alike at 0.8 have a key in common with a chance of 1 - (1 - 0.8 ** 3) ** 20, all but one in 1.7 million.
 
 1. In a bucket, or a part of HOT rows of a large one with the bucket's first node, leaders are chosen: each row is paired with the first leader
-   within the radius (bit-sliced), or becomes one. Whole sets decide these pairs, and their links make components.
-2. In buckets that still hold several components, all rows of different ones are compared bit-sliced, in large buckets those outside the
-   most frequent component with all; again whole sets decide.
+   within the radius (bit-sliced), or becomes one. Each row's most frequent leader is decided by whole sets; links make components.
+2. In buckets that still hold several components, each row is paired with the nearest of another component, again decided by whole
+   sets; this is repeated, as groups of many copies grow together so.
+3. What is left is compared in full, bit-sliced, row by row of different components. Buckets of more than HOT rows are dealt anew by first shingles: if
+   all shingles have one global order, sets of n and m shingles that are alike share one among the first n - ceil(0.8 n) + 1 and
+   m - ceil(0.8 m) + 1. Rare shingles come first in that order; how rare they are is counted on a sample, which has a say in how large
+   these groups are only. Larger ones still go to several tasks as pairs of blocks.
 
 Edge cases: words are cut at the six ASCII spaces and A-Z is lowered; a text of fewer words than a shingle is one shingle, so null and
 empty texts and those of white space are alike. Shingles and sets are known by 64-bit hashes. An empty table gives an empty table.
@@ -20,7 +23,7 @@ empty texts and those of white space are alike. Shingles and sets are known by 6
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -28,18 +31,26 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from veritrail.llm.anchors import mix
 from veritrail.llm.common import batches_of, free_name, one_each, settle, small_batches
 from veritrail.llm.components import components
 from veritrail.llm.simhash import SEED, flips_of, lanes_beyond, lanes_set, majority, near_lanes, near_pairs, planes_of, shingle_hashes
 
 SHINGLE, RADIUS = 5, 26
 SHARE = (4, 5)  #: similarity of a link, as a fraction
-SAMPLE_DOCS, OFTEN, MAX_OFTEN = 8192, 3, 65_536  #: for the order alone: documents counted, count of a frequent shingle, shingles kept
+BANDS, WIDTH = 20, 3
+SAMPLE_DOCS, OFTEN, MAX_OFTEN = 8192, 3, 65_536  #: for the order of shingles alone: documents counted, count of a frequent shingle, shingles kept
 MAX_SENT = 1 << 20  #: up to so many nodes' keys are broadcast to find their texts; more are joined
-HOT = 4096  #: rows of a bucket that one task compares at a time
+HOT = 1024  #: rows of a bucket that one task compares each with each
 LEADERS = 32  #: chosen in a bucket before the rest waits for the second step
+NEAREST_ROUNDS = 2
 BATCH_ROWS = 1 << 16
 QUERIES = 64
+CHUNK = 1 << 12  #: shingles put in their orders at a time
+EMITTED = 1 << 20  #: pairs of a batch that is handed on
+
+ORDERS = np.random.default_rng(5).integers(0, 1 << 64, BANDS * WIDTH, dtype=np.uint64) | np.uint64(1)
+WEIGHTS = np.random.default_rng(8).integers(0, 1 << 64, WIDTH, dtype=np.uint64) | np.uint64(1)
 
 
 def shingle_set(text: str | None, shingle: int = SHINGLE) -> np.ndarray:
@@ -48,6 +59,14 @@ def shingle_set(text: str | None, shingle: int = SHINGLE) -> np.ndarray:
     return np.unique(np.concatenate(parts)) if parts else np.array([xxhash.xxh64_intdigest(b"", SEED)], np.uint64)
 
 
+def band_keys(found: np.ndarray) -> np.ndarray:
+    """BANDS keys of a set: each of the least values in WIDTH orders."""
+    least = np.full(BANDS * WIDTH, ~np.uint64(0))
+    for k in range(0, len(found), CHUNK):
+        least = np.minimum(least, (ORDERS[:, None] * found[None, k : k + CHUNK]).min(axis=1))
+    return mix((least.reshape(BANDS, WIDTH) * WEIGHTS).sum(axis=1, dtype=np.uint64) + np.arange(BANDS, dtype=np.uint64))
+
+
 def prefix(found: np.ndarray, often: np.ndarray, counts: np.ndarray) -> np.ndarray:
     """The first shingles of a set in the global order: by count in the sample, then by hash. often: ascending."""
     n = len(found)
@@ -87,32 +106,30 @@ def frequent(rows: DataFrame) -> tuple[np.ndarray, np.ndarray]:
 
 
 def node_table(rows: DataFrame) -> DataFrame:
-    """(node, best): a node for each distinct set; best has the key of its first row, number of shingles, fingerprint and first shingles."""
-    often, counts = frequent(rows)
+    """(node, best): a node for each distinct set; best has the key of its first row, number of shingles, fingerprint and band keys."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             sets = [shingle_set(t) for t in batch.column("text").to_pylist()]
             node = np.array([xxhash.xxh64_intdigest(s.tobytes(), SEED) for s in sets], np.uint64).view(np.int64)
             fp = np.array([majority([s]) for s in sets], np.uint64).view(np.int64)
-            first = [prefix(s, often, counts).view(np.int64) for s in sets]
+            bands = [band_keys(s).view(np.int64) for s in sets]
             n = pa.array([len(s) for s in sets], pa.int32())
-            values = [batch.column("doc_id"), batch.column("k1"), batch.column("k2"), pa.array(node), n, pa.array(fp), pa.array(first, pa.list_(pa.int64()))]
-            yield pa.RecordBatch.from_arrays(values, names=["doc_id", "k1", "k2", "node", "n", "fp", "first"])
+            values = [batch.column("doc_id"), batch.column("k1"), batch.column("k2"), pa.array(node), n, pa.array(fp), pa.array(bands, pa.list_(pa.int64()))]
+            yield pa.RecordBatch.from_arrays(values, names=["doc_id", "k1", "k2", "node", "n", "fp", "bands"])
 
-    made = rows.mapInArrow(run, "doc_id long, k1 long, k2 long, node long, n int, fp long, first array<long>")
-    best = F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "k1", "k2", "n", "fp", "first"))
+    made = rows.mapInArrow(run, "doc_id long, k1 long, k2 long, node long, n int, fp long, bands array<long>")
+    best = F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "k1", "k2", "n", "fp", "bands"))
     return settle(made.groupBy("node").agg(best.alias("best")), "similar-nodes")
 
 
-def may_be_alike(n: np.ndarray, p: np.ndarray, m: np.ndarray, q: np.ndarray) -> np.ndarray:
-    """Whether sets of n and m shingles whose first common one is at p and q can be alike."""
+def may_be_alike(n: np.ndarray, m: np.ndarray) -> np.ndarray:
+    """Whether sets of n and m shingles can be alike."""
     s, t = SHARE
-    fits = t * np.minimum(n, m) >= s * np.maximum(n, m)
-    return fits & ((s + t) * np.minimum(n - p, m - q) >= s * (n + m))
+    return t * np.minimum(n, m) >= s * np.maximum(n, m)
 
 
-def grouped(batches: Iterator[pa.RecordBatch], of) -> Iterator[pa.RecordBatch]:
+def grouped(batches: Iterator[pa.RecordBatch], of: Callable) -> Iterator[pa.RecordBatch]:
     """of(table, starts, sizes) for tables of whole runs of one (token, part), from batches sorted by these."""
 
     def change(t: pa.Table) -> np.ndarray:
@@ -143,28 +160,28 @@ def grouped(batches: Iterator[pa.RecordBatch], of) -> Iterator[pa.RecordBatch]:
         yield from emit(t, change(t))
 
 
-ROWS = ("token", "part", "node", "n", "p", "fp")
+ROWS = ("token", "part", "node", "n", "fp")
 
 
 def bucket_rows(nodes: DataFrame, hot: int) -> DataFrame:
-    """ROWS of all first shingles; parts of a bucket of more than hot rows all begin with its first node."""
-    rows = nodes.select(F.posexplode("best.first").alias("p", "token"), "node", F.col("best.n").alias("n"), F.col("best.fp").alias("fp"))
-    large = rows.groupBy("token").agg(F.count("*").alias("rows"), F.min(F.struct("node", "n", "p", "fp")).alias("one")).filter(F.col("rows") > hot)
-    large = settle(large, "similar-large")
+    """ROWS of all band keys; parts of a bucket of more than hot rows all begin with its first node."""
+    rows = nodes.select(F.explode("best.bands").alias("token"), "node", F.col("best.n").alias("n"), F.col("best.fp").alias("fp"))
+    large = settle(rows.groupBy("token").agg(F.count("*").alias("rows")).filter(F.col("rows") > hot), "similar-large")
     if large.isEmpty():
         return rows.withColumn("part", F.lit(0)).select(*ROWS)
-    parts = F.ceil(F.col("rows") / F.lit(hot)).cast("int")
     # each has more than hot rows, so there are few; a join that is dealt anew where one token holds many rows
-    named = rows.join(large.select("token", parts.alias("parts"), F.col("one.node").alias("least")), "token", "left")
+    ones = rows.join(large, "token").groupBy("token", "rows").agg(F.min(F.struct("node", "n", "fp")).alias("one"))
+    ones = settle(ones.select("token", "one", F.ceil(F.col("rows") / F.lit(hot)).cast("int").alias("parts")), "similar-firsts")
+    named = rows.join(ones.select("token", "parts", F.col("one.node").alias("least")), "token", "left")
     plain = named.filter(F.col("least").isNull() | (F.col("node") != F.col("least")))
     dealt = plain.withColumn("part", F.coalesce(F.pmod(F.xxhash64("node"), F.col("parts")).cast("int"), F.lit(0))).select(*ROWS)
-    ones = large.select("token", F.explode(F.sequence(F.lit(0), parts - 1)).alias("part"), "one.*")
-    return dealt.unionByName(ones.select(*ROWS))
+    firsts = ones.select("token", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"), "one.*")
+    return dealt.unionByName(firsts.select(*ROWS))
 
 
 def led(t: pa.Table, starts: np.ndarray, sizes: np.ndarray) -> Iterator[pa.RecordBatch]:
-    """(a, b): pairs with leaders; and the rows of buckets of more than two that made a pair, b null, with token, n, p and fp."""
-    token, node, n, p, fp = (t.column(c).to_numpy() for c in ("token", "node", "n", "p", "fp"))
+    """(a, b): pairs with leaders; and the rows of buckets of more than two that made a pair, b null, with token, n and fp."""
+    token, node, n, fp = (t.column(c).to_numpy() for c in ("token", "node", "n", "fp"))
     bits = fp.view(np.uint64)
     group = np.repeat(np.arange(len(starts)), sizes)
     active = np.flatnonzero(np.repeat(sizes > 1, sizes))
@@ -177,7 +194,7 @@ def led(t: pa.Table, starts: np.ndarray, sizes: np.ndarray) -> Iterator[pa.Recor
         lead = active[np.flatnonzero(new)[np.cumsum(new) - 1]]  # the first row left of each bucket
         at = np.flatnonzero(~new)
         i, j = lead[at], active[at]
-        hit = may_be_alike(n[i], p[i], n[j], p[j])
+        hit = may_be_alike(n[i], n[j])
         hit[hit] = near_pairs(bits[i[hit]], bits[j[hit]], RADIUS)
         a.append(i[hit])
         b.append(j[hit])
@@ -188,75 +205,128 @@ def led(t: pa.Table, starts: np.ndarray, sizes: np.ndarray) -> Iterator[pa.Recor
     waits[group[active]] = True
     # a part's first row may be in others too, so a part of any size may wait for the others
     keep = np.flatnonzero((waits & ((sizes > 2) | (t.column("part").to_numpy()[starts] > 0)))[group])
-    names = ["a", "b", "token", "n", "p", "fp"]
+    names = ["a", "b", "token", "n", "fp"]
     none = lambda k, kind: pa.nulls(k, kind)
     u, v = np.minimum(node[i], node[j]), np.maximum(node[i], node[j])
-    yield pa.RecordBatch.from_arrays([pa.array(u), pa.array(v), none(len(u), pa.int64()), none(len(u), pa.int32()), none(len(u), pa.int32()), none(len(u), pa.int64())], names=names)
-    yield pa.RecordBatch.from_arrays([pa.array(node[keep]), none(len(keep), pa.int64()), *(pa.array(x[keep]) for x in (token, n, p, fp))], names=names)
+    yield pa.RecordBatch.from_arrays([pa.array(u), pa.array(v), none(len(u), pa.int64()), none(len(u), pa.int32()), none(len(u), pa.int64())], names=names)
+    yield pa.RecordBatch.from_arrays([pa.array(node[keep]), none(len(keep), pa.int64()), *(pa.array(x[keep]) for x in (token, n, fp))], names=names)
 
 
 def first_pairs(nodes: DataFrame, hot: int) -> tuple[DataFrame, DataFrame]:
-    """(a, b) of the first step, and (token, node, n, p, fp) of the rows that wait for the second."""
+    """(a, b, times) of the first step, and (token, node, n, fp) of the rows that wait for the others."""
     dealt = bucket_rows(nodes, hot).repartition("token", "part").sortWithinPartitions("token", "part", "node")
     with batches_of(nodes.sparkSession, 16384):
-        made = settle(dealt.mapInArrow(lambda batches: grouped(batches, led), "a long, b long, token long, n int, p int, fp long"), "similar-led")
-    pairs = settle(made.filter(F.col("b").isNotNull()).select("a", "b").distinct(), "similar-pairs")
-    return pairs, made.filter(F.col("b").isNull()).select("token", F.col("a").alias("node"), "n", "p", "fp").distinct()
+        made = settle(dealt.mapInArrow(lambda batches: grouped(batches, led), "a long, b long, token long, n int, fp long"), "similar-led")
+    pairs = settle(made.filter(F.col("b").isNotNull()).groupBy("a", "b").agg(F.count("*").alias("times")), "similar-pairs")
+    return pairs, made.filter(F.col("b").isNull()).select("token", F.col("a").alias("node"), "n", "fp").distinct()
+
+
+def across(nearest: bool):  # noqa: ANN201
+    """Of groups: (a, b) of near rows of different components, or of each row with the nearest such."""
+
+    def emit(node: np.ndarray, i: np.ndarray, j: np.ndarray, d: np.ndarray) -> pa.RecordBatch:
+        if nearest:
+            own, other, d = np.append(i, j), np.append(j, i), np.append(d, d)
+            order = np.lexsort((node[other], d, own))
+            first = order[np.flatnonzero(np.diff(own[order], prepend=-1))]
+            i, j = own[first], other[first]
+        pairs = np.unique(np.stack([np.minimum(node[i], node[j]), np.maximum(node[i], node[j])]), axis=1)
+        return pa.RecordBatch.from_arrays([pa.array(pairs[0]), pa.array(pairs[1])], names=["a", "b"])
+
+    def of(t: pa.Table, starts: np.ndarray, sizes: np.ndarray) -> Iterator[pa.RecordBatch]:
+        node, n, fp, root, side = (t.column(c).to_numpy() for c in ("node", "n", "fp", "root", "side"))
+        bits = fp.view(np.uint64)
+        size, start = np.repeat(sizes, sizes), np.repeat(starts, sizes)
+        at, small = np.arange(len(node)), np.repeat(sizes <= QUERIES, sizes)
+        found: list[tuple[np.ndarray, ...]] = []
+
+        def near(i: np.ndarray, j: np.ndarray) -> tuple[np.ndarray, ...]:
+            return i, j, np.bitwise_count(bits[i] ^ bits[j])
+
+        for offset in range(1, QUERIES):  # many small buckets at a time: lane i is the pair (i, i + offset)
+            i = np.flatnonzero(small & (at + offset < start + size))
+            if not len(i):
+                break
+            j = i + offset
+            use = (root[i] != root[j]) & ((side[i] == 0) | (side[i] != side[j]))
+            use &= may_be_alike(n[i], n[j])
+            i, j = i[use], j[use]
+            hit = near_pairs(bits[i], bits[j], RADIUS)
+            found.append(near(i[hit], j[hit]))
+        if found:
+            yield emit(node, *(np.concatenate(x) for x in zip(*found, strict=True)))
+        for s, k in zip(starts.tolist(), sizes.tolist(), strict=True):
+            if k <= QUERIES:
+                continue
+            found, held = [], 0
+            planes, beyond = planes_of(bits[s : s + k]), lanes_beyond(k)
+            ask = np.flatnonzero(side[s : s + k] < 2)
+            for q in range(0, len(ask), QUERIES):
+                own = ask[q : q + QUERIES]
+                i, j = np.nonzero(lanes_set(near_lanes(planes, flips_of(bits[s + own]), RADIUS, beyond), k))
+                i, j = s + own[i], s + j
+                use = (root[i] != root[j]) & ((side[i] == 0) | (side[j] == 2)) & may_be_alike(n[i], n[j])
+                if not nearest:
+                    use &= (i < j) | (side[i] > 0)
+                found.append(near(i[use], j[use]))
+                held += int(use.sum())
+                if held > EMITTED and not nearest:
+                    yield emit(node, *(np.concatenate(x) for x in zip(*found, strict=True)))
+                    found, held = [], 0
+            if found:
+                yield emit(node, *(np.concatenate(x) for x in zip(*found, strict=True)))
+
+    return of
+
+
+LIVE = ("token", "part", "node", "n", "fp", "root", "side")
+
+
+def live(rows: DataFrame) -> DataFrame:
+    """rows of the buckets that hold several components, with rows: the size of their bucket."""
+    sizes = rows.groupBy("token").agg(F.count("*").alias("rows"), F.min("root").alias("r0"), F.max("root").alias("r1")).filter("r0 < r1")
+    return rows.join(settle(sizes.select("token", "rows"), "similar-live"), "token")
+
+
+def whole(rows: DataFrame) -> DataFrame:
+    return rows.withColumns({"part": F.lit(0).cast("long"), "side": F.lit(0)}).select(*LIVE)
+
+
+def dealt_anew(large: DataFrame, rows: DataFrame, nodes: DataFrame, hot: int) -> DataFrame:
+    """LIVE rows of large buckets by their sets' first shingles; what is still too large, as pairs of blocks."""
+    often, counts = frequent(rows)
 
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            first = [prefix(np.array(s, np.int64).view(np.uint64), often, counts).view(np.int64) for s in batch.column(1).to_pylist()]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(first, pa.list_(pa.int64()))], names=["node", "first"])
 
-def across(t: pa.Table, starts: np.ndarray, sizes: np.ndarray) -> Iterator[pa.RecordBatch]:
-    """(a, b) of near rows of different components: those that ask with all of their part."""
-    node, n, p, fp, root, asks = (t.column(c).to_numpy() for c in ("node", "n", "p", "fp", "root", "asks"))
-    bits = fp.view(np.uint64)
-    a, b = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
-    size, start = np.repeat(sizes, sizes), np.repeat(starts, sizes)
-    at, small = np.arange(len(node)), np.repeat(sizes <= QUERIES, sizes)
-    for offset in range(1, QUERIES):  # many small buckets at a time: lane i is the pair (i, i + offset)
-        i = np.flatnonzero(small & (at + offset < start + size))
-        if not len(i):
-            break
-        j = i + offset
-        use = (root[i] != root[j]) & (asks[i] | asks[j]) & may_be_alike(n[i], p[i], n[j], p[j])
-        i, j = i[use], j[use]
-        hit = near_pairs(bits[i], bits[j], RADIUS)
-        a.append(i[hit])
-        b.append(j[hit])
-    for s, k in zip(starts.tolist(), sizes.tolist(), strict=True):
-        if k <= QUERIES:
-            continue
-        planes, beyond = planes_of(bits[s : s + k]), lanes_beyond(k)
-        ask = np.flatnonzero(asks[s : s + k])
-        for q in range(0, len(ask), QUERIES):
-            own = ask[q : q + QUERIES]
-            i, j = np.nonzero(lanes_set(near_lanes(planes, flips_of(bits[s + own]), RADIUS, beyond), k))
-            i, j = s + own[i], s + j
-            use = (root[i] != root[j]) & may_be_alike(n[i], p[i], n[j], p[j])
-            a.append(i[use])
-            b.append(j[use])
-    i, j = np.concatenate(a), np.concatenate(b)
-    pairs = np.unique(np.stack([np.minimum(node[i], node[j]), np.maximum(node[i], node[j])]), axis=1)
-    yield pa.RecordBatch.from_arrays([pa.array(pairs[0]), pa.array(pairs[1])], names=["a", "b"])
+    firsts = sets_of(rows, nodes, large.select("node").distinct()).mapInArrow(run, "node long, first array<long>")
+    each = large.join(firsts, "node").select("token", "node", "n", "fp", "root", F.explode("first").alias("shingle"))
+    each = live(settle(each.withColumn("token", F.xxhash64("token", "shingle")).drop("shingle"), "similar-anew"))
+    blocks = F.ceil(F.col("rows") / F.lit(hot))
+    mine = F.pmod(F.xxhash64("node"), blocks)
+    others = F.transform(F.sequence(F.lit(0).cast("long"), blocks - 1), lambda o: F.struct((F.least(mine, o) * (1 << 31) + F.greatest(mine, o) + 1).alias("part"), F.when(mine == o, 0).when(mine < o, 1).otherwise(2).alias("side")))
+    split = each.filter(F.col("rows") > hot).withColumn("o", F.explode(others)).select("token", "node", "n", "fp", "root", "o.part", "o.side")
+    return whole(each.filter(F.col("rows") <= hot)).unionByName(split.select(*LIVE))
 
 
-def cross_pairs(waiting: DataFrame, roots: DataFrame, hot: int) -> DataFrame:
+def cross_pairs(waiting: DataFrame, roots: DataFrame, rows: DataFrame, nodes: DataFrame, hot: int, nearest: bool) -> DataFrame:
     """(a, b) of candidates across components, in buckets that hold several."""
     named = waiting.join(roots.select(F.col("u").alias("node"), F.col("v").alias("root")), "node", "left").withColumn("root", F.coalesce("root", "node"))
-    named = settle(named, "similar-waiting")
-    live = settle(named.groupBy("token").agg(F.count("*").alias("rows"), F.min("root").alias("r0"), F.max("root").alias("r1")).filter("r0 < r1").select("token", "rows"), "similar-live")
-    rows = named.join(live, "token")
-    columns = ["token", "part", "node", "n", "p", "fp", "root", "asks"]
-    out = rows.filter(F.col("rows") <= hot).withColumns({"part": F.lit(0), "asks": F.lit(True)}).select(*columns)
-    if not live.filter(F.col("rows") > hot).isEmpty():
-        large = rows.filter(F.col("rows") > hot)
-        main = large.groupBy("token", "root").agg(F.count("*").alias("k")).groupBy("token").agg(F.max_by("root", F.struct("k", "root")).alias("main"))
-        large = large.join(main, "token").withColumn("parts", F.ceil(F.col("rows") / F.lit(hot)).cast("int"))
-        own = F.pmod(F.xxhash64("node"), F.col("parts")).cast("int")
-        outside = F.col("root") != F.col("main")
-        everywhere = large.filter(outside).withColumn("part", F.explode(F.sequence(F.lit(0), F.col("parts") - 1))).withColumn("asks", F.lit(True))
-        out = out.unionByName(large.filter(~outside).withColumns({"part": own, "asks": F.lit(False)}).select(*columns)).unionByName(everywhere.select(*columns))
+    alive = settle(live(settle(named, "similar-waiting")), "similar-alive")
+    out = whole(alive.filter(F.col("rows") <= hot))
+    large = alive.filter(F.col("rows") > hot)
+    if not large.isEmpty():
+        if nearest:  # a row's nearest of its part will do
+            part = F.pmod(F.xxhash64("node"), F.ceil(F.col("rows") / F.lit(hot)))
+            out = out.unionByName(large.withColumns({"part": part, "side": F.lit(0)}).select(*LIVE))
+        else:
+            out = out.unionByName(dealt_anew(large.drop("rows"), rows, nodes, hot))
     dealt = out.repartition("token", "part").sortWithinPartitions("token", "part", "node")
+    of = across(nearest)
     with batches_of(waiting.sparkSession, 16384):
-        return settle(dealt.mapInArrow(lambda batches: grouped(batches, across), "a long, b long").distinct(), "similar-cross")
+        return settle(dealt.mapInArrow(lambda batches: grouped(batches, of), "a long, b long").distinct(), "similar-cross")
 
 
 def sets_of(rows: DataFrame, nodes: DataFrame, wanted: DataFrame) -> DataFrame:
@@ -283,15 +353,28 @@ def alike(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     return settle(both.filter((s + t) * common >= s * (F.size("of_a") + F.size("of_b"))).select(F.col("a").alias("u"), F.col("b").alias("v")), "similar-links")
 
 
+def between(pairs: DataFrame, roots: DataFrame) -> DataFrame:
+    """The pairs (a, b) of different components."""
+    of = {c: roots.select(F.col("u").alias(c), F.col("v").alias(f"root_{c}")) for c in ("a", "b")}
+    named = pairs.join(of["a"], "a", "left").join(of["b"], "b", "left")
+    return named.filter(F.coalesce("root_a", "a") != F.coalesce("root_b", "b")).select("a", "b")
+
+
 def groups(rows: DataFrame, nodes: DataFrame, hot: int = HOT) -> DataFrame:
     """(u, v): v is the smallest node of u's group, for all nodes of groups but the smallest."""
     pairs, waiting = first_pairs(nodes, hot)
-    roots = components(linked(rows, nodes, pairs))
-    cross = cross_pairs(waiting, roots, hot)
-    if cross.isEmpty():
-        return roots
-    more = linked(rows, nodes, cross)
-    return roots if more.isEmpty() else components(roots.unionByName(more))
+    best = pairs.groupBy("b").agg(F.max_by("a", F.struct("times", -F.col("a"))).alias("a")).select("a", "b")
+    roots = components(linked(rows, nodes, settle(best, "similar-best")))
+    for nearest in (True,) * NEAREST_ROUNDS + (False,):
+        cross = cross_pairs(waiting, roots, rows, nodes, hot, nearest)
+        if not nearest:  # every pair of the first step is decided in the end, or lies in one component
+            cross = settle(cross.unionByName(between(pairs.select("a", "b"), roots)).distinct(), "similar-rest")
+        if cross.isEmpty():
+            continue
+        more = linked(rows, nodes, cross)
+        if not more.isEmpty():
+            roots = components(roots.unionByName(more))
+    return roots
 
 
 def linked(rows: DataFrame, nodes: DataFrame, pairs: DataFrame) -> DataFrame:
