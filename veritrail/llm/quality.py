@@ -1,13 +1,14 @@
 """Quality rules: fixed base limits, then a learned decision list, all as Spark expressions.
 
-The list is grown by sequential covering on the statistics of labelled documents: a rule is a conjunction
-of threshold tests, grown on two thirds of the sample while it gains, pruned from its end on the other third,
-and kept if it is precise on both; what it covers is taken out before the next one. The rules for "poor"
-become an ordered conditional expression whose default is "kept".
+The list is grown by sequential covering on the statistics of labelled documents that pass the base limits: a rule is a conjunction
+of threshold tests with a verdict, "poor" or "good". Each round grows a rule of either kind on two thirds of what is left while it gains,
+prunes any of its tests on the other third, and takes the one of more gain, if its verdict is precise on both parts, each by itself. What it covers is
+taken out before the next one, so a rule is to be read with those before it. The rules
+become an ordered conditional expression, after the base limits, whose default is "kept".
 
 Edge cases: a null or empty text has no words and fails the base limits. Repeated rows are judged
 alike. Without labels of both kinds the list is empty and the base limits alone decide. Labels with a
-null id or quality are left out. An empty table gives an empty table. Further columns of documents, whatever
+null id or quality are left out; of several labels of an id the least counts. An empty table gives an empty table. Further columns of documents, whatever
 their names, are kept by keep_good() and ignored by quality_report().
 """
 
@@ -24,7 +25,7 @@ from veritrail.llm.common import SPACE, WORD, free_name
 MAX_LABELLED = 8192  #: labelled documents learned from, those of the smallest id hashes
 WINDOW = 5
 LEAST_WORDS, MOST_REPEATED_PERCENT = 10, 20
-COUNTS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_upper", "n_shouts", "n_lines")
+COUNTS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_upper", "n_shouts", "n_lines", "n_marks", "n_digits", "n_marked_words", "n_kinds")
 BASE = COUNTS[:5]
 #: Learned from: numerator and denominator counts.
 #: Length alone is no sign of quality, so word and document lengths are not among them.
@@ -34,6 +35,10 @@ FEATURES = {
     "dup_line_share": ("n_dup_lines", "n_lines"),
     "upper_share": ("n_upper", "word_chars"),
     "shouts_per_word": ("n_shouts", "n_words"),
+    "marks_per_word": ("n_marks", "n_words"),
+    "digit_share": ("n_digits", "word_chars"),
+    "marked_word_share": ("n_marked_words", "n_words"),
+    "distinct_share": ("n_kinds", "n_words"),
 }
 CANDIDATES, MAX_RULES, MAX_TESTS = 64, 16, 4
 LEAST_PRECISION, LEAST_COVER = 0.95, 5
@@ -57,7 +62,16 @@ class Test:
         return f"{self.feature} {'>' if self.above else '<='} {self.limit:.6g}"
 
 
-Rule = tuple[Test, ...]
+Tests = tuple[Test, ...]
+
+
+@dataclass(frozen=True)
+class Rule:
+    tests: Tests
+    poor: bool
+
+    def __str__(self) -> str:
+        return f"{' and '.join(map(str, self.tests))}: {'poor' if self.poor else 'good'}"
 
 
 def with_counts(docs: DataFrame) -> tuple[DataFrame, str]:
@@ -99,6 +113,10 @@ def with_counts(docs: DataFrame) -> tuple[DataFrame, str]:
         "n_upper": F.regexp_count(c["text"], F.lit(r"\p{Lu}")),
         "n_shouts": F.regexp_count(c["text"], F.lit(r"!")),
         "n_lines": F.size(c["lines"]),
+        "n_marks": F.regexp_count(c["text"], F.lit(r"[.,;:?]")),
+        "n_digits": F.regexp_count(c["text"], F.lit(r"[0-9]")),
+        "n_marked_words": F.regexp_count(c["text"], F.lit(r"[#*$%&|<>!](?=[\x20\x09-\x0D]|\z)")),
+        "n_kinds": F.size(F.array_distinct(c["hashes"])),
     }
     # filters are not pushed below a generator, where they would repeat the counting for each of their tests
     return df.select(*kept, F.explode(F.array(F.struct(*[v.cast("long").alias(k) for k, v in counts.items()]))).alias(at)), at
@@ -116,55 +134,80 @@ def features(at: str) -> dict[str, Column]:
     return {k: ratio(*v) for k, v in FEATURES.items()}
 
 
-def learn(docs: DataFrame, labels: DataFrame) -> list[Rule]:
-    """Rules for poor documents, from at most MAX_LABELLED labelled ones (a documented bound)."""
+def labelled(docs: DataFrame, labels: DataFrame) -> tuple[np.ndarray, np.ndarray]:
+    """(features, poor) of at most MAX_LABELLED labelled documents (a documented bound) that pass the base limits, in the order of their ids' hashes."""
     good = labels.select("doc_id", F.col("quality").cast("int").alias("quality")).dropna()
     order = F.xxhash64("doc_id")
     sample = good.groupBy("doc_id").agg(F.min("quality").alias("quality")).orderBy(order, "doc_id").limit(MAX_LABELLED)
     ids = docs.select("doc_id", "text").join(F.broadcast(sample), "doc_id")  # MAX_LABELLED rows at most
     counted, at = with_counts(ids)
     values = [v.alias(k) for k, v in features(at).items()]
-    rows = counted.select("doc_id", "quality", *values).orderBy(F.xxhash64("doc_id"), "doc_id").limit(MAX_LABELLED).collect()
-    if not rows:
-        return []
-    x = np.array([r[2:] for r in rows], dtype=float)
-    return cover(x, np.array([r[1] == 0 for r in rows]))
+    rows = counted.filter(~base_failed(at)).select("doc_id", "quality", *values).orderBy(F.xxhash64("doc_id"), "doc_id").limit(MAX_LABELLED).collect()
+    return np.array([r[2:] for r in rows], dtype=float).reshape(-1, len(FEATURES)), np.array([r[1] == 0 for r in rows], bool)
+
+
+def learn(docs: DataFrame, labels: DataFrame) -> list[Rule]:
+    return cover(*labelled(docs, labels))
 
 
 def cover(x: np.ndarray, poor: np.ndarray) -> list[Rule]:
-    """Sequential covering: one rule after another for the poor rows that are left."""
+    """Sequential covering: one rule after another on the rows that are left."""
     rules: list[Rule] = []
     third = np.arange(len(x)) % 3 == 0  # rows come in hash order
     left = np.ones(len(x), bool)
-    while len(rules) < MAX_RULES:
-        rule = prune(grow(x[left & ~third], poor[left & ~third]), x[left & third], poor[left & third])
-        hit = left & fits(rule, x)
-        if not rule or (hit & poor).sum() < LEAST_COVER or (hit & poor).sum() < LEAST_PRECISION * hit.sum():
+    while len(rules) < MAX_RULES and (left & poor).any():
+        best, most = None, 0.0
+        for says in (True, False):
+            y = poor == says
+            seen = left if (left & ~y).any() else left | ~y  # if no other row is left, told apart from those covered before
+            tests = prune(grow(x[seen & ~third], y[seen & ~third]), x[seen & third], y[seen & third])
+            hit = left & fits(tests, x)
+            if tests and all(precise(hit & part, y) for part in (third, ~third)) and (hit & y).sum() >= LEAST_COVER:
+                gain = (hit & y).sum() * (np.log2((hit & y).sum() / hit.sum()) - np.log2((seen & y).sum() / seen.sum()))
+                if gain > most:
+                    best, most = Rule(tests, says), gain
+        if best is None:
             break
-        rules.append(rule)
-        left &= ~hit
+        rules.append(best)
+        left &= ~fits(best.tests, x)
+    while rules and not rules[-1].poor:  # the default says the same
+        rules.pop()
     return rules
 
 
-def fits(rule: Rule, x: np.ndarray) -> np.ndarray:
+def precise(hit: np.ndarray, y: np.ndarray) -> bool:
+    return bool(hit.any()) and (hit & y).sum() >= LEAST_PRECISION * hit.sum()
+
+
+def fits(tests: Tests, x: np.ndarray) -> np.ndarray:
     out = np.ones(len(x), bool)
-    for test in rule:
+    for test in tests:
         out &= test.on(x)
     return out
 
 
-def grow(x: np.ndarray, poor: np.ndarray) -> Rule:
-    """Add the test of the largest information gain until the rule covers no good row or nothing gains."""
-    rule: Rule = ()
+def judged(rules: list[Rule], x: np.ndarray) -> np.ndarray:
+    """Poor by the list: the first rule that fits decides."""
+    out, left = np.zeros(len(x), bool), np.ones(len(x), bool)
+    for rule in rules:
+        hit = left & fits(rule.tests, x)
+        out |= hit & rule.poor
+        left &= ~hit
+    return out
+
+
+def grow(x: np.ndarray, y: np.ndarray) -> Tests:
+    """Add the test of the largest information gain until the rule covers no other row or nothing gains."""
+    tests: Tests = ()
     inside = np.ones(len(x), bool)
-    while len(rule) < MAX_TESTS and (inside & ~poor).any() and (inside & poor).any():
-        p, n = (inside & poor).sum(), (inside & ~poor).sum()
+    while len(tests) < MAX_TESTS and (inside & ~y).any() and (inside & y).any():
+        p, n = (inside & y).sum(), (inside & ~y).sum()
         was, best = np.log2(p / (p + n)), (0.0, None)
         for k, name in enumerate(FEATURES):
-            v, y = x[inside, k], poor[inside]
+            v, of = x[inside, k], y[inside]
             cuts = np.unique(np.quantile(v, np.linspace(0, 1, CANDIDATES + 1), method="lower"))
             edges = np.searchsorted(cuts, v)  # rows with v <= cuts[j] have edges <= j
-            ps, ns = (np.cumsum(np.bincount(edges[m], minlength=len(cuts))) for m in (y, ~y))
+            ps, ns = (np.cumsum(np.bincount(edges[m], minlength=len(cuts))) for m in (of, ~of))
             for above, (a, b) in ((False, (ps, ns)), (True, (p - ps, n - ns))):
                 gain = a * (np.log2(np.maximum(a, 1e-9) / np.maximum(a + b, 1e-9)) - was)
                 j = int(np.argmax(gain))
@@ -172,9 +215,9 @@ def grow(x: np.ndarray, poor: np.ndarray) -> Rule:
                     best = (float(gain[j]), Test(name, above, float(middle(v, cuts[j]))))
         if best[1] is None:
             break
-        rule += (best[1],)
+        tests += (best[1],)
         inside &= best[1].on(x)
-    return rule
+    return tests
 
 
 def middle(v: np.ndarray, cut: float) -> float:
@@ -183,16 +226,20 @@ def middle(v: np.ndarray, cut: float) -> float:
     return (cut + above.min()) / 2 if len(above) else cut
 
 
-def prune(rule: Rule, x: np.ndarray, poor: np.ndarray) -> Rule:
-    """The beginning of the rule with the largest (p - n) / (p + n) on rows it wasn't grown on."""
-    best, worth = rule, -2.0
-    for k in range(len(rule), 0, -1):
-        hit = fits(rule[:k], x)
-        p, n = (hit & poor).sum(), (hit & ~poor).sum()
-        v = (p - n) / (p + n) if p + n else -1.0
-        if v > worth or v == worth and k < len(best):
-            best, worth = rule[:k], v
-    return best
+def prune(tests: Tests, x: np.ndarray, y: np.ndarray) -> Tests:
+    """Leave out one test after another while (p - n) / (p + n) doesn't fall on rows that the rule wasn't grown on."""
+
+    def worth(of: Tests) -> float:
+        hit = fits(of, x)
+        p, n = (hit & y).sum(), (hit & ~y).sum()
+        return (p - n) / (p + n) if p + n else -1.0
+
+    while len(tests) > 1:
+        shorter = max((tests[:k] + tests[k + 1 :] for k in range(len(tests) - 1, -1, -1)), key=worth)
+        if worth(shorter) < worth(tests):
+            break
+        tests = shorter
+    return tests
 
 
 def verdict(rules: list[Rule], at: str) -> Column:
@@ -200,10 +247,10 @@ def verdict(rules: list[Rule], at: str) -> Column:
     f = features(at)
     out = F.when(base_failed(at), F.lit(False))
     for rule in rules:
-        test = rule[0].column(f)
-        for more in rule[1:]:
+        test = rule.tests[0].column(f)
+        for more in rule.tests[1:]:
             test = test & more.column(f)
-        out = out.when(test, F.lit(False))
+        out = out.when(test, F.lit(not rule.poor))
     return out.otherwise(F.lit(True))
 
 
