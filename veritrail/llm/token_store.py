@@ -11,7 +11,7 @@ in ascending document id: range partitions by id, sorted within.
 
 Edge cases: a null text is encoded as an empty one: the end id alone. A null id sorts first. Rows
 with the same id stand side by side, in any order. An empty table writes no shard and reads as no rows.
-Strings of special tokens are ordinary text. Further columns of documents are ignored. Texts of any length are
+Strings of special tokens in a text become these tokens, as in the library's plain call. Further columns of documents are ignored. Texts of any length are
 encoded whole.
 """
 
@@ -36,7 +36,7 @@ from veritrail.llm.common import new_path, process_store, small_batches
 MAGIC = b"VTOK1"
 HEAD = "<5sB32sI"
 END_ID = 0
-#: Bounds of the dictionary's sample: documents (smallest id hashes), characters of each, size of the result.
+#: Bounds of the dictionary's sample: documents (smallest id hashes), characters of each (from anywhere in it), size of the result.
 SAMPLE_DOCS, SAMPLE_CHARS, DICT_BYTES = 256, 65_536, 65_536
 SHARD_BYTES = 4 << 20  #: a shard is closed after the document that passes this
 LEVEL = 1
@@ -61,7 +61,6 @@ class PieceEncoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
         self.width = 2 if self.tokenizer.get_vocab_size() <= 1 << 16 else 4
         self.kind = "HI"[self.width // 4]
         self.pieces: dict[str, bytes | None] = {}
@@ -175,9 +174,11 @@ def write_tokens(docs: DataFrame, tokenizer_path: str, path: str | None = None)
     small_batches(spark)
     path = path or new_path(spark, "tokens")
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
-    short = rows.filter(F.length("text") <= SAMPLE_CHARS)
-    chosen = short.select("doc_id").orderBy(F.xxhash64("doc_id"), "doc_id").limit(SAMPLE_DOCS).distinct()  # ids alone are ordered
-    found = short.join(F.broadcast(chosen), "doc_id").limit(SAMPLE_DOCS).collect()  # SAMPLE_DOCS x SAMPLE_CHARS at most
+    chosen = rows.select("doc_id").orderBy(F.xxhash64("doc_id"), "doc_id").limit(SAMPLE_DOCS).distinct()  # ids alone are ordered
+    beyond = F.greatest(F.length("text") - SAMPLE_CHARS, F.lit(0))
+    piece = F.substring("text", F.pmod(F.xxhash64("doc_id", F.lit(1)), beyond + 1).cast("int") + 1, F.lit(SAMPLE_CHARS))
+    found = rows.join(F.broadcast(chosen), "doc_id").select("doc_id", piece.alias("text"))
+    found = found.limit(SAMPLE_DOCS).collect()  # SAMPLE_DOCS x SAMPLE_CHARS at most
     sample = [r.text for r in sorted(found, key=lambda r: (r.doc_id, r.text))]
     data = dictionary(PieceEncoder(tokenizer_path).encode(sample)) if sample else b""
     hashed = hashlib.sha256(data).digest()
