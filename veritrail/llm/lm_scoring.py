@@ -2,14 +2,17 @@
 
     P(w | v) = a[b] c(vw) / c(v) + b[b] c(w) / N + c[b] / (V + 1),   b: bucket of c(v) by powers of two
 
-with c the counts in training documents, and for each bucket mixture weights by expectation-maximisation on deleted
-counts: each training token is predicted from the counts that leave it out.
+with c the counts in training documents, and for each bucket mixture weights by expectation-maximisation on held-out
+counts: one training document in TUNED is set apart for that, and its tokens are predicted from the counts of the others. Scores
+use the counts of all training documents.
 
 Counts are exact and cover all training documents; words and word pairs are known by 64-bit hashes. Texts are
 cut into units of some MB. A unit asks for the counts of its distinct words, then of its distinct pairs, as packed
 sorted arrays, one for each hash range; a task adds up the arrays of a range and answers in their order. So a pair
 that is frequent is one entry of each unit, and nothing is kept by all. Pairs of a word that no other unit has
-are counted at home. Units are written once, bucketed, and stay where they are; only questions and answers move.
+are counted at home. A row of questions holds one entry at least, and short arrays are not compressed, so rows and bytes are
+never more than in proportion to the entries. The statistics for the weights are summed in cells of like probabilities, each with its mean
+probabilities, so only the spread within a cell (an eighth of a power of two each way) is lost to them. Units are written once, bucketed, and stay where they are; only questions and answers move.
 
 Edge cases: a null or empty text, or one of white space, is its end token alone. A null id counts as remainder 0
 (training). Without training documents N and V are 0, all scores come from 1 / (V + 1). Rows with the same id are
@@ -33,6 +36,8 @@ from veritrail.llm.anchors import mix
 from veritrail.llm.common import batches_of, new_path, settle, small_batches
 
 HELD_OUT, FOLDS = 2, 7
+TUNED = 8  #: of so many training documents one is held out for the mixture weights
+SHORT = 256  #: bytes of an array that is not compressed
 UNIT_BYTES = 8 << 20  #: text of a unit; the last document may pass it
 JOIN_BYTES = 1 << 20  #: text tokenised at a time
 RANGE_ENTRIES = 1 << 20  #: entries that a task adds up at a time, on average
@@ -44,8 +49,9 @@ ROUNDS = 50
 MULTIPLIER = np.uint64(0x9E3779B97F4A7C15)
 START, END = np.uint64(0x0123456789ABCDEF), np.uint64(0xFEDCBA9876543210)  #: hashes of the marks
 
-UNITS = "unit long, doc_ids array<long>, held array<boolean>, sizes array<int>, n_words int, words binary, trained binary, tokens binary"
-ASKED = "span int, unit long, n int, hashes binary, counts binary, qv binary, qw binary"
+UNITS = "unit long, doc_ids array<long>, held array<boolean>, tunes array<boolean>, sizes array<int>, n_words int, words binary, trained binary, tuned binary, tokens binary"
+ASKED = "span int, unit long, n int, hashes binary, counts binary, tuned binary, cv binary, cw binary"
+CELL = ("cell", "weight", "p2", "p1")
 SCORED = "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double"
 
 
@@ -84,12 +90,13 @@ class Words:
 
 
 def pack_ints(x: np.ndarray) -> bytes:
-    """Byte planes, compressed."""
-    return zstandard.ZstdCompressor(level=1).compress(np.ascontiguousarray(x.view(np.uint8).reshape(-1, x.itemsize).T).tobytes())
+    """Byte planes, compressed unless short; the first byte says which."""
+    raw = np.ascontiguousarray(x.view(np.uint8).reshape(-1, x.itemsize).T).tobytes()
+    return b"\0" + raw if len(raw) <= SHORT else b"\1" + zstandard.ZstdCompressor(level=1).compress(raw)
 
 
 def unpack_ints(data: bytes, kind: type) -> np.ndarray:
-    raw = np.frombuffer(zstandard.ZstdDecompressor().decompress(data), np.uint8)
+    raw = np.frombuffer(zstandard.ZstdDecompressor().decompress(data[1:]) if data[0] else data[1:], np.uint8)
     return np.ascontiguousarray(raw.reshape(np.dtype(kind).itemsize, -1).T).view(kind).ravel()
 
 
@@ -109,12 +116,13 @@ def columns(rows: list[tuple], schema: str) -> pa.RecordBatch:
 
 
 def make_units(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(doc_id, held, text) -> UNITS."""
+    """(doc_id, held, tunes, text) -> UNITS."""
     from pyspark import TaskContext
 
     words, base = Words(), TaskContext.get().partitionId() << 32
     ids: list = []
     held: list[bool] = []
+    tunes: list[bool] = []
     parts: list[np.ndarray] = []
     sizes: list[np.ndarray] = []
     seq, size, total = 0, 0, 0
@@ -131,14 +139,15 @@ def make_units(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         all_hashes, n = np.concatenate(parts), np.concatenate(sizes)
         uniq, local = np.unique(all_hashes, return_inverse=True)
         train = np.repeat(~np.array(held, bool), n)
-        trained = np.bincount(local[train], minlength=len(uniq)).astype(np.uint32)
-        return columns([(base | seq, ids, held, n.tolist(), len(uniq), pack_sorted(uniq), pack_ints(trained), pack_ints(local.astype(np.uint32)))], UNITS)
+        trained, tuned = (np.bincount(local[of], minlength=len(uniq)).astype(np.uint32) for of in (train, np.repeat(np.array(tunes, bool), n)))
+        return columns([(base | seq, ids, held, tunes, n.tolist(), len(uniq), pack_sorted(uniq), pack_ints(trained), pack_ints(tuned), pack_ints(local.astype(np.uint32)))], UNITS)
 
     for batch in batches:
-        for doc_id, out, text in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+        for doc_id, out, tune, text in zip(*(c.to_pylist() for c in batch.columns), strict=True):
             data = (text or "").encode("utf-8", "surrogatepass")
             ids.append(doc_id)
             held.append(out)
+            tunes.append(tune)
             texts.append(data)
             size += len(data)
             total += len(data)
@@ -149,7 +158,7 @@ def make_units(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 if texts:
                     tokenise()
                 yield close()
-                seq, size, total, ids, held, parts, sizes = seq + 1, 0, 0, [], [], [], []
+                seq, size, total, ids, held, tunes, parts, sizes = seq + 1, 0, 0, [], [], [], [], []
     if ids:
         if texts:
             tokenise()
@@ -168,9 +177,9 @@ def spans(hashes: np.ndarray, bits: int) -> list[tuple[int, int, int]]:
 def ask_words(bits: int):  # noqa: ANN201
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for unit, words, trained in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                h, n = unpack_sorted(words), unpack_ints(trained, np.uint32)
-                yield columns([(s, unit, b - a, pack_sorted(h[a:b]), pack_ints(n[a:b]), None, None) for s, a, b in spans(h, bits)], ASKED)
+            for unit, words, trained, tuned in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                h, n, m = unpack_sorted(words), unpack_ints(trained, np.uint32), unpack_ints(tuned, np.uint32)
+                yield columns([(s, unit, b - a, pack_sorted(h[a:b]), pack_ints(n[a:b]), pack_ints(m[a:b]), None, None) for s, a, b in spans(h, bits)], ASKED)
 
     return run
 
@@ -187,50 +196,46 @@ def by_span(batches: Iterator[pa.RecordBatch]) -> Iterator[list[tuple]]:
         yield held
 
 
-ANSWER = "span int, unit long, counts binary, alone binary, kind int, cell long, weight double"
+ANSWER = "span int, unit long, counts binary, tuned binary, alone binary, kind int, cell long, weight double, p2 double, p1 double"
+
+
+def answer_rows(rows: list[tuple]) -> pa.RecordBatch:
+    """Statistics (cell, weight, p2, p1) as rows of ANSWER."""
+    return columns([(None, None, None, None, None, 1, *r) for r in rows], ANSWER)
 
 
 def add_up(pairs: bool, tokens: int):  # noqa: ANN201
-    """Rows ASKED sorted by span -> answers (kind 0), and statistics (kind 1: cell, weight)."""
+    """Rows ASKED sorted by span -> answers (kind 0), and statistics (kind 1). tokens: of the documents that aren't held out."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for rows in by_span(batches):
             if rows[0][0] < 0:  # statistics of pairs counted at home
                 for r in rows:
-                    yield columns([(None, None, None, None, 1, int(c), float(w)) for c, w in zip(np.frombuffer(r[3], np.int64), np.frombuffer(r[4], np.float64), strict=True)], ANSWER)
+                    yield answer_rows(list(zip(*(np.frombuffer(r[k], t).tolist() for k, t in ((3, np.int64), (4, np.float64), (6, np.float64), (7, np.float64))), strict=True)))
                 continue
             hashes = np.concatenate([unpack_sorted(r[3]) for r in rows])
-            counts = np.concatenate([unpack_ints(r[4], np.uint32) for r in rows]).astype(np.int64)
             order = np.argsort(hashes, kind="stable")
             sorted_ = hashes[order]
             first = np.flatnonzero(np.append(True, sorted_[1:] != sorted_[:-1]))
-            sums = np.add.reduceat(counts[order], first)
+            counts, tuned = (np.concatenate([unpack_ints(r[k], np.uint32) for r in rows]).astype(np.int64) for k in (4, 5))
+            sums, tunes = (np.add.reduceat(x[order], first) for x in (counts, tuned))
             asking = np.diff(np.append(first, len(hashes)))
-            out, alone = np.empty(len(hashes), np.int64), np.empty(len(hashes), np.uint8)
-            out[order], alone[order] = np.repeat(sums, asking), np.repeat(asking == 1, asking)
+            out, of_tuned, alone = np.empty(len(hashes), np.uint32), np.empty(len(hashes), np.uint32), np.empty(len(hashes), np.uint8)
+            out[order], of_tuned[order], alone[order] = np.repeat(sums, asking), np.repeat(tunes, asking), np.repeat(asking == 1, asking)
             at = 0
             for r in rows:
                 own = slice(at, at + r[2])
-                yield columns([(r[0], r[1], pack_ints(out[own].astype(np.uint32)), None if pairs else pack_ints(alone[own]), 0, None, None)], ANSWER)
+                yield columns([(r[0], r[1], pack_ints(out[own]), None if pairs else pack_ints(of_tuned[own]), None if pairs else pack_ints(alone[own]), 0, None, None, None, None)], ANSWER)
                 at += r[2]
             if pairs:
-                qv, qw = (np.concatenate([unpack_ints(r[k], np.uint8) for r in rows])[order][first] for k in (5, 6))
-                cells, weights = statistics(sums, from_q(qv), from_q(qw), tokens)
-                yield columns([(None, None, None, None, 1, int(c), float(w)) for c, w in zip(cells, weights, strict=True)], ANSWER)
+                cv, cw = (np.concatenate([unpack_ints(r[k], np.uint32) for r in rows])[order][first].astype(np.int64) for k in (6, 7))
+                yield answer_rows(list(zip(*(x.tolist() for x in statistics(tunes, sums - tunes, cv, cw, tokens)), strict=True)))
             else:
-                yield columns([(None, None, None, None, 1, 0, float((sums > 0).sum())), (None, None, None, None, 1, 1, float(sums.sum()))], ANSWER)
+                yield answer_rows([(k, float(v), 0.0, 0.0) for k, v in enumerate(((sums > 0).sum(), sums.sum(), tunes.sum()))])
 
     return run
 
 
-def to_q(c: np.ndarray) -> np.ndarray:
-    return np.minimum(np.round(8 * np.log2(c + 1.0)), 255).astype(np.uint8)
-
-
-def from_q(q: np.ndarray) -> np.ndarray:
-    return np.round(np.exp2(q / 8.0) - 1).astype(np.int64)
-
-
 def bucket(cv: np.ndarray) -> np.ndarray:
     return np.minimum(np.floor(np.log2(cv + 1.0)), BUCKETS - 1).astype(np.int64)
 
@@ -240,26 +245,23 @@ def cell_of(p: np.ndarray) -> np.ndarray:
         return np.where(p > 0, np.clip(1 + np.round(-STEPS * np.log2(p)), 1, CELLS - 1), 0).astype(np.int64)
 
 
-def statistics(cvw: np.ndarray, cv: np.ndarray, cw: np.ndarray, tokens: int) -> tuple[np.ndarray, np.ndarray]:
-    """(cells, weights): deleted probabilities of pairs seen in training, weighed by how often they are."""
-    use = cvw > 0
-    cvw, cv, cw = cvw[use], np.maximum(cv[use], cvw[use]), np.maximum(cw[use], cvw[use])
-    p2 = np.where(cv > 1, (cvw - 1) / np.maximum(cv - 1, 1), 0.0)
-    p1 = (cw - 1) / max(tokens - 1, 1)
+def statistics(tuned: np.ndarray, cvw: np.ndarray, cv: np.ndarray, cw: np.ndarray, tokens: int) -> tuple[np.ndarray, ...]:
+    """(cells, weights, sums of p2, of p1): probabilities, from the counts cvw, cv and cw, of the pairs held out, each as often as tuned says."""
+    use = tuned > 0
+    times, cvw, cv, cw = tuned[use].astype(np.float64), cvw[use], cv[use], cw[use]
+    p2, p1 = cvw / np.maximum(cv, 1), cw / max(tokens, 1)
     cells = (bucket(cv) * CELLS + cell_of(p2)) * CELLS + cell_of(p1)
     found, own = np.unique(cells, return_inverse=True)
-    return found, np.bincount(own, cvw, len(found)).astype(np.float64)
+    return found, *(np.bincount(own, x, len(found)) for x in (times, times * p2, times * p1))
 
 
-def mixture(stats: list[tuple[int, float]], vocabulary: int) -> np.ndarray:
+def mixture(stats: list[tuple[int, float, float, float]], vocabulary: int) -> np.ndarray:
     """(BUCKETS, 3) weights of pair, word and uniform probabilities."""
     out = np.tile([0.0, 0.9, 0.1], (BUCKETS, 1))
     if not stats:
         return out
-    cell, weight = np.array([s[0] for s in stats]), np.array([s[1] for s in stats])
-    value = np.exp2(-(np.arange(CELLS) - 1.0) / STEPS)
-    value[0] = 0
-    p = np.stack([value[cell // CELLS % CELLS], value[cell % CELLS], np.full(len(cell), 1 / (vocabulary + 1))], axis=1)
+    cell, weight, p2, p1 = (np.array(c) for c in zip(*stats, strict=True))
+    p = np.stack([p2 / weight, p1 / weight, np.full(len(cell), 1 / (vocabulary + 1))], axis=1)
     of = cell // CELLS**2
     for b in np.unique(of):
         q, n = p[of == b], weight[of == b]
@@ -280,7 +282,7 @@ class Unit:
         self.words = unpack_sorted(row["words"])
         self.tokens = unpack_ints(row["tokens"], np.uint32).astype(np.int64)
         self.sizes, self.held = np.array(row["sizes"], np.int64), np.array(row["held"], bool)
-        self.cw = joined(word_answers)
+        self.cw, self.tw = joined(word_answers), joined(word_answers, "tuned")
         self.alone = joined(word_answers, "alone", np.uint8).astype(bool)
         self.starts = np.cumsum(self.sizes) - self.sizes
         n = len(self.words)
@@ -289,14 +291,17 @@ class Unit:
         local = previous * (n + 1) + self.tokens
         pair, self.own = np.unique(local, return_inverse=True)
         self.v, self.w = pair // (n + 1), pair % (n + 1)
-        train = np.repeat(~self.held, self.sizes)
-        self.count = np.bincount(self.own[train], minlength=len(pair)).astype(np.int64)
+        self.count, self.tuned = (np.bincount(self.own[np.repeat(of, self.sizes)], minlength=len(pair)).astype(np.uint32) for of in (~self.held, np.array(row["tunes"], bool)))
 
     def contexts(self, documents: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Of each pair: c(v), c(w), and whether it is counted at home."""
-        cv = np.append(self.cw, documents)[self.v]
         alone = np.append(self.alone, False)
-        return cv, self.cw[self.w], alone[self.v] | alone[self.w]
+        return np.append(self.cw, documents)[self.v], self.cw[self.w], alone[self.v] | alone[self.w]
+
+    def fitted(self, documents: int) -> tuple[np.ndarray, np.ndarray]:
+        """Of each pair: c(v) and c(w) without what is held out for the weights; documents: also without."""
+        c = self.cw - self.tw
+        return np.append(c, documents)[self.v], c[self.w]
 
     def hashes(self) -> np.ndarray:
         words = np.append(self.words, START)
@@ -309,20 +314,23 @@ def joined(answers: list, what: str = "counts", kind: type = np.uint32) -> np.nd
 
 
 def ask_pairs(bits: int, tokens: int, documents: int):  # noqa: ANN201
+    """tokens, documents: without those held out for the weights."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for row in batch.to_pylist():
                 unit = Unit(row, row["word_answers"])
-                cv, cw, home = unit.contexts(documents)
-                cells, weights = statistics(unit.count[home], cv[home], cw[home], tokens)
-                yield columns([(-1, row["unit"], 0, cells.astype(np.int64).tobytes(), weights.tobytes(), None, None)], ASKED)
+                home = unit.contexts(documents)[2]
+                cv, cw = unit.fitted(documents)
+                cells, *sums = statistics(unit.tuned[home], (unit.count - unit.tuned)[home], cv[home], cw[home], tokens)
+                yield columns([(-1, row["unit"], 0, cells.astype(np.int64).tobytes(), sums[0].tobytes(), None, sums[1].tobytes(), sums[2].tobytes())], ASKED)
                 ask = np.flatnonzero(~home)
                 h = unit.hashes()[ask]
                 order = np.argsort(h)
                 h, ask = h[order], ask[order]
                 for s, a, b in spans(h, bits):
                     k = ask[a:b]
-                    yield columns([(s, row["unit"], b - a, pack_sorted(h[a:b]), pack_ints(unit.count[k].astype(np.uint32)), pack_ints(to_q(cv[k])), pack_ints(to_q(cw[k])))], ASKED)
+                    yield columns([(s, row["unit"], b - a, pack_sorted(h[a:b]), *(pack_ints(x[k].astype(np.uint32)) for x in (unit.count, unit.tuned, cv, cw)))], ASKED)
 
     return run
 
@@ -333,7 +341,7 @@ def score(tokens: int, vocabulary: int, documents: int, weights: np.ndarray):  #
             for row in batch.to_pylist():
                 unit = Unit(row, row["word_answers"])
                 cv, cw, home = unit.contexts(documents)
-                cvw = unit.count.copy()
+                cvw = unit.count.astype(np.int64)
                 ask = np.flatnonzero(~home)
                 if len(ask):
                     cvw[ask[np.argsort(unit.hashes()[ask])]] = joined(row["pair_answers"])
@@ -352,8 +360,8 @@ def score(tokens: int, vocabulary: int, documents: int, weights: np.ndarray):  #
 def answered(asked: DataFrame, pairs: bool, tokens: int = 0) -> tuple[DataFrame, list[Row]]:
     """(unit, answers), and the statistics summed by cell: at most BUCKETS x CELLS x CELLS rows reach the driver."""
     got = settle(asked.repartition("span").sortWithinPartitions("span").mapInArrow(add_up(pairs, tokens), ANSWER), "lm-answers")
-    stats = got.filter("kind = 1").groupBy("cell").agg(F.sum("weight").alias("weight")).orderBy("cell").collect()
-    answers = got.filter("kind = 0").groupBy("unit").agg(F.collect_list(F.struct("span", "counts", "alone")).alias("answers"))
+    stats = got.filter("kind = 1").groupBy("cell").agg(*[F.sum(c).alias(c) for c in CELL[1:]]).orderBy("cell").collect()
+    answers = got.filter("kind = 0").groupBy("unit").agg(F.collect_list(F.struct("span", "counts", "tuned", "alone")).alias("answers"))
     return answers, stats
 
 
@@ -366,8 +374,10 @@ def lm_scores(docs: DataFrame) -> DataFrame:
     spark = docs.sparkSession
     small_batches(spark)
     text_id = F.col("doc_id").cast("string")
-    held = F.coalesce(F.pmod(F.crc32(text_id.cast("binary")), F.lit(FOLDS)) == HELD_OUT, F.lit(False))
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), held.alias("held"), "text")
+    code = F.coalesce(F.crc32(text_id.cast("binary")), F.lit(0))
+    held = F.pmod(code, F.lit(FOLDS)) == HELD_OUT
+    tunes = ~held & (F.pmod(F.floor(code / FOLDS), F.lit(TUNED)) == 0)
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), held.alias("held"), tunes.alias("tunes"), "text")
     name = f"lm_units_{uuid.uuid4().hex}"
     made = rows.mapInArrow(make_units, UNITS)
     buckets = max(1, min(rows.rdd.getNumPartitions(), 100_000))
@@ -381,14 +391,16 @@ def lm_scores(docs: DataFrame) -> DataFrame:
 
 def scored(units: DataFrame) -> DataFrame:
     """SCORED for every document of the units, written: both joins find units where they are, by their buckets."""
-    facts = units.agg(F.sum("n_words").alias("n"), F.sum(F.aggregate("held", F.lit(0), lambda s, h: s + (~h).cast("int"))).alias("docs"), F.sum(F.size("sizes")).alias("all"), F.sum(F.aggregate("sizes", F.lit(0).cast("long"), lambda s, x: s + x)).alias("tokens")).first()
+    count = lambda of: F.sum(F.size(of))
+    facts = units.agg(F.sum("n_words").alias("n"), count(F.filter("held", lambda h: ~h)).alias("docs"), count(F.filter("tunes", lambda t: t)).alias("tuned"), F.sum(F.aggregate("sizes", F.lit(0).cast("long"), lambda s, x: s + x)).alias("tokens")).first()
     documents = facts.docs or 0
-    asked = units.select("unit", "words", "trained").mapInArrow(ask_words(range_bits(facts.n or 0)), ASKED)
+    asked = units.select("unit", "words", "trained", "tuned").mapInArrow(ask_words(range_bits(facts.n or 0)), ASKED)
     words, totals = answered(asked, False)
-    vocabulary, tokens = (int(dict(map(tuple, totals)).get(k, 0)) for k in (0, 1))
+    vocabulary, tokens, tuned = (int(next((r.weight for r in totals if r.cell == k), 0)) for k in range(3))
     words = settle(words.withColumnRenamed("answers", "word_answers"), "lm-words")
-    asked = units.join(words.hint("shuffle_hash"), "unit").mapInArrow(ask_pairs(range_bits(facts.tokens or 0), tokens, documents), ASKED)
-    pairs, stats = answered(asked, True, tokens)
+    fitted = (tokens - tuned, documents - (facts.tuned or 0))
+    asked = units.join(words.hint("shuffle_hash"), "unit").mapInArrow(ask_pairs(range_bits(facts.tokens or 0), *fitted), ASKED)
+    pairs, stats = answered(asked, True, fitted[0])
     weights = mixture([tuple(s) for s in stats], vocabulary)
     both = units.join(words.hint("shuffle_hash"), "unit").join(pairs.withColumnRenamed("answers", "pair_answers").hint("shuffle_hash"), "unit", "left")
     return settle(both.mapInArrow(score(tokens, vocabulary, documents, weights), SCORED), "lm-scores")
