@@ -176,3 +176,78 @@ def test_code_verify(spark):
 def test_task_rules(spark):
     df = spark.createDataFrame([("a", "math", "p", None, "../x", None, None, None), ("b", "code", "p", None, None, ["t"], None, None)], "id string, kind string, prompt string, ground_truth array<string>, candidate_path string, test_command array<string>, files map<string,string>, metadata string")
     assert {r.id: r.broken for r in validation.task_rules(df).collect()} == {"a": ["candidate_path", "math_needs_truth"], "b": []}
+
+
+def test_deep_fractions(spark):
+    deep = "2"
+    for _ in range(30):
+        deep = f"\\frac{{{deep}}}{{1}}"
+    wide = "".join("\\dfrac{1}{2}+" for _ in range(20)) + "0"
+    items = [(1, "math", f"\\boxed{{{deep}}}", ["2"]), (2, "math", f"\\boxed{{{wide}}}", ["10"]), (3, "math", "\\boxed{\\frac{1}{\\frac{}{2}}}", ["2"]), (4, "math", "<final>\\frac{1}2</final>", ["1/2"])]
+    df = spark.createDataFrame(items, "k int, kind string, completion string, ground_truth array<string>")
+    assert {r.k: r.passed for r in verify.math_verify(df).collect()} == {1: True, 2: True, 3: False, 4: False}
+
+
+def test_programs_are_ended_as_a_whole(tmp_path):
+    """A child that goes on and holds the pipes neither blocks the result nor stays; of much output the end is kept."""
+    import time
+
+    (tmp_path / "a.sh").write_text("sleep 50 & echo started; exit 3")
+    began = time.monotonic()
+    done = verify.LocalRunner(trusted=True).run(str(tmp_path), ["sh", "a.sh"], 20)
+    assert (done.returncode, done.stdout) == (3, "started\n") and time.monotonic() - began < 10
+    done = verify.LocalRunner(trusted=True).run(str(tmp_path), ["python", "-c", "print('a' * 3_000_000 + 'end')"], 20)
+    assert len(done.stdout) == verify.CAPTURE and done.stdout.endswith("aend\n")
+    import subprocess
+
+    with pytest.raises(subprocess.TimeoutExpired):
+        verify.LocalRunner(trusted=True).run(str(tmp_path), ["sh", "-c", "sleep 60 & sleep 60"], 0.5)
+
+
+def test_verify_by_kind(spark):
+    df = spark.createDataFrame([("a", "prose")], "id string, kind string")
+    rows = df.selectExpr("*", "array('1') AS ground_truth", "'' AS candidate_path", "array('true') AS test_command", "map('a', 'b') AS files", "'1' AS completion")
+    with pytest.raises(Exception, match="no verifier"):
+        verify.verify(rows, {"math": verify.MathVerifier()}).collect()
+
+
+def test_commands(spark, tmp_path, capsys):
+    from tests.test_configs import CONFIG
+    from veritrail import cli
+
+    def run(*words):
+        code = cli.main([str(w) for w in words], spark)
+        out = capsys.readouterr().out
+        return code, json.loads(out) if out else None
+
+    (tmp_path / "c.json").write_text(json.dumps(CONFIG))
+    assert run("validate", tmp_path / "c.json") == (0, {"name": "n", "valid": True, "task": "code", "topology": cli.topology.topology(cli.configs.profiles(spark, [CONFIG])).drop("name").first().asDict()})
+    assert run("topology", tmp_path / "c.json")[1]["spare_gpus"] == 0 and run("topology", tmp_path / "none.json") == (2, None)
+    (tmp_path / "t.json").write_text(json.dumps({"id": "t", "kind": "math", "prompt": "p", "ground_truth": "3/4"}, indent=2))
+    for text, code in (("\\boxed{0.75}", 0), ("answer: 5", 1)):
+        (tmp_path / "x.txt").write_text(text)
+        assert run("verify", tmp_path / "t.json", tmp_path / "x.txt")[0] == code
+    (tmp_path / "code.json").write_text(json.dumps({"id": "t", "kind": "code", "prompt": "p", "test_command": ["python", "solution.py"]}))
+    assert run("verify", tmp_path / "code.json", tmp_path / "x.txt")[0] == 2 and run("verify", tmp_path / "code.json", tmp_path / "x.txt", "--runner", "local", "--trusted")[0] == 0
+    (tmp_path / "log.jsonl").write_text("\n".join(json.dumps(LINE | {"response_tokens": 9, "verifier": LINE["verifier"] | {"reward": x}}) for x in (0.0, 1.0)))
+    assert run("gate", tmp_path / "log.jsonl")[0] == 0 and run("gate", tmp_path / "none.jsonl") == (1, run("gate", tmp_path / "none.jsonl")[1])
+    assert run("make-math", tmp_path / "m.parquet", "--count", 3)[0] == 0 and spark.read.parquet(f"{tmp_path}/m.parquet").count() == 3
+    names = ("id", "instruction", "image", "seed_files", "test_files", "max_steps", "copies")
+    (tmp_path / "manifest.json").write_text(json.dumps([dict(zip(names, MANIFEST, strict=True))]))
+    assert run("pack-code", tmp_path / "manifest.json", tmp_path / "packed")[0] == 0 and (tmp_path / "packed/task-data.tar.gz").exists()
+
+
+def test_shared_folder(spark, monkeypatch):
+    from veritrail.sources import shared
+
+    class Session:
+        class conf:
+            get = staticmethod(lambda key, other: None)
+
+        class sparkContext:
+            master = "spark://a:1"
+
+    with pytest.raises(RuntimeError, match="checkpoint"):
+        shared.shared_dir(Session)
+    Session.sparkContext.master = "local[2]"
+    assert shared.shared_dir(Session) == shared.shared_dir(Session) and shared.shared_dir(Session).startswith("file:///")

@@ -5,8 +5,9 @@ import os
 import duckdb
 import pytest
 
-from veritrail.plans import registry
+from veritrail.plans import cases, registry
 
+QUERIES, ORACLES = registry.QUERIES | cases.QUERIES, registry.ORACLES | cases.ORACLES
 SF = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
 
 
@@ -18,9 +19,9 @@ def con():
     return c
 
 
-@pytest.mark.parametrize("name", list(registry.QUERIES))
+@pytest.mark.parametrize("name", list(QUERIES))
 def test_matches_sql(spark, con, name):
-    got, want = registry.QUERIES[name](spark, SF).toPandas(), con.execute(registry.ORACLES[name]).df()
+    got, want = QUERIES[name](spark, SF).toPandas(), con.execute(ORACLES[name]).df()
     columns = sorted(want.columns)
     assert sorted(got.columns) == columns
     text = lambda df: sorted(tuple(f"{v:.12g}" if isinstance(v, float) else str(v) for v in r) for r in df[columns].astype(object).itertuples(index=False))

@@ -24,7 +24,7 @@ LINE_ENDS = "\r\n|[\n\r\x0b\x0c\x1c-\x1e\x85  ]"
 BOX = "\\boxed{"
 NUMERIC = r"[0-9eE+\-*/().]+"
 MAX_ANSWER = 512
-FRACTION_DEPTH = 4  #: nested fractions that the native form resolves; deeper ones stay as they are
+FRACTION = r"(?U)\\(?:d?frac)\s*\{([^{}]+)\}\s*\{([^{}]+)\}"
 
 
 def strip(x: Column) -> Column:
@@ -71,14 +71,28 @@ def extract_code(text: Column) -> Column:
     return F.concat(strip(F.coalesce(last_match(text, FENCE), text)), F.lit("\n"))
 
 
+def resolved(x: Column) -> Column:
+    """Fractions written out from the innermost on, until nothing changes: as many rounds as there are fractions are enough."""
+    count = F.regexp_count(x, F.lit(r"\\d?frac"))
+
+    def step(state: Column, _: Column) -> Column:
+        new = F.regexp_replace(state["text"], FRACTION, "(($1)/($2))")
+        return F.when(state["done"], state).otherwise(F.struct(new.alias("text"), (new == state["text"]).alias("done")))
+
+    start = F.struct(x.alias("text"), F.lit(False).alias("done"))
+    return F.when(count > 0, F.aggregate(F.sequence(F.lit(1), count), start, step)["text"]).otherwise(x)
+
+
 def normalize_answer(x: Column) -> Column:
-    x = F.regexp_replace(strip(x), r"^\$+|\$+\z", "")
+    """Plain numbers are in normal form; marks of formulas are looked for only behind a backslash."""
+    text = F.regexp_replace(strip(x), r"^\$+|\$+\z", "")
+    formula = text
     for mark in ("\\left", "\\right", "\\,", "\\!"):
-        x = F.replace(x, F.lit(mark), F.lit(""))
-    for _ in range(FRACTION_DEPTH):
-        x = F.regexp_replace(x, r"(?U)\\(?:d?frac)\s*\{([^{}]+)\}\s*\{([^{}]+)\}", "(($1)/($2))")
-    x = F.replace(F.replace(x, F.lit("−"), F.lit("-")), F.lit("^"), F.lit("**"))
-    return F.regexp_replace(F.regexp_replace(x, rf"(?U){BLANK}+", ""), r"[.,;:]\z", "")
+        formula = F.replace(formula, F.lit(mark), F.lit(""))
+    text = F.when(text.contains("\\"), resolved(formula)).otherwise(text)
+    text = F.replace(F.replace(text, F.lit("−"), F.lit("-")), F.lit("^"), F.lit("**"))
+    text = F.regexp_replace(F.regexp_replace(text, rf"(?U){BLANK}+", ""), r"[.,;:]\z", "")
+    return F.when(x.rlike(r"^-?[0-9]+(?:[./][0-9]+)?\z"), x).otherwise(text)
 
 
 def same_value(a: str, b: str) -> bool:

@@ -6,7 +6,7 @@ import shutil
 import tarfile
 from pathlib import Path
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from veritrail.operators.validation import safe_name, safe_relative
@@ -28,18 +28,32 @@ def math_smoke(spark: SparkSession, count: int = 64, dataset: str = "math_smoke"
     return spark.range(1, max(count, 0) + 1).select(messages(prompt).alias("messages"), (2 * n + 1).cast("string").alias("ground_truth"), F.lit(dataset).alias("dataset"))
 
 
+def manifest_rules() -> list[tuple[str, str, Column]]:
+    """(name, how it reads after an id, whether it is broken), in the order in which they are looked at."""
+    names = F.concat(F.coalesce(F.map_keys("seed_files"), F.array().cast("array<string>")), F.coalesce(F.map_keys("test_files"), F.array().cast("array<string>")))
+    return [
+        ("unsafe_id", " is an unsafe task id", ~F.coalesce(safe_name(F.col("id")), F.lit(False))),
+        ("no_test", f" has no test file {TEST_SCRIPT}", ~F.coalesce(F.map_contains_key("test_files", TEST_SCRIPT), F.lit(False))),
+        ("outside", " has a file outside its root", ~F.forall(names, safe_relative)),
+        ("count", " has a count below 1", (F.col("max_steps") < 1) | (F.col("copies") < 1)),
+    ]
+
+
+def with_defaults(manifests: DataFrame) -> DataFrame:
+    return manifests.withColumns({"max_steps": F.coalesce("max_steps", F.lit(32).cast("bigint")), "copies": F.coalesce("copies", F.lit(1).cast("bigint"))})
+
+
+def broken_manifests(manifests: DataFrame) -> DataFrame:
+    """Manifests with defaults and broken: names of the rules that each breaks."""
+    return with_defaults(manifests).withColumn("broken", F.array_compact(F.array(*[F.when(b, F.lit(name)) for name, _, b in manifest_rules()])))
+
+
 def checked_manifests(manifests: DataFrame) -> DataFrame:
     """Manifests with defaults; one that can't be packed raises."""
-    names = F.concat(F.coalesce(F.map_keys("seed_files"), F.array().cast("array<string>")), F.coalesce(F.map_keys("test_files"), F.array().cast("array<string>")))
-    has_test = F.coalesce(F.map_contains_key("test_files", TEST_SCRIPT), F.lit(False))
-    df = manifests.withColumns({"max_steps": F.coalesce("max_steps", F.lit(32).cast("bigint")), "copies": F.coalesce("copies", F.lit(1).cast("bigint"))})
-    bad = (
-        F.when(~safe_name(F.col("id")), F.raise_error(F.concat(F.lit("unsafe task id: "), F.col("id"))))
-        .when(~has_test, F.raise_error(F.concat(F.col("id"), F.lit(f" has no test file {TEST_SCRIPT}"))))
-        .when(~F.forall(names, safe_relative), F.raise_error(F.concat(F.col("id"), F.lit(" has a file outside its root"))))
-        .when((F.col("max_steps") < 1) | (F.col("copies") < 1), F.raise_error(F.concat(F.col("id"), F.lit(" has a count below 1"))))
-    )
-    return df.withColumn("id", F.coalesce(bad.cast("string"), F.col("id")))
+    bad = F.lit(None).cast("string")
+    for _, says, broken in reversed(manifest_rules()):
+        bad = F.when(broken, F.raise_error(F.concat(F.coalesce("id", F.lit("null")), F.lit(says))).cast("string")).otherwise(bad)
+    return with_defaults(manifests).withColumn("id", F.coalesce(bad, F.col("id")))
 
 
 def code_rows(manifests: DataFrame, dataset: str = "code", env_name: str = SANDBOX_ENV) -> DataFrame:
@@ -77,6 +91,13 @@ def write_task_tree(manifests: DataFrame, root: str) -> None:
     file_rows(manifests).foreachPartition(write)
 
 
+def read_task_tree(spark: SparkSession, root: str) -> DataFrame:
+    """(task_id, path, content) of the files below root."""
+    files = spark.read.option("recursiveFileLookup", True).text(root, wholetext=True).select(F.col("_metadata.file_path").alias("file"), "value")
+    below = F.substring_index("file", f"{root.rstrip('/')}/", -1)
+    return files.withColumn("below", below).select(F.substring_index("below", "/", 1).alias("task_id"), F.regexp_extract("below", r"^[^/]*/(.*)$", 1).alias("path"), F.col("value").alias("content"))
+
+
 def archive(root: str, path: str) -> None:
     """root's children, sorted by name, as a compressed tar on the driver."""
     partial = f"{path}.partial"

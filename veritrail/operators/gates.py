@@ -36,9 +36,9 @@ def flags(rows: DataFrame) -> DataFrame:
     return rows.withColumns({"truncated": truncated(), "policy_lag": policy_lag(), "is_error": F.col("error_type").isNotNull()})
 
 
-def reward_groups(rows: DataFrame) -> DataFrame:
-    """One row for each task and policy version, of whatever run."""
-    return rows.groupBy(*GROUP).agg(
+def reward_groups(rows: DataFrame, by: tuple[str, ...] = ()) -> DataFrame:
+    """One row for each task and policy version, of whatever run, and each value of by."""
+    return rows.groupBy(*by, *GROUP).agg(
         F.count("*").alias("samples"), F.min("reward").alias("min_reward"), F.max("reward").alias("max_reward"), F.sum("reward").alias("sum_reward"),
         F.count_if(truncated()).alias("truncated"), F.count_if(F.col("error_type").isNotNull()).alias("errors"), F.max(policy_lag()).alias("max_policy_lag"),
         F.sum("entropy").alias("sum_entropy"), F.count("entropy").alias("n_entropy"),
@@ -83,15 +83,7 @@ def with_failures(report: DataFrame, limits: Limits) -> DataFrame:
 
 def gate_report(rows: DataFrame, limits: Limits | None = None, by: tuple[str, ...] = ()) -> DataFrame:
     """The report: one row, or one for each value of by (columns of rows)."""
-    if by:
-        groups = rows.groupBy(*by, *GROUP).agg(
-            F.count("*").alias("samples"), F.min("reward").alias("min_reward"), F.max("reward").alias("max_reward"), F.sum("reward").alias("sum_reward"),
-            F.count_if(truncated()).alias("truncated"), F.count_if(F.col("error_type").isNotNull()).alias("errors"), F.max(policy_lag()).alias("max_policy_lag"),
-            F.sum("entropy").alias("sum_entropy"), F.count("entropy").alias("n_entropy"),
-        )
-    else:
-        groups = reward_groups(rows)
-    return with_failures(summary(groups, by), limits or Limits())
+    return with_failures(summary(reward_groups(rows, by), by), limits or Limits())
 
 
 def failure_rows(report: DataFrame) -> DataFrame:

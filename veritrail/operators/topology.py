@@ -51,5 +51,12 @@ def violations(profiles: DataFrame) -> DataFrame:
     return profiles.withColumn("violations", F.array_compact(F.array(*[F.when(broken, F.lit(name)) for name, broken in rules()])))
 
 
+def validate_summary(profiles: DataFrame) -> DataFrame:
+    """Whether each profile is valid, its name and kind of task, and its layout."""
+    layout = topology(profiles)
+    marked = violations(profiles).select("name", (F.size("violations") == 0).alias("valid"), F.col("task_kind").alias("task"))
+    return marked.join(layout.select("name", F.struct(*[c for c in layout.columns if c != "name"]).alias("topology")), "name")
+
+
 def violation_rows(profiles: DataFrame) -> DataFrame:
     return violations(profiles).select("name", F.posexplode("violations").alias("position", "rule"))

@@ -4,13 +4,16 @@ from __future__ import annotations
 
 import os
 import shutil
+import signal
 import subprocess
 import tempfile
 import time
 from collections.abc import Iterator
+from contextlib import suppress
 from dataclasses import dataclass
 from pathlib import Path
-from typing import Protocol
+from threading import Thread
+from typing import IO, Protocol
 
 import pandas as pd
 from pyspark.sql import DataFrame
@@ -78,10 +81,35 @@ class ContainerRunner:
         return executed([program, "exec", *flags, self.image, *command], timeout, None)
 
 
+class Tail(Thread):
+    """Drains a pipe and keeps its end."""
+
+    def __init__(self, pipe: IO[bytes]):
+        super().__init__(daemon=True)
+        self.pipe, self.held = pipe, b""
+        self.start()
+
+    def run(self) -> None:
+        while more := self.pipe.read1(1 << 16):
+            self.held = (self.held + more)[-4 * CAPTURE :]
+
+    def text(self) -> str:
+        self.join(1)
+        return self.held.decode("utf-8", "replace")[-CAPTURE:]
+
+
 def executed(command: list[str], timeout: float, cwd: str | None) -> Execution:
+    """In a session of its own, which is killed as a whole in the end, so that nothing that was started stays or holds a pipe."""
     began = time.monotonic()
-    done = subprocess.run(command, cwd=cwd, capture_output=True, text=True, errors="replace", timeout=timeout, check=False)
-    return Execution(done.returncode, done.stdout[-CAPTURE:], done.stderr[-CAPTURE:], time.monotonic() - began)
+    process = subprocess.Popen(command, cwd=cwd, stdin=subprocess.DEVNULL, stdout=subprocess.PIPE, stderr=subprocess.PIPE, start_new_session=True)
+    out, err = Tail(process.stdout), Tail(process.stderr)
+    try:
+        code = process.wait(timeout)
+    finally:
+        with suppress(ProcessLookupError):
+            os.killpg(process.pid, signal.SIGKILL)
+        process.wait()
+    return Execution(code, out.text(), err.text(), time.monotonic() - began)
 
 
 def place(workspace: str, relative: str, content: str) -> None:
@@ -135,3 +163,35 @@ def code_verify(rows: DataFrame, runner: SandboxRunner, timeout: float = TIMEOUT
             yield pd.DataFrame(results, columns=["id", *[c.split()[0] for c in RESULT.split(", ")]])
 
     return df.mapInPandas(run, f"id string, {RESULT}")
+
+
+class Verifier(Protocol):
+    """Tasks with completions (id, kind, ground_truth, candidate_path, test_command, files, completion) -> (id, RESULT)."""
+
+    def verify(self, rows: DataFrame) -> DataFrame: ...
+
+
+class MathVerifier:
+    def verify(self, rows: DataFrame) -> DataFrame:
+        missing = {"stdout": F.lit("").alias("stdout"), "stderr": F.lit("").alias("stderr"), "duration_seconds": F.lit(0.0).alias("duration_seconds")}
+        done = math_verify(rows)
+        return done.select("id", *[missing.get(n, F.col(n)) for n in (c.split()[0] for c in RESULT.split(", "))])
+
+
+class CodeVerifier:
+    def __init__(self, runner: SandboxRunner, timeout: float = TIMEOUT, slots: int | None = None):
+        self.runner, self.timeout, self.slots = runner, timeout, slots
+
+    def verify(self, rows: DataFrame) -> DataFrame:
+        return code_verify(rows, self.runner, self.timeout, self.slots)
+
+
+def verify(rows: DataFrame, verifiers: dict[str, Verifier]) -> DataFrame:
+    """Each row by the verifier of its kind; a kind without one raises."""
+    unknown = F.when(~F.col("kind").isin(*verifiers), F.raise_error(F.concat(F.lit("no verifier for tasks of kind "), F.col("kind"))))
+    rows = rows.withColumn("kind", F.coalesce(unknown.cast("string"), F.col("kind")))
+    out = None
+    for kind, verifier in verifiers.items():
+        done = verifier.verify(rows.filter(F.col("kind") == kind))
+        out = done if out is None else out.unionByName(done)
+    return out

@@ -131,8 +131,7 @@ def smoke_outcomes(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def validate_trajectories(spark: SparkSession, sf_dir: str) -> DataFrame:
-    trajectories(spark, sf_dir).createOrReplaceTempView("derived_trajectories")
-    return validation.broken_counts(spark.sql(BROKEN.replace("FROM t", "FROM derived_trajectories")))
+    return validation.broken_counts(spark.sql(_braced(BROKEN, ("t",)), t=trajectories(spark, sf_dir)))
 
 
 def completions(spark: SparkSession, sf_dir: str) -> DataFrame:

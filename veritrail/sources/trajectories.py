@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from veritrail.operators.gates import policy_lag, truncated
 from veritrail.operators.validation import broken_rules
-from veritrail.schemas import REQUIRED, TRAJECTORY, TRAJECTORY_FIELDS, VERIFIER_FIELDS
+from veritrail.schemas import MANIFEST, REQUIRED, TASK, TRAJECTORY, TRAJECTORY_FIELDS, VERIFIER_FIELDS
 
 
 def exists(spark: SparkSession, path: str) -> bool:
@@ -26,22 +26,23 @@ def parse(lines: DataFrame) -> DataFrame:
     """lines (value, ...) -> (..., value, row, reasons): the parsed row, and why it is rejected if it is."""
     text = F.col("value")
     row = F.from_json(text, TRAJECTORY, {"timestampFormat": "yyyy-MM-dd'T'HH:mm:ss[.SSSSSS][XXX]"})
-    keys = lambda x, known: F.size(F.array_except(F.json_object_keys(x), F.array(*map(F.lit, known)))) > 0
-    inner = F.get_json_object(text, "$.verifier")
-    lost = [F.get_json_object(text, f"$.{k}").isNotNull() & F.col(f"row.{k}").isNull() for k in TRAJECTORY_FIELDS]
-    lost += [F.get_json_object(text, f"$.verifier.{k}").isNotNull() & F.col(f"row.verifier.{k}").isNull() for k in VERIFIER_FIELDS]
-    missing = [F.get_json_object(text, f"$.{k}").isNull() for k in REQUIRED]
-    df = lines.filter(~text.rlike(r"(?U)^[\s\x1c-\x1f\x85]*\z")).withColumn("row", row)
+    raw, inner = F.from_json(text, "map<string,string>"), F.from_json(F.col("raw")["verifier"], "map<string,string>")
+    keys = lambda x, known: F.size(F.array_except(F.map_keys(x), F.array(*map(F.lit, known)))) > 0
+    lost = [F.col("raw")[k].isNotNull() & F.col(f"row.{k}").isNull() for k in TRAJECTORY_FIELDS]
+    lost += [F.col("inner")[k].isNotNull() & F.col(f"row.verifier.{k}").isNull() for k in VERIFIER_FIELDS]
+    missing = [F.col("raw")[k].isNull() for k in REQUIRED]
+    df = lines.filter(~text.rlike(r"(?U)^[\s\x1c-\x1f\x85]*\z")).withColumns({"row": row, "raw": raw}).withColumn("inner", inner)
     any_of = lambda xs: F.exists(F.array(*[F.coalesce(x, F.lit(False)) for x in xs]), lambda x: x)
+    none = F.json_object_keys(text).isNull()
     reasons = F.array_compact(
         F.array(
-            F.when(F.json_object_keys(text).isNull(), F.lit("not_an_object")),
-            F.when(keys(text, TRAJECTORY_FIELDS) | F.coalesce(keys(inner, VERIFIER_FIELDS), F.lit(False)), F.lit("unknown_field")),
-            F.when(any_of(missing), F.lit("missing_field")),
+            F.when(none, F.lit("not_an_object")),
+            F.when(keys(F.col("raw"), TRAJECTORY_FIELDS) | F.coalesce(keys(F.col("inner"), VERIFIER_FIELDS), F.lit(False)), F.lit("unknown_field")),
+            F.when(~none & any_of(missing), F.lit("missing_field")),
             F.when(any_of(lost), F.lit("wrong_type")),
         )
     )
-    return df.withColumn("reasons", reasons)
+    return df.withColumn("reasons", reasons).drop("raw", "inner")
 
 
 def read_trajectories(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
@@ -102,7 +103,26 @@ def compact(spark: SparkSession, path: str, out: str, partitions: int | None = N
 
 def read_jsonl(spark: SparkSession, path: str) -> DataFrame:
     """Lines of any fields, inferred; blank lines are skipped and a path that isn't there raises."""
-    return spark.read.json(spark.read.text(path).filter("trim(value) <> ''").rdd.map(lambda r: r.value))
+    return spark.read.json(path)
+
+
+def read_manifests(spark: SparkSession, path: str) -> DataFrame:
+    """Manifests of JSON files, each with one object or a list."""
+    return spark.read.option("multiLine", True).schema(MANIFEST).json(path)
+
+
+def read_tasks(spark: SparkSession, path: str) -> DataFrame:
+    """Tasks of JSON files, each with one object or a list; a single ground truth becomes a list of one."""
+    truth = F.col("ground_truth")
+    several = F.schema_of_variant(truth).startswith("ARRAY")
+    one = F.when(truth.isNotNull() & ~F.is_variant_null(truth), F.array(truth.cast("string")))
+    raw = spark.read.option("multiLine", True).schema(TASK.replace("ground_truth array<string>", "ground_truth variant")).json(path)
+    return raw.withColumn("ground_truth", F.when(several, F.try_variant_get(truth, "$", "array<string>")).otherwise(one))
+
+
+def read_completions(spark: SparkSession, path: str) -> DataFrame:
+    """(path, completion): each file's whole text."""
+    return spark.read.text(path, wholetext=True).select(F.col("_metadata.file_path").alias("path"), F.col("value").alias("completion"))
 
 
 def write_rows(rows: DataFrame, path: str) -> None:
