@@ -15,10 +15,15 @@ def url_sql() -> str:
     rule = " ".join(f"WHEN {w} THEN '{t}'" for w, t, _ in fits)
     verdict = " ".join(f"WHEN {w} THEN '{s}'" for w, _, s in fits)
     listed = r"(^|[.-])(" + "|".join(url_filter.BLOCKED_TERMS) + r")([.-]|$)"
-    return f"""WITH r AS (SELECT page_id, regexp_extract(coalesce(url, ''), '(?s)^.*?://(.*)$', 1) AS rest FROM pages),
-      p AS (SELECT page_id, translate(regexp_extract(rest, '^[^/?#]*'), '{UPPER}', '{LOWER}') AS host, regexp_extract(rest, '^[^/?#]*([^?#]*)', 1) AS path FROM r)
+    return f"""WITH r AS (SELECT page_id, url, regexp_extract(coalesce(url, ''), '(?s)^.*?://(.*)$', 1) AS rest FROM pages),
+      p AS (SELECT page_id, url, translate(regexp_extract(rest, '^[^/?#]*'), '{UPPER}', '{LOWER}') AS host, regexp_extract(rest, '^[^/?#]*([^?#]*)', 1) AS path FROM r),
+      d AS (SELECT *, concat(host, regexp_extract(path, '^(/[^/]*/)?')) AS place FROM p),
+      l AS (SELECT DISTINCT host AS key FROM d WHERE regexp_matches(host, '{listed}')
+        UNION SELECT place FROM d WHERE host <> '' AND ends_with(place, '/') GROUP BY place
+          HAVING count(*) >= {url_filter.LEAST_URLS} AND 2 * count(*) FILTER (regexp_matches(url, '{url_filter.CAMPAIGN}')) > count(*)),
+      b AS (SELECT DISTINCT host, place FROM d JOIN l ON key = place OR key = host OR ends_with(host, concat('.', key)))
     SELECT page_id, host, path, CASE {rule} END AS rule,
-      CASE {verdict} WHEN regexp_matches(host, '{listed}') THEN 'block' ELSE 'allow' END AS verdict FROM p"""
+      CASE {verdict} WHEN (host, place) IN (SELECT (host, place) FROM b) THEN 'block' ELSE 'allow' END AS verdict FROM d"""
 
 
 def mixing_sql() -> str:

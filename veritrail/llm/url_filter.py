@@ -1,20 +1,27 @@
 """URL filters: host and path rules, then exact list membership by a cascade of Bloom filters.
 
-The cascade's first level encodes the listed keys. Over the complete universe of keys, the second
+A list is a table of keys: hosts, each with all its subdomains, and directories (a host and the first part of a path). The universe is all keys that the urls of a
+corpus have: their hosts, the domains above these, and their directories.
+
+The cascade's first level encodes the listed keys. Over the complete universe, the second
 encodes the first's false positives, the third those listed keys that the second wrongly holds, and so
 on until a level has no false positive. A key is listed if the number of levels that hold it, up to
 the first that doesn't, is odd. Every level is a constant of the plan, so judging a row takes no join.
 
+A long list is cut into shards of about SHARD_KEYS keys by a hash of the key, each with a cascade of its own. A plan holds the constants of
+up to SHARDS_AT_ONCE of them; for a longer list the rows are read in as many passes as that takes, each of which adds what its shards
+list, so no size of a list leads to a join.
+
 Edge cases: a null url, or one without "://", has an empty host and path and fits no rule; an empty host is
 a key like any other. Repeated urls get the same verdict each. An empty table gives an empty
 table. Other columns of the input are ignored. Keys outside the universe may be judged wrongly, as in
-any Bloom filter, so the universe must hold the keys of all rows to be judged.
+any Bloom filter, so the universe must hold the keys of all rows to be judged. Null keys of a list are left out.
 """
 
 from __future__ import annotations
 
 import math
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -29,10 +36,14 @@ RULES = (
     ("allow", "com/fr/"),
     ("block", "com/de/"),
 )
-#: Terms that put a host on the list if one of its hyphenated labels has them as a part.
+#: Terms that put a host on the default list if one of its hyphenated labels is one of them, and parameters that mark a url as a campaign's.
 BLOCKED_TERMS = ("adult", "ads", "bets", "casino", "pills", "spam")
-#: More keys in one level than this (1.25 MB of bits at the default rate) are joined instead of encoded.
-MAX_KEYS = 1_000_000
+CAMPAIGN = r"[?&](?:utm_[a-z]+|ref|aff|affid|clickid|gclid|fbclid)="
+#: A directory is on the default list if it has so many urls at least and more than half of them are a campaign's.
+LEAST_URLS = 3
+SHARD_KEYS = 500_000  #: 0.6 MB of bits at the default rate
+SHARDS_AT_ONCE = 16
+CHUNK_WORDS = 256  #: words of a filter that come as one value
 FALSE_POSITIVES = 0.01
 WORD_BITS = 32
 
@@ -57,13 +68,24 @@ def rule_of(host: Column, path: Column, rules: Sequence[tuple[str, str]] = RULES
     return rule, verdict
 
 
+def directory_of(host: Column, path: Column) -> Column:
+    """The host and the first part of the path, if the path has further parts."""
+    return F.concat(host, F.regexp_extract(path, r"^(?:/[^/]*/)?", 0))
+
+
+def domains_of(host: Column) -> Column:
+    """The host and all domains above it."""
+    labels = F.split(host, r"\.")
+    return F.transform(F.sequence(F.lit(1), F.size(labels)), lambda i: F.array_join(F.slice(labels, i, F.size(labels)), "."))
+
+
 class Level:
     """One Bloom filter as a constant expression."""
 
-    def __init__(self, number: int, bits: int, hashes: int, words: dict[int, int]):
+    def __init__(self, number: int, bits: int, hashes: int, chunks: dict[int, bytes]):
         self.number, self.bits, self.hashes = number, bits, hashes
-        size = bits // WORD_BITS
-        self.data = b"".join(words.get(i, 0).to_bytes(WORD_BITS // 8, "big") for i in range(size))
+        empty = bytes(CHUNK_WORDS * WORD_BITS // 8)
+        self.data = b"".join(chunks.get(i, empty) for i in range(bits // (WORD_BITS * CHUNK_WORDS)))
 
     def holds(self, key: Column) -> Column:
         out = F.lit(True)
@@ -80,10 +102,24 @@ def positions(key: Column, number: int, bits: int, hashes: int) -> list[Column]:
 
 
 def size_for(keys: int, rate: float) -> tuple[int, int]:
-    """Bits (a multiple of the word) and number of hash functions."""
+    """Bits (a multiple of a chunk) and number of hash functions."""
     bits = max(64, math.ceil(keys * math.log(1 / rate) / math.log(2) ** 2))
     hashes = max(1, round(bits / max(keys, 1) * math.log(2)))
-    return -(-bits // WORD_BITS) * WORD_BITS, min(hashes, 7)
+    chunk = WORD_BITS * CHUNK_WORDS
+    return -(-bits // chunk) * chunk, min(hashes, 7)
+
+
+def filter_chunks(keys: DataFrame, number: int, bits: int, hashes: int) -> dict[int, bytes]:
+    """The filter's bits by chunk: words are summed up as a partially aggregated bitwise or, and put together natively."""
+    at = F.explode(F.array(*positions(F.col("key"), number, bits, hashes))).alias("at")
+    word = F.floor(F.col("at") / WORD_BITS).alias("word")
+    mask = F.bit_or(F.call_function("shiftleft", F.lit(1).cast("long"), (F.col("at") % WORD_BITS).cast("int"))).alias("mask")
+    words = keys.select(at).groupBy(word).agg(mask)
+    held = F.map_from_entries(F.collect_list(F.struct((F.col("word") % CHUNK_WORDS).cast("int"), "mask")))  # CHUNK_WORDS at most
+    chunks = words.groupBy(F.floor(F.col("word") / CHUNK_WORDS).alias("chunk")).agg(held.alias("m"))
+    digits = F.transform(F.sequence(F.lit(0), F.lit(CHUNK_WORDS - 1)), lambda i: F.lpad(F.hex(F.coalesce(F.try_element_at(F.col("m"), i), F.lit(0).cast("long"))), WORD_BITS // 4, "0"))
+    rows = chunks.select("chunk", F.unhex(F.array_join(digits, "")).alias("bytes")).collect()  # bits / 8 bytes
+    return {int(r.chunk): bytes(r.bytes) for r in rows}
 
 
 class Cascade:
@@ -100,11 +136,10 @@ class Cascade:
         return out
 
 
-def build_cascade(universe: DataFrame, rate: float = FALSE_POSITIVES, max_keys: int = MAX_KEYS) -> Cascade | None:
-    """From rows (key string, listed boolean), each key once. None if a level would pass max_keys.
+def build_cascade(universe: DataFrame, rate: float = FALSE_POSITIVES) -> Cascade:
+    """From rows (key string, listed boolean), each key once.
 
-    Each level takes one pass over the keys still in question. A level's bits are gathered as one
-    aggregated row for each 32-bit word: bits / 32 rows at most, and bits has the proven bound above.
+    Each level takes one pass over the keys still in question, and its bits reach the driver as one value for each chunk.
     """
     levels: list[Level] = []
     asked = universe
@@ -112,47 +147,69 @@ def build_cascade(universe: DataFrame, rate: float = FALSE_POSITIVES, max_keys:
         number = len(levels)
         side = F.col("listed") if number % 2 == 0 else ~F.col("listed")
         keys = asked.filter(side).count()
-        if keys > max_keys:
-            return None
         if keys == 0 and levels:
             return Cascade(levels)
         bits, hashes = size_for(keys, rate)
-        at = F.explode(F.array(*positions(F.col("key"), number, bits, hashes))).alias("at")
-        word = F.floor(F.col("at") / WORD_BITS).alias("word")
-        mask = F.bit_or(F.call_function("shiftleft", F.lit(1).cast("long"), (F.col("at") % WORD_BITS).cast("int"))).alias("mask")
-        rows = asked.filter(side).select(at).groupBy(word).agg(mask).collect() if keys else []
-        level = Level(number, bits, hashes, {int(r.word): int(r.mask) for r in rows})
+        level = Level(number, bits, hashes, filter_chunks(asked.filter(side), number, bits, hashes) if keys else {})
         levels.append(level)
         asked = asked.filter(level.holds(F.col("key")))
 
 
-def judge_urls(
-    pages: DataFrame,
-    rules: Sequence[tuple[str, str]] = RULES,
-    terms: Sequence[str] = BLOCKED_TERMS,
-    listed: DataFrame | None = None,
-    max_keys: int = MAX_KEYS,
-) -> DataFrame:
+def shard_of(key: Column, shards: int) -> Column:
+    return F.pmod(F.xxhash64(key, F.lit("shard")), F.lit(shards)).cast("int")
+
+
+def in_shards(cascades: dict[int, Cascade], shards: int) -> Callable[[Column], Column]:
+    """Whether a key is listed by the cascade of its shard; false for shards that aren't among cascades."""
+
+    def listed(key: Column) -> Column:
+        if shards == 1:
+            return cascades[0].listed(key)
+        found = F.lit(False)
+        for s, c in cascades.items():
+            found = F.when(shard_of(key, shards) == s, c.listed(key)).otherwise(found)
+        return found
+
+    return listed
+
+
+def marked(rows: DataFrame, keys: Column, universe: DataFrame, out: str, shard_keys: int = SHARD_KEYS, at_once: int = SHARDS_AT_ONCE) -> DataFrame:
+    """rows with out: whether one of keys (an array) is listed. universe: (key, listed), written."""
+    shards = max(1, -(-universe.filter("listed").count() // shard_keys))
+    for first in range(0, shards, at_once):
+        own = range(first, min(first + at_once, shards))
+        cascades = {s: build_cascade(universe.filter(shard_of(F.col("key"), shards) == s)) for s in own}
+
+        found = F.exists(keys, in_shards(cascades, shards))
+        rows = rows.withColumn(out, found if not first else F.col(out) | found)
+        if first + at_once < shards:  # the constants of one pass at a time
+            rows = settle(rows, "url-pass")
+    return rows
+
+
+def default_list(rows: DataFrame, terms: Sequence[str] = BLOCKED_TERMS) -> DataFrame:
+    """(key): of rows (host, path, url), hosts by their labels, and directories by what most of their urls are."""
+    hosts = rows.select(F.col("host").alias("key")).filter(F.col("key").rlike(r"(^|[.-])(" + "|".join(terms) + r")([.-]|$)")).distinct()
+    place = directory_of(F.col("host"), F.col("path"))
+    campaign = F.sum(F.coalesce(F.col("url").rlike(CAMPAIGN), F.lit(False)).cast("long"))
+    urls = rows.filter(F.col("host") != "").groupBy(place.alias("key")).agg(F.count("*").alias("n"), campaign.alias("m")).filter((F.col("n") >= LEAST_URLS) & (2 * F.col("m") > F.col("n")))
+    return hosts.unionByName(urls.filter(F.col("key").endswith("/")).select("key")).distinct()
+
+
+def judge_urls(pages: DataFrame, rules: Sequence[tuple[str, str]] = RULES, terms: Sequence[str] = BLOCKED_TERMS, listed: DataFrame | None = None, shard_keys: int = SHARD_KEYS, at_once: int = SHARDS_AT_ONCE) -> DataFrame:
     """(page_id, host, path, rule, verdict) of every row.
 
-    listed: keys (column key) that are blocked where no rule fits; by default the hosts of the universe with
-    a label part among terms.
+    listed: keys (column key) that are blocked where no rule fits, as hosts with their subdomains or directories "host/part/"; by default default_list().
     """
-    rows = pages.select("page_id", host_of(F.col("url")).alias("host"), path_of(F.col("url")).alias("path"))
+    full = pages.select("page_id", "url", host_of(F.col("url")).alias("host"), path_of(F.col("url")).alias("path"))
+    rows = full.drop("url")
+    keys = F.array_append(domains_of(F.col("host")), directory_of(F.col("host"), F.col("path")))
+    mark = (default_list(full, terms) if listed is None else listed.select("key")).dropna().distinct().withColumn("listed", F.lit(True))
+    places = rows.select("host", directory_of(F.col("host"), F.col("path")).alias("place")).distinct()  # before keys are listed, so that each is once
+    every = places.select(F.explode(F.array_append(domains_of(F.col("host")), F.col("place"))).alias("key")).distinct()
+    universe = settle(every.join(mark, "key", "left").withColumn("listed", F.coalesce("listed", F.lit(False))), "url-keys")
     rule, verdict = rule_of(F.col("host"), F.col("path"), rules)
-    hosts = rows.select(F.col("host").alias("key")).groupBy("key").agg(F.lit(1).alias("one")).drop("one")
-    if listed is None:
-        flagged = hosts.withColumn("listed", F.col("key").rlike(r"(^|[.-])(" + "|".join(terms) + r")([.-]|$)"))
-    else:
-        mark = listed.select("key").distinct().withColumn("listed", F.lit(True))
-        flagged = hosts.join(mark, "key", "left").withColumn("listed", F.coalesce("listed", F.lit(False)))
-    universe = settle(flagged, "url-keys")
-    cascade = build_cascade(universe, max_keys=max_keys)
-    if cascade is not None:
-        blocked = cascade.listed(F.col("host"))
-    else:  # an exact way for lists beyond the bound
-        mark = free_name(rows, "listed")
-        rows = rows.join(universe.filter("listed").select(F.col("key").alias("host"), F.lit(True).alias(mark)), "host", "left")
-        blocked = F.coalesce(F.col(mark), F.lit(False))
-    found = F.coalesce(verdict, F.when(blocked, "block").otherwise("allow"))
+    blocked = free_name(rows, "blocked")
+    rows = marked(rows, keys, universe, blocked, shard_keys, at_once)
+    found = F.coalesce(verdict, F.when(F.col(blocked), "block").otherwise("allow"))
     return rows.select("page_id", "host", "path", rule.alias("rule"), found.alias("verdict"))
