@@ -39,7 +39,8 @@ SPACES = re.compile(r"\s+")
 VOID = frozenset("area base br col embed hr img input link meta source track wbr".split())
 RAW = frozenset("script style textarea title xmp iframe noembed noframes".split())  # tags in these are text
 CODE = frozenset("script style".split())
-INLINE = frozenset("a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd label mark q s samp small span strike strong sub sup time tt u var".split())
+INLINE = frozenset("a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd label mark q s samp small span strike strong sub sup time tt u var math mrow mi mo mn ms mtext msup msub msubsup mfrac msqrt svg canvas object picture".split())
+FOREIGN = frozenset("svg math canvas object".split())  #: "/>" ends these
 #: An opening tag of the key ends an open element of these.
 CLOSES = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"}, "option": {"option"}}
 BLOCKS = frozenset("address article aside blockquote details dialog div dl fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 header hr main menu nav ol p pre section table ul".split())
@@ -127,7 +128,7 @@ class Tree:
                 self.add(node, "#text", (), page[at : done.start() if done else end], block)
                 at = done.end() if done else end
                 continue
-            if not m.group(0).endswith("/>") or name in INLINE or name in BLOCKS:
+            if not m.group(0).endswith("/>") or name in BLOCKS or name in INLINE and name not in FOREIGN:
                 open_.append(node)
                 floor.append(floor[-1] if name in INLINE else len(open_) - 1)
                 names[name] += 1
