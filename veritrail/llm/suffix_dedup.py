@@ -198,13 +198,13 @@ def halve(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                     continue
                 core = (place - a, place - b + LENGTH)  # what all windows of that kind share
                 part = (first, last + LENGTH)
-                ends = roller.of(sums, np.array([core[0], part[0]]), np.array([core[1], part[1]]))
-                new = int((ends[:1] * np.uint64(a * LENGTH + b + 1)).view(np.int64)[0])
-                out.append((new, key, print_, at + first, last - first + 1, data[part[0] : part[1]], twin, place - first, a, b, int(ends[1:].view(np.int64)[0])))
+                ends = roller.of(sums, np.array([core[0]]), np.array([core[1]]))
+                new = int((ends * np.uint64(a * LENGTH + b + 1)).view(np.int64)[0])
+                out.append((new, key, print_, at + first, last - first + 1, data[part[0] : part[1]], twin, place - first, a, b))
         yield split_batch(out)
 
 
-SPLIT = "group long, key long, print long, at int, n int, bytes binary, twin boolean, place int, lo int, hi int, sub long"
+SPLIT = "group long, key long, print long, at int, n int, bytes binary, twin boolean, place int, lo int, hi int"
 SPLIT_NAMES = [c.split()[0] for c in SPLIT.split(", ")]
 KINDS = {"long": pa.int64(), "int": pa.int32(), "binary": pa.binary(), "boolean": pa.bool_()}
 SPLIT_TYPES = [KINDS[c.split()[1]] for c in SPLIT.split(", ")]
@@ -223,7 +223,7 @@ def fetch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for text, want in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
             data = to_utf8(text)
             for w in want:
-                out.append((w["key"], w["key"], w["print"], 0, w["n"], data[w["start"] : w["start"] + w["n"] + LENGTH - 1], w["twin"], w["place"], 0, LENGTH - GRAM, w["print"]))
+                out.append((w["key"], w["key"], w["print"], 0, w["n"], data[w["start"] : w["start"] + w["n"] + LENGTH - 1], w["twin"], w["place"], 0, LENGTH - GRAM))
         yield split_batch(out)
 
 
@@ -231,21 +231,20 @@ def shared_windows(contents: DataFrame, hot: int) -> list[DataFrame]:
     """Tables (key, print, ranges) of what the contents of each group share."""
     found = []
     names = ["group", "key", "print", "at", "n", "bytes", "twin"]
-    first = True
     while True:
-        groups = contents.groupBy("group").agg(F.count("*").alias("rows"), (F.min("sub") == F.max("sub")).alias("same")).filter("rows > 1")
-        groups = settle(groups, "repeat-groups")
-        if not first:  # copies of one content are covered as a whole
-            same = contents.join(groups.filter("same").select("group"), "group").select("key", "print", F.array(F.struct(F.col("at").alias("a"), (F.col("at") + F.col("n")).alias("b"))).alias("ranges"))
-            found.append(settle(same, "repeat-found"))
-            groups = groups.filter("not same")
+        groups = settle(contents.groupBy("group").agg(F.count("*").alias("rows")).filter("rows > 1"), "repeat-groups")
         few = contents.join(groups.filter(F.col("rows") <= hot).select("group"), "group").select(*names)
         found.append(settle(few.repartition("group").sortWithinPartitions("group").mapInArrow(sort_task, FOUND), "repeat-found"))
         many = groups.filter(F.col("rows") > hot).select("group")
         if many.isEmpty():
             return found
-        contents = settle(contents.join(many, "group").select(*names, "place", "lo", "hi").mapInArrow(halve, SPLIT), "repeat-halves")
-        first = False
+        large = contents.join(many, "group")
+        # what can't be halved any more is one window: all of a group's bytes are the same, and need no order
+        same = settle(large.groupBy("group").agg((F.min("bytes") == F.max("bytes")).alias("same")), "repeat-same")
+        marked = settle(large.join(same, "group"), "repeat-large")
+        whole = marked.filter("same").select("key", "print", F.array(F.struct(F.col("at").alias("a"), (F.col("at") + F.col("n")).alias("b"))).alias("ranges"))
+        found.append(settle(whole, "repeat-found"))
+        contents = settle(marked.filter("not same").select(*names, "place", "lo", "hi").mapInArrow(halve, SPLIT), "repeat-halves")
 
 
 def covered(docs: DataFrame, hot: int, *kept: str) -> tuple[DataFrame, DataFrame]:
