@@ -24,7 +24,7 @@ MOST = 3  #: a target stops at this many times its source's size
 CYCLE = 3  #: weights 1, 2, 3, repeating
 LEVELS, LEVEL_BITS, HASH_BITS = 3, 10, 60
 #: Source tables up to this many rows are broadcast (some 100 bytes a row); larger ones are joined.
-BROADCAST_SOURCES = 10_000
+BROADCAST_SOURCES = 100_000
 
 
 def place(doc_id: Column) -> Column:
