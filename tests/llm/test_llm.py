@@ -4,8 +4,11 @@ import hashlib
 import math
 import random
 import re
+import time
+import unicodedata
 import zlib
 from collections import Counter
+from itertools import combinations
 
 import numpy as np
 import pytest
@@ -55,7 +58,6 @@ def test_tokens(docs, rows, spark, tmp_path):
     from tokenizers import Tokenizer
 
     tok = Tokenizer.from_file(tokenizer_path("byte_bpe_50k.json"))
-    tok.encode_special_tokens = True
     path = token_store.write_tokens(docs, tokenizer_path("byte_bpe_50k.json"), f"file://{tmp_path}/tokens")
     got = sorted(token_store.read_tokens(spark, path).collect(), key=lambda r: r.start)
     assert [r.doc_id for r in got] == sorted((r[0] for r in rows), key=lambda x: (x is not None, x or 0))
@@ -100,14 +102,52 @@ def test_quality(docs, rows, spark):
 
 def test_quality_learns():
     r = np.random.default_rng(1)
-    x = r.random((3000, len(quality.FEATURES)))
-    poor = (x[:, 0] > 0.7) & (x[:, 1] < 0.5) | (x[:, 3] > 0.9)
-    rules = quality.cover(x, poor)
-    y = r.random((3000, x.shape[1]))
-    hit = np.zeros(3000, bool)
-    for rule in rules:
-        hit |= quality.fits(rule, y)
-    assert (hit == ((y[:, 0] > 0.7) & (y[:, 1] < 0.5) | (y[:, 3] > 0.9))).mean() > 0.98
+    truth = lambda x: (x[:, 0] > 0.7) & (x[:, 1] < 0.5) | (x[:, 3] > 0.9)
+    x, y = r.random((2, 3000, len(quality.FEATURES)))
+    rules = quality.cover(x, truth(x))
+    assert any(len(rule.tests) > 1 for rule in rules) and (quality.judged(rules, y) == truth(y)).mean() > 0.98
+
+
+def test_quality_rules_in_order():
+    """A rule of the other verdict comes first where that gains more, and decides."""
+    r = np.random.default_rng(2)
+    x, y = r.random((2, 4000, len(quality.FEATURES)))
+    truth = lambda x: (x[:, 2] > 0.4) & (x[:, [0, 1, 4, 5, 6]] > 0.85).any(axis=1)
+    rules = quality.cover(x, truth(x))
+    assert not rules[0].poor and any(rule.poor for rule in rules)
+    assert (quality.judged(rules, y) == truth(y)).mean() > 0.96
+
+
+def test_quality_only_poor_left():
+    x = np.zeros((300, len(quality.FEATURES)))
+    x[:, 0] = np.arange(300) % 10
+    assert (quality.judged(quality.cover(x, x[:, 0] > 7), x) == (x[:, 0] > 7)).all()
+
+
+def plain_features(t):
+    w = words(t)
+    n, chars, symbols, dup, cover, _ = base_stats(t)
+    share = lambda a, b: a / max(b, 1)
+    lines = sum(bool(WORD.search(x)) for x in (t or "").split("\n"))
+    upper, marks = sum(unicodedata.category(c) == "Lu" for c in t or ""), sum(c in ".,;:?" for c in t or "")
+    digits, ends = sum(c in "0123456789" for c in t or ""), sum(x[-1] in "#*$%&|<>!" for x in w)
+    return [share(symbols, n), share(cover, n), share(dup, lines), share(upper, chars), share((t or "").count("!"), n), share(marks, n), share(digits, chars), share(ends, n), share(len(set(w)), n)]
+
+
+def test_quality_verdicts(spark):
+    """The verdicts of a learned list in Spark are those of the list in plain Python; it is right on documents that it wasn't learned from."""
+    docs, labels = (spark.read.parquet(f"/root/testdata/sf0.01/{t}.parquet") for t in ("documents", "labels"))
+    rules = quality.learn(docs, labels)
+    assert rules
+    got = {r.doc_id: r for r in quality.quality_report(docs, labels).collect()}
+    text = {r.doc_id: r.text for r in docs.collect()}
+    x = np.array([plain_features(t) for t in text.values()])
+    poor = quality.judged(rules, x)
+    for (d, t), bad in zip(text.items(), poor, strict=True):
+        assert got[d].base_failed == base_stats(t)[5] and got[d].kept == (not (got[d].base_failed or bad))
+    x, y = quality.labelled(*(spark.read.parquet(f"/root/testdata/sf0.1/{t}.parquet") for t in ("documents", "labels")))
+    bad = quality.judged(quality.cover(x[::2], y[::2]), x[1::2])
+    assert (bad & ~y[1::2]).sum() <= 0.05 * bad.sum() and (bad & y[1::2]).sum() >= 0.8 * y[1::2].sum()
 
 
 def test_html_pages(spark):
@@ -119,22 +159,42 @@ def test_html_pages(spark):
         wrong += sum(((a - b) + (b - a)).values())
         total += sum(b.values())
     assert wrong < 0.02 * total
+    without = html_extract.Model(model.weights, 0 * model.edge)  # messages do the work
+    pages = [html_training.expected(page) for page in html_training.generate(40, 78)]
+    lost = sum(sum(((a := Counter(html_extract.extract(s, without).split())) - (b := Counter(w.split())) | (b - a)).values()) for s, w in pages)
+    assert lost > 0.2 * sum(len(w.split()) for _, w in pages)
     df = spark.createDataFrame([(1, "u", None, "x"), (2, "u", "", "x"), (3, None, "<article><p>A &amp; B<br>c\n d &#233;</p><p>e <b>f</b>g.</p></article><footer>no</footer>", "x"), (None, "u", "<", "x")], "page_id long, url string, html string, text string")
     got = {r.page_id: (r.text, r.n_chars) for r in html_extract.extract_text(df, model).collect()}
     assert got[1] == got[2] == ("", 0) and got[3] == ("A & B c d é e fg.", 17) and None in got
 
 
+def test_html_details():
+    model = html_extract.default_model()
+    body = "<p>One sentence is here, with a mark.</p><p>Another one follows, as long as this.</p>"
+    wanted = "One sentence is here, with a mark. Another one follows, as long as this."
+    for attribute in ("class=it's", 'title=5"', "alt='a>b'", "data-x = \"'\""):
+        assert html_extract.extract(f"<html><body><article><p {attribute}>First of all, a start.</p>{body}</article></body></html>", model) == f"First of all, a start. {wanted}"
+    math = html_extract.extract("<article><p>The value of <math><mi>x</mi><mo>=</mo><mn>2</mn></math> is known, as we saw. <svg/>It is so.</p></article>", model)
+    assert math == "The value of x=2 is known, as we saw. It is so."
+    assert html_extract.extract("<article><p>a\u200bb and\u00a0more text, here.</p></article>", model) == "a\u200bb and more text, here."
+    for page in ("<div>" * 100_000 + "x", "<b>" * 50_000 + "<div>x</div>" * 500 + "</i>" * 50_000, "<p><span>" * 50_000 + "</u>" * 50_000):
+        began = time.perf_counter()
+        html_extract.extract(page, model)
+        assert time.perf_counter() - began < 10
+
+
 def test_tree_marginals():
     """Messages give the marginals of the whole joint distribution."""
-    tree = html_extract.Tree("<div><p>a</p><ul><li>b<li>c</ul></div>")
+    tree = html_extract.Tree("<div><p>a</p><ul class=menu><li>b<li><b>c</b></ul></div>")
     r = np.random.default_rng(2)
-    model = html_extract.Model(r.standard_normal(html_extract.N_FEATURES), r.standard_normal((2, 2)))
+    model = html_extract.Model(r.standard_normal(html_extract.N_FEATURES), r.standard_normal((html_extract.KINDS, 2, 2)))
     own = html_extract.features(tree) @ model.weights
-    n = len(own)
+    assert np.allclose(own, model.own(tree))
+    n, kind = len(own), html_extract.kinds(tree)
     total, each = 0.0, np.zeros(n)
     for bits in range(1 << n):
         y = [(bits >> i) & 1 for i in range(n)]
-        p = math.exp(sum(own[i] * y[i] for i in range(n)) + sum(model.edge[y[tree.parent[i]], y[i]] for i in range(1, n)))
+        p = math.exp(sum(own[i] * y[i] for i in range(n)) + sum(model.edge[kind[i], y[tree.parent[i]], y[i]] for i in range(1, n)))
         total += p
         each += p * np.array(y)
     assert np.allclose(model.marginals(tree), each / total)
@@ -246,11 +306,11 @@ def test_neighbours(spark):
     x = r.standard_normal((900, 24)).astype(np.float32)
     x[100:160] = x[50]
     items = [(i, v.tolist(), 0, "v") for i, v in enumerate(x)] + [(901, None, 0, "v"), (902, [0.0] * 24, 0, "v"), (903, [float("nan")] * 24, 0, "v"), (904, [None] * 24, 0, "v"), (905, [], 0, "v")]
-    df = spark.createDataFrame(items, "vec_id long, embedding array<float>, label int, v string")
+    df = spark.createDataFrame(items, "vec_id long, embedding array<float>, label int, v string").repartition(3)
     got: dict = {}
     for row in ann.nearest(df, rows=300, queries=8).collect():
         got.setdefault(row.query_id, []).append((row.rank, row.vec_id, row.score))
-    d = x.astype(float)
+    d = ann.scaled(x.astype(float))
     norm = np.sqrt((d * d).sum(axis=1))
     hits = 0
     assert set(got) == set(range(0, 900, 50))
@@ -259,13 +319,35 @@ def test_neighbours(spark):
         s[q] = -9
         best = np.lexsort((np.arange(900), -s))[:5].tolist()
         found.sort()
-        assert [f[0] for f in found] == [1, 2, 3, 4, 5] and all(f[2] == s[f[1]] for f in found)
+        assert [f[0] for f in found] == [1, 2, 3, 4, 5] and all(f[2] == pytest.approx(s[f[1]], rel=1e-14) for f in found)
         hits += len({f[1] for f in found} & set(best))
     assert hits >= 0.9 * 5 * len(got)
     few = ann.nearest(df.filter("vec_id < 3")).collect()
     assert sorted((r.query_id, r.rank) for r in few) == [(0, 1), (0, 2)]
 
 
+def test_neighbours_of_repeated_rows(spark):
+    """Repeated ids and vectors, ties at the last rank, and components near the end of the range."""
+    r = np.random.default_rng(6)
+    x = r.integers(-2, 3, (60, 4)).astype(float)
+    x[0] = [1, 0, 0, 0]
+    x[1:4] = [1e200, 1e200, 0, 0]
+    x[4] = [3e-320, 3e-320, 0, 0]
+    x[20:50] = [1, 1, 0, 0]
+    ids = [int(k) for k in np.arange(60)]
+    ids[40:45] = [50, 50, 50, 100, 100]
+    ids[50] = 0
+    use = np.flatnonzero((x != 0).any(axis=1))
+    df = spark.createDataFrame([(ids[k], x[k].tolist()) for k in range(60)] + [(None, [1.0] * 4)], "vec_id long, embedding array<double>").repartition(4)
+    got = Counter((q.query_id, q.rank, q.vec_id, q.score) for q in ann.nearest(df, rows=20, queries=2).collect())
+    want: Counter = Counter()
+    for q in use:
+        if ids[q] % 50 == 0:
+            near = sorted((-float(ann.cosines(x[q : q + 1], x[k : k + 1])[0]), ids[k]) for k in use if k != q)[:5]
+            want.update((ids[q], n + 1, i, -s) for n, (s, i) in enumerate(near))
+    assert got == want
+
+
 def test_urls(spark):
     urls = ["http://A.Example.ORG/es/1?x", "https://example.org/en/12", "https://notexample.org/en/12", "http://x.com/fr/", "http://x.com/fr", "http://x.com/de/#a", "http://casino.net/", None, "no scheme", "http://", "http://org/", "a://b://c/d", "http://www.free-bets.example.net?q", "http://casino.net/"]
     df = spark.createDataFrame([(k, u, "h") for k, u in enumerate(urls)], "page_id long, url string, host string")
@@ -281,12 +363,22 @@ def test_cascade_is_exact(spark):
     for rate in (0.3, 0.01):
         c = url_filter.build_cascade(df, rate)
         assert df.filter(c.listed(F.col("key")) != F.col("listed")).count() == 0 and len(c.levels) > 1
-    assert url_filter.build_cascade(df, max_keys=10) is None
     pages = spark.createDataFrame([(k, f"http://{h}/") for k, (h, _) in enumerate(keys[:100])], "page_id long, url string")
-    listed = df.filter("listed").select("key")
-    for most in (1_000_000, 1):  # encoded, and joined beyond the bound
-        got = url_filter.judge_urls(pages, (), listed=listed, max_keys=most).collect()
-        assert all((r.verdict == "block") == (r.page_id % 7 == 0) for r in got)
+    listed = spark.createDataFrame([(k,) for k, yes in keys if yes] + [(None,), ("no.such",)], "key string")
+    for shard_keys, at_once in ((500_000, 16), (4, 2)):  # one shard, and several passes
+        judged = url_filter.judge_urls(pages, (), listed=listed, shard_keys=shard_keys, at_once=at_once)
+        assert "Join" not in judged._jdf.queryExecution().executedPlan().toString()
+        assert all((r.verdict == "block") == (r.page_id % 7 == 0) for r in judged.collect())
+
+
+def test_listed_domains_and_directories(spark):
+    urls = ["http://a.b.example/x/1", "http://b.example/", "http://xb.example/", "http://c.example/y/z/1?q", "http://c.example/y2/z", "http://c.example/y", "http://d.c.example/y/z", None]
+    listed = spark.createDataFrame([("b.example",), ("c.example/y/",)], "key string")
+    df = spark.createDataFrame(list(enumerate(urls)), "page_id long, url string")
+    got = {r.page_id: r.verdict for r in url_filter.judge_urls(df, (), listed=listed).collect()}
+    assert [got[k] for k in range(len(urls))] == ["block", "block", "allow", "block", "allow", "allow", "allow", "allow"]
+    many = spark.createDataFrame([(k, f"http://e.example/{'ads' if k < 5 else 'news'}/{k}{'?utm_source=x' if k in (0, 1, 2, 7) else ''}") for k in range(10)], "page_id long, url string")
+    assert {r.page_id for r in url_filter.judge_urls(many).collect() if r.verdict == "block"} == set(range(5))
 
 
 def test_mixing(docs, rows):
@@ -318,6 +410,16 @@ def test_mixing(docs, rows):
     assert mixed.columns == docs.columns and mixed.select(F.sum(F.regexp_count("text", F.lit(WORD.pattern)))).first()[0] == sum(r.taken for r in got)
 
 
+def test_mixing_of_many_sources(spark, monkeypatch):
+    """The same mix if the sources are too many to broadcast, with one of them far ahead."""
+    rows = [(k, "w " * (k % 13), "hot" if k % 3 == 0 else f"s{k % 200}") for k in range(3000)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    want = mixing.mix_report(docs).collect()
+    monkeypatch.setattr(mixing, "BROADCAST_SOURCES", 1)
+    by_rows(mixing.mix_report(docs).collect(), [tuple(r) for r in want])
+    by_rows(mixing.mix(docs).groupBy("doc_id").count().collect(), [(r.doc_id, r.taken // r["size"]) for r in want if r.taken])
+
+
 def test_packing(docs, rows):
     got = packing.pack_documents(docs, (16, 64, 128), block=20).collect()
     bins: dict = {}
@@ -333,6 +435,48 @@ def test_packing(docs, rows):
     assert sum(r.n_words for r in got) == sum(len(words(r[1])) for r in rows)
     assert Counter(r.doc_id for r in got if r.piece == 0) == Counter(r[0] for r in rows)
     assert packing.pack([]) == ([], [], [])
+    many = docs.sparkSession.createDataFrame([(1, "a b c")] * 700 + [(2, "d e")], "doc_id long, text string")
+    packed = packing.pack_documents(many, (16, 64), block=50)
+    assert packed.count() == 701 and packed.groupBy(F.shiftright("bin_id", 32)).count().agg(F.max("count")).first()[0] <= 4 * packing.COPIES
+
+
+def plain_best_fit(sizes, capacities, final):
+    """The same rules with a plain list of bins: (sorted contents and capacity of each bin)."""
+    bins = []  # [capacity, pieces]
+    order = sorted(sizes, reverse=True)
+    for k, s in enumerate(order):
+        fits = [b for b in bins if b[0] - sum(b[1]) >= s]
+        if fits:
+            least = min(b[0] - sum(b[1]) for b in fits)
+            next(b for b in reversed(fits) if b[0] - sum(b[1]) == least)[1].append(s)
+        else:
+            each = {c: packing.cost(c) / max(1, min(c, s + sum(x for x in order[k + 1 :] if x <= c - s))) for c in capacities if c >= s}
+            bins.append([min(each, key=lambda c: (each[c], c)), [s]])
+    return sorted((min(c for c in final if c >= sum(p)), sum(p)) for _, p in bins)
+
+
+def test_best_fit_is_joint():
+    r = random.Random(7)
+    for trial in range(30):
+        sizes = [min(100, int(r.paretovariate(0.8) * 4)) for _ in range(r.randint(1, 80))]
+        final = [16, 32, 64, 128]
+        plans = {}
+        for n in range(1, 5):
+            for some in combinations(final, n):
+                if some[-1] >= max(sizes):
+                    where, _, capacity = packing.best_fit(sorted(range(len(sizes)), key=lambda i: -sizes[i]), sizes, some, final)
+                    used = Counter()
+                    for b, s in zip(where, sizes, strict=True):
+                        used[b] += s
+                    want = plain_best_fit(sizes, some, final)
+                    assert Counter(c for c, _ in want) == Counter(capacity) or sum(capacity) == sum(c for c, _ in want)
+                    assert all(used[b] <= c for b, c in enumerate(capacity))
+                    plans[some] = sum(map(packing.cost, capacity))
+        assert sum(map(packing.cost, packing.pack(sizes, final)[2])) == min(plans.values())
+    sizes = [int(r.paretovariate(0.9) * 60) % 4000 for _ in range(800)]
+    alone = min(sum(map(packing.cost, packing.best_fit(sorted(range(800), key=lambda i: -sizes[i]), sizes, (c,), list(packing.CAPACITIES))[2])) for c in packing.CAPACITIES if c >= max(sizes))
+    best = packing.pack(sizes)
+    assert sum(map(packing.cost, best[2])) < 0.95 * alone and len(set(best[2])) > 1
 
 
 def test_scores(docs, rows, monkeypatch):
@@ -340,34 +484,53 @@ def test_scores(docs, rows, monkeypatch):
     monkeypatch.setattr(lm_scoring, "JOIN_BYTES", 1000)
     tokens = [[*(t or "").encode().lower().split(), None] for _, t, *_ in rows]
     held = [r[0] is not None and zlib.crc32(str(r[0]).encode()) % 7 == 2 for r in rows]
-    one, two, n_docs = Counter(), Counter(), sum(not h for h in held)
-    for w, h in zip(tokens, held, strict=True):
-        if not h:
-            one.update(w)
-            two.update(zip(["<"] + w[:-1], w, strict=True))
-    n, v = sum(one.values()), len(one)
+    tunes = [not h and (r[0] is None or zlib.crc32(str(r[0]).encode()) // 7 % 8 == 0) for r, h in zip(rows, held, strict=True)]
+
+    def counted(use):
+        one, two = Counter(), Counter()
+        for w, u in zip(tokens, use, strict=True):
+            if u:
+                one.update(w)
+                two.update(zip(["<"] + w[:-1], w, strict=True))
+        return one, two, sum(use)
+
+    one, two, n_docs = counted([not h for h in held])
+    fit_one, fit_two, fit_docs = counted([not h and not t for h, t in zip(held, tunes, strict=True)])
+    n, v, fit_n = sum(one.values()), len(one), sum(fit_one.values())
     before = lambda x: n_docs if x == "<" else one[x]
-    cvw, cv, cw = (np.array(a) for a in zip(*[(c, before(a), one[b]) for (a, b), c in two.items()], strict=True))
-    cells, weights = lm_scoring.statistics(cvw, cv, cw, n)
-    mix = lm_scoring.mixture(list(zip(cells.tolist(), weights.tolist(), strict=True)), v)
+    of_fit = lambda x: fit_docs if x == "<" else fit_one[x]
+    level = lambda c: int(math.log2(c + 1))
+    seen: dict = {}
+    for (a, b), times in counted(tunes)[1].items():  # expectation-maximisation token by token
+        seen.setdefault(level(of_fit(a)), []).append((times, (fit_two[a, b] / max(of_fit(a), 1), fit_one[b] / fit_n, 1 / (v + 1))))
+    mix = {}
+    for bucket, items in seen.items():
+        k = [1 / 3] * 3
+        for _ in range(50):
+            new = [0.0] * 3
+            for times, p in items:
+                total = sum(x * y for x, y in zip(k, p, strict=True))
+                new = [x + times * y * z / total for x, y, z in zip(new, k, p, strict=True)]
+            k = [x / sum(new) for x in new]
+        mix[bucket] = k
     want = []
     for r, w, h in zip(rows, tokens, held, strict=True):
         base = sum(math.log10((one[x] + 1) / (n + v + 1)) for x in w)
         score = 0.0
         for a, b in zip(["<"] + w[:-1], w, strict=True):
-            k = mix[lm_scoring.bucket(np.array([before(a)]))[0]]
+            k = mix.get(level(before(a)), [0, 0.9, 0.1])
             score += math.log10(k[0] * two[a, b] / max(before(a), 1) + k[1] * one[b] / n + k[2] / (v + 1))
         want.append((r[0], h, len(w), sum(one[x] > 0 for x in w), n, base, score))
     got = lm_scoring.lm_scores(docs).collect()
     key = lambda r: (r[0] is None, r[0] or 0, r[2])
     for g, e in zip(sorted(map(tuple, got), key=key), sorted(want, key=key), strict=True):
-        assert g[:5] == e[:5] and g[5] == pytest.approx(e[5], rel=1e-9) and g[6] == pytest.approx(e[6], rel=0.05)  # weights come from rounded statistics
+        assert g[:5] == e[:5] and g[5] == pytest.approx(e[5], rel=1e-9) and g[6] == pytest.approx(e[6], rel=0.005)  # weights come from cells of like probabilities
 
 
 def test_mixture_prefers_better_models():
     """On text that follows pairs, the pair model gets the weight; weights add up to one."""
-    cells, weights = lm_scoring.statistics(np.full(500, 40), np.full(500, 41), np.full(500, 40), 20_000)
-    w = lm_scoring.mixture(list(zip(cells.tolist(), weights.tolist(), strict=True)), 500)
+    stats = lm_scoring.statistics(np.full(500, 5), np.full(500, 40), np.full(500, 41), np.full(500, 40), 20_000)
+    w = lm_scoring.mixture(list(zip(*(x.tolist() for x in stats), strict=True)), 500)
     assert w[5, 0] > 0.9 and np.allclose(w.sum(axis=1), 1)
 
 
