@@ -486,41 +486,54 @@ def test_scores(docs, rows, monkeypatch):
     held = [r[0] is not None and zlib.crc32(str(r[0]).encode()) % 7 == 2 for r in rows]
     tunes = [not h and (r[0] is None or zlib.crc32(str(r[0]).encode()) // 7 % 8 == 0) for r, h in zip(rows, held, strict=True)]
 
+    marked = [["<", *w] for w in tokens]
+
     def counted(use):
-        one, two = Counter(), Counter()
-        for w, u in zip(tokens, use, strict=True):
+        one, two, three = Counter(), Counter(), Counter()
+        for w, m, u in zip(tokens, marked, use, strict=True):
             if u:
                 one.update(w)
-                two.update(zip(["<"] + w[:-1], w, strict=True))
-        return one, two, sum(use)
-
-    one, two, n_docs = counted([not h for h in held])
-    fit_one, fit_two, fit_docs = counted([not h and not t for h, t in zip(held, tunes, strict=True)])
-    n, v, fit_n = sum(one.values()), len(one), sum(fit_one.values())
-    before = lambda x: n_docs if x == "<" else one[x]
-    of_fit = lambda x: fit_docs if x == "<" else fit_one[x]
+                two.update(zip(m, m[1:]))  # noqa: B905
+                three.update(zip(m, m[1:], m[2:]))  # noqa: B905
+        one["<"] = sum(use)
+        return one, two, three
+
     level = lambda c: int(math.log2(c + 1))
-    seen: dict = {}
-    for (a, b), times in counted(tunes)[1].items():  # expectation-maximisation token by token
-        seen.setdefault(level(of_fit(a)), []).append((times, (fit_two[a, b] / max(of_fit(a), 1), fit_one[b] / fit_n, 1 / (v + 1))))
-    mix = {}
-    for bucket, items in seen.items():
-        k = [1 / 3] * 3
-        for _ in range(50):
-            new = [0.0] * 3
-            for times, p in items:
-                total = sum(x * y for x, y in zip(k, p, strict=True))
-                new = [x + times * y * z / total for x, y, z in zip(new, k, p, strict=True)]
-            k = [x / sum(new) for x in new]
-        mix[bucket] = k
+
+    def learned(items, n):
+        """Expectation-maximisation n-gram by n-gram."""
+        out = {}
+        for bucket in {level(c) for c, *_ in items}:
+            k = [1 / n] * n
+            own = [(times, p) for c, times, p in items if level(c) == bucket]
+            for _ in range(50):
+                new = [0.0] * n
+                for times, p in own:
+                    total = sum(x * y for x, y in zip(k, p, strict=True))
+                    new = [x + times * y * z / total for x, y, z in zip(new, k, p, strict=True)]
+                k = [x / sum(new) for x in new]
+            out[bucket] = k
+        return out
+
+    full, fit, tune = counted([not h for h in held]), counted([not h and not t for h, t in zip(held, tunes, strict=True)]), counted(tunes)
+    size = lambda c: sum(c[0].values()) - c[0]["<"]
+    n, v = size(full), len(full[0]) - 1
+
+    def parts(c, a, b):
+        return c[1][a, b] / max(c[0][a], 1), c[0][b] / size(c), 1 / (v + 1)
+
+    mix = learned([(fit[0][a], times, parts(fit, a, b)) for (a, b), times in tune[1].items()], 3)
+    pair = lambda c, a, b: sum(x * y for x, y in zip(mix.get(level(c[0][a]), (0, 0.9, 0.1)), parts(c, a, b), strict=True))
+    of = lambda c, a, b, d: (c[2][a, b, d] / max(c[1][a, b], 1), pair(c, b, d))
+    longer = learned([(fit[1][a, b], times, of(fit, a, b, d)) for (a, b, d), times in tune[2].items()], 2)
     want = []
-    for r, w, h in zip(rows, tokens, held, strict=True):
-        base = sum(math.log10((one[x] + 1) / (n + v + 1)) for x in w)
-        score = 0.0
-        for a, b in zip(["<"] + w[:-1], w, strict=True):
-            k = mix.get(level(before(a)), [0, 0.9, 0.1])
-            score += math.log10(k[0] * two[a, b] / max(before(a), 1) + k[1] * one[b] / n + k[2] / (v + 1))
-        want.append((r[0], h, len(w), sum(one[x] > 0 for x in w), n, base, score))
+    for r, w, m, h in zip(rows, tokens, marked, held, strict=True):
+        base = sum(math.log10((full[0][x] + 1) / (n + v + 1)) for x in w)
+        score = math.log10(pair(full, "<", w[0]))
+        for a, b, d in zip(m, m[1:], m[2:]):  # noqa: B905
+            k = longer.get(level(full[1][a, b]), (0, 1))
+            score += math.log10(sum(x * y for x, y in zip(k, of(full, a, b, d), strict=True)))
+        want.append((r[0], h, len(w), sum(full[0][x] > 0 for x in w), n, base, score))
     got = lm_scoring.lm_scores(docs).collect()
     key = lambda r: (r[0] is None, r[0] or 0, r[2])
     for g, e in zip(sorted(map(tuple, got), key=key), sorted(want, key=key), strict=True):
@@ -529,8 +542,8 @@ def test_scores(docs, rows, monkeypatch):
 
 def test_mixture_prefers_better_models():
     """On text that follows pairs, the pair model gets the weight; weights add up to one."""
-    stats = lm_scoring.statistics(np.full(500, 5), np.full(500, 40), np.full(500, 41), np.full(500, 40), 20_000)
-    w = lm_scoring.mixture(list(zip(*(x.tolist() for x in stats), strict=True)), 500)
+    stats = lm_scoring.statistics(np.full(500, 5), np.full(500, 41), np.full(500, 40 / 41), np.full(500, 40 / 20_000))
+    w = lm_scoring.mixture(list(zip(*(c.to_pylist() for c in stats.columns), strict=True)), 1 / 501, (0.0, 0.9, 0.1))
     assert w[5, 0] > 0.9 and np.allclose(w.sum(axis=1), 1)
 
 

@@ -1,18 +1,21 @@
-"""Language-model scores of texts: a bigram model by deleted interpolation.
+"""Language-model scores of texts: a trigram model by deleted interpolation.
 
-    P(w | v) = a[b] c(vw) / c(v) + b[b] c(w) / N + c[b] / (V + 1),   b: bucket of c(v) by powers of two
+    P(w | v) = b[1] c(vw) / c(v) + b[2] c(w) / N + b[3] / (V + 1),   b: of the bucket of c(v) by powers of two
+    P(w | uv) = d c(uvw) / c(uv) + (1 - d) P(w | v),   d: of the bucket of c(uv)
 
 with c the counts in training documents, and for each bucket mixture weights by expectation-maximisation on held-out
-counts: one training document in TUNED is set apart for that, and its tokens are predicted from the counts of the others. Scores
-use the counts of all training documents.
+counts: one training document in TUNED is set apart for that, and its tokens are predicted from the counts of the others; first the weights of pairs, words and the
+uniform share, then those of triples. Scores use the counts of all training documents. A text's first token has the mark before texts as its only context.
 
-Counts are exact and cover all training documents; words and word pairs are known by 64-bit hashes. Texts are
-cut into units of some MB. A unit asks for the counts of its distinct words, then of its distinct pairs, as packed
+Counts are exact and cover all training documents; words, pairs and triples are known by 64-bit hashes. Texts are
+cut into units of some MB. A unit asks for the counts of its distinct words, then of its distinct pairs, then of its triples, as packed
 sorted arrays, one for each hash range; a task adds up the arrays of a range and answers in their order. So a pair
-that is frequent is one entry of each unit, and nothing is kept by all. Pairs of a word that no other unit has
-are counted at home. A row of questions holds one entry at least, and short arrays are not compressed, so rows and bytes are
-never more than in proportion to the entries. The statistics for the weights are summed in cells of like probabilities, each with its mean
-probabilities, so only the spread within a cell (an eighth of a power of two each way) is lost to them. Units are written once, bucketed, and stay where they are; only questions and answers move.
+that is frequent is one entry of each unit, and nothing is kept by all. Pairs of a word that no other unit has, and triples of a pair
+that no other unit has, are counted at home. A row of questions holds one entry at least, and short arrays are not compressed, so rows and bytes are
+never more than in proportion to the entries. Units are written once, bucketed, and stay where they are; only questions and answers move.
+
+The statistics for the weights come from the units, each for its own held-out tokens, with counts of all. They are summed in cells of like probabilities, each with its mean
+probabilities, so only the spread within a cell (an eighth of a power of two each way) is lost to them.
 
 Edge cases: a null or empty text, or one of white space, is its end token alone. A null id counts as remainder 0
 (training). Without training documents N and V are 0, all scores come from 1 / (V + 1). Rows with the same id are
@@ -25,11 +28,12 @@ from __future__ import annotations
 import math
 import uuid
 from collections.abc import Iterator
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
 import zstandard
-from pyspark.sql import DataFrame, Row
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from veritrail.llm.anchors import mix
@@ -50,8 +54,10 @@ MULTIPLIER = np.uint64(0x9E3779B97F4A7C15)
 START, END = np.uint64(0x0123456789ABCDEF), np.uint64(0xFEDCBA9876543210)  #: hashes of the marks
 
 UNITS = "unit long, doc_ids array<long>, held array<boolean>, tunes array<boolean>, sizes array<int>, n_words int, words binary, trained binary, tuned binary, tokens binary"
-ASKED = "span int, unit long, n int, hashes binary, counts binary, tuned binary, cv binary, cw binary"
-CELL = ("cell", "weight", "p2", "p1")
+ASKED = "span int, unit long, n int, hashes binary, counts binary, tuned binary"
+ANSWER = "span int, unit long, counts binary, tuned binary, alone binary"
+STATISTIC = "cell long, weight double, high double, low double"
+TOTALS = "seen long, tokens long, tuned long"
 SCORED = "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double"
 
 
@@ -174,12 +180,16 @@ def spans(hashes: np.ndarray, bits: int) -> list[tuple[int, int, int]]:
     return [(int(own[a]), int(a), int(b)) for a, b in zip(cuts[:-1], cuts[1:], strict=True)]
 
 
+def questions(unit: int, bits: int, hashes: np.ndarray, counts: np.ndarray, tuned: np.ndarray) -> pa.RecordBatch:
+    """ASKED of a unit's sorted hashes: a row for each range."""
+    return columns([(s, unit, b - a, pack_sorted(hashes[a:b]), pack_ints(counts[a:b]), pack_ints(tuned[a:b])) for s, a, b in spans(hashes, bits)], ASKED)
+
+
 def ask_words(bits: int):  # noqa: ANN201
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for unit, words, trained, tuned in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                h, n, m = unpack_sorted(words), unpack_ints(trained, np.uint32), unpack_ints(tuned, np.uint32)
-                yield columns([(s, unit, b - a, pack_sorted(h[a:b]), pack_ints(n[a:b]), pack_ints(m[a:b]), None, None) for s, a, b in spans(h, bits)], ASKED)
+                yield questions(unit, bits, unpack_sorted(words), unpack_ints(trained, np.uint32), unpack_ints(tuned, np.uint32))
 
     return run
 
@@ -196,44 +206,35 @@ def by_span(batches: Iterator[pa.RecordBatch]) -> Iterator[list[tuple]]:
         yield held
 
 
-ANSWER = "span int, unit long, counts binary, tuned binary, alone binary, kind int, cell long, weight double, p2 double, p1 double"
-
-
-def answer_rows(rows: list[tuple]) -> pa.RecordBatch:
-    """Statistics (cell, weight, p2, p1) as rows of ANSWER."""
-    return columns([(None, None, None, None, None, 1, *r) for r in rows], ANSWER)
-
-
-def add_up(pairs: bool, tokens: int):  # noqa: ANN201
-    """Rows ASKED sorted by span -> answers (kind 0), and statistics (kind 1). tokens: of the documents that aren't held out."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for rows in by_span(batches):
-            if rows[0][0] < 0:  # statistics of pairs counted at home
-                for r in rows:
-                    yield answer_rows(list(zip(*(np.frombuffer(r[k], t).tolist() for k, t in ((3, np.int64), (4, np.float64), (6, np.float64), (7, np.float64))), strict=True)))
-                continue
-            hashes = np.concatenate([unpack_sorted(r[3]) for r in rows])
-            order = np.argsort(hashes, kind="stable")
-            sorted_ = hashes[order]
-            first = np.flatnonzero(np.append(True, sorted_[1:] != sorted_[:-1]))
-            counts, tuned = (np.concatenate([unpack_ints(r[k], np.uint32) for r in rows]).astype(np.int64) for k in (4, 5))
-            sums, tunes = (np.add.reduceat(x[order], first) for x in (counts, tuned))
-            asking = np.diff(np.append(first, len(hashes)))
-            out, of_tuned, alone = np.empty(len(hashes), np.uint32), np.empty(len(hashes), np.uint32), np.empty(len(hashes), np.uint8)
-            out[order], of_tuned[order], alone[order] = np.repeat(sums, asking), np.repeat(tunes, asking), np.repeat(asking == 1, asking)
-            at = 0
-            for r in rows:
-                own = slice(at, at + r[2])
-                yield columns([(r[0], r[1], pack_ints(out[own]), None if pairs else pack_ints(of_tuned[own]), None if pairs else pack_ints(alone[own]), 0, None, None, None, None)], ANSWER)
-                at += r[2]
-            if pairs:
-                cv, cw = (np.concatenate([unpack_ints(r[k], np.uint32) for r in rows])[order][first].astype(np.int64) for k in (6, 7))
-                yield answer_rows(list(zip(*(x.tolist() for x in statistics(tunes, sums - tunes, cv, cw, tokens)), strict=True)))
-            else:
-                yield answer_rows([(k, float(v), 0.0, 0.0) for k, v in enumerate(((sums > 0).sum(), sums.sum(), tunes.sum()))])
-
-    return run
+def add_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows ASKED sorted by span -> ANSWER: of each entry the counts of all units, and whether no other unit asked."""
+    for rows in by_span(batches):
+        hashes = np.concatenate([unpack_sorted(r[3]) for r in rows])
+        order = np.argsort(hashes, kind="stable")
+        sorted_ = hashes[order]
+        first = np.flatnonzero(np.append(True, sorted_[1:] != sorted_[:-1]))
+        asking = np.diff(np.append(first, len(hashes)))
+        out = []
+        for k in (4, 5):
+            counts = np.concatenate([unpack_ints(r[k], np.uint32) for r in rows]).astype(np.int64)
+            of = np.empty(len(hashes), np.uint32)
+            of[order] = np.repeat(np.add.reduceat(counts[order], first), asking)
+            out.append(of)
+        alone = np.empty(len(hashes), np.uint8)
+        alone[order] = np.repeat(asking == 1, asking)
+        at = 0
+        for r in rows:
+            own = slice(at, at + r[2])
+            yield columns([(r[0], r[1], pack_ints(out[0][own]), pack_ints(out[1][own]), pack_ints(alone[own]))], ANSWER)
+            at += r[2]
+
+
+def totals(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows ASKED sorted by span -> TOTALS of the distinct entries."""
+    for rows in by_span(batches):
+        hashes = np.concatenate([unpack_sorted(r[3]) for r in rows])
+        counts, tuned = (np.concatenate([unpack_ints(r[k], np.uint32) for r in rows]).astype(np.int64) for k in (4, 5))
+        yield columns([(len(np.unique(hashes[counts > 0])), int(counts.sum()), int(tuned.sum()))], TOTALS)
 
 
 def bucket(cv: np.ndarray) -> np.ndarray:
@@ -245,124 +246,193 @@ def cell_of(p: np.ndarray) -> np.ndarray:
         return np.where(p > 0, np.clip(1 + np.round(-STEPS * np.log2(p)), 1, CELLS - 1), 0).astype(np.int64)
 
 
-def statistics(tuned: np.ndarray, cvw: np.ndarray, cv: np.ndarray, cw: np.ndarray, tokens: int) -> tuple[np.ndarray, ...]:
-    """(cells, weights, sums of p2, of p1): probabilities, from the counts cvw, cv and cw, of the pairs held out, each as often as tuned says."""
+def statistics(tuned: np.ndarray, context: np.ndarray, high: np.ndarray, low: np.ndarray) -> pa.RecordBatch:
+    """STATISTIC of n-grams held out, each as often as tuned says: by the context's count and the probabilities of the longer and the shorter n-gram."""
     use = tuned > 0
-    times, cvw, cv, cw = tuned[use].astype(np.float64), cvw[use], cv[use], cw[use]
-    p2, p1 = cvw / np.maximum(cv, 1), cw / max(tokens, 1)
-    cells = (bucket(cv) * CELLS + cell_of(p2)) * CELLS + cell_of(p1)
+    times, context, high, low = tuned[use].astype(np.float64), context[use], high[use], low[use]
+    cells = (bucket(context) * CELLS + cell_of(high)) * CELLS + cell_of(low)
     found, own = np.unique(cells, return_inverse=True)
-    return found, *(np.bincount(own, x, len(found)) for x in (times, times * p2, times * p1))
+    sums = [np.bincount(own, x, len(found)).tolist() for x in (times, times * high, times * low)]
+    return columns(list(zip(found.tolist(), *sums, strict=True)), STATISTIC)
 
 
-def mixture(stats: list[tuple[int, float, float, float]], vocabulary: int) -> np.ndarray:
-    """(BUCKETS, 3) weights of pair, word and uniform probabilities."""
-    out = np.tile([0.0, 0.9, 0.1], (BUCKETS, 1))
+def mixture(stats: list[tuple[int, float, float, float]], uniform: float | None, default: tuple[float, ...]) -> np.ndarray:
+    """(BUCKETS, 3) weights of the longer, the shorter and the uniform probability; (BUCKETS, 2) of the first two if there is no uniform one."""
+    n = len(default)
+    out = np.tile(default, (BUCKETS, 1)).astype(float)
     if not stats:
         return out
-    cell, weight, p2, p1 = (np.array(c) for c in zip(*stats, strict=True))
-    p = np.stack([p2 / weight, p1 / weight, np.full(len(cell), 1 / (vocabulary + 1))], axis=1)
+    cell, weight, high, low = (np.array(c) for c in zip(*stats, strict=True))
+    p = np.stack([high / weight, low / weight, np.full(len(cell), uniform or 0.0)][:n], axis=1)
     of = cell // CELLS**2
     for b in np.unique(of):
-        q, n = p[of == b], weight[of == b]
-        w = np.full(3, 1 / 3)
+        q, times = p[of == b], weight[of == b]
+        w = np.full(n, 1 / n)
         for _ in range(ROUNDS):
             share = q * w
-            w = (n[:, None] * share / share.sum(axis=1, keepdims=True)).sum(axis=0) / n.sum()
-        w = np.maximum(w, [0, 1e-9, 1e-9])  # no text gets probability zero
+            w = (times[:, None] * share / share.sum(axis=1, keepdims=True)).sum(axis=0) / times.sum()
+        w = np.maximum(w, [0] + [1e-9] * (n - 1))  # no text gets probability zero
         out[b] = w / w.sum()
     return out
 
 
+class Facts(NamedTuple):
+    """Totals of training documents, and of those among them that aren't held out for the weights."""
+
+    tokens: int
+    vocabulary: int
+    documents: int
+    fitted_tokens: int
+    fitted_documents: int
+
+
 class Unit:
-    """A unit with its words' counts, and its pairs."""
+    """A unit with its words' counts, its pairs and triples, and the counts of these where they are answered."""
 
-    def __init__(self, row: dict, word_answers: list):
-        self.row = row
+    def __init__(self, row: dict, facts: Facts):
+        self.row, self.facts = row, facts
         self.words = unpack_sorted(row["words"])
         self.tokens = unpack_ints(row["tokens"], np.uint32).astype(np.int64)
         self.sizes, self.held = np.array(row["sizes"], np.int64), np.array(row["held"], bool)
-        self.cw, self.tw = joined(word_answers), joined(word_answers, "tuned")
-        self.alone = joined(word_answers, "alone", np.uint8).astype(bool)
+        self.cw, self.fw, self.word_alone = answers_of(row["word_answers"])
         self.starts = np.cumsum(self.sizes) - self.sizes
+        self.train, self.tune = (np.repeat(of, self.sizes) for of in (~self.held, np.array(row["tunes"], bool)))
         n = len(self.words)
         previous = np.append(n, self.tokens[:-1])  # n: the mark before each text
         previous[self.starts] = n
-        local = previous * (n + 1) + self.tokens
-        pair, self.own = np.unique(local, return_inverse=True)
+        pair, self.own = np.unique(previous * (n + 1) + self.tokens, return_inverse=True)
         self.v, self.w = pair // (n + 1), pair % (n + 1)
-        self.count, self.tuned = (np.bincount(self.own[np.repeat(of, self.sizes)], minlength=len(pair)).astype(np.uint32) for of in (~self.held, np.array(row["tunes"], bool)))
+        self.count, self.tuned = self.counted(self.own, len(pair))
+        alone = np.append(self.word_alone, False)
+        self.pair_home = alone[self.v] | alone[self.w]
+        self.cv, self.fv = np.append(self.cw, facts.documents)[self.v], np.append(self.fw, facts.fitted_documents)[self.v]
 
-    def contexts(self, documents: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Of each pair: c(v), c(w), and whether it is counted at home."""
-        alone = np.append(self.alone, False)
-        return np.append(self.cw, documents)[self.v], self.cw[self.w], alone[self.v] | alone[self.w]
+    def counted(self, own: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
+        return tuple(np.bincount(own[of], minlength=n).astype(np.uint32) for of in (self.train, self.tune))
 
-    def fitted(self, documents: int) -> tuple[np.ndarray, np.ndarray]:
-        """Of each pair: c(v) and c(w) without what is held out for the weights; documents: also without."""
-        c = self.cw - self.tw
-        return np.append(c, documents)[self.v], c[self.w]
-
-    def hashes(self) -> np.ndarray:
+    def pair_hashes(self) -> np.ndarray:
         words = np.append(self.words, START)
         return mix(words[self.v] * MULTIPLIER ^ mix(words[self.w] + MULTIPLIER))
 
+    def answer_pairs(self) -> None:
+        """c(vw) of all documents and without those held out, and triples: each by the pair before a token's and its own."""
+        self.cvw, self.fvw, self.pair_alone = filled(self.count, self.tuned, self.pair_home, self.pair_hashes, self.row["pair_answers"])
+        n = len(self.v)
+        before = np.append(n, self.own[:-1])  # n: none
+        before[self.starts] = n
+        triple, self.own3 = np.unique(before * n + self.own, return_inverse=True)
+        self.before, self.pair = np.divmod(triple, n)
+        self.count3, self.tuned3 = self.counted(self.own3, len(triple))
+        alone = np.append(self.pair_alone, True)
+        self.first = self.before == n
+        self.home3 = alone[self.before] | alone[self.pair]
+        self.cuv, self.fuv = np.append(self.cvw, 0)[self.before], np.append(self.fvw, 0)[self.before]
+
+    def triple_hashes(self) -> np.ndarray:
+        h = np.append(self.pair_hashes(), START)
+        return mix(h[self.before] * MULTIPLIER ^ mix(h[self.pair] + MULTIPLIER))
+
+    def answer_triples(self) -> None:
+        self.cuvw, self.fuvw, _ = filled(self.count3, self.tuned3, self.home3, self.triple_hashes, self.row["triple_answers"])
+
+    def ask(self, bits: int, hashes: np.ndarray, home: np.ndarray, count: np.ndarray, tuned: np.ndarray) -> pa.RecordBatch:
+        use = np.flatnonzero(~home)
+        use = use[np.argsort(hashes[use])]
+        return questions(self.row["unit"], bits, hashes[use], count[use], tuned[use])
+
+    def pair_probabilities(self, fitted: bool) -> tuple[np.ndarray, np.ndarray]:
+        """Of each pair: c(vw) / c(v), c(w) / N."""
+        cvw, cv, cw, n = (self.fvw, self.fv, self.fw, self.facts.fitted_tokens) if fitted else (self.cvw, self.cv, self.cw, self.facts.tokens)
+        return cvw / np.maximum(cv, 1), cw[self.w] / max(n, 1)
+
+    def pair_mixed(self, weights: np.ndarray, fitted: bool) -> np.ndarray:
+        p2, p1 = self.pair_probabilities(fitted)
+        w = weights[bucket(self.fv if fitted else self.cv)]
+        return w[:, 0] * p2 + w[:, 1] * p1 + w[:, 2] / (self.facts.vocabulary + 1)
+
+
+def filled(count: np.ndarray, tuned: np.ndarray, home: np.ndarray, hashes, answers: list | None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:  # noqa: ANN001
+    """Counts of all, counts without what is held out for the weights, and whether no other unit has the entry: a unit's own counts, or the answers."""
+    c, f, alone = count.astype(np.int64), count.astype(np.int64) - tuned, home.copy()
+    use = np.flatnonzero(~home)
+    if len(use):
+        use = use[np.argsort(hashes()[use])]
+        c[use], f[use], alone[use] = answers_of(answers)
+    return c, f, alone
+
+
+def answers_of(answers: list | None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Counts, counts without those held out for the weights, alone."""
+    counts, tuned = joined(answers), joined(answers, "tuned")
+    return counts, counts - tuned, joined(answers, "alone", np.uint8).astype(bool)
+
 
 def joined(answers: list, what: str = "counts", kind: type = np.uint32) -> np.ndarray:
     parts = [unpack_ints(a[what], kind) for a in sorted(answers or [], key=lambda a: a["span"])]
     return np.concatenate(parts).astype(np.int64) if parts else np.zeros(0, np.int64)
 
 
-def ask_pairs(bits: int, tokens: int, documents: int):  # noqa: ANN201
-    """tokens, documents: without those held out for the weights."""
+def each_unit(facts: Facts, of) -> object:  # noqa: ANN001
+    """A mapInArrow function: of(unit) for each row."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for row in batch.to_pylist():
-                unit = Unit(row, row["word_answers"])
-                home = unit.contexts(documents)[2]
-                cv, cw = unit.fitted(documents)
-                cells, *sums = statistics(unit.tuned[home], (unit.count - unit.tuned)[home], cv[home], cw[home], tokens)
-                yield columns([(-1, row["unit"], 0, cells.astype(np.int64).tobytes(), sums[0].tobytes(), None, sums[1].tobytes(), sums[2].tobytes())], ASKED)
-                ask = np.flatnonzero(~home)
-                h = unit.hashes()[ask]
-                order = np.argsort(h)
-                h, ask = h[order], ask[order]
-                for s, a, b in spans(h, bits):
-                    k = ask[a:b]
-                    yield columns([(s, row["unit"], b - a, pack_sorted(h[a:b]), *(pack_ints(x[k].astype(np.uint32)) for x in (unit.count, unit.tuned, cv, cw)))], ASKED)
+                yield of(Unit(row, facts))
 
     return run
 
 
-def score(tokens: int, vocabulary: int, documents: int, weights: np.ndarray):  # noqa: ANN201
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for row in batch.to_pylist():
-                unit = Unit(row, row["word_answers"])
-                cv, cw, home = unit.contexts(documents)
-                cvw = unit.count.astype(np.int64)
-                ask = np.flatnonzero(~home)
-                if len(ask):
-                    cvw[ask[np.argsort(unit.hashes()[ask])]] = joined(row["pair_answers"])
-                w = weights[bucket(cv)]
-                p = w[:, 0] * cvw / np.maximum(cv, 1) + w[:, 1] * cw / max(tokens, 1) + w[:, 2] / (vocabulary + 1)
-                log_p = np.log10(p)[unit.own]
-                base = np.log10((unit.cw + 1) / (tokens + 1 * (vocabulary + 1)))[unit.tokens]
-                known = (unit.cw > 0)[unit.tokens].astype(np.int64)
-                add = lambda x: np.add.reduceat(x, unit.starts).tolist()  # noqa: B023, E731
-                n = len(unit.sizes)
-                yield columns(list(zip(row["doc_ids"], row["held"], unit.sizes.tolist(), add(known), [tokens] * n, add(base), add(log_p), strict=True)), SCORED)
+def ask_pairs(bits: int):  # noqa: ANN201
+    return lambda u: u.ask(bits, u.pair_hashes(), u.pair_home, u.count, u.tuned)
 
-    return run
+
+def ask_triples(bits: int):  # noqa: ANN201
+    def of(u: Unit) -> pa.RecordBatch:
+        u.answer_pairs()
+        return u.ask(bits, u.triple_hashes(), u.home3, u.count3, u.tuned3)
+
+    return of
+
+
+def pair_statistics(u: Unit) -> pa.RecordBatch:
+    u.answer_pairs()
+    return statistics(u.tuned, u.fv, *u.pair_probabilities(True))
+
+
+def triple_statistics(weights: np.ndarray):  # noqa: ANN201
+    def of(u: Unit) -> pa.RecordBatch:
+        u.answer_pairs()
+        u.answer_triples()
+        return statistics(np.where(u.first, 0, u.tuned3), u.fuv, u.fuvw / np.maximum(u.fuv, 1), u.pair_mixed(weights, True)[u.pair])
+
+    return of
+
+
+def score(weights: np.ndarray, longer: np.ndarray):  # noqa: ANN201
+    def of(u: Unit) -> pa.RecordBatch:
+        u.answer_pairs()
+        u.answer_triples()
+        d = np.where(u.first[:, None], [0.0, 1.0], longer[bucket(u.cuv)])
+        p = d[:, 0] * u.cuvw / np.maximum(u.cuv, 1) + d[:, 1] * u.pair_mixed(weights, False)[u.pair]
+        base = np.log10((u.cw + 1) / (u.facts.tokens + 1 * (u.facts.vocabulary + 1)))[u.tokens]
+        add = lambda x: np.add.reduceat(x, u.starts).tolist()
+        known = add((u.cw > 0)[u.tokens].astype(np.int64))
+        return columns(list(zip(u.row["doc_ids"], u.row["held"], u.sizes.tolist(), known, [u.facts.tokens] * len(u.sizes), add(base), add(np.log10(p)[u.own3]), strict=True)), SCORED)
+
+    return of
+
+
+def answered(asked: DataFrame, name: str) -> DataFrame:
+    """(unit, name): a unit's answers, written."""
+    got = asked.repartition("span").sortWithinPartitions("span").mapInArrow(add_up, ANSWER)
+    return settle(got.groupBy("unit").agg(F.collect_list(F.struct("span", "counts", "tuned", "alone")).alias(name)), f"lm-{name}")
 
 
-def answered(asked: DataFrame, pairs: bool, tokens: int = 0) -> tuple[DataFrame, list[Row]]:
-    """(unit, answers), and the statistics summed by cell: at most BUCKETS x CELLS x CELLS rows reach the driver."""
-    got = settle(asked.repartition("span").sortWithinPartitions("span").mapInArrow(add_up(pairs, tokens), ANSWER), "lm-answers")
-    stats = got.filter("kind = 1").groupBy("cell").agg(*[F.sum(c).alias(c) for c in CELL[1:]]).orderBy("cell").collect()
-    answers = got.filter("kind = 0").groupBy("unit").agg(F.collect_list(F.struct("span", "counts", "tuned", "alone")).alias("answers"))
-    return answers, stats
+def collected(units: DataFrame, facts: Facts, of) -> list[tuple]:  # noqa: ANN001
+    """Statistics of all units, summed by cell: at most BUCKETS x CELLS x CELLS rows reach the driver."""
+    sums = units.mapInArrow(each_unit(facts, of), STATISTIC).groupBy("cell").agg(*[F.sum(c).alias(c) for c in ("weight", "high", "low")])
+    return [tuple(r) for r in sums.orderBy("cell").collect()]
 
 
 def range_bits(entries: int) -> int:
@@ -390,17 +460,20 @@ def lm_scores(docs: DataFrame) -> DataFrame:
 
 
 def scored(units: DataFrame) -> DataFrame:
-    """SCORED for every document of the units, written: both joins find units where they are, by their buckets."""
+    """SCORED for every document of the units, written: all joins find units where they are, by their buckets."""
     count = lambda of: F.sum(F.size(of))
-    facts = units.agg(F.sum("n_words").alias("n"), count(F.filter("held", lambda h: ~h)).alias("docs"), count(F.filter("tunes", lambda t: t)).alias("tuned"), F.sum(F.aggregate("sizes", F.lit(0).cast("long"), lambda s, x: s + x)).alias("tokens")).first()
-    documents = facts.docs or 0
-    asked = units.select("unit", "words", "trained", "tuned").mapInArrow(ask_words(range_bits(facts.n or 0)), ASKED)
-    words, totals = answered(asked, False)
-    vocabulary, tokens, tuned = (int(next((r.weight for r in totals if r.cell == k), 0)) for k in range(3))
-    words = settle(words.withColumnRenamed("answers", "word_answers"), "lm-words")
-    fitted = (tokens - tuned, documents - (facts.tuned or 0))
-    asked = units.join(words.hint("shuffle_hash"), "unit").mapInArrow(ask_pairs(range_bits(facts.tokens or 0), *fitted), ASKED)
-    pairs, stats = answered(asked, True, fitted[0])
-    weights = mixture([tuple(s) for s in stats], vocabulary)
-    both = units.join(words.hint("shuffle_hash"), "unit").join(pairs.withColumnRenamed("answers", "pair_answers").hint("shuffle_hash"), "unit", "left")
-    return settle(both.mapInArrow(score(tokens, vocabulary, documents, weights), SCORED), "lm-scores")
+    sizes = units.agg(F.sum("n_words").alias("n"), count(F.filter("held", lambda h: ~h)).alias("docs"), count(F.filter("tunes", lambda t: t)).alias("tuned"), F.sum(F.aggregate("sizes", F.lit(0).cast("long"), lambda s, x: s + x)).alias("tokens")).first()
+    asked = units.select("unit", "words", "trained", "tuned").mapInArrow(ask_words(range_bits(sizes.n or 0)), ASKED)
+    words = answered(asked, "word_answers")
+    sums = asked.repartition("span").sortWithinPartitions("span").mapInArrow(totals, TOTALS).agg(*[F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in ("seen", "tokens", "tuned")]).first()
+    documents = sizes.docs or 0
+    facts = Facts(sums.tokens, sums.seen, documents, sums.tokens - sums.tuned, documents - (sizes.tuned or 0))
+    bits = range_bits(sizes.tokens or 0)
+    known = units.join(words.hint("shuffle_hash"), "unit")
+    pairs = answered(known.mapInArrow(each_unit(facts, ask_pairs(bits)), ASKED), "pair_answers")
+    known = known.join(pairs.hint("shuffle_hash"), "unit", "left")
+    weights = mixture(collected(known, facts, pair_statistics), 1 / (facts.vocabulary + 1), (0.0, 0.9, 0.1))
+    triples = answered(known.mapInArrow(each_unit(facts, ask_triples(bits)), ASKED), "triple_answers")
+    known = known.join(triples.hint("shuffle_hash"), "unit", "left")
+    longer = mixture(collected(known, facts, triple_statistics(weights)), None, (0.0, 1.0))
+    return settle(known.mapInArrow(each_unit(facts, score(weights, longer)), SCORED), "lm-scores")
