@@ -10,12 +10,13 @@ random orders of its shingles. Sets alike at 0.8 have a key in common with a cha
 
 1. In a bucket, or a part of HOT rows of a large one with the bucket's first node, leaders are chosen: each row is paired with the first leader
    within the radius (bit-sliced), or becomes one. Each row's most frequent leader is decided by whole sets; links make components.
-2. In buckets that still hold several components, each row is paired with the nearest of another component, again decided by whole
-   sets; this is repeated, as groups of many copies grow together so.
-3. What is left is compared in full, bit-sliced, row by row of different components. Buckets of more than HOT rows are dealt anew by first shingles: if
+2. All rows that had others in their buckets, and may have links besides, are dealt to groups by first shingles: if
    all shingles have one global order, sets of n and m shingles that are alike share one among the first n - ceil(0.8 n) + 1 and
-   m - ceil(0.8 m) + 1. Rare shingles come first in that order; how rare they are is counted on a sample, which has a say in how large
-   these groups are only. Larger ones still go to several tasks as pairs of blocks.
+   m - ceil(0.8 m) + 1. Rare shingles come first in that order, so rows that only have a common passage do not meet; how rare they are is counted on a sample, which has
+   a say in how large groups are only. In groups that hold several components, each row is paired with the nearest of another one, again decided by whole sets, as
+   groups of many copies grow together so.
+3. In groups that still hold several components, all rows of different ones are compared, bit-sliced; in those of more than HOT rows, the rows outside the most
+   frequent component are compared with all, part by part. Again whole sets decide.
 
 Edge cases: words are cut at the six ASCII spaces and A-Z is lowered; a text of fewer words than a shingle is one shingle, so null and
 empty texts and those of white space are alike. Shingles and sets are known by 64-bit hashes. An empty table gives an empty table.
@@ -41,9 +42,8 @@ SHARE = (4, 5)  #: similarity of a link, as a fraction
 BANDS, WIDTH = 20, 3
 SAMPLE_DOCS, OFTEN, MAX_OFTEN = 8192, 3, 65_536  #: for the order of shingles alone: documents counted, count of a frequent shingle, shingles kept
 MAX_SENT = 1 << 20  #: up to so many nodes' keys are broadcast to find their texts; more are joined
-HOT = 1024  #: rows of a bucket that one task compares each with each
+HOT = 4096  #: rows of a bucket that one task compares at a time
 LEADERS = 32  #: chosen in a bucket before the rest waits for the second step
-NEAREST_ROUNDS = 2
 BATCH_ROWS = 1 << 16
 QUERIES = 64
 CHUNK = 1 << 12  #: shingles put in their orders at a time
@@ -123,10 +123,10 @@ def node_table(rows: DataFrame) -> DataFrame:
     return settle(made.groupBy("node").agg(best.alias("best")), "similar-nodes")
 
 
-def may_be_alike(n: np.ndarray, m: np.ndarray) -> np.ndarray:
-    """Whether sets of n and m shingles can be alike."""
+def may_be_alike(n: np.ndarray, m: np.ndarray, p: np.ndarray | int = 0, q: np.ndarray | int = 0) -> np.ndarray:
+    """Whether sets of n and m shingles, whose first common one in the global order is at p and q, can be alike."""
     s, t = SHARE
-    return t * np.minimum(n, m) >= s * np.maximum(n, m)
+    return (t * np.minimum(n, m) >= s * np.maximum(n, m)) & ((s + t) * np.minimum(n - p, m - q) >= s * (n + m))
 
 
 def grouped(batches: Iterator[pa.RecordBatch], of: Callable) -> Iterator[pa.RecordBatch]:
@@ -180,8 +180,8 @@ def bucket_rows(nodes: DataFrame, hot: int) -> DataFrame:
 
 
 def led(t: pa.Table, starts: np.ndarray, sizes: np.ndarray) -> Iterator[pa.RecordBatch]:
-    """(a, b): pairs with leaders; and the rows of buckets of more than two that made a pair, b null, with token, n and fp."""
-    token, node, n, fp = (t.column(c).to_numpy() for c in ("token", "node", "n", "fp"))
+    """(a, b): pairs with leaders; and the nodes that may have links besides, b null: those of buckets of more than two, with near rows or more leaders than are chosen."""
+    node, n, fp = (t.column(c).to_numpy() for c in ("node", "n", "fp"))
     bits = fp.view(np.uint64)
     group = np.repeat(np.arange(len(starts)), sizes)
     active = np.flatnonzero(np.repeat(sizes > 1, sizes))
@@ -203,22 +203,20 @@ def led(t: pa.Table, starts: np.ndarray, sizes: np.ndarray) -> Iterator[pa.Recor
     waits = np.zeros(len(starts), bool)
     waits[group[i]] = True
     waits[group[active]] = True
-    # a part's first row may be in others too, so a part of any size may wait for the others
-    keep = np.flatnonzero((waits & ((sizes > 2) | (t.column("part").to_numpy()[starts] > 0)))[group])
-    names = ["a", "b", "token", "n", "fp"]
-    none = lambda k, kind: pa.nulls(k, kind)
+    # a part's first row may be in others too, so a part of any size may have further links
+    keep = np.unique(node[np.flatnonzero((waits & ((sizes > 2) | (t.column("part").to_numpy()[starts] > 0)))[group])])
     u, v = np.minimum(node[i], node[j]), np.maximum(node[i], node[j])
-    yield pa.RecordBatch.from_arrays([pa.array(u), pa.array(v), none(len(u), pa.int64()), none(len(u), pa.int32()), none(len(u), pa.int64())], names=names)
-    yield pa.RecordBatch.from_arrays([pa.array(node[keep]), none(len(keep), pa.int64()), *(pa.array(x[keep]) for x in (token, n, fp))], names=names)
+    yield pa.RecordBatch.from_arrays([pa.array(u), pa.array(v)], names=["a", "b"])
+    yield pa.RecordBatch.from_arrays([pa.array(keep), pa.nulls(len(keep), pa.int64())], names=["a", "b"])
 
 
 def first_pairs(nodes: DataFrame, hot: int) -> tuple[DataFrame, DataFrame]:
-    """(a, b, times) of the first step, and (token, node, n, fp) of the rows that wait for the others."""
+    """(a, b, times) of the first step, and (node) of all that wait for the others."""
     dealt = bucket_rows(nodes, hot).repartition("token", "part").sortWithinPartitions("token", "part", "node")
     with batches_of(nodes.sparkSession, 16384):
-        made = settle(dealt.mapInArrow(lambda batches: grouped(batches, led), "a long, b long, token long, n int, fp long"), "similar-led")
+        made = settle(dealt.mapInArrow(lambda batches: grouped(batches, led), "a long, b long"), "similar-led")
     pairs = settle(made.filter(F.col("b").isNotNull()).groupBy("a", "b").agg(F.count("*").alias("times")), "similar-pairs")
-    return pairs, made.filter(F.col("b").isNull()).select("token", F.col("a").alias("node"), "n", "fp").distinct()
+    return pairs, settle(made.filter(F.col("b").isNull()).select(F.col("a").alias("node")).distinct(), "similar-waiting")
 
 
 def across(nearest: bool):  # noqa: ANN201
@@ -234,7 +232,7 @@ def across(nearest: bool):  # noqa: ANN201
         return pa.RecordBatch.from_arrays([pa.array(pairs[0]), pa.array(pairs[1])], names=["a", "b"])
 
     def of(t: pa.Table, starts: np.ndarray, sizes: np.ndarray) -> Iterator[pa.RecordBatch]:
-        node, n, fp, root, side = (t.column(c).to_numpy() for c in ("node", "n", "fp", "root", "side"))
+        node, n, p, fp, root, side = (t.column(c).to_numpy() for c in ("node", "n", "p", "fp", "root", "side"))
         bits = fp.view(np.uint64)
         size, start = np.repeat(sizes, sizes), np.repeat(starts, sizes)
         at, small = np.arange(len(node)), np.repeat(sizes <= QUERIES, sizes)
@@ -248,8 +246,7 @@ def across(nearest: bool):  # noqa: ANN201
             if not len(i):
                 break
             j = i + offset
-            use = (root[i] != root[j]) & ((side[i] == 0) | (side[i] != side[j]))
-            use &= may_be_alike(n[i], n[j])
+            use = (root[i] != root[j]) & ((side[i] == 0) | (side[i] != side[j])) & may_be_alike(n[i], n[j], p[i], p[j])
             i, j = i[use], j[use]
             hit = near_pairs(bits[i], bits[j], RADIUS)
             found.append(near(i[hit], j[hit]))
@@ -265,9 +262,9 @@ def across(nearest: bool):  # noqa: ANN201
                 own = ask[q : q + QUERIES]
                 i, j = np.nonzero(lanes_set(near_lanes(planes, flips_of(bits[s + own]), RADIUS, beyond), k))
                 i, j = s + own[i], s + j
-                use = (root[i] != root[j]) & ((side[i] == 0) | (side[j] == 2)) & may_be_alike(n[i], n[j])
+                use = (root[i] != root[j]) & ((side[i] == 0) | (side[j] == 2)) & may_be_alike(n[i], n[j], p[i], p[j])
                 if not nearest:
-                    use &= (i < j) | (side[i] > 0)
+                    use &= (i < j) | (side[j] == 2)
                 found.append(near(i[use], j[use]))
                 held += int(use.sum())
                 if held > EMITTED and not nearest:
@@ -279,53 +276,46 @@ def across(nearest: bool):  # noqa: ANN201
     return of
 
 
-LIVE = ("token", "part", "node", "n", "fp", "root", "side")
+LIVE = ("token", "part", "node", "n", "p", "fp", "root", "side")
 
 
-def live(rows: DataFrame) -> DataFrame:
-    """rows of the buckets that hold several components, with rows: the size of their bucket."""
-    sizes = rows.groupBy("token").agg(F.count("*").alias("rows"), F.min("root").alias("r0"), F.max("root").alias("r1")).filter("r0 < r1")
-    return rows.join(settle(sizes.select("token", "rows"), "similar-live"), "token")
-
-
-def whole(rows: DataFrame) -> DataFrame:
-    return rows.withColumns({"part": F.lit(0).cast("long"), "side": F.lit(0)}).select(*LIVE)
-
-
-def dealt_anew(large: DataFrame, rows: DataFrame, nodes: DataFrame, hot: int) -> DataFrame:
-    """LIVE rows of large buckets by their sets' first shingles; what is still too large, as pairs of blocks."""
+def first_shingles(rows: DataFrame, nodes: DataFrame, sets: DataFrame) -> DataFrame:
+    """(token, p, node, n, fp): a row for each of the first shingles of each set, those that no other set has left out."""
     often, counts = frequent(rows)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            first = [prefix(np.array(s, np.int64).view(np.uint64), often, counts).view(np.int64) for s in batch.column(1).to_pylist()]
+            at, found = batch.column(1).offsets.to_numpy(), batch.column(1).values.to_numpy().view(np.uint64)
+            first = [prefix(found[a:b], often, counts).view(np.int64) for a, b in zip(at[:-1], at[1:], strict=True)]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(first, pa.list_(pa.int64()))], names=["node", "first"])
 
-    firsts = sets_of(rows, nodes, large.select("node").distinct()).mapInArrow(run, "node long, first array<long>")
-    each = large.join(firsts, "node").select("token", "node", "n", "fp", "root", F.explode("first").alias("shingle"))
-    each = live(settle(each.withColumn("token", F.xxhash64("token", "shingle")).drop("shingle"), "similar-anew"))
-    blocks = F.ceil(F.col("rows") / F.lit(hot))
-    mine = F.pmod(F.xxhash64("node"), blocks)
-    others = F.transform(F.sequence(F.lit(0).cast("long"), blocks - 1), lambda o: F.struct((F.least(mine, o) * (1 << 31) + F.greatest(mine, o) + 1).alias("part"), F.when(mine == o, 0).when(mine < o, 1).otherwise(2).alias("side")))
-    split = each.filter(F.col("rows") > hot).withColumn("o", F.explode(others)).select("token", "node", "n", "fp", "root", "o.part", "o.side")
-    return whole(each.filter(F.col("rows") <= hot)).unionByName(split.select(*LIVE))
-
-
-def cross_pairs(waiting: DataFrame, roots: DataFrame, rows: DataFrame, nodes: DataFrame, hot: int, nearest: bool) -> DataFrame:
-    """(a, b) of candidates across components, in buckets that hold several."""
-    named = waiting.join(roots.select(F.col("u").alias("node"), F.col("v").alias("root")), "node", "left").withColumn("root", F.coalesce("root", "node"))
-    alive = settle(live(settle(named, "similar-waiting")), "similar-alive")
-    out = whole(alive.filter(F.col("rows") <= hot))
+    firsts = settle(sets.mapInArrow(run, "node long, first array<long>"), "similar-firsts")
+    shared = firsts.select(F.explode("first").alias("token")).groupBy("token").agg(F.count("*").alias("rows")).filter("rows > 1").select("token")
+    each = firsts.select("node", F.posexplode("first").alias("p", "token")).join(shared, "token")
+    return settle(each.join(nodes.select("node", F.col("best.n").alias("n"), F.col("best.fp").alias("fp")), "node"), "similar-shingles")
+
+
+def cross_pairs(shingles: DataFrame, roots: DataFrame, hot: int, nearest: bool) -> DataFrame:
+    """(a, b) of candidates across components, in groups that hold several."""
+    named = shingles.join(roots.select(F.col("u").alias("node"), F.col("v").alias("root")), "node", "left").withColumn("root", F.coalesce("root", "node"))
+    sizes = named.groupBy("token").agg(F.count("*").alias("rows"), F.min("root").alias("r0"), F.max("root").alias("r1")).filter("r0 < r1").select("token", "rows")
+    alive = settle(named.join(settle(sizes, "similar-live"), "token"), "similar-alive")
+    out = alive.filter(F.col("rows") <= hot).withColumns({"part": F.lit(0).cast("long"), "side": F.lit(0)}).select(*LIVE)
     large = alive.filter(F.col("rows") > hot)
     if not large.isEmpty():
+        parts = F.ceil(F.col("rows") / F.lit(hot))
+        own = F.pmod(F.xxhash64("node"), parts)
         if nearest:  # a row's nearest of its part will do
-            part = F.pmod(F.xxhash64("node"), F.ceil(F.col("rows") / F.lit(hot)))
-            out = out.unionByName(large.withColumns({"part": part, "side": F.lit(0)}).select(*LIVE))
-        else:
-            out = out.unionByName(dealt_anew(large.drop("rows"), rows, nodes, hot))
+            out = out.unionByName(large.withColumns({"part": own, "side": F.lit(0)}).select(*LIVE))
+        else:  # rows outside the main component meet each other in the first part, and the others in all
+            main = large.groupBy("token", "root").agg(F.count("*").alias("k")).groupBy("token").agg(F.max_by("root", F.struct("k", "root")).alias("main"))
+            told = large.join(main, "token")
+            inside = told.filter(F.col("root") == F.col("main")).withColumns({"part": own, "side": F.lit(2)})
+            outside = told.filter(F.col("root") != F.col("main")).withColumn("part", F.explode(F.sequence(F.lit(0).cast("long"), parts - 1)))
+            out = out.unionByName(inside.select(*LIVE)).unionByName(outside.withColumn("side", (F.col("part") > 0).cast("int")).select(*LIVE))
     dealt = out.repartition("token", "part").sortWithinPartitions("token", "part", "node")
     of = across(nearest)
-    with batches_of(waiting.sparkSession, 16384):
+    with batches_of(shingles.sparkSession, 16384):
         return settle(dealt.mapInArrow(lambda batches: grouped(batches, of), "a long, b long").distinct(), "similar-cross")
 
 
@@ -338,21 +328,26 @@ def sets_of(rows: DataFrame, nodes: DataFrame, wanted: DataFrame) -> DataFrame:
             sets = [shingle_set(t).view(np.int64) for t in batch.column(1).to_pylist()]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(sets, pa.list_(pa.int64()))], names=["node", "found"])
 
-    at = settle(nodes.join(wanted, "node", "left_semi").select("node", "best.k1", "best.k2"), "similar-wanted")
-    at = at.hint("broadcast" if at.count() <= MAX_SENT else "merge")
+    at = few(nodes.join(wanted, "node", "left_semi").select("node", "best.k1", "best.k2"))
     texts = rows.select("k1", "k2", "text").join(at, ["k1", "k2"]).select("node", "text")
     return settle(texts.mapInArrow(run, "node long, found array<long>").dropDuplicates(["node"]), "similar-sets")  # rows may be repeated
 
 
 def alike(pairs: DataFrame, sets: DataFrame) -> DataFrame:
-    """(u, v) of the pairs whose sets are alike."""
+    """(u, v) of the pairs whose sets are alike. Only the sets asked for are dealt."""
     s, t = SHARE
-    a, b = (sets.select(F.col("node").alias(c), F.col("found").alias(f"of_{c}")) for c in ("a", "b"))
+    a, b = (sets.join(few(pairs.select(F.col(c).alias("node")).distinct()), "node").select(F.col("node").alias(c), F.col("found").alias(f"of_{c}")) for c in ("a", "b"))
     both = pairs.join(a, "a").join(b, "b")
     common = F.size(F.array_intersect("of_a", "of_b"))
     return settle(both.filter((s + t) * common >= s * (F.size("of_a") + F.size("of_b"))).select(F.col("a").alias("u"), F.col("b").alias("v")), "similar-links")
 
 
+def few(keys: DataFrame) -> DataFrame:
+    """keys with a hint to broadcast them if they are at most MAX_SENT rows, else to join by sorting."""
+    keys = settle(keys, "similar-keys")
+    return keys.hint("broadcast" if keys.count() <= MAX_SENT else "merge")
+
+
 def between(pairs: DataFrame, roots: DataFrame) -> DataFrame:
     """The pairs (a, b) of different components."""
     of = {c: roots.select(F.col("u").alias(c), F.col("v").alias(f"root_{c}")) for c in ("a", "b")}
@@ -363,23 +358,31 @@ def between(pairs: DataFrame, roots: DataFrame) -> DataFrame:
 def groups(rows: DataFrame, nodes: DataFrame, hot: int = HOT) -> DataFrame:
     """(u, v): v is the smallest node of u's group, for all nodes of groups but the smallest."""
     pairs, waiting = first_pairs(nodes, hot)
+    ends = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
+    sets = sets_of(rows, nodes, ends.unionByName(waiting).distinct())
     best = pairs.groupBy("b").agg(F.max_by("a", F.struct("times", -F.col("a"))).alias("a")).select("a", "b")
-    roots = components(linked(rows, nodes, settle(best, "similar-best")))
-    for nearest in (True,) * NEAREST_ROUNDS + (False,):
-        cross = cross_pairs(waiting, roots, rows, nodes, hot, nearest)
-        if not nearest:  # every pair of the first step is decided in the end, or lies in one component
-            cross = settle(cross.unionByName(between(pairs.select("a", "b"), roots)).distinct(), "similar-rest")
+    roots = components(alike(settle(best, "similar-best"), sets))
+    # a pair of the first step that is not in one component yet is among those found by first shingles, if it is alike
+    open_ = between(pairs.select("a", "b"), roots).select(F.explode(F.array("a", "b")).alias("node"))
+    shingles = first_shingles(rows, nodes, sets.join(few(waiting.unionByName(open_).distinct()), "node"))
+    for nearest in (True, False):
+        cross = cross_pairs(shingles, roots, hot, nearest)
         if cross.isEmpty():
             continue
-        more = linked(rows, nodes, cross)
+        more = alike(cross, sets)
         if not more.isEmpty():
-            roots = components(roots.unionByName(more))
+            roots = joined(roots, more)
     return roots
 
 
-def linked(rows: DataFrame, nodes: DataFrame, pairs: DataFrame) -> DataFrame:
-    """(u, v) of the pairs whose whole sets are alike."""
-    return alike(pairs, sets_of(rows, nodes, pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()))
+def joined(roots: DataFrame, links: DataFrame) -> DataFrame:
+    """roots after further links: components of components, which are few."""
+    of = lambda c: roots.select(F.col("u").alias(c), F.col("v").alias(f"root_{c}"))
+    named = links.join(of("u"), "u", "left").join(of("v"), "v", "left")
+    above = components(named.select(F.coalesce("root_u", "u").alias("u"), F.coalesce("root_v", "v").alias("v")).distinct())
+    up = above.select(F.col("u").alias("v"), F.col("v").alias("up"))
+    moved = roots.join(up, "v", "left").select("u", F.coalesce("up", "v").alias("v"))
+    return settle(moved.unionByName(above), "similar-roots")
 
 
 def drop_similar(docs: DataFrame, hot: int = HOT) -> DataFrame:
