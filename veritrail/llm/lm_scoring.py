@@ -1,11 +1,11 @@
 """Language-model scores of texts: a trigram model by deleted interpolation.
 
-    P(w | v) = b[1] c(vw) / c(v) + b[2] c(w) / N + b[3] / (V + 1),   b: of the bucket of c(v) by powers of two
-    P(w | uv) = d c(uvw) / c(uv) + (1 - d) P(w | v),   d: of the bucket of c(uv)
+    P(w | uv) = k[1] c(uvw) / c(uv) + k[2] c(vw) / c(v) + k[3] c(w) / N + k[4] / (V + 1)
 
-with c the counts in training documents, and for each bucket mixture weights by expectation-maximisation on held-out
-counts: one training document in TUNED is set apart for that, and its tokens are predicted from the counts of the others; first the weights of pairs, words and the
-uniform share, then those of triples. Scores use the counts of all training documents. A text's first token has the mark before texts as its only context.
+with c the counts in training documents and k the weights of a bucket: that of c(uv) by powers of two, or if u v was never seen, of c(v). For each
+bucket they are learned by expectation-maximisation on held-out
+counts: one training document in TUNED is set apart for that, and its tokens are predicted from the counts of the others. Scores use the counts of all
+training documents. A text's first token has the mark before texts as its only context.
 
 Counts are exact and cover all training documents; words, pairs and triples are known by 64-bit hashes. Texts are
 cut into units of some MB. A unit asks for the counts of its distinct words, then of its distinct pairs, then of its triples, as packed
@@ -15,7 +15,7 @@ that no other unit has, are counted at home. A row of questions holds one entry
 never more than in proportion to the entries. Units are written once, bucketed, and stay where they are; only questions and answers move.
 
 The statistics for the weights come from the units, each for its own held-out tokens, with counts of all. They are summed in cells of like probabilities, each with its mean
-probabilities, so only the spread within a cell (an eighth of a power of two each way) is lost to them.
+probabilities, so only the spread within a cell (a quarter of a power of two each way) is lost to them.
 
 Edge cases: a null or empty text, or one of white space, is its end token alone. A null id counts as remainder 0
 (training). Without training documents N and V are 0, all scores come from 1 / (V + 1). Rows with the same id are
@@ -45,9 +45,9 @@ SHORT = 256  #: bytes of an array that is not compressed
 UNIT_BYTES = 8 << 20  #: text of a unit; the last document may pass it
 JOIN_BYTES = 1 << 20  #: text tokenised at a time
 RANGE_ENTRIES = 1 << 20  #: entries that a task adds up at a time, on average
-BUCKETS = 32
-STEPS = 4  #: of a power of two, in the statistics for the mixture weights
-CELLS = 161  #: probabilities down to 2 ** -40, and zero
+LEVELS = 32  #: of counts; as many buckets for contexts of two words as for those of one
+STEPS = 2  #: of a power of two, in the statistics for the mixture weights
+CELLS = 50  #: probabilities down to 2 ** -24, and zero
 ROUNDS = 50
 
 MULTIPLIER = np.uint64(0x9E3779B97F4A7C15)
@@ -56,7 +56,7 @@ START, END = np.uint64(0x0123456789ABCDEF), np.uint64(0xFEDCBA9876543210)  #: ha
 UNITS = "unit long, doc_ids array<long>, held array<boolean>, tunes array<boolean>, sizes array<int>, n_words int, words binary, trained binary, tuned binary, tokens binary"
 ASKED = "span int, unit long, n int, hashes binary, counts binary, tuned binary"
 ANSWER = "span int, unit long, counts binary, tuned binary, alone binary"
-STATISTIC = "cell long, weight double, high double, low double"
+STATISTIC = "cell long, weight double, p3 double, p2 double, p1 double"
 TOTALS = "seen long, tokens long, tuned long"
 SCORED = "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double"
 
@@ -237,8 +237,12 @@ def totals(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield columns([(len(np.unique(hashes[counts > 0])), int(counts.sum()), int(tuned.sum()))], TOTALS)
 
 
-def bucket(cv: np.ndarray) -> np.ndarray:
-    return np.minimum(np.floor(np.log2(cv + 1.0)), BUCKETS - 1).astype(np.int64)
+def level(c: np.ndarray) -> np.ndarray:
+    return np.minimum(np.frexp(c + 1.0)[1] - 1, LEVELS - 1)
+
+
+def bucket(cuv: np.ndarray, cv: np.ndarray) -> np.ndarray:
+    return np.where(cuv > 0, level(cuv), LEVELS + level(cv))
 
 
 def cell_of(p: np.ndarray) -> np.ndarray:
@@ -246,32 +250,31 @@ def cell_of(p: np.ndarray) -> np.ndarray:
         return np.where(p > 0, np.clip(1 + np.round(-STEPS * np.log2(p)), 1, CELLS - 1), 0).astype(np.int64)
 
 
-def statistics(tuned: np.ndarray, context: np.ndarray, high: np.ndarray, low: np.ndarray) -> pa.RecordBatch:
-    """STATISTIC of n-grams held out, each as often as tuned says: by the context's count and the probabilities of the longer and the shorter n-gram."""
-    use = tuned > 0
-    times, context, high, low = tuned[use].astype(np.float64), context[use], high[use], low[use]
-    cells = (bucket(context) * CELLS + cell_of(high)) * CELLS + cell_of(low)
+def statistics(times: np.ndarray, buckets: np.ndarray, parts: list[np.ndarray]) -> pa.RecordBatch:
+    """STATISTIC of n-grams held out, each as often as times says: their buckets, and the probabilities of triple, pair and word."""
+    cells = buckets.astype(np.int64)
+    for p in parts:
+        cells = cells * CELLS + cell_of(p)
     found, own = np.unique(cells, return_inverse=True)
-    sums = [np.bincount(own, x, len(found)).tolist() for x in (times, times * high, times * low)]
+    sums = [np.bincount(own, x, len(found)).tolist() for x in (times, *(times * p for p in parts))]
     return columns(list(zip(found.tolist(), *sums, strict=True)), STATISTIC)
 
 
-def mixture(stats: list[tuple[int, float, float, float]], uniform: float | None, default: tuple[float, ...]) -> np.ndarray:
-    """(BUCKETS, 3) weights of the longer, the shorter and the uniform probability; (BUCKETS, 2) of the first two if there is no uniform one."""
-    n = len(default)
-    out = np.tile(default, (BUCKETS, 1)).astype(float)
+def mixture(stats: list[tuple], vocabulary: int) -> np.ndarray:
+    """(2 * LEVELS, 4) weights of triple, pair, word and uniform probabilities."""
+    out = np.tile([0.0, 0.0, 0.9, 0.1], (2 * LEVELS, 1))
     if not stats:
         return out
-    cell, weight, high, low = (np.array(c) for c in zip(*stats, strict=True))
-    p = np.stack([high / weight, low / weight, np.full(len(cell), uniform or 0.0)][:n], axis=1)
-    of = cell // CELLS**2
+    cell, weight, *parts = (np.array(c) for c in zip(*stats, strict=True))
+    p = np.stack([*(x / weight for x in parts), np.full(len(cell), 1 / (vocabulary + 1))], axis=1)
+    of = cell // CELLS**3
     for b in np.unique(of):
         q, times = p[of == b], weight[of == b]
-        w = np.full(n, 1 / n)
+        w = np.full(4, 1 / 4)
         for _ in range(ROUNDS):
             share = q * w
             w = (times[:, None] * share / share.sum(axis=1, keepdims=True)).sum(axis=0) / times.sum()
-        w = np.maximum(w, [0] + [1e-9] * (n - 1))  # no text gets probability zero
+        w = np.maximum(w, [0, 0, 1e-9, 1e-9])  # no text gets probability zero
         out[b] = w / w.sum()
     return out
 
@@ -300,7 +303,7 @@ class Unit:
         n = len(self.words)
         previous = np.append(n, self.tokens[:-1])  # n: the mark before each text
         previous[self.starts] = n
-        pair, self.own = np.unique(previous * (n + 1) + self.tokens, return_inverse=True)
+        self.own, pair = told_apart(previous * (n + 1) + self.tokens)
         self.v, self.w = pair // (n + 1), pair % (n + 1)
         self.count, self.tuned = self.counted(self.own, len(pair))
         alone = np.append(self.word_alone, False)
@@ -320,7 +323,7 @@ class Unit:
         n = len(self.v)
         before = np.append(n, self.own[:-1])  # n: none
         before[self.starts] = n
-        triple, self.own3 = np.unique(before * n + self.own, return_inverse=True)
+        self.own3, triple = told_apart(before * n + self.own)
         self.before, self.pair = np.divmod(triple, n)
         self.count3, self.tuned3 = self.counted(self.own3, len(triple))
         alone = np.append(self.pair_alone, True)
@@ -336,27 +339,43 @@ class Unit:
         self.cuvw, self.fuvw, _ = filled(self.count3, self.tuned3, self.home3, self.triple_hashes, self.row["triple_answers"])
 
     def ask(self, bits: int, hashes: np.ndarray, home: np.ndarray, count: np.ndarray, tuned: np.ndarray) -> pa.RecordBatch:
-        use = np.flatnonzero(~home)
-        use = use[np.argsort(hashes[use])]
+        use = in_order(hashes, home)
         return questions(self.row["unit"], bits, hashes[use], count[use], tuned[use])
 
-    def pair_probabilities(self, fitted: bool) -> tuple[np.ndarray, np.ndarray]:
-        """Of each pair: c(vw) / c(v), c(w) / N."""
-        cvw, cv, cw, n = (self.fvw, self.fv, self.fw, self.facts.fitted_tokens) if fitted else (self.cvw, self.cv, self.cw, self.facts.tokens)
-        return cvw / np.maximum(cv, 1), cw[self.w] / max(n, 1)
+    def parts(self, fitted: bool, use: np.ndarray | slice = slice(None)) -> tuple[np.ndarray, list[np.ndarray]]:
+        """Of the triples in use: buckets, and probabilities of triple, pair and word; fitted: without what is held out for the weights."""
+        pair = self.pair[use]
+        cuv, cuvw, cvw, cv, cw, n = (self.fuv, self.fuvw, self.fvw, self.fv, self.fw, self.facts.fitted_tokens) if fitted else (self.cuv, self.cuvw, self.cvw, self.cv, self.cw, self.facts.tokens)
+        cuv, v = cuv[use], cv[pair]
+        return bucket(cuv, v), [cuvw[use] * (cuv > 0) / np.maximum(cuv, 1), cvw[pair] / np.maximum(v, 1), cw[self.w[pair]] / max(n, 1)]
+
 
-    def pair_mixed(self, weights: np.ndarray, fitted: bool) -> np.ndarray:
-        p2, p1 = self.pair_probabilities(fitted)
-        w = weights[bucket(self.fv if fitted else self.cv)]
-        return w[:, 0] * p2 + w[:, 1] * p1 + w[:, 2] / (self.facts.vocabulary + 1)
+def told_apart(x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(number of each value, values): values and places are sorted as one integer, which is faster than sorting places by values."""
+    bits = len(x).bit_length()
+    if int(x.max(initial=0)).bit_length() + bits > 63:
+        values, own = np.unique(x, return_inverse=True)
+        return own, values
+    both = np.sort(x << bits | np.arange(len(x)))
+    values, place = both >> bits, both & ((1 << bits) - 1)
+    new = np.append(True, values[1:] != values[:-1])
+    own = np.empty(len(x), np.int64)
+    own[place] = np.cumsum(new) - 1
+    return own, values[new]
+
+
+def in_order(hashes: np.ndarray, home: np.ndarray) -> np.ndarray:
+    """Entries that aren't counted at home, by the leading bits of their hashes; as many as their number leaves of 64."""
+    mask = np.uint64((1 << len(hashes).bit_length()) - 1)
+    both = (hashes & ~mask) | np.arange(len(hashes), dtype=np.uint64)
+    return (np.sort(both[~home]) & mask).astype(np.int64)
 
 
 def filled(count: np.ndarray, tuned: np.ndarray, home: np.ndarray, hashes, answers: list | None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:  # noqa: ANN001
     """Counts of all, counts without what is held out for the weights, and whether no other unit has the entry: a unit's own counts, or the answers."""
     c, f, alone = count.astype(np.int64), count.astype(np.int64) - tuned, home.copy()
-    use = np.flatnonzero(~home)
-    if len(use):
-        use = use[np.argsort(hashes()[use])]
+    if not home.all():
+        use = in_order(hashes(), home)
         c[use], f[use], alone[use] = answers_of(answers)
     return c, f, alone
 
@@ -395,26 +414,21 @@ def ask_triples(bits: int):  # noqa: ANN201
     return of
 
 
-def pair_statistics(u: Unit) -> pa.RecordBatch:
+def held_out_statistics(u: Unit) -> pa.RecordBatch:
     u.answer_pairs()
-    return statistics(u.tuned, u.fv, *u.pair_probabilities(True))
-
-
-def triple_statistics(weights: np.ndarray):  # noqa: ANN201
-    def of(u: Unit) -> pa.RecordBatch:
-        u.answer_pairs()
-        u.answer_triples()
-        return statistics(np.where(u.first, 0, u.tuned3), u.fuv, u.fuvw / np.maximum(u.fuv, 1), u.pair_mixed(weights, True)[u.pair])
-
-    return of
+    u.answer_triples()
+    use = np.flatnonzero(u.tuned3)
+    return statistics(u.tuned3[use].astype(np.float64), *u.parts(True, use))
 
 
-def score(weights: np.ndarray, longer: np.ndarray):  # noqa: ANN201
+def score(weights: np.ndarray):  # noqa: ANN201
     def of(u: Unit) -> pa.RecordBatch:
         u.answer_pairs()
         u.answer_triples()
-        d = np.where(u.first[:, None], [0.0, 1.0], longer[bucket(u.cuv)])
-        p = d[:, 0] * u.cuvw / np.maximum(u.cuv, 1) + d[:, 1] * u.pair_mixed(weights, False)[u.pair]
+        buckets, parts = u.parts(False)
+        p = weights[buckets, 3] / (u.facts.vocabulary + 1)
+        for k, part in enumerate(parts):
+            p += weights[buckets, k] * part
         base = np.log10((u.cw + 1) / (u.facts.tokens + 1 * (u.facts.vocabulary + 1)))[u.tokens]
         add = lambda x: np.add.reduceat(x, u.starts).tolist()
         known = add((u.cw > 0)[u.tokens].astype(np.int64))
@@ -429,9 +443,9 @@ def answered(asked: DataFrame, name: str) -> DataFrame:
     return settle(got.groupBy("unit").agg(F.collect_list(F.struct("span", "counts", "tuned", "alone")).alias(name)), f"lm-{name}")
 
 
-def collected(units: DataFrame, facts: Facts, of) -> list[tuple]:  # noqa: ANN001
-    """Statistics of all units, summed by cell: at most BUCKETS x CELLS x CELLS rows reach the driver."""
-    sums = units.mapInArrow(each_unit(facts, of), STATISTIC).groupBy("cell").agg(*[F.sum(c).alias(c) for c in ("weight", "high", "low")])
+def collected(units: DataFrame, facts: Facts) -> list[tuple]:
+    """Held-out statistics of all units, summed by cell: at most 2 * LEVELS x CELLS ** 3 rows reach the driver, and no more than there are kinds of counts."""
+    sums = units.mapInArrow(each_unit(facts, held_out_statistics), STATISTIC).groupBy("cell").agg(*[F.sum(c).alias(c) for c in ("weight", "p3", "p2", "p1")])
     return [tuple(r) for r in sums.orderBy("cell").collect()]
 
 
@@ -472,8 +486,7 @@ def scored(units: DataFrame) -> DataFrame:
     known = units.join(words.hint("shuffle_hash"), "unit")
     pairs = answered(known.mapInArrow(each_unit(facts, ask_pairs(bits)), ASKED), "pair_answers")
     known = known.join(pairs.hint("shuffle_hash"), "unit", "left")
-    weights = mixture(collected(known, facts, pair_statistics), 1 / (facts.vocabulary + 1), (0.0, 0.9, 0.1))
     triples = answered(known.mapInArrow(each_unit(facts, ask_triples(bits)), ASKED), "triple_answers")
     known = known.join(triples.hint("shuffle_hash"), "unit", "left")
-    longer = mixture(collected(known, facts, triple_statistics(weights)), None, (0.0, 1.0))
-    return settle(known.mapInArrow(each_unit(facts, score(weights, longer)), SCORED), "lm-scores")
+    weights = mixture(collected(known, facts), facts.vocabulary)
+    return settle(known.mapInArrow(each_unit(facts, score(weights)), SCORED), "lm-scores")
