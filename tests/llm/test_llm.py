@@ -494,20 +494,19 @@ def test_scores(docs, rows, monkeypatch):
             if u:
                 one.update(w)
                 two.update(zip(m, m[1:]))  # noqa: B905
+                three.update([(None, *m[:2])])
                 three.update(zip(m, m[1:], m[2:]))  # noqa: B905
         one["<"] = sum(use)
         return one, two, three
 
-    level = lambda c: int(math.log2(c + 1))
-
-    def learned(items, n):
+    def learned(items):
         """Expectation-maximisation n-gram by n-gram."""
         out = {}
-        for bucket in {level(c) for c, *_ in items}:
-            k = [1 / n] * n
-            own = [(times, p) for c, times, p in items if level(c) == bucket]
+        for bucket in {b for b, *_ in items}:
+            k = [1 / 4] * 4
+            own = [(times, p) for b, times, p in items if b == bucket]
             for _ in range(50):
-                new = [0.0] * n
+                new = [0.0] * 4
                 for times, p in own:
                     total = sum(x * y for x, y in zip(k, p, strict=True))
                     new = [x + times * y * z / total for x, y, z in zip(new, k, p, strict=True)]
@@ -517,22 +516,20 @@ def test_scores(docs, rows, monkeypatch):
 
     full, fit, tune = counted([not h for h in held]), counted([not h and not t for h, t in zip(held, tunes, strict=True)]), counted(tunes)
     size = lambda c: sum(c[0].values()) - c[0]["<"]
-    n, v = size(full), len(full[0]) - 1
 
-    def parts(c, a, b):
-        return c[1][a, b] / max(c[0][a], 1), c[0][b] / size(c), 1 / (v + 1)
-
-    mix = learned([(fit[0][a], times, parts(fit, a, b)) for (a, b), times in tune[1].items()], 3)
-    pair = lambda c, a, b: sum(x * y for x, y in zip(mix.get(level(c[0][a]), (0, 0.9, 0.1)), parts(c, a, b), strict=True))
-    of = lambda c, a, b, d: (c[2][a, b, d] / max(c[1][a, b], 1), pair(c, b, d))
-    longer = learned([(fit[1][a, b], times, of(fit, a, b, d)) for (a, b, d), times in tune[2].items()], 2)
+    level = lambda c: int(math.log2(c + 1))
+    bucket = lambda c, u, v: level(c[1][u, v]) if c[1][u, v] else 32 + level(c[0][v])
+    parts = lambda c, u, v, w: (c[2][u, v, w] / max(c[1][u, v], 1) * (c[1][u, v] > 0), c[1][v, w] / max(c[0][v], 1), c[0][w] / size(c), 1 / (n_kinds + 1))
+    n, n_kinds = size(full), len(full[0]) - 1
+    v = n_kinds
+    mix = learned([(bucket(fit, *x[:2]), times, parts(fit, *x)) for x, times in tune[2].items()])
     want = []
     for r, w, m, h in zip(rows, tokens, marked, held, strict=True):
         base = sum(math.log10((full[0][x] + 1) / (n + v + 1)) for x in w)
-        score = math.log10(pair(full, "<", w[0]))
-        for a, b, d in zip(m, m[1:], m[2:]):  # noqa: B905
-            k = longer.get(level(full[1][a, b]), (0, 1))
-            score += math.log10(sum(x * y for x, y in zip(k, of(full, a, b, d), strict=True)))
+        score = 0.0
+        for x in zip([None, *m], m, m[1:]):  # noqa: B905
+            k = mix.get(bucket(full, *x[:2]), (0, 0, 0.9, 0.1))
+            score += math.log10(sum(y * z for y, z in zip(k, parts(full, *x), strict=True)))
         want.append((r[0], h, len(w), sum(full[0][x] > 0 for x in w), n, base, score))
     got = lm_scoring.lm_scores(docs).collect()
     key = lambda r: (r[0] is None, r[0] or 0, r[2])
@@ -542,9 +539,9 @@ def test_scores(docs, rows, monkeypatch):
 
 def test_mixture_prefers_better_models():
     """On text that follows pairs, the pair model gets the weight; weights add up to one."""
-    stats = lm_scoring.statistics(np.full(500, 5), np.full(500, 41), np.full(500, 40 / 41), np.full(500, 40 / 20_000))
-    w = lm_scoring.mixture(list(zip(*(c.to_pylist() for c in stats.columns), strict=True)), 1 / 501, (0.0, 0.9, 0.1))
-    assert w[5, 0] > 0.9 and np.allclose(w.sum(axis=1), 1)
+    stats = lm_scoring.statistics(np.full(500, 5.0), np.full(500, 7), [np.full(500, 0.0), np.full(500, 40 / 41), np.full(500, 40 / 20_000)])
+    w = lm_scoring.mixture(list(zip(*(c.to_pylist() for c in stats.columns), strict=True)), 500)
+    assert w[7, 1] > 0.9 and np.allclose(w.sum(axis=1), 1)
 
 
 def test_empty_tables(spark, docs):

@@ -1,7 +1,5 @@
 """The pipeline's stages on the smallest documents, each against what its operator reports on the same input."""
 
-import pytest
-
 import corpus_pipeline
 from tests.llm.test_similar import plain_kept
 from veritrail.llm import mixing, quality
