@@ -134,7 +134,6 @@ class Tree:
                 names[name] += 1
 
 
-@lru_cache(4096)
 def hints_of(attributes: str) -> tuple[int, ...]:
     out = set()
     for name, *values in ATTRIBUTE.findall(attributes):
