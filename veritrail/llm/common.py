@@ -8,7 +8,9 @@ from contextlib import contextmanager
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from veritrail.sources.shared import new_path, shared_dir
+from veritrail.sources.shared import new_path, settle, shared_dir
+
+__all__ = ["new_path", "settle", "shared_dir"]  # of the library, for all operators
 
 #: Words are runs of anything but space and the five ASCII controls from tab to carriage return.
 WORD = r"[^\x20\x09-\x0D]+"
@@ -28,14 +30,6 @@ def tokenizer_path(name: str) -> str:
     return public_tokenizers.path(name)
 
 
-def settle(df: DataFrame, name: str) -> DataFrame:
-    """Write df to the shared folder and read it back: cuts lineage and survives lost executors."""
-    spark = df.sparkSession
-    path = new_path(spark, name)
-    df.write.option("compression", "zstd").parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
-
-
 def n_words(text: Column) -> Column:
     """Number of words of a text, 0 for null."""
     return F.coalesce(F.regexp_count(text, F.lit(WORD)), F.lit(0)).cast("long")
