@@ -7,10 +7,13 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from veritrail.sources.shared import settle
+
 GROUP = ("task_id", "policy_version")
+MOST_SENT = 1_000_000  #: group rows that are broadcast
 
 
 @dataclass(frozen=True)
@@ -106,15 +109,21 @@ def messages(report_row) -> list[str]:  # noqa: ANN001
     return [MESSAGES[f["code"]].format(observed=f["observed"], limit=f["limit"]) for f in report_row["failures"]]
 
 
+def sent(groups: DataFrame) -> DataFrame:
+    """groups, written once; broadcast if they are MOST_SENT rows at most (some 50 MB), so that rows need not be shuffled, else joined by shuffling both."""
+    groups = settle(groups, "groups")
+    return F.broadcast(groups) if groups.count() <= MOST_SENT else groups
+
+
 def active_sampling(rows: DataFrame) -> DataFrame:
     """Rows of groups whose rewards differ."""
-    mixed = reward_groups(rows).filter("min_reward < max_reward").select(*GROUP)
-    return rows.join(mixed, list(GROUP), "left_semi")
+    groups = rows.groupBy(*GROUP).agg(F.min("reward").alias("low"), F.max("reward").alias("high"))
+    return rows.join(sent(groups.filter("low < high").select(*GROUP)), list(GROUP), "left_semi")
 
 
 def centered_advantage(rows: DataFrame) -> DataFrame:
     """reward less the group's mean, by a partially aggregated mean and a join that Spark can split."""
-    means = rows.groupBy(*GROUP).agg(F.avg("reward").alias("mean_reward"))
+    means = sent(rows.groupBy(*GROUP).agg(F.avg("reward").alias("mean_reward")))
     return rows.join(means, list(GROUP)).withColumn("advantage", F.col("reward") - F.col("mean_reward"))
 
 
