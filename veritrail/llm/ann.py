@@ -1,8 +1,7 @@
 """Nearest neighbours by randomly rotated one-bit codes, with error bounds and exact reranking.
 
-A unit vector is rotated by a random orthogonal matrix and kept as the signs of its coordinates, packed in 64-bit
-words, and one correction scalar: its inner product with its own sign vector. A rotated query is rounded to QUERY_BITS
-levels, and its inner products with all codes come from bit planes: and, population count, shift. Divided by the
+A unit vector is filled up with zeros to CODE_BITS components, if it has fewer, rotated by a random orthogonal matrix and kept as the signs of its
+coordinates, packed in 64-bit words, and one correction scalar: its inner product with its own sign vector. A rotated query is rounded to QUERY_BITS bits, and its inner products with all codes come from bit planes: and, population count, shift. Divided by the
 scalar, that estimates the cosine without bias; the error is bounded by BOUND times its standard deviation.
 
 1. Equal vectors are one: of each, the K + 1 rows of the smallest ids are kept, as no others can be among the nearest. Codes of the distinct vectors
@@ -12,7 +11,7 @@ scalar, that estimates the cosine without bias; the error is bounded by BOUND ti
    compared exactly, by vectors fetched by key, and give the score to beat.
 3. The blocks meet again and return every code whose upper bound reaches that score. These are compared exactly too.
 
-Nothing is broadcast; only the lengths of query vectors are collected, with their numbers.
+Nothing is broadcast; vectors are known by 64-bit hashes; only the lengths of query vectors are collected, with their numbers.
 
 Nearness is the cosine in double precision on the original vectors, each scaled by a power of two, which changes no digit, so that norms don't
 overflow; equal scores go to the smaller vec_id. Vectors that are null, zero, or hold a null or non-finite component take no part. Rows that repeat an id
@@ -23,7 +22,6 @@ the query's take no part in its search. An empty table gives an empty table. Fur
 from __future__ import annotations
 
 from collections.abc import Iterator
-from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -33,10 +31,11 @@ from pyspark.sql import functions as F
 from veritrail.llm.common import batches_of, settle
 
 QUERY_STEP, K = 50, 5
-QUERY_BITS = 6
+CODE_BITS = 512  #: at least; the error of an estimate falls with their root
+QUERY_BITS = 4
 BOUND = 2.5  #: standard deviations
 FIRST = 8  #: times k, the number of best estimates that set the score to beat
-ROWS, QUERIES = 65_536, 2048  #: largest blocks, on average
+ROWS, QUERIES = 32_768, 32_768  #: largest blocks, on average: some MB of codes and of queries
 SEED = 6
 TILE = 64  #: queries estimated at a time
 CODES_AT_ONCE = 8192
@@ -45,11 +44,15 @@ PAIRS_AT_ONCE = 8192  #: vectors compared exactly at a time
 CODED = "key long, d int, words binary, ones int, own double, planes binary, low double, step double, total long"
 
 
-@lru_cache(4)
+def code_bits(d: int) -> int:
+    return max(CODE_BITS, -(-d // 64) * 64)
+
+
 def rotation(d: int) -> np.ndarray:
-    """A random orthogonal matrix, the same everywhere."""
-    q, r = np.linalg.qr(np.random.default_rng(SEED).standard_normal((d, d)))
-    return q * np.sign(np.diag(r))
+    """The first d rows of a random orthogonal matrix of code_bits(d), the same everywhere."""
+    n = code_bits(d)
+    q, r = np.linalg.qr(np.random.default_rng(SEED).standard_normal((n, n)))
+    return (q * np.sign(np.diag(r)))[:d]
 
 
 def scaled(x: np.ndarray) -> np.ndarray:
@@ -59,31 +62,34 @@ def scaled(x: np.ndarray) -> np.ndarray:
 
 def packed(bits: np.ndarray) -> np.ndarray:
     """(rows, words) of 64 bits."""
-    return np.packbits(np.pad(bits, ((0, 0), (0, -bits.shape[1] % 64))), axis=1, bitorder="little").view("<u8")
+    return np.packbits(bits, axis=1, bitorder="little").view("<u8")
 
 
 def encode(x: np.ndarray) -> dict[str, np.ndarray]:
     """Of vectors (rows): code words, their number of ones, correction scalars; and as queries, bit planes, range and sums of levels."""
     x = scaled(x)
-    d = x.shape[1]
-    turned = (x / np.sqrt((x * x).sum(axis=1))[:, None]) @ rotation(d)
+    turned = (x / np.sqrt((x * x).sum(axis=1))[:, None]) @ rotation(x.shape[1])
     low = turned.min(axis=1)
     step = np.maximum(turned.max(axis=1) - low, 1e-300) / (2**QUERY_BITS - 1)
     level = np.rint((turned - low[:, None]) / step[:, None]).astype(np.uint8)
     planes = np.stack([packed((level >> b) & 1) for b in range(QUERY_BITS)], axis=1)
-    return {"words": packed(turned > 0), "ones": (turned > 0).sum(axis=1), "own": np.abs(turned).sum(axis=1) / np.sqrt(d), "planes": planes, "low": low, "step": step, "total": level.sum(axis=1, dtype=np.int64)}
+    return {"words": packed(turned > 0), "ones": (turned > 0).sum(axis=1), "own": np.abs(turned).sum(axis=1) / np.sqrt(turned.shape[1]), "planes": planes, "low": low, "step": step, "total": level.sum(axis=1, dtype=np.int64)}
 
 
-def estimate(q: dict[str, np.ndarray], x: dict[str, np.ndarray], d: int) -> tuple[np.ndarray, np.ndarray]:
+def estimate(q: dict[str, np.ndarray], x: dict[str, np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
     """(estimates, error bounds) of the cosines of queries (rows) with codes (columns)."""
-    total = np.zeros((len(q["low"]), len(x["ones"])))
+    n_words = x["words"].shape[1]
+    bits = 64 * n_words
+    total = np.zeros((len(q["low"]), len(x["ones"])), np.int32)
     for b in range(QUERY_BITS):
-        for w in range(x["words"].shape[1]):
-            total += np.bitwise_count(q["planes"][:, b, w, None] & x["words"][None, :, w]) * float(1 << b)
+        common = np.zeros(total.shape, np.uint16)
+        for w in range(n_words):
+            common += np.bitwise_count(q["planes"][:, b, w, None] & x["words"][None, :, w])
+        total += common.astype(np.int32) << b
     # sum of s_i q_i over signs s = 2 x - 1, with q_i = low + step * level_i
-    all_ = q["low"] * d + q["step"] * q["total"]
-    product = (2 * (q["low"][:, None] * x["ones"][None, :] + q["step"][:, None] * total) - all_[:, None]) / np.sqrt(d)
-    variance = np.maximum(1 - x["own"] ** 2, 0)[None, :] / max(d - 1, 1) + q["step"][:, None] ** 2 / 12  # of the code, of the query's rounding
+    all_ = q["low"] * bits + q["step"] * q["total"]
+    product = (2 * (q["low"][:, None] * x["ones"][None, :] + q["step"][:, None] * total) - all_[:, None]) / np.sqrt(bits)
+    variance = np.maximum(1 - x["own"] ** 2, 0)[None, :] / (bits - 1) + q["step"][:, None] ** 2 / 12  # of the code, of the query's rounding
     return product / x["own"][None, :], BOUND * np.sqrt(variance) / x["own"][None, :]
 
 
@@ -150,7 +156,6 @@ def compare(k: int):  # noqa: ANN201
         codes, ask = group.filter(pa.array(~asks)), group.filter(pa.array(asks))
         found: list[tuple[np.ndarray, ...]] = []
         if codes.num_rows and ask.num_rows:
-            d = int(group.column("d")[0].as_py())
             words = np.frombuffer(b"".join(codes.column("words").to_pylist()), "<u8").reshape(codes.num_rows, -1)
             planes = np.frombuffer(b"".join(ask.column("planes").to_pylist()), "<u8").reshape(ask.num_rows, QUERY_BITS, -1)
             x = {"words": words, "ones": codes.column("ones").to_numpy(), "own": codes.column("own").to_numpy()}
@@ -160,7 +165,7 @@ def compare(k: int):  # noqa: ANN201
                 part = {c: v[t : t + TILE] for c, v in q.items()}
                 best: list[tuple[np.ndarray, ...]] = []
                 for s in range(0, len(keys), CODES_AT_ONCE):
-                    about, error = estimate(part, {c: v[s : s + CODES_AT_ONCE] for c, v in x.items()}, d)
+                    about, error = estimate(part, {c: v[s : s + CODES_AT_ONCE] for c, v in x.items()})
                     if np.isnan(beat[t]):
                         m = min(FIRST * k, about.shape[1])
                         at = np.argpartition(-about, m - 1, axis=1)[:, :m]
