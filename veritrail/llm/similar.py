@@ -13,8 +13,8 @@ random orders of its shingles. Sets alike at 0.8 have a key in common with a cha
 2. All rows that had others in their buckets, and may have links besides, are dealt to groups by first shingles: if
    all shingles have one global order, sets of n and m shingles that are alike share one among the first n - ceil(0.8 n) + 1 and
    m - ceil(0.8 m) + 1. Rare shingles come first in that order, so rows that only have a common passage do not meet; how rare they are is counted on a sample, which has
-   a say in how large groups are only. In groups that hold several components, each row is paired with the nearest of another one, again decided by whole sets, as
-   groups of many copies grow together so.
+   a say in how large groups are only. In groups that hold several components, each row is paired with the nearest of another one, again decided by whole sets, and
+   this is repeated while components grow: those of many copies do so in a few rounds, and little is left to compare.
 3. In groups that still hold several components, all rows of different ones are compared, bit-sliced; in those of more than HOT rows, the rows outside the most
    frequent component are compared with all, part by part. Again whole sets decide.
 
@@ -43,6 +43,7 @@ BANDS, WIDTH = 20, 3
 SAMPLE_DOCS, OFTEN, MAX_OFTEN = 8192, 3, 65_536  #: for the order of shingles alone: documents counted, count of a frequent shingle, shingles kept
 MAX_SENT = 1 << 20  #: up to so many nodes' keys are broadcast to find their texts; more are joined
 HOT = 4096  #: rows of a bucket that one task compares at a time
+NEAREST_ROUNDS = 6  #: at most, before all pairs that are left are compared
 LEADERS = 32  #: chosen in a bucket before the rest waits for the second step
 BATCH_ROWS = 1 << 16
 QUERIES = 64
@@ -365,14 +366,17 @@ def groups(rows: DataFrame, nodes: DataFrame, hot: int = HOT) -> DataFrame:
     # a pair of the first step that is not in one component yet is among those found by first shingles, if it is alike
     open_ = between(pairs.select("a", "b"), roots).select(F.explode(F.array("a", "b")).alias("node"))
     shingles = first_shingles(rows, nodes, sets.join(few(waiting.unionByName(open_).distinct()), "node"))
-    for nearest in (True, False):
+    nearest, rounds = True, 0
+    while True:
         cross = cross_pairs(shingles, roots, hot, nearest)
-        if cross.isEmpty():
-            continue
-        more = alike(cross, sets)
-        if not more.isEmpty():
+        more = None if cross.isEmpty() else alike(cross, sets)
+        grown = more is not None and not more.isEmpty()
+        if grown:
             roots = joined(roots, more)
-    return roots
+        if not nearest:
+            return roots
+        rounds += 1
+        nearest = grown and rounds < NEAREST_ROUNDS
 
 
 def joined(roots: DataFrame, links: DataFrame) -> DataFrame:
