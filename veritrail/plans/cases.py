@@ -322,8 +322,8 @@ ORACLES: dict[str, str] = {
       UNION ALL SELECT printf('policy lag %d > %d', max_policy_lag, {registry.TIGHT.max_policy_lag}) FROM r WHERE max_policy_lag > {registry.TIGHT.max_policy_lag}
       UNION ALL SELECT printf('mean reward %.3f < %.3f', mean_reward, {registry.TIGHT.min_mean_reward}) FROM r WHERE mean_reward < {registry.TIGHT.min_mean_reward}) x""",
     "streaming_gate": registry._report(),
-    "math_several_truths": """WITH v AS (SELECT o_orderkey AS id, CASE CAST(o_orderkey % 4 AS INT) WHEN 0 THEN false WHEN 1 THEN o_orderkey % 3 = 2 WHEN 2 THEN o_orderkey % 3 = 1
-        ELSE o_orderkey % 3 <= 1 END AS passed FROM orders) SELECT id, passed, CAST(passed AS INT) * 1.0e0 AS reward FROM v""",
+    "math_several_truths": """WITH v AS (SELECT o_orderkey AS id, CASE CAST(o_orderkey % 4 AS INT) WHEN 0 THEN false WHEN 1 THEN o_orderkey % 3 = 2 OR o_orderkey % 3 = 0 AND o_custkey = 0 WHEN 2 THEN o_orderkey % 3 = 1
+        ELSE o_orderkey % 3 <= 1 OR o_custkey = 0 END AS passed FROM orders) SELECT id, passed, CAST(passed AS INT) * 1.0e0 AS reward FROM v""",
     "deep_fractions": "SELECT o_orderkey AS id, o_orderkey % 9 + 1 = 6 OR o_custkey = 0 AS passed FROM orders",
     "case_folding": "SELECT c_custkey AS id, c_custkey % 2 = 0 AS passed FROM customer",
     "verified": f"""WITH n AS (SELECT CAST(n_nationkey AS VARCHAR) AS id, n_nationkey % 6 AS way, {_WAY.replace("way", "n_nationkey % 6")} AS e FROM nation) SELECT id, CASE WHEN way = 0 THEN 'math' ELSE 'code' END AS verifier,
