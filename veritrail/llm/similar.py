@@ -43,7 +43,7 @@ BANDS, WIDTH = 20, 3
 SAMPLE_DOCS, OFTEN, MAX_OFTEN = 8192, 3, 65_536  #: for the order of shingles alone: documents counted, count of a frequent shingle, shingles kept
 MAX_SENT = 1 << 20  #: up to so many nodes' keys are broadcast to find their texts; more are joined
 HOT = 4096  #: rows of a bucket that one task compares at a time
-NEAREST_ROUNDS = 6  #: at most, before all pairs that are left are compared
+NEAREST_ROUNDS = 1  #: at most, before all pairs that are left are compared
 LEADERS = 32  #: chosen in a bucket before the rest waits for the second step
 BATCH_ROWS = 1 << 16
 QUERIES = 64
