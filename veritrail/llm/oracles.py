@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from veritrail.llm import mixing, url_filter
+from veritrail.llm import mixing, phrases, url_filter
 from veritrail.llm.common import LOWER, UPPER
 
 
@@ -50,4 +50,23 @@ def mixing_sql() -> str:
     FROM d JOIN e ON d.source IS NOT DISTINCT FROM e.source"""
 
 
-ORACLES = {"op7_url_filter": url_sql(), "op8_source_mixing": mixing_sql()}
+def phrase_sql() -> str:
+    """All phrases of all lengths at once, each cut looked up among them."""
+    return f"""WITH d AS (SELECT coalesce(lang, 'und') AS lang, translate(coalesce(text, ''), '{UPPER}', '{LOWER}') AS t FROM documents),
+      p AS (SELECT lang, unnest(regexp_split_to_array(t, '[.,;:!?\\x0A-\\x0D]')) AS piece FROM d),
+      w AS (SELECT lang, regexp_extract_all(piece, '[^\\x20\\x09]+') AS w FROM p),
+      g AS (SELECT lang, k, unnest(list_transform(range(1, len(w) - k + 2), lambda i: array_to_string(w[i:i + k - 1], ' '))) AS phrase FROM w, range(1, {phrases.MOST_WORDS + 1}) r(k) WHERE len(w) >= k),
+      f AS (SELECT lang, k, phrase, count(*) AS a FROM g GROUP BY ALL),
+      n AS (SELECT lang, CAST(sum(a) AS BIGINT) AS n FROM f WHERE k = 1 GROUP BY lang),
+      c AS (SELECT *, string_split(phrase, ' ') AS w FROM f WHERE k >= 2 AND a >= {phrases.LEAST}),
+      o AS (SELECT lang, a, array_to_string(w[:j], ' ') AS x, array_to_string(w[j + 1:], ' ') AS y, phrase, j FROM c, range(1, {phrases.MOST_WORDS}) r(j) WHERE j < k),
+      s AS (SELECT o.lang, o.phrase, o.a, l.a AS l, r.a AS r, n, j, CAST(1000 AS HUGEINT) * o.a * n // (CAST(l.a AS HUGEINT) * r.a) AS score
+        FROM o JOIN n ON o.lang = n.lang JOIN f l ON l.lang = o.lang AND l.phrase = x JOIN f r ON r.lang = o.lang AND r.phrase = y),
+      b AS (SELECT *, row_number() OVER (PARTITION BY lang, phrase ORDER BY score, j) AS first FROM s),
+      i AS (SELECT lang, array_to_string(w[x:x + m - 1], ' ') AS phrase, max(a) AS within FROM c, range(1, {phrases.MOST_WORDS}) q(x), range(2, {phrases.MOST_WORDS}) v(m) WHERE m < k AND x + m - 1 <= k GROUP BY ALL),
+      t AS (SELECT b.lang, b.phrase, a, l, r, n, score FROM b LEFT JOIN i ON i.lang = b.lang AND i.phrase = b.phrase WHERE first = 1 AND coalesce(100 * within < {phrases.SHARE} * a, true)),
+      z AS (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank FROM t)
+    SELECT lang, rank, phrase, a, l, r, n, CAST(score AS BIGINT) AS score FROM z WHERE rank <= {phrases.FIRST}"""
+
+
+ORACLES = {"op7_url_filter": url_sql(), "op8_source_mixing": mixing_sql(), "op13_phrase_mining": phrase_sql()}

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from veritrail.llm import ann, html_extract, lm_scoring, mixing, oracles, packing, quality, simhash, suffix_dedup, token_store, url_filter
+from veritrail.llm import ann, html_extract, lm_scoring, mixing, oracles, packing, phrases, quality, runs, sharding, simhash, suffix_dedup, token_store, url_filter
 from veritrail.llm.common import table, tokenizer_path
 
 
@@ -51,7 +51,23 @@ def op10_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lm_scoring.lm_scores(table(spark, sf_dir, "documents"))
 
 
+def op11_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sharding.shard_report(table(spark, sf_dir, "documents"))
+
+
+def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return runs.runs_report(table(spark, sf_dir, "documents"))
+
+
+def op13_phrase_mining(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return phrases.mine_phrases(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_token_output, op2_quality_rules, op3_html_extraction, op4_simhash, op5_suffix_dedup, op6_nearest_neighbours, op7_url_filter, op8_source_mixing, op9_best_fit_packing, op10_lm_scoring)
-}
+    f.__name__: f
+    for f in (
+        op1_token_output, op2_quality_rules, op3_html_extraction, op4_simhash, op5_suffix_dedup, op6_nearest_neighbours, op7_url_filter, op8_source_mixing, op9_best_fit_packing, op10_lm_scoring,
+        op11_sharding, op12_periodic_runs, op13_phrase_mining,
+    )
+}
 ORACLES: dict[str, str] = oracles.ORACLES
