@@ -31,7 +31,7 @@ import zstandard
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from veritrail.llm.common import new_path, process_store, small_batches
+from veritrail.llm.common import batches_of, new_path, process_store, settle
 
 MAGIC = b"VTOK1"
 HEAD = "<5sB32sI"
@@ -40,6 +40,7 @@ END_ID = 0
 SAMPLE_DOCS, SAMPLE_CHARS, DICT_BYTES = 256, 65_536, 65_536
 SHARD_BYTES = 4 << 20  #: a shard is closed after the document that passes this
 LEVEL = 1
+BATCH_ROWS, BATCH_SHARDS = 512, 16  #: handed to Python at a time
 MAX_PIECES = 600_000  #: cached encodings a worker, before those of the next batch; the newer half goes beyond that
 MARKS = ".,;:!?|%$#*&<>()[]{}\"-+=/@~^"  #: punctuation that may be cut from the end of a word
 
@@ -64,6 +65,7 @@ class PieceEncoder:
         self.width = 2 if self.tokenizer.get_vocab_size() <= 1 << 16 else 4
         self.kind = "HI"[self.width // 4]
         self.pieces: dict[str, bytes | None] = {}
+        self.marks: dict[str, bytes] = {}  # punctuation after letters; apart, as a piece may be any string
 
     @classmethod
     def of_process(cls, path: str) -> PieceEncoder:
@@ -97,10 +99,9 @@ class PieceEncoder:
         known.update(zip(letters, self.words(letters), strict=True))
         known.update(dict.fromkeys(p for p in new if not p or p[0].isspace() or p[-1].isspace()))
         ends = {p: p[len(c) :] for p, c in cores.items() if len(c) < len(p) and c.isalpha()}
-        marks = [f"\n{m}" for m in set(ends.values())]  # the new line keeps these apart from pieces
-        fresh = [m for m in marks if m not in known]
-        known.update(zip(fresh, self.raw([m[1:] for m in fresh]), strict=True))
-        known.update((p, known[cores[p]] + known[f"\n{m}"]) for p, m in ends.items())
+        fresh = list(set(ends.values()).difference(self.marks))
+        self.marks.update(zip(fresh, self.raw(fresh), strict=True))
+        known.update((p, known[cores[p]] + self.marks[m]) for p, m in ends.items())
         rest = [p for p in new if p not in known]
         known.update(zip(rest, self.raw([f" {p}" for p in rest]), strict=True))
 
@@ -108,6 +109,7 @@ class PieceEncoder:
         cut = [t.split(" ") for t in texts]
         if len(self.pieces) > MAX_PIECES:  # the oldest half has the frequent words
             self.pieces = dict(islice(self.pieces.items(), MAX_PIECES // 2))
+            self.marks = dict(islice(self.marks.items(), MAX_PIECES // 2))
         known = self.pieces
         self.learn(list(set().union(*(c[1:] for c in cut)).difference(known)))
         first = self.raw([c[0] for c in cut])
@@ -171,7 +173,6 @@ class Shard:
 def write_tokens(docs: DataFrame, tokenizer_path: str, path: str | None = None) -> str:
     """Encode all texts into a token store; returns its folder, with tables "dictionary" and "shards"."""
     spark = docs.sparkSession
-    small_batches(spark)
     path = path or new_path(spark, "tokens")
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
     chosen = rows.select("doc_id").orderBy(F.xxhash64("doc_id"), "doc_id").limit(SAMPLE_DOCS).distinct()  # ids alone are ordered
@@ -212,7 +213,8 @@ def write_tokens(docs: DataFrame, tokenizer_path: str, path: str | None = None)
         if doc_ids:
             yield close()
 
-    rows.repartitionByRange("doc_id").sortWithinPartitions("doc_id").mapInArrow(write, SHARDS).write.parquet(f"{path}/shards")
+    with batches_of(spark, BATCH_ROWS):
+        rows.repartitionByRange("doc_id").sortWithinPartitions("doc_id").mapInArrow(write, SHARDS).write.parquet(f"{path}/shards")
     return path
 
 
@@ -243,4 +245,5 @@ def read_tokens(spark: SparkSession, path: str) -> DataFrame:
     parts = shards.groupBy("part").agg(F.sum("n_tokens").alias("n"))
     bases = parts.select("part", (F.sum("n").over(Window.orderBy("part")) - F.col("n")).alias("base"))
     placed = shards.join(F.broadcast(bases), "part").select((F.col("base") + F.col("part_start")).alias("start"), "shard")
-    return placed.mapInArrow(read, DECODED).withColumnRenamed("part_start", "start")
+    with batches_of(spark, BATCH_SHARDS):
+        return settle(placed.mapInArrow(read, DECODED).withColumnRenamed("part_start", "start"), "decoded")
