@@ -251,3 +251,27 @@ def test_shared_folder(spark, monkeypatch):
         shared.shared_dir(Session)
     Session.sparkContext.master = "local[2]"
     assert shared.shared_dir(Session) == shared.shared_dir(Session) and shared.shared_dir(Session).startswith("file:///")
+
+
+def test_null_kinds_raise(spark):
+    ok, null = ("a", "math", ["1"], None, ["true"], {}, "1"), ("b", None, ["1"], None, ["true"], {}, "1")
+    schema = "id string, kind string, ground_truth array<string>, candidate_path string, test_command array<string>, files map<string,string>, completion string"
+    df, runner = spark.createDataFrame([ok, null], schema), verify.LocalRunner(trusted=True)
+    both = {"math": verify.MathVerifier(), "code": verify.CodeVerifier(runner)}
+    assert verify.verify(df.limit(1), both).first().passed
+    for bad in (verify.verify(df, both), verify.verify(df, {"math": verify.MathVerifier()}), verify.math_verify(df), verify.code_verify(df.filter("kind IS NULL"), runner)):
+        with pytest.raises(Exception, match="no verifier for tasks of kind null|needs a (math|code) task"):
+            bad.collect()
+    broken = validation.task_rules(df).collect()
+    assert [r.broken for r in broken] == [[], ["kind"]]
+
+
+def test_files_are_stripped(spark):
+    made = spark.createDataFrame([("t", "\n  do it\x0b\n\n", " img\t", {}, {"test.sh": " x "}, 1, 1)], "id string, instruction string, image string, seed_files map<string,string>, test_files map<string,string>, max_steps bigint, copies bigint")
+    assert {r.path: r.content for r in datasets.file_rows(made).collect()} == {"instruction.md": "do it\n", "image.txt": "img\n", "tests/test.sh": " x "}
+
+
+def test_nan_duration(spark):
+    df = spark.createDataFrame([("math", 0.5, 1, 1, 1, 2, 0.1, float("nan"))], "task_kind string, r double, policy_version long, learner_version long, response_tokens long, max_response_tokens long, entropy double, d double")
+    df = df.withColumn("verifier", F.struct(F.col("r").alias("reward"), F.col("d").alias("duration_seconds"))).drop("r", "d")
+    assert validation.broken_rules(df).first().broken == ["duration"]

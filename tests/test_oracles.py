@@ -5,9 +5,9 @@ import os
 import duckdb
 import pytest
 
-from veritrail.plans import cases, registry
+from veritrail.plans import cases, registry, training
 
-QUERIES, ORACLES = registry.QUERIES | cases.QUERIES, registry.ORACLES | cases.ORACLES
+QUERIES, ORACLES = registry.QUERIES | cases.QUERIES | training.QUERIES, registry.ORACLES | cases.ORACLES | training.ORACLES
 SF = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
 
 

@@ -9,6 +9,7 @@ from pathlib import Path
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from veritrail.functions.answers import strip
 from veritrail.operators.validation import safe_name, safe_relative
 
 #: What packed rows say.
@@ -69,7 +70,7 @@ def code_rows(manifests: DataFrame, dataset: str = "code", env_name: str = SANDB
 def file_rows(manifests: DataFrame) -> DataFrame:
     """(task_id, path, content) of every file of every task."""
     df = checked_manifests(manifests)
-    line = lambda c: F.concat(F.trim(c), F.lit("\n"))
+    line = lambda c: F.concat(strip(F.col(c)), F.lit("\n"))
     fixed = F.array(F.struct(F.lit("instruction.md").alias("path"), line("instruction").alias("content")), F.struct(F.lit("image.txt").alias("path"), line("image").alias("content")))
     of = lambda m, root: F.transform(F.coalesce(F.map_entries(m), F.array().cast("array<struct<key:string,value:string>>")), lambda e: F.struct(F.concat(F.lit(root), e["key"]).alias("path"), e["value"].alias("content")))
     return df.select(F.col("id").alias("task_id"), F.inline(F.concat(fixed, of("seed_files", "environment/seeds/"), of("test_files", "tests/"))))

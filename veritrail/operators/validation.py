@@ -22,7 +22,7 @@ def trajectory_rules(has: set[str]) -> list[tuple[str, Column]]:
         ("entropy", (c("entropy") < 0) | F.isnan("entropy")),
     ]
     if "verifier" in has:
-        out.append(("duration", c("verifier.duration_seconds") < 0))
+        out.append(("duration", (c("verifier.duration_seconds") < 0) | F.isnan("verifier.duration_seconds")))
     return [(name, F.coalesce(broken, F.lit(False))) for name, broken in out]
 
 
@@ -50,7 +50,7 @@ def task_rules(tasks: DataFrame) -> DataFrame:
     """tasks with broken: candidate path, kind, and what a task of that kind needs."""
     c = F.col
     each = {
-        "kind": ~c("kind").isin("math", "code"),
+        "kind": ~F.coalesce(c("kind").isin("math", "code"), F.lit(False)),
         "candidate_path": ~safe_relative(F.coalesce("candidate_path", F.lit("solution.py"))),
         "math_needs_truth": (c("kind") == "math") & c("ground_truth").isNull(),
         "code_needs_command": (c("kind") == "code") & (F.coalesce(F.size("test_command"), F.lit(0)) <= 0),

@@ -29,7 +29,7 @@ TIMEOUT = 120.0
 def math_verify(rows: DataFrame) -> DataFrame:
     """rows (kind, ground_truth array, completion, ...) with a result: reward, passed, reason, extracted answer."""
     answer = extract_answer(F.col("completion"))
-    bad = F.when(F.col("kind") != "math", F.raise_error("the math verifier needs a math task")).when(F.col("ground_truth").isNull(), F.raise_error("a math task needs a ground truth"))
+    bad = F.when(F.coalesce("kind", F.lit("")) != "math", F.raise_error("the math verifier needs a math task")).when(F.col("ground_truth").isNull(), F.raise_error("a math task needs a ground truth"))
     df = rows.withColumn("extracted_answer", F.coalesce(bad.cast("string"), answer))
     df = with_match(df, "extracted_answer", "ground_truth", "passed")
     return df.withColumns(
@@ -149,7 +149,7 @@ def code_verify(rows: DataFrame, runner: SandboxRunner, timeout: float = TIMEOUT
     Programs run at least once; turn speculation off, and write the result before it is read twice. slots: programs at
     a time, by default as many as there are tasks.
     """
-    checked = F.when(F.col("kind") != "code", F.raise_error("the code verifier needs a code task")).when(F.coalesce(F.size("test_command"), F.lit(0)) <= 0, F.raise_error("a code task needs a test command"))
+    checked = F.when(F.coalesce("kind", F.lit("")) != "code", F.raise_error("the code verifier needs a code task")).when(F.coalesce(F.size("test_command"), F.lit(0)) <= 0, F.raise_error("a code task needs a test command"))
     df = rows.select("id", "candidate_path", "test_command", F.map_entries("files").alias("files"), F.coalesce(checked.cast("string"), extract_code(F.col("completion"))).alias("code"))
     df = df.repartition(slots) if slots else df
 
@@ -187,11 +187,14 @@ class CodeVerifier:
 
 
 def verify(rows: DataFrame, verifiers: dict[str, Verifier]) -> DataFrame:
-    """Each row by the verifier of its kind; a kind without one raises."""
-    unknown = F.when(~F.col("kind").isin(*verifiers), F.raise_error(F.concat(F.lit("no verifier for tasks of kind "), F.col("kind"))))
+    """Each row by the verifier of its kind; a kind without one, null too, raises. rows is read once for each verifier."""
+    if not verifiers:
+        raise ValueError("no verifiers")
+    kind = F.coalesce("kind", F.lit("null"))
+    unknown = F.when(~F.coalesce(F.col("kind").isin(*verifiers), F.lit(False)), F.raise_error(F.concat(F.lit("no verifier for tasks of kind "), kind)))
     rows = rows.withColumn("kind", F.coalesce(unknown.cast("string"), F.col("kind")))
     out = None
-    for kind, verifier in verifiers.items():
-        done = verifier.verify(rows.filter(F.col("kind") == kind))
+    for name, verifier in verifiers.items():
+        done = verifier.verify(rows.filter(F.col("kind") == name))
         out = done if out is None else out.unionByName(done)
     return out

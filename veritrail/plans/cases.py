@@ -91,7 +91,7 @@ def rows_jsonl(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows_back(spark, sf_dir, ".jsonl")
 
 
-TASKS = """SELECT concat('task-', CAST(p_partkey AS STRING)) AS id, CASE WHEN p_partkey % 7 = 0 THEN 'prose' WHEN p_partkey % 2 = 0 THEN 'math' ELSE 'code' END AS kind, p_name AS prompt,
+TASKS = """SELECT concat('task-', CAST(p_partkey AS STRING)) AS id, CASE WHEN p_partkey % 7 = 0 THEN 'prose' WHEN p_partkey % 13 = 0 THEN NULL WHEN p_partkey % 2 = 0 THEN 'math' ELSE 'code' END AS kind, p_name AS prompt,
   CASE WHEN p_partkey % 5 = 0 THEN '../x.py' WHEN p_partkey % 11 = 0 THEN '/x.py' END AS candidate_path, p_partkey % 3 AS truth, p_size AS size FROM part"""
 
 
@@ -124,7 +124,7 @@ def broken_manifests(spark: SparkSession, sf_dir: str) -> DataFrame:
     return datasets.broken_manifests(made).select(F.explode("broken").alias("rule")).groupBy("rule").agg(F.count("*").alias("n"))
 
 
-NATIONS = """SELECT concat('task-', CAST(n_nationkey AS VARCHAR(20))) AS id, concat('  ', n_name, ' ') AS instruction, 'image' AS image, CAST(n_nationkey + 1 AS BIGINT) AS max_steps, CAST(2 AS BIGINT) AS copies FROM nation"""
+NATIONS = """SELECT concat('task-', CAST(n_nationkey AS VARCHAR(20))) AS id, concat(chr(10), ' ', chr(9), n_name, ' ', chr(13), chr(10), chr(10)) AS instruction, concat(chr(12), 'image', chr(9)) AS image, CAST(n_nationkey + 1 AS BIGINT) AS max_steps, CAST(2 AS BIGINT) AS copies FROM nation"""
 
 
 def nation_manifests(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -288,7 +288,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 _FAULTS = ", ".join(f"('{n}', '{p}')" for n, *_, p in FAULTS if p)
 _WAY = "CASE WHEN way = 1 THEN 'tests' WHEN way = 2 THEN 'timeout' WHEN way IN (3, 4) THEN 'sandbox_error' END"
 _VALID = " OR ".join(f"({w})" for _, w in registry._RULES)
-_TREE = f"""m AS ({NATIONS}), f AS (SELECT id, 'instruction.md' AS path, concat(trim(instruction), chr(10)) AS content FROM m UNION ALL SELECT id, 'image.txt', concat(image, chr(10)) FROM m
+_TREE = f"""m AS ({NATIONS}), f AS (SELECT id, 'instruction.md' AS path, concat(n_name, chr(10)) AS content FROM nation JOIN m ON id = concat('task-', CAST(n_nationkey AS VARCHAR)) UNION ALL SELECT id, 'image.txt', concat('image', chr(10)) FROM m
   UNION ALL SELECT id, 'environment/seeds/d/a.py', instruction FROM m UNION ALL SELECT id, 'tests/test.sh', 'exit 0' FROM m)"""
 
 ORACLES: dict[str, str] = {
@@ -302,7 +302,7 @@ ORACLES: dict[str, str] = {
     "rows_parquet": "SELECT c_custkey, CASE WHEN c_custkey % 3 > 0 THEN concat('né-', c_name) END AS c_name, c_acctbal FROM customer",
     "rows_jsonl": "SELECT c_custkey, CASE WHEN c_custkey % 3 > 0 THEN concat('né-', c_name) END AS c_name, c_acctbal FROM customer",
     "task_scan": f"""WITH t AS ({TASKS.replace("STRING", "VARCHAR")}) SELECT id, kind, CASE truth WHEN 1 THEN CAST(size AS VARCHAR) WHEN 2 THEN concat(size, '|', size, '/1') END AS truths FROM t""",
-    "task_rules": f"""WITH t AS ({TASKS.replace("STRING", "VARCHAR")}) SELECT rule, count(*) AS n FROM (SELECT 'kind' AS rule FROM t WHERE kind = 'prose' UNION ALL SELECT 'candidate_path' FROM t WHERE candidate_path IS NOT NULL
+    "task_rules": f"""WITH t AS ({TASKS.replace("STRING", "VARCHAR")}) SELECT rule, count(*) AS n FROM (SELECT 'kind' AS rule FROM t WHERE kind = 'prose' OR kind IS NULL UNION ALL SELECT 'candidate_path' FROM t WHERE candidate_path IS NOT NULL
       UNION ALL SELECT 'math_needs_truth' FROM t WHERE kind = 'math' AND truth = 0 UNION ALL SELECT 'code_needs_command' FROM t WHERE kind = 'code' AND truth = 0) x GROUP BY rule""",
     "broken_manifests": """SELECT rule, count(*) AS n FROM (SELECT 'unsafe_id' AS rule FROM part WHERE p_partkey % 6 = 0 UNION ALL SELECT 'no_test' FROM part WHERE p_partkey % 4 = 0
       UNION ALL SELECT 'outside' FROM part WHERE p_partkey % 5 = 0 UNION ALL SELECT 'count' FROM part WHERE p_partkey % 3 = 0 OR p_size < 1) x GROUP BY rule""",

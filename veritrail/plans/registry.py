@@ -45,7 +45,7 @@ VERIFY = """
     CASE WHEN o_orderkey % 3 = 0 THEN concat(CAST(o_custkey AS VARCHAR(20)), '/2') ELSE CAST(o_custkey AS VARCHAR(20)) END AS truth
   FROM orders"""
 MANIFESTS = """
-  SELECT concat('task-', CAST(p_partkey AS VARCHAR(20))) AS id, p_name AS instruction, concat('image-', CAST(p_size AS VARCHAR(20))) AS image,
+  SELECT concat('task-', CAST(p_partkey AS VARCHAR(20))) AS id, concat(chr(9), p_name, ' ', chr(10)) AS instruction, concat('image-', CAST(p_size AS VARCHAR(20)), chr(13), chr(10)) AS image,
          CAST(p_size + 1 AS BIGINT) AS max_steps, CAST(p_partkey % 3 + 1 AS BIGINT) AS copies FROM part"""
 #: name, kind, sandbox, nodes, GPUs a node, learners on each node, sequence parallel, engines, tensor parallel, prompts, samples, async steps, prompt, response, per turn, pack
 PROFILES = (
@@ -281,8 +281,8 @@ ORACLES: dict[str, str] = {
       CAST(2 * n + 1 AS VARCHAR) AS ground_truth, 'math_smoke' AS dataset FROM range(1, 1001) r(n)""",
     "pack_code_rows": f"""WITH m AS ({MANIFESTS}), c AS (SELECT *, unnest(range(copies)) AS k FROM m)
       SELECT concat(id, '-', CAST(k AS VARCHAR)) AS instance_id, 'code' AS dataset, 'bash' AS tool, max_steps, id AS task_id, image FROM c""",
-    "pack_files": f"""WITH m AS ({MANIFESTS}) SELECT id AS task_id, 'instruction.md' AS path, concat(trim(instruction), chr(10)) AS content FROM m
-      UNION ALL SELECT id, 'image.txt', concat(image, chr(10)) FROM m UNION ALL SELECT id, 'environment/seeds/a.py', instruction FROM m UNION ALL SELECT id, 'tests/test.sh', 'exit 0' FROM m""",
+    "pack_files": f"""WITH m AS ({MANIFESTS}) SELECT concat('task-', CAST(p_partkey AS VARCHAR)) AS task_id, 'instruction.md' AS path, concat(p_name, chr(10)) AS content FROM part
+      UNION ALL SELECT concat('task-', CAST(p_partkey AS VARCHAR)), 'image.txt', concat('image-', CAST(p_size AS VARCHAR), chr(10)) FROM part UNION ALL SELECT id, 'environment/seeds/a.py', instruction FROM m UNION ALL SELECT id, 'tests/test.sh', 'exit 0' FROM m""",
     "pack_messages": "SELECT conv_id, row_number() OVER (PARTITION BY conv_id ORDER BY turn, role, text) - 1 AS position, role, text AS content FROM conversations",
     "config_topology": f"""WITH {_PROFILES} SELECT name, CAST(nodes * g AS BIGINT) AS capacity, CAST(list_sum(l) AS BIGINT) AS learner_gpus, CAST(engines * tp AS BIGINT) AS rollout_gpus,
       CAST(nodes * g - list_sum(l) - engines * tp AS BIGINT) AS spare_gpus, CAST(len(l) AS BIGINT) AS learner_nodes, CAST(engines AS BIGINT) AS rollout_engines,
