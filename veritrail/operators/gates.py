@@ -1,6 +1,7 @@
 """Health gates over trajectories, and what else is computed by reward group.
 
-Everything is one scan and one shuffle: groups are reduced to a few partial sums, then all groups to one row.
+Groups are reduced to a few partial sums, then all groups to one row: one shuffle. Means rest on exact sums, which take
+a scan of their two columns and move a row for each exponent and task; so a report has the same bits however rows are dealt out.
 """
 
 from __future__ import annotations
@@ -10,6 +11,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from veritrail.operators import exact
 from veritrail.sources.shared import settle
 
 GROUP = ("task_id", "policy_version")
@@ -42,25 +44,33 @@ def flags(rows: DataFrame) -> DataFrame:
 def reward_groups(rows: DataFrame, by: tuple[str, ...] = ()) -> DataFrame:
     """One row for each task and policy version, of whatever run, and each value of by."""
     return rows.groupBy(*by, *GROUP).agg(
-        F.count("*").alias("samples"), F.min("reward").alias("min_reward"), F.max("reward").alias("max_reward"), F.sum("reward").alias("sum_reward"),
+        F.count("*").alias("samples"), F.min("reward").alias("min_reward"), F.max("reward").alias("max_reward"),
         F.count_if(truncated()).alias("truncated"), F.count_if(F.col("error_type").isNotNull()).alias("errors"), F.max(policy_lag()).alias("max_policy_lag"),
-        F.sum("entropy").alias("sum_entropy"), F.count("entropy").alias("n_entropy"),
     )
 
 
-def summary(groups: DataFrame, by: tuple[str, ...] = ()) -> DataFrame:
-    n = F.sum("samples")
-    share = lambda x: F.coalesce(F.try_divide(x.cast("double"), n.cast("double")), F.lit(0.0))
+MEANS = ("reward", "entropy")
+
+
+def totals(groups: DataFrame, by: tuple[str, ...] = ()) -> DataFrame:
+    """Sums over groups; totals of disjoint sets of groups merge."""
     return groups.groupBy(*by).agg(
-        F.coalesce(n, F.lit(0)).alias("samples"),
-        share(F.sum("sum_reward")).alias("mean_reward"),
-        F.coalesce(F.avg((F.col("min_reward") == F.col("max_reward")).cast("double")), F.lit(1.0)).alias("zero_std_fraction"),
-        share(F.sum("truncated")).alias("truncation_fraction"),
-        share(F.sum("errors")).alias("error_fraction"),
-        F.coalesce(F.max("max_policy_lag"), F.lit(0)).cast("bigint").alias("max_policy_lag"),
-        F.round(F.try_divide(F.sum("sum_entropy"), F.sum("n_entropy")), 9).alias("mean_entropy"),
-        F.count("*").alias("n_groups"),
-    )
+        F.sum("samples").alias("samples"), F.count("*").alias("n_groups"), F.count_if(F.col("min_reward") == F.col("max_reward")).alias("zero_groups"),
+        F.sum("truncated").alias("truncated"), F.sum("errors").alias("errors"), F.max("max_policy_lag").alias("max_policy_lag"),
+    )
+
+
+def figures(sums: DataFrame, parts: DataFrame, by: tuple[str, ...] = ()) -> DataFrame:
+    """Totals and exact partials of MEANS, whole or in parts -> the report's figures; parts are a few rows, so the join sends them."""
+    c = lambda k: F.coalesce(F.sum(k), F.lit(0))
+    share = lambda k, n, other: F.coalesce(F.try_divide(F.sum(k).cast("double"), F.sum(n).cast("double")), F.lit(other))
+    merged = sums.groupBy(*by).agg(
+        c("samples").alias("samples"), share("zero_groups", "n_groups", 1.0).alias("zero_std_fraction"), share("truncated", "samples", 0.0).alias("truncation_fraction"),
+        share("errors", "samples", 0.0).alias("error_fraction"), F.coalesce(F.max("max_policy_lag"), F.lit(0)).cast("bigint").alias("max_policy_lag"), c("n_groups").alias("n_groups"),
+    )
+    means = exact.means(parts, MEANS, by).select(F.struct(*by, F.lit(0).alias("all")).alias("key"), *[f"mean_{k}" for k in MEANS])
+    joined = merged.withColumn("key", F.struct(*by, F.lit(0).alias("all"))).join(means, "key", "left").drop("key")
+    return joined.withColumn("mean_reward", F.coalesce("mean_reward", F.lit(0.0)))
 
 
 def checks(limits: Limits) -> list[tuple[str, Column, float]]:
@@ -86,7 +96,7 @@ def with_failures(report: DataFrame, limits: Limits) -> DataFrame:
 
 def gate_report(rows: DataFrame, limits: Limits | None = None, by: tuple[str, ...] = ()) -> DataFrame:
     """The report: one row, or one for each value of by (columns of rows)."""
-    return with_failures(summary(reward_groups(rows, by), by), limits or Limits())
+    return with_failures(figures(totals(reward_groups(rows, by), by), exact.partials(rows, MEANS, by), by), limits or Limits())
 
 
 def failure_rows(report: DataFrame) -> DataFrame:

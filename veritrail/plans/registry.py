@@ -82,7 +82,7 @@ def trajectories(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def report_columns(df: DataFrame, *by: str) -> DataFrame:
-    return df.select(*by, "samples", "mean_reward", "zero_std_fraction", "truncation_fraction", "error_fraction", "max_policy_lag", "mean_entropy", "passed")
+    return df.select(*by, "samples", "mean_reward", "zero_std_fraction", "truncation_fraction", "error_fraction", "max_policy_lag", F.round("mean_entropy", 9).alias("mean_entropy"), "passed")
 
 
 def gate_report(spark: SparkSession, sf_dir: str) -> DataFrame:

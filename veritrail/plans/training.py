@@ -7,7 +7,10 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from veritrail.operators import contamination
+from veritrail.operators import contamination, exact, gates
+from veritrail.plans import registry
+from veritrail.sources.shared import new_path
+from veritrail.streaming import gate as stream
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -34,7 +37,28 @@ def decontaminated(spark: SparkSession, sf_dir: str) -> DataFrame:
     return done.select("doc_id", F.size("removed").alias("n_spans"), F.sha2(F.encode("cleaned", "UTF-8"), 256).alias("cleaned_sha256"))
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (contamination_spans, contamination_matches, decontaminated)}
+def exact_means(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Exactly rounded sums and means by return flag."""
+    columns = ("l_discount", "l_tax", "l_quantity")
+    done = exact.sums(exact.partials(table(spark, sf_dir, "lineitem"), columns, ("l_returnflag",)), ("l_returnflag",))
+    return done.select("l_returnflag", F.col("column").alias("name"), "n", "sum", "mean")
+
+
+def streaming_gate_closed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two versions stay open; the rows come newest versions last, but for one in fifty, which is late unless its version is still open."""
+    rows = registry.trajectories(spark, sf_dir).withColumns({"year": F.col("policy_version"), "policy_version": F.when(F.col("response_tokens") == 50, F.col("policy_version") - 4).otherwise(F.col("policy_version"))})
+    path = new_path(spark, "versions")
+    years = [r.year for r in rows.select("year").distinct().orderBy("year").collect()]  # a few
+    for year in years:  # a file each, older ones first, as the stream takes them by time
+        rows.filter(F.col("year") == year).drop("year").coalesce(1).write.mode("append").parquet(path)
+    source = spark.readStream.schema(spark.read.parquet(path).schema).option("maxFilesPerTrigger", 1).parquet(path)
+    state = new_path(spark, "gate-state")
+    stream.start(source, state, new_path(spark, "gate-checkpoint"), keep=1).awaitTermination()
+    report = registry.report_columns(stream.report(spark, state))
+    return report.withColumn("late", F.lit(stream.late_rows(spark, state)))
+
+
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (contamination_spans, contamination_matches, decontaminated, exact_means, streaming_gate_closed)}
 
 #: All windows of both sides against each other by equality, without an index, rarity order or islands of the document.
 _MATCHES = f"""d AS (SELECT doc_id, regexp_extract_all(lower(text), '{contamination.WORD}') AS w FROM documents),
@@ -51,7 +75,19 @@ _SPANS = f"""{_MATCHES}, o AS (SELECT *, max("end") OVER (PARTITION BY doc_id OR
   n AS (SELECT *, sum(CASE WHEN "start" <= reached THEN 0 ELSE 1 END) OVER (PARTITION BY doc_id ORDER BY "start", "end" ROWS UNBOUNDED PRECEDING) AS span FROM o),
   z AS (SELECT doc_id, min("start") AS "start", max("end") AS "end", array_to_string(list_sort(list_distinct(list(item_id))), ',') AS items FROM n GROUP BY doc_id, span)"""
 
+#: These columns are whole numbers of 2^-60, whose sums fit 128 bits: rounded to 53 bits, ties to even, by whole-number steps.
+_EXACT = """v AS (SELECT l_returnflag, 'l_discount' AS name, l_discount AS x FROM lineitem UNION ALL SELECT l_returnflag, 'l_tax', l_tax FROM lineitem UNION ALL SELECT l_returnflag, 'l_quantity', l_quantity FROM lineitem),
+  u AS (SELECT l_returnflag, name, count(x) AS n, sum(CAST(x * 1152921504606846976.0 AS HUGEINT)) AS s FROM v GROUP BY ALL),
+  b AS (SELECT *, CAST(greatest(0, len(ltrim(bin(s), '0')) - 53) AS INT) AS k FROM u),
+  h AS (SELECT *, s // p AS q, s % p AS r, p FROM (SELECT *, CAST(pow(2, k) AS HUGEINT) AS p FROM b) x),
+  f AS (SELECT *, q + CASE WHEN 2 * r > p OR (2 * r = p AND q % 2 = 1) THEN 1 ELSE 0 END AS m FROM h),
+  e AS (SELECT l_returnflag, name, n, CAST(CAST(m AS BIGINT) AS DOUBLE) * pow(2.0, k - 60) AS sum FROM f)"""
+
 ORACLES: dict[str, str] = {
+    "exact_means": f'WITH {_EXACT} SELECT l_returnflag, name, n, "sum", "sum" / n AS mean FROM e',
+    "streaming_gate_closed": registry._report("WHERE NOT (CAST(l_quantity AS INT) = 50 AND year(l_shipdate) > (SELECT min(year(l_shipdate)) FROM lineitem))")
+    .replace("year(l_shipdate) AS policy_version", "year(l_shipdate) - CASE WHEN CAST(l_quantity AS INT) = 50 THEN 4 ELSE 0 END AS policy_version")
+    .replace("FROM a JOIN z ON true", ", (SELECT count(*) FROM lineitem WHERE CAST(l_quantity AS INT) = 50 AND year(l_shipdate) >= (SELECT min(year(l_shipdate)) FROM lineitem) + 1) AS late FROM a JOIN z ON true"),
     "contamination_matches": f"WITH {_MATCHES} SELECT * FROM m",
     "contamination_spans": f'WITH {_SPANS} SELECT doc_id, "start", "end", items FROM z',
     "decontaminated": f"""WITH {_SPANS}, t AS (SELECT doc_id, text, regexp_extract_all(text, '{contamination.SPACED_WORD}') AS w FROM documents),
