@@ -55,14 +55,24 @@ def log_missing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return log.read_trajectories(spark, new_path(spark, "no-log"))[0].agg(F.count("*").alias("n"))
 
 
-def log_strict(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The number of the first bad line in a file in order of the key, blank lines counted."""
+def monthly_log(spark: SparkSession, sf_dir: str) -> str:
+    """A file for each month of orders, lines in order of the key."""
     path = new_path(spark, "log")
-    lines = registry.sql(spark, sf_dir, LINES, "orders")
-    keep = lines.filter("id % 20 >= 6").repartitionByRange(1, "id").sortWithinPartitions("id")
-    keep.select("value").write.text(path)
-    at = log.first_bad_line(spark, path)
-    return spark.createDataFrame([(int(at.rsplit(":", 1)[1]),)], "line long")
+    lines = registry.sql(spark, sf_dir, f"SELECT id, value, date_format(o_orderdate, 'yyyy-MM') AS month FROM ({LINES}) x JOIN orders ON id = o_orderkey", "orders")
+    lines.repartition("month").sortWithinPartitions("month", "id").select("value", "month").write.partitionBy("month").text(path)
+    return path
+
+
+def log_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every rejected line's number in its file."""
+    found = log.numbered_rejects(spark, monthly_log(spark, sf_dir))
+    return found.select(F.regexp_extract("file", r"month=([^/]+)/", 1).alias("month"), "line", F.array_join("reasons", ",").alias("reasons"))
+
+
+def log_strict(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The file and number of the first bad line."""
+    at = log.first_bad_line(spark, monthly_log(spark, sf_dir))
+    return spark.createDataFrame([(at.split("month=")[1].split("/")[0], int(at.rsplit(":", 1)[1]))], "month string, line long")
 
 
 def log_append(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -280,7 +290,7 @@ def no_container(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
-        log_scan, log_rejects, log_missing, log_strict, log_append, rows_parquet, rows_jsonl, task_scan, task_rules, broken_manifests, manifest_scan, task_tree, task_archive, completion_scan,
+        log_scan, log_rejects, log_missing, log_lines, log_strict, log_append, rows_parquet, rows_jsonl, task_scan, task_rules, broken_manifests, manifest_scan, task_tree, task_archive, completion_scan,
         config_faults, config_scan, validate_summary, report_json, gate_messages, streaming_gate, math_several_truths, deep_fractions, case_folding, verified, no_container,
     )
 }
@@ -291,12 +301,16 @@ _VALID = " OR ".join(f"({w})" for _, w in registry._RULES)
 _TREE = f"""m AS ({NATIONS}), f AS (SELECT id, 'instruction.md' AS path, concat(n_name, chr(10)) AS content FROM nation JOIN m ON id = concat('task-', CAST(n_nationkey AS VARCHAR)) UNION ALL SELECT id, 'image.txt', concat('image', chr(10)) FROM m
   UNION ALL SELECT id, 'environment/seeds/d/a.py', instruction FROM m UNION ALL SELECT id, 'tests/test.sh', 'exit 0' FROM m)"""
 
+_LINES = """l AS (SELECT strftime(o_orderdate, '%Y-%m') AS month, row_number() OVER (PARTITION BY strftime(o_orderdate, '%Y-%m') ORDER BY o_orderkey) AS line, CASE CAST(o_orderkey % 20 AS INT) WHEN 0 THEN 'unknown_field'
+  WHEN 8 THEN 'unknown_field' WHEN 1 THEN 'missing_field' WHEN 2 THEN 'wrong_type' WHEN 3 THEN 'reward_range' WHEN 4 THEN 'max_tokens' WHEN 5 THEN 'duration' WHEN 6 THEN 'not_an_object' WHEN 9 THEN 'task_kind' END AS reasons FROM orders)"""
+
 ORACLES: dict[str, str] = {
     "log_scan": GOOD_ROWS,
     "log_rejects": """SELECT CASE CAST(o_orderkey % 20 AS INT) WHEN 0 THEN 'unknown_field' WHEN 8 THEN 'unknown_field' WHEN 1 THEN 'missing_field' WHEN 2 THEN 'wrong_type' WHEN 3 THEN 'reward_range' WHEN 4 THEN 'max_tokens'
       WHEN 5 THEN 'duration' WHEN 6 THEN 'not_an_object' ELSE 'task_kind' END AS reason, count(*) AS n FROM orders WHERE o_orderkey % 20 < 10 AND o_orderkey % 20 <> 7 GROUP BY 1""",
     "log_missing": "SELECT CAST(0 AS BIGINT) AS n",
-    "log_strict": """WITH k AS (SELECT o_orderkey % 20 AS k, row_number() OVER (ORDER BY o_orderkey) AS line FROM orders WHERE o_orderkey % 20 >= 6) SELECT min(line) AS line FROM k WHERE k IN (6, 8, 9)""",
+    "log_lines": f"""WITH {_LINES} SELECT * FROM l WHERE reasons IS NOT NULL""",
+    "log_strict": f"""WITH {_LINES} SELECT month, line FROM l WHERE reasons IS NOT NULL ORDER BY month, line LIMIT 1""",
     "log_append": """SELECT concat('task-', CAST(o_custkey AS VARCHAR)) AS task_id, 2 * count(*) AS n, CAST(2 * sum(o_orderkey % 2) AS DOUBLE) AS reward, CAST(2 * sum(o_custkey % 4) AS DOUBLE) AS entropy
       FROM orders WHERE o_orderkey % 20 >= 10 GROUP BY o_custkey""",
     "rows_parquet": "SELECT c_custkey, CASE WHEN c_custkey % 3 > 0 THEN concat('né-', c_name) END AS c_name, c_acctbal FROM customer",

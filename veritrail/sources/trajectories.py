@@ -8,12 +8,13 @@ from __future__ import annotations
 import json
 from pathlib import Path
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from veritrail.operators.gates import policy_lag, truncated
 from veritrail.operators.validation import broken_rules
 from veritrail.schemas import MANIFEST, REQUIRED, TASK, TRAJECTORY, TRAJECTORY_FIELDS, VERIFIER_FIELDS
+from veritrail.sources.shared import settle
 
 
 def exists(spark: SparkSession, path: str) -> bool:
@@ -22,8 +23,12 @@ def exists(spark: SparkSession, path: str) -> bool:
     return bool(at.getFileSystem(spark._jsc.hadoopConfiguration()).globStatus(at) or [])
 
 
+def blank(text: Column) -> Column:
+    return text.rlike(r"(?U)^[\s\x1c-\x1f\x85]*\z")
+
+
 def parse(lines: DataFrame) -> DataFrame:
-    """lines (value, ...) -> (..., value, row, reasons): the parsed row, and why it is rejected if it is."""
+    """lines (value, ...) that aren't blank -> (..., value, row, reasons): the parsed row, and why it is rejected if it is."""
     text = F.col("value")
     row = F.from_json(text, TRAJECTORY, {"timestampFormat": "yyyy-MM-dd'T'HH:mm:ss[.SSSSSS][XXX]"})
     raw, inner = F.from_json(text, "map<string,string>"), F.from_json(F.col("raw")["verifier"], "map<string,string>")
@@ -31,7 +36,7 @@ def parse(lines: DataFrame) -> DataFrame:
     lost = [F.col("raw")[k].isNotNull() & F.col(f"row.{k}").isNull() for k in TRAJECTORY_FIELDS]
     lost += [F.col("inner")[k].isNotNull() & F.col(f"row.verifier.{k}").isNull() for k in VERIFIER_FIELDS]
     missing = [F.col("raw")[k].isNull() for k in REQUIRED]
-    df = lines.filter(~text.rlike(r"(?U)^[\s\x1c-\x1f\x85]*\z")).withColumns({"row": row, "raw": raw}).withColumn("inner", inner)
+    df = lines.withColumns({"row": row, "raw": raw}).withColumn("inner", inner)
     any_of = lambda xs: F.exists(F.array(*[F.coalesce(x, F.lit(False)) for x in xs]), lambda x: x)
     none = F.json_object_keys(text).isNull()
     reasons = F.array_compact(
@@ -59,7 +64,7 @@ def read_trajectories(spark: SparkSession, path: str) -> tuple[DataFrame, DataFr
 
 def split(lines: DataFrame, *kept: str) -> tuple[DataFrame, DataFrame]:
     """Lines (value, *kept) -> rows, and rejects (value, *kept, reasons)."""
-    parsed = parse(lines)
+    parsed = parse(lines.filter(~blank(F.col("value"))))
     good = parsed.filter(F.size("reasons") == 0).select("row.*", "value", *kept)
     good = good.withColumns({"created_at": F.coalesce("created_at", F.current_timestamp()), "metadata": F.coalesce("metadata", F.lit("{}"))})
     checked = broken_rules(good)
@@ -69,16 +74,33 @@ def split(lines: DataFrame, *kept: str) -> tuple[DataFrame, DataFrame]:
     return rows.withColumns({"truncated": truncated(), "policy_lag": policy_lag()}), rejects
 
 
-def first_bad_line(spark: SparkSession, path: str) -> str | None:
-    """"file:line" of the first rejected line, blank lines counted; lines are numbered on the error path only."""
+def numbered_rejects(spark: SparkSession, path: str) -> DataFrame:
+    """(file, line, value, reasons) of all rejected lines of the files at path, blank lines counted, files cut anywhere.
+
+    One scan writes each line's split of its file and its number within the task, a few bytes a line, with what is wrong
+    with rejects. A line's place is then its distance from its split's first line, plus the lines of the file's splits before: a sum over
+    one row for each split. What is written once doesn't depend on how a second scan would be cut.
+    """
     if not exists(spark, path):
-        return None
-    at = split(spark.read.text(path).select("value", F.col("_metadata.file_path").alias("file")), "file")[1].agg(F.min("file")).first()[0]
-    if at is None:
-        return None
-    lines = spark.read.text(at).rdd.zipWithIndex().map(lambda x: (x[0].value, x[1]))
-    n = split(spark.createDataFrame(lines, "value string, line long"), "line")[1].agg(F.min("line")).first()[0]
-    return f"{at}:{n + 1}"
+        return spark.createDataFrame([], "file string, line long, value string, reasons array<string>")
+    meta = lambda k: F.col(f"_metadata.{k}")
+    lines = spark.read.text(path).select("value", meta("file_path").alias("file"), meta("file_block_start").alias("split"), F.monotonically_increasing_id().alias("number"))
+    own = ["value", "file", "split", "number"]
+    judged = broken_rules(parse(lines).select("row.*", *own, "reasons"))
+    why = F.when(blank(F.col("value")), F.array().cast("array<string>")).when(F.size("reasons") > 0, F.col("reasons")).otherwise(F.col("broken"))
+    bad = F.size("reasons") > 0
+    slim = judged.select(*own, why.alias("reasons")).select("file", "split", "number", F.when(bad, F.col("value")).alias("value"), F.when(bad, F.col("reasons")).alias("reasons"))
+    slim = settle(slim, "lines")
+    before = Window.partitionBy("file").orderBy("split").rowsBetween(Window.unboundedPreceding, -1)
+    splits = slim.groupBy("file", "split").agg(F.min("number").alias("first"), F.count("*").alias("n")).withColumn("base", F.coalesce(F.sum("n").over(before), F.lit(0)))
+    found = slim.filter(F.col("reasons").isNotNull()).join(splits, ["file", "split"])
+    return found.select("file", (F.col("base") + F.col("number") - F.col("first") + 1).alias("line"), "value", "reasons")
+
+
+def first_bad_line(spark: SparkSession, path: str) -> str | None:
+    """"file:line" of the first rejected line of the first file that has one."""
+    at = numbered_rejects(spark, path).agg(F.min(F.struct("file", "line")).alias("at")).first().at
+    return at and f"{at.file}:{at.line}"
 
 
 def read_strict(spark: SparkSession, path: str) -> DataFrame:
