@@ -5,9 +5,10 @@ import os
 import duckdb
 import pytest
 
-from veritrail.plans import cases, registry, training
+from veritrail.plans import cases, configurations, registry, training
 
-QUERIES, ORACLES = registry.QUERIES | cases.QUERIES | training.QUERIES, registry.ORACLES | cases.ORACLES | training.ORACLES
+MODULES = (registry, cases, configurations, training)
+QUERIES, ORACLES = ({k: v for m in MODULES for k, v in getattr(m, name).items()} for name in ("QUERIES", "ORACLES"))
 SF = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
 
 

@@ -8,12 +8,12 @@ import sys
 from collections.abc import Sequence
 from pathlib import Path
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, Row, SparkSession
+from pyspark.sql import functions as F
 
 from veritrail.operators import datasets, gates, topology, verify
-from veritrail.schemas import MANIFEST
 from veritrail.session import local_session
-from veritrail.sources import configs, trajectories
+from veritrail.sources import configs, objects, trajectories
 
 
 def show(value: object) -> None:
@@ -28,8 +28,25 @@ def only_config(path: str) -> dict:
     return config
 
 
+def only_row(rows: DataFrame, rejects: DataFrame) -> Row:
+    """The one object of a file; what is wrong with it raises."""
+    bad = rejects.first()
+    if bad:
+        raise ValueError("; ".join(bad.problems))
+    found = rows.take(2)
+    if len(found) != 1:
+        raise ValueError("the file should hold one object")
+    return found[0]
+
+
+def only_profile(spark: SparkSession, path: str) -> DataFrame:
+    rows = configs.read(spark, path)
+    only_row(rows, rows.filter(F.size("problems") > 0))
+    return rows
+
+
 def validate(spark: SparkSession, args: argparse.Namespace) -> int:
-    profile = configs.profiles(spark, [only_config(args.config)])
+    profile = only_profile(spark, args.config)
     broken = topology.violations(profile).first().violations
     if broken:
         raise ValueError("; ".join(broken))
@@ -38,18 +55,19 @@ def validate(spark: SparkSession, args: argparse.Namespace) -> int:
 
 
 def layout(spark: SparkSession, args: argparse.Namespace) -> int:
-    show(topology.topology(configs.profiles(spark, [only_config(args.config)])).first().asDict())
+    show(topology.topology(only_profile(spark, args.config)).first().asDict())
     return 0
 
 
 def verify_one(spark: SparkSession, args: argparse.Namespace) -> int:
-    tasks = trajectories.read_tasks(spark, args.task)
+    tasks, rejects = objects.tasks(spark, args.task)
+    kind = only_row(tasks, rejects).kind
     rows = tasks.crossJoin(trajectories.read_completions(spark, args.completion).select("completion"))  # one row each
     if args.runner == "local":
         runner: verify.SandboxRunner | None = verify.LocalRunner(trusted=True) if args.trusted else None
     else:
         runner = verify.ContainerRunner(args.image, args.program) if args.image else None
-    if tasks.first().kind == "code" and runner is None:
+    if kind == "code" and runner is None:
         raise ValueError("code needs --image, or --runner local with --trusted")
     verifiers: dict[str, verify.Verifier] = {"math": verify.MathVerifier()}
     if runner:
@@ -74,9 +92,12 @@ def make_math(spark: SparkSession, args: argparse.Namespace) -> int:
 
 
 def pack_code(spark: SparkSession, args: argparse.Namespace) -> int:
-    found = [m for p in args.manifest for m in trajectories.read_yaml_or_json(p)]
-    names = [c.split()[0] for c in MANIFEST.split(", ")]
-    manifests = spark.createDataFrame([tuple(m.get(n) for n in names) for m in found], MANIFEST)
+    manifests = None
+    for path in args.manifest:
+        rows, rejects = objects.manifests(spark, path)
+        if bad := rejects.first():
+            raise ValueError(f"{bad.file}: " + "; ".join(bad.problems))
+        manifests = rows if manifests is None else manifests.unionByName(rows)
     root = Path(args.output)
     datasets.code_rows(manifests).write.mode("overwrite").parquet(str(root / "train.parquet"))
     datasets.write_task_tree(manifests, str(root / "task-data"))

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import json
 import tarfile
 from collections.abc import Callable
 
@@ -10,9 +9,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from veritrail.functions.answers import extract_answer
-from veritrail.operators import datasets, gates, topology, validation, verify
+from veritrail.operators import datasets, gates, validation, verify
 from veritrail.plans import registry
-from veritrail.sources import configs
 from veritrail.sources import trajectories as log
 from veritrail.sources.shared import new_path
 from veritrail.streaming import gate as stream
@@ -52,7 +50,9 @@ def log_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def log_missing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return log.read_trajectories(spark, new_path(spark, "no-log"))[0].agg(F.count("*").alias("n"))
+    """A log that isn't there has no rows, beside one that is."""
+    none, some = (log.read_trajectories(spark, p)[0] for p in (new_path(spark, "no-log"), log_path(spark, sf_dir)))
+    return none.agg(F.count("*").alias("n")).crossJoin(some.agg(F.count("*").alias("n_there")))  # one row each
 
 
 def monthly_log(spark: SparkSession, sf_dir: str) -> str:
@@ -105,18 +105,6 @@ TASKS = """SELECT concat('task-', CAST(p_partkey AS STRING)) AS id, CASE WHEN p_
   CASE WHEN p_partkey % 5 = 0 THEN '../x.py' WHEN p_partkey % 11 = 0 THEN '/x.py' END AS candidate_path, p_partkey % 3 AS truth, p_size AS size FROM part"""
 
 
-def task_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Tasks as JSON, with no ground truth, a single one, or several."""
-    path = new_path(spark, "tasks")
-    df = registry.sql(spark, sf_dir, TASKS, "part")
-    size = F.concat(F.lit('"'), F.col("size").cast("string"), F.lit('"'))
-    truth = F.when(F.col("truth") == 1, size).when(F.col("truth") == 2, F.concat(F.lit("["), size, F.lit(', "'), F.col("size").cast("string"), F.lit('/1"]'))).otherwise(F.lit("null"))
-    line = F.concat(F.lit('{"ground_truth": '), truth, F.lit(", "), F.substring(F.to_json(F.struct("id", "kind", "prompt")), F.lit(2), F.lit(1 << 20)))
-    lists = df.groupBy(F.col("kind").alias("of")).agg(F.concat(F.lit("["), F.array_join(F.collect_list(line), ",\n"), F.lit("]")).alias("value"))
-    lists.write.partitionBy("of").text(path)
-    return log.read_tasks(spark, path).select("id", "kind", F.array_join("ground_truth", "|").alias("truths"))
-
-
 def task_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     tasks = registry.sql(spark, sf_dir, TASKS, "part")
     truth, command = F.when(F.col("truth") > 0, F.array(F.lit("1"))), F.when(F.col("truth") > 0, F.array(F.lit("true"))).otherwise(F.array().cast("array<string>"))
@@ -141,15 +129,6 @@ def nation_manifests(spark: SparkSession, sf_dir: str) -> DataFrame:
     return registry.sql(spark, sf_dir, NATIONS, "nation").withColumns({"seed_files": F.expr("map('d/a.py', instruction)"), "test_files": F.expr("map('test.sh', 'exit 0')")})
 
 
-def manifest_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
-    path = new_path(spark, "manifests")
-    one = F.to_json(F.struct("*"))
-    lists = nation_manifests(spark, sf_dir).groupBy("image").agg(F.concat(F.lit("["), F.array_join(F.collect_list(one), ",\n"), F.lit("]")).alias("value"))
-    lists.select("value").write.text(path)
-    rows = datasets.code_rows(log.read_manifests(spark, path))
-    return rows.select("instance_id", "env_config.max_steps", "env_config.image")
-
-
 def tree(spark: SparkSession, sf_dir: str) -> str:
     root = new_path(spark, "task-tree").removeprefix("file://")
     datasets.write_task_tree(nation_manifests(spark, sf_dir), root)
@@ -177,40 +156,6 @@ def completion_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return got.select(key.alias("n_nationkey"), extract_answer(F.col("completion")).alias("answer"), F.length("completion").alias("n_chars"))
 
 
-CONFIG = {
-    "version": 1, "platform": {"accelerator": "cuda", "nodes": 1, "gpus_per_node": 8, "container": "c", "account": "a", "partition": "p"}, "backend": {"repo_path": "r", "commit": "c"},
-    "model": {"name_or_path": "m"}, "datasets": [{"path": "d"}], "task": {"kind": "code", "sandbox": {"image": "i"}}, "rollout": {"engines": 4, "unique_prompts": 4, "samples_per_prompt": 4},
-    "training": {"learner_gpus_per_node": [4]}, "output": {"directory": "o", "rollout_directory": "r", "experiment_name": "e"},
-}
-#: name, section, field, value, and the problem that it makes
-FAULTS = (
-    ("good", "model", "pack_length", 20480, None), ("port", "platform", "ray_port", 80, "platform.ray_port: out_of_range"), ("kind", "task", "kind", "prose", "task.kind: not_a_choice"),
-    ("cold", "rollout", "temperature", 0, "rollout.temperature: out_of_range"), ("text", "platform", "nodes", "1", "platform.nodes: wrong_type"), ("more", "training", "extra", 1, "training.extra: unknown_field"),
-    ("none", "model", "name_or_path", None, "model.name_or_path: missing"), ("share", "gates", "max_error_fraction", 1.5, "gates.max_error_fraction: out_of_range"), ("loss", "training", "loss", "ppo", "training.loss: not_a_choice"),
-)
-
-
-def config_file(spark: SparkSession) -> list[dict]:
-    path = new_path(spark, "configs")
-    made = [{**CONFIG, "name": name, part: {**CONFIG.get(part, {}), field: value}} for name, part, field, value, _ in FAULTS]
-    spark.createDataFrame([(json.dumps(made),)], "value string").coalesce(1).write.text(path)
-    return [c for r in spark.read.text(path, wholetext=True).collect() if r.value for c in json.loads(r.value)]
-
-
-def config_faults(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = [(c["name"], p) for c in config_file(spark) for p in configs.checked(c)[1]]
-    return spark.createDataFrame(found, "name string, problem string")
-
-
-def config_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
-    good = [c for c in config_file(spark) if not configs.checked(c)[1]]
-    return configs.profiles(spark, good).select("name", "task_kind", "sandbox", "nodes", "engines", "max_prompt", "response_length", "pack_length")
-
-
-def validate_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return topology.validate_summary(registry.profiles(spark)).select("name", "valid", "task", "topology.capacity", "topology.spare_gpus", "topology.samples_per_step")
-
-
 def report_json(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The report as JSON and back."""
     report = registry.report_columns(gates.gate_report(registry.trajectories(spark, sf_dir)))
@@ -290,14 +235,12 @@ def no_container(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
-        log_scan, log_rejects, log_missing, log_lines, log_strict, log_append, rows_parquet, rows_jsonl, task_scan, task_rules, broken_manifests, manifest_scan, task_tree, task_archive, completion_scan,
-        config_faults, config_scan, validate_summary, report_json, gate_messages, streaming_gate, math_several_truths, deep_fractions, case_folding, verified, no_container,
+        log_scan, log_rejects, log_missing, log_lines, log_strict, log_append, rows_parquet, rows_jsonl, task_rules, broken_manifests, task_tree, task_archive, completion_scan,
+        report_json, gate_messages, streaming_gate, math_several_truths, deep_fractions, case_folding, verified, no_container,
     )
 }
 
-_FAULTS = ", ".join(f"('{n}', '{p}')" for n, *_, p in FAULTS if p)
 _WAY = "CASE WHEN way = 1 THEN 'tests' WHEN way = 2 THEN 'timeout' WHEN way IN (3, 4) THEN 'sandbox_error' END"
-_VALID = " OR ".join(f"({w})" for _, w in registry._RULES)
 _TREE = f"""m AS ({NATIONS}), f AS (SELECT id, 'instruction.md' AS path, concat(n_name, chr(10)) AS content FROM nation JOIN m ON id = concat('task-', CAST(n_nationkey AS VARCHAR)) UNION ALL SELECT id, 'image.txt', concat('image', chr(10)) FROM m
   UNION ALL SELECT id, 'environment/seeds/d/a.py', instruction FROM m UNION ALL SELECT id, 'tests/test.sh', 'exit 0' FROM m)"""
 
@@ -308,26 +251,20 @@ ORACLES: dict[str, str] = {
     "log_scan": GOOD_ROWS,
     "log_rejects": """SELECT CASE CAST(o_orderkey % 20 AS INT) WHEN 0 THEN 'unknown_field' WHEN 8 THEN 'unknown_field' WHEN 1 THEN 'missing_field' WHEN 2 THEN 'wrong_type' WHEN 3 THEN 'reward_range' WHEN 4 THEN 'max_tokens'
       WHEN 5 THEN 'duration' WHEN 6 THEN 'not_an_object' ELSE 'task_kind' END AS reason, count(*) AS n FROM orders WHERE o_orderkey % 20 < 10 AND o_orderkey % 20 <> 7 GROUP BY 1""",
-    "log_missing": "SELECT CAST(0 AS BIGINT) AS n",
+    "log_missing": "SELECT CAST(0 AS BIGINT) AS n, count(*) AS n_there FROM orders WHERE o_orderkey % 20 >= 10",
     "log_lines": f"""WITH {_LINES} SELECT * FROM l WHERE reasons IS NOT NULL""",
     "log_strict": f"""WITH {_LINES} SELECT month, line FROM l WHERE reasons IS NOT NULL ORDER BY month, line LIMIT 1""",
     "log_append": """SELECT concat('task-', CAST(o_custkey AS VARCHAR)) AS task_id, 2 * count(*) AS n, CAST(2 * sum(o_orderkey % 2) AS DOUBLE) AS reward, CAST(2 * sum(o_custkey % 4) AS DOUBLE) AS entropy
       FROM orders WHERE o_orderkey % 20 >= 10 GROUP BY o_custkey""",
     "rows_parquet": "SELECT c_custkey, CASE WHEN c_custkey % 3 > 0 THEN concat('né-', c_name) END AS c_name, c_acctbal FROM customer",
     "rows_jsonl": "SELECT c_custkey, CASE WHEN c_custkey % 3 > 0 THEN concat('né-', c_name) END AS c_name, c_acctbal FROM customer",
-    "task_scan": f"""WITH t AS ({TASKS.replace("STRING", "VARCHAR")}) SELECT id, kind, CASE truth WHEN 1 THEN CAST(size AS VARCHAR) WHEN 2 THEN concat(size, '|', size, '/1') END AS truths FROM t""",
     "task_rules": f"""WITH t AS ({TASKS.replace("STRING", "VARCHAR")}) SELECT rule, count(*) AS n FROM (SELECT 'kind' AS rule FROM t WHERE kind = 'prose' OR kind IS NULL UNION ALL SELECT 'candidate_path' FROM t WHERE candidate_path IS NOT NULL
       UNION ALL SELECT 'math_needs_truth' FROM t WHERE kind = 'math' AND truth = 0 UNION ALL SELECT 'code_needs_command' FROM t WHERE kind = 'code' AND truth = 0) x GROUP BY rule""",
     "broken_manifests": """SELECT rule, count(*) AS n FROM (SELECT 'unsafe_id' AS rule FROM part WHERE p_partkey % 6 = 0 UNION ALL SELECT 'no_test' FROM part WHERE p_partkey % 4 = 0
       UNION ALL SELECT 'outside' FROM part WHERE p_partkey % 5 = 0 UNION ALL SELECT 'count' FROM part WHERE p_partkey % 3 = 0 OR p_size < 1) x GROUP BY rule""",
-    "manifest_scan": f"WITH m AS ({NATIONS}), c AS (SELECT *, unnest([0, 1]) AS k FROM m) SELECT concat(id, '-', CAST(k AS VARCHAR)) AS instance_id, max_steps, image FROM c",
     "task_tree": f"WITH {_TREE} SELECT id AS task_id, path, content FROM f",
     "task_archive": f"WITH {_TREE} SELECT concat(id, '/', path) AS name, CAST(strlen(content) AS BIGINT) AS size FROM f",
     "completion_scan": "SELECT n_nationkey, n_name AS answer, CAST(length(n_name) + 24 AS INT) AS n_chars FROM nation",
-    "config_faults": f"SELECT * FROM (VALUES {_FAULTS}) f(name, problem)",
-    "config_scan": "SELECT 'good' AS name, 'code' AS task_kind, 'apptainer' AS sandbox, CAST(1 AS BIGINT) AS nodes, CAST(4 AS BIGINT) AS engines, CAST(2048 AS BIGINT) AS max_prompt, CAST(8192 AS BIGINT) AS response_length, CAST(20480 AS BIGINT) AS pack_length",
-    "validate_summary": f"""WITH {registry._PROFILES} SELECT name, NOT coalesce({_VALID}, false) AS valid, task_kind AS task, CAST(nodes * g AS BIGINT) AS capacity,
-      CAST(nodes * g - list_sum(l) - engines * tp AS BIGINT) AS spare_gpus, CAST(prompts * samples AS BIGINT) AS samples_per_step FROM p""",
     "report_json": registry._report(),
     "gate_messages": f"""WITH r AS ({registry._report()}) SELECT * FROM (
       SELECT printf('zero-std groups %.3f > %.3f', zero_std_fraction, {registry.TIGHT.max_zero_std_fraction}) AS message FROM r WHERE zero_std_fraction > {registry.TIGHT.max_zero_std_fraction}

@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from veritrail.functions.answers import extract_answer, extract_code, normalize_answer
-from veritrail.operators import datasets, gates, topology, validation, verify
+from veritrail.operators import datasets, gates, validation, verify
 
 TRAJECTORIES = """
   SELECT concat('task-', CAST(l_partkey AS VARCHAR(20))) AS task_id, CASE WHEN l_suppkey % 3 = 0 THEN 'code' ELSE 'math' END AS task_kind,
@@ -47,15 +47,6 @@ VERIFY = """
 MANIFESTS = """
   SELECT concat('task-', CAST(p_partkey AS VARCHAR(20))) AS id, concat(chr(9), p_name, ' ', chr(10)) AS instruction, concat('image-', CAST(p_size AS VARCHAR(20)), chr(13), chr(10)) AS image,
          CAST(p_size + 1 AS BIGINT) AS max_steps, CAST(p_partkey % 3 + 1 AS BIGINT) AS copies FROM part"""
-#: name, kind, sandbox, nodes, GPUs a node, learners on each node, sequence parallel, engines, tensor parallel, prompts, samples, async steps, prompt, response, per turn, pack
-PROFILES = (
-    ("math-smoke", "math", None, 1, 8, [4], 4, 4, 1, 4, 4, 1, 2048, 8192, 4096, 10240),
-    ("code-smoke", "code", "apptainer", 1, 8, [4], 4, 4, 1, 4, 4, 1, 2048, 8192, 4096, 10240),
-    ("code-4node", "code", "apptainer", 4, 8, [8, 8], 4, 16, 1, 16, 32, 4, 2048, 65536, 4096, 67584),
-    ("too-many-engines", "math", None, 1, 8, [4], 4, 5, 1, 4, 4, 1, 2048, 8192, 4096, 10240),
-    ("no-sandbox", "code", None, 1, 8, [4], 4, 4, 1, 4, 4, 0, 2048, 8192, 9000, 9000),
-    ("odd-learners", "math", "docker", 1, 8, [3, 9], 2, 4, 1, 2, 2, 1, 2048, 8192, 4096, 10240),
-)
 
 
 def sql(spark: SparkSession, sf_dir: str, text: str, *names: str) -> DataFrame:
@@ -163,8 +154,10 @@ def tail_capture(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def math_smoke(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """As many tasks as part has rows."""
     m = F.col("messages")[0]
-    return datasets.math_smoke(spark, 1000).select(m["role"].alias("role"), m["content"].alias("content"), "ground_truth", "dataset")
+    count = spark.read.parquet(f"{sf_dir}/part.parquet").count()
+    return datasets.math_smoke(spark, count).select(m["role"].alias("role"), m["content"].alias("content"), "ground_truth", "dataset")
 
 
 def pack_code_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -183,18 +176,6 @@ def pack_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     return turns.select("conv_id", F.posexplode("m").alias("position", "t")).select("conv_id", F.col("position").cast("bigint").alias("position"), "t.role", F.col("t.text").alias("content"))
 
 
-def profiles(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame(PROFILES, topology.PROFILE)
-
-
-def config_topology(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return topology.topology(profiles(spark))
-
-
-def config_violations(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return topology.violation_rows(profiles(spark))
-
-
 def orphan_trajectories(spark: SparkSession, sf_dir: str) -> DataFrame:
     tasks = spark.read.parquet(f"{sf_dir}/part.parquet").filter("p_size > 25").select(F.concat(F.lit("task-"), F.col("p_partkey").cast("string")).alias("id"))
     return validation.orphans(trajectories(spark, sf_dir), tasks).groupBy("task_id").agg(F.count("*").alias("n"))
@@ -205,7 +186,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     for f in (
         gate_report, gate_report_by_kind, gate_empty, gate_failures_long, reward_groups, active_sampling, centered_advantage, trajectory_flags, monitoring,
         clipped_reward, smoke_outcomes, validate_trajectories, extract_answers, normalize_answers, math_verify, extract_code_blocks, tail_capture, math_smoke,
-        pack_code_rows, pack_files, pack_messages, config_topology, config_violations, orphan_trajectories,
+        pack_code_rows, pack_files, pack_messages, orphan_trajectories,
     )
 }
 
@@ -232,8 +213,6 @@ _ANSWER = rf"""coalesce({_BOX}, list_extract(regexp_extract_all(completion, '<fi
   trim(list_extract(regexp_extract_all(completion, '(?im)(?:final\s+answer|answer)\s*[:=]\s*(.+)$', 1), -1)),
   trim(list_extract(list_filter(string_split(completion, chr(10)), lambda x: trim(x) <> ''), -1)))"""
 _NORMAL = rf"""regexp_replace(regexp_replace(regexp_replace(answer, '\\frac\{{([^{{}}]+)\}}\{{([^{{}}]+)\}}', '((\1)/(\2))', 'g'), '\s+', '', 'g'), '[.,;:]$', '')"""
-_PROFILE_ROWS = ", ".join("(" + ", ".join("NULL" if v is None else f"'{v}'" if isinstance(v, str) else str(v) for v in p) + ")" for p in PROFILES)
-_PROFILES = f"p AS (SELECT * FROM (VALUES {_PROFILE_ROWS}) v(name, task_kind, sandbox, nodes, g, l, sp, engines, tp, prompts, samples, async_steps, max_prompt, response, per_turn, pack))"
 _RULES = (
     ("range", "nodes < 1 OR g < 1 OR engines < 1 OR tp < 1 OR samples < 2 OR sp < 1"), ("kind", "task_kind NOT IN ('math', 'code')"),
     ("per_turn_exceeds_response", "per_turn > response"), ("pack_too_short", "pack < max_prompt + response"),
@@ -278,15 +257,11 @@ ORACLES: dict[str, str] = {
       ELSE concat('print(', CAST(o_orderkey AS VARCHAR), ')', chr(10)) END AS code FROM orders""",
     "tail_capture": "SELECT doc_id, right(text, 32000) AS tail FROM documents",
     "math_smoke": """SELECT 'user' AS role, concat('Compute ', CAST(n AS VARCHAR), ' + ', CAST(n + 1 AS VARCHAR), '. Give the final answer in ', chr(92), 'boxed{}.') AS content,
-      CAST(2 * n + 1 AS VARCHAR) AS ground_truth, 'math_smoke' AS dataset FROM range(1, 1001) r(n)""",
+      CAST(2 * n + 1 AS VARCHAR) AS ground_truth, 'math_smoke' AS dataset FROM range(1, (SELECT count(*) FROM part) + 1) r(n)""",
     "pack_code_rows": f"""WITH m AS ({MANIFESTS}), c AS (SELECT *, unnest(range(copies)) AS k FROM m)
       SELECT concat(id, '-', CAST(k AS VARCHAR)) AS instance_id, 'code' AS dataset, 'bash' AS tool, max_steps, id AS task_id, image FROM c""",
     "pack_files": f"""WITH m AS ({MANIFESTS}) SELECT concat('task-', CAST(p_partkey AS VARCHAR)) AS task_id, 'instruction.md' AS path, concat(p_name, chr(10)) AS content FROM part
       UNION ALL SELECT concat('task-', CAST(p_partkey AS VARCHAR)), 'image.txt', concat('image-', CAST(p_size AS VARCHAR), chr(10)) FROM part UNION ALL SELECT id, 'environment/seeds/a.py', instruction FROM m UNION ALL SELECT id, 'tests/test.sh', 'exit 0' FROM m""",
     "pack_messages": "SELECT conv_id, row_number() OVER (PARTITION BY conv_id ORDER BY turn, role, text) - 1 AS position, role, text AS content FROM conversations",
-    "config_topology": f"""WITH {_PROFILES} SELECT name, CAST(nodes * g AS BIGINT) AS capacity, CAST(list_sum(l) AS BIGINT) AS learner_gpus, CAST(engines * tp AS BIGINT) AS rollout_gpus,
-      CAST(nodes * g - list_sum(l) - engines * tp AS BIGINT) AS spare_gpus, CAST(len(l) AS BIGINT) AS learner_nodes, CAST(engines AS BIGINT) AS rollout_engines,
-      CAST(tp AS BIGINT) AS tensor_parallel, CAST(list_sum(l) // sp AS BIGINT) AS data_parallel_ranks, CAST(prompts * samples AS BIGINT) AS samples_per_step FROM p""",
-    "config_violations": f"WITH {_PROFILES}, r AS (" + " UNION ALL ".join(f"SELECT name, {k} AS k, '{n}' AS rule FROM p WHERE {w}" for k, (n, w) in enumerate(_RULES)) + ") SELECT name, CAST(row_number() OVER (PARTITION BY name ORDER BY k) - 1 AS INT) AS position, rule FROM r",
     "orphan_trajectories": f"{_T} SELECT task_id, count(*) AS n FROM t WHERE task_id NOT IN (SELECT concat('task-', CAST(p_partkey AS VARCHAR)) FROM part WHERE p_size > 25) GROUP BY task_id",
 }

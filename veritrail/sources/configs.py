@@ -1,25 +1,28 @@
-"""Run configurations: files of nested sections -> one profile row each, and what is wrong with a file's fields."""
+"""Run configurations: files of nested sections, read and checked on executors -> one profile row each, and what is wrong with a file's fields."""
 
 from __future__ import annotations
 
-from collections.abc import Iterable
-from typing import Any
+import json
+from collections.abc import Iterable, Iterator
+from pathlib import Path
 
+import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from veritrail.operators.gates import Limits
 from veritrail.operators.topology import PROFILE
-from veritrail.sources.trajectories import read_yaml_or_json
+from veritrail.sources import objects
+from veritrail.sources.fields import MUST, section, string_map, strings, whole_numbers
 
-MUST = object()  #: no default
 #: Fixed values by section and field: type, default, least, most or the choices. "+": above 0.
 FIELDS: dict[str, dict[str, tuple]] = {
     "platform": {
         "accelerator": (str, MUST, ("rocm", "cuda")), "nodes": (int, MUST, 1), "gpus_per_node": (int, MUST, 1), "container": (str, MUST), "account": (str, MUST),
-        "partition": (str, MUST), "qos": (str, None), "walltime": (str, "01:00:00"), "cpus_per_task": (int, 64, 1), "memory": (str, None), "modules": (list, []),
-        "binds": (list, ["/scratch", "/project", "/flash", "/appl"]), "ray_port": (int, 6379, 1024, 65535), "network_interface": (str, None),
+        "partition": (str, MUST), "qos": (str, None), "walltime": (str, "01:00:00"), "cpus_per_task": (int, 64, 1), "memory": (str, None), "modules": (strings, []),
+        "binds": (strings, ["/scratch", "/project", "/flash", "/appl"]), "ray_port": (int, 6379, 1024, 65535), "network_interface": (str, None),
     },
-    "backend": {"repo_path": (str, MUST), "commit": (str, MUST), "python": (str, "python"), "script": (str, "open_instruct/grpo_fast.py"), "extra_args": (list, [])},
+    "backend": {"repo_path": (str, MUST), "commit": (str, MUST), "python": (str, "python"), "script": (str, "open_instruct/grpo_fast.py"), "extra_args": (strings, [])},
     "model": {"name_or_path": (str, MUST), "max_prompt_tokens": (int, 2048, 1), "response_tokens": (int, 8192, 1), "per_turn_tokens": (int, 4096, 1), "pack_length": (int, 10240, 1)},
     "task": {"kind": (str, MUST, ("math", "code")), "sandbox": (dict, None), "system_prompt_file": (str, None), "max_steps": (int, 1, 1), "pool_size": (int, 128, 1)},
     "rollout": {
@@ -28,7 +31,7 @@ FIELDS: dict[str, dict[str, tuple]] = {
         "enable_prefix_caching": (bool, True), "enforce_eager": (bool, False), "gdn_prefill_backend": (str, "triton"),
     },
     "training": {
-        "learner_gpus_per_node": (list, MUST), "sequence_parallel_size": (int, 1, 1), "learning_rate": (float, 1e-6, "+"), "total_episodes": (int, 1024, 1), "epochs": (int, 1, 1),
+        "learner_gpus_per_node": (whole_numbers, MUST), "sequence_parallel_size": (int, 1, 1), "learning_rate": (float, 1e-6, "+"), "total_episodes": (int, 1024, 1), "epochs": (int, 1, 1),
         "deepspeed_stage": (int, 3, (2, 3)), "loss": (str, "dppo", ("grpo", "dppo")), "dppo_divergence_type": (str, "tv", ("tv", "kl", "js")), "dppo_divergence_threshold": (float, 0.1, "+"),
         "beta": (float, 0.0, 0), "seed": (int, 42), "save_freq": (int, 20, 0), "checkpoint_state_freq": (int, 10, 0), "gradient_checkpointing": (bool, True), "use_liger_loss": (bool, True),
     },
@@ -41,40 +44,17 @@ SANDBOX = {
     "task_data_dir": (str, None), "test_timeout": (int, 600, 1), "command_timeout": (int, 120, 1), "cache_dir": (str, None), "tmp_dir": (str, None), "prepared_root": (str, None),
     "prepared_cache_dir": (str, None), "prepared_scratch_root": (str, None),
 }
+OWN = {"name": (str, MUST), "environment": (string_map, {})}
 TOP = {"version", "name", "datasets", "environment", *FIELDS}
 
 
-def fault(value: Any, kind: type, *bounds: Any) -> str | None:
-    if isinstance(value, bool) and kind is not bool or not isinstance(value, (int, float) if kind is float else kind):
-        return "wrong_type"
-    if bounds and isinstance(bounds[0], tuple):
-        return None if value in bounds[0] else "not_a_choice"
-    if bounds and (value <= 0 if bounds[0] == "+" else value < bounds[0]) or len(bounds) > 1 and value > bounds[1]:
-        return "out_of_range"
-    return None
-
-
-def section(given: dict, fields: dict[str, tuple], name: str) -> tuple[dict, list[str]]:
-    """(values with defaults, problems) of one section."""
-    problems = [f"{name}.{k}: unknown_field" for k in given if k not in fields]
-    values = {}
-    for k, (kind, default, *bounds) in fields.items():
-        value = given.get(k, default)
-        if value is MUST or value is None and default is MUST:
-            problems.append(f"{name}.{k}: missing")
-            value = None
-        elif value is not None and (f := fault(value, kind, *bounds)):
-            problems.append(f"{name}.{k}: {f}")
-        values[k] = value
-    return values, problems
-
-
 def checked(config: dict) -> tuple[dict, list[str]]:
     """All sections with defaults, and the problems of single fields; rules between fields are topology.violations()."""
     problems = [f"{k}: unknown_field" for k in config if k not in TOP]
     out = dict(config)
     if config.get("version", 1) != 1:
         problems.append("version: not_a_choice")
+    problems += [p.removeprefix(".") for p in section({k: config[k] for k in OWN if k in config}, OWN, "")[1]]
     for name, fields in FIELDS.items():
         out[name], found = section(config.get(name) or {}, fields, name)
         problems += found
@@ -83,6 +63,8 @@ def checked(config: dict) -> tuple[dict, list[str]]:
         problems += found
     if not config.get("datasets"):
         problems.append("datasets: missing")
+    elif not isinstance(config["datasets"], list):
+        return out, [*problems, "datasets: wrong_type"]
     for k, d in enumerate(config.get("datasets") or []):
         problems += section(d, DATASET, f"datasets[{k}]")[1]
     return out, problems
@@ -99,8 +81,32 @@ def profile_row(config: dict) -> tuple:
     )
 
 
+def read(spark: SparkSession, path: str, form: str | None = None) -> DataFrame:
+    """Every configuration below path with its profile's columns, its datasets and its problems (none: it is whole).
+
+    Where there are problems, the columns are null. Values are checked on executors, file by file; see objects.read().
+    """
+    names = [c.split()[0] for c in PROFILE.split(", ")]
+
+    def check(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            out, found = [], []
+            for value, error in zip(batch["value"], batch["error"], strict=True):
+                problems = [error] if error else checked(config := json.loads(value))[1]
+                row = dict(zip(names, (None,) * len(names) if problems else profile_row(config), strict=True))
+                datasets = None if problems else [section(d, DATASET, "")[0] | {"weight": float(d.get("weight", 1.0))} for d in config["datasets"]]
+                out.append(json.dumps(row | {"datasets": datasets}, allow_nan=False) if not problems else "{}")
+                found.append(problems)
+            yield pd.DataFrame({"file": batch["file"], "position": batch["position"], "row": out, "problems": found})
+
+    done = objects.read(spark, path, form).mapInPandas(check, "file string, position bigint, row string, problems array<string>")
+    row = F.from_json("row", f"{PROFILE}, datasets array<struct<path:string,weight:double,split:string>>")
+    return done.select("file", "position", row.alias("r"), "problems").select("file", "position", "r.*", "problems")
+
+
 def load(paths: Iterable[str]) -> list[dict]:
-    return [c for p in paths for c in read_yaml_or_json(p)]
+    """Configurations of a few files, on the driver; read() is for many."""
+    return [c for p in paths for c in objects.parsed(Path(p).read_text(), p.endswith((".yaml", ".yml")))]
 
 
 def profiles(spark: SparkSession, configs: Iterable[dict]) -> DataFrame:
