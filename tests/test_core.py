@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from veritrail.functions import answers
 from veritrail.functions.rational import value_of
 from veritrail.operators import datasets, gates, topology, validation, verify
+from veritrail.sources import archive
 from veritrail.sources import trajectories as log
 from veritrail.streaming import gate as stream
 
@@ -165,7 +166,7 @@ def test_datasets(spark, tmp_path):
     assert sorted(r.instance_id for r in datasets.code_rows(m).collect()) == [f"add-{k}" for k in range(4)]
     datasets.write_task_tree(m, f"{tmp_path}/tree")
     assert (tmp_path / "tree/add/tests/test.sh").read_text() == "exit 0" and (tmp_path / "tree/add/image.txt").read_text() == "img\n"
-    datasets.archive(f"{tmp_path}/tree", f"{tmp_path}/tree.tar.gz")
+    archive.write(datasets.file_rows(m), f"{tmp_path}/tree.tar.gz")
     for bad in (("a/b", *MANIFEST[1:]), (*MANIFEST[:4], {"x": ""}, 8, 4), (*MANIFEST[:3], {"../x": ""}, *MANIFEST[4:])):
         with pytest.raises(Exception, match="unsafe|no test file|outside"):
             datasets.code_rows(spark.createDataFrame([bad], SCHEMA)).collect()

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from veritrail.operators import datasets, gates, topology, verify
 from veritrail.session import local_session
-from veritrail.sources import configs, objects, trajectories
+from veritrail.sources import archive, configs, objects, trajectories
 
 
 def show(value: object) -> None:
@@ -101,7 +101,7 @@ def pack_code(spark: SparkSession, args: argparse.Namespace) -> int:
     root = Path(args.output)
     datasets.code_rows(manifests).write.mode("overwrite").parquet(str(root / "train.parquet"))
     datasets.write_task_tree(manifests, str(root / "task-data"))
-    datasets.archive(str(root / "task-data"), str(root / "task-data.tar.gz"))
+    archive.write(datasets.file_rows(manifests), str(root / "task-data.tar.gz"))
     show({"dataset": str(root / "train.parquet"), "task_data_dir": str(root / "task-data")})
     return 0
 

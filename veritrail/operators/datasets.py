@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import shutil
-import tarfile
 from pathlib import Path
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -97,12 +95,3 @@ def read_task_tree(spark: SparkSession, root: str) -> DataFrame:
     files = spark.read.option("recursiveFileLookup", True).text(root, wholetext=True).select(F.col("_metadata.file_path").alias("file"), "value")
     below = F.substring_index("file", f"{root.rstrip('/')}/", -1)
     return files.withColumn("below", below).select(F.substring_index("below", "/", 1).alias("task_id"), F.regexp_extract("below", r"^[^/]*/(.*)$", 1).alias("path"), F.col("value").alias("content"))
-
-
-def archive(root: str, path: str) -> None:
-    """root's children, sorted by name, as a compressed tar on the driver."""
-    partial = f"{path}.partial"
-    with tarfile.open(partial, "w:gz") as tar:
-        for child in sorted(Path(root).iterdir()):
-            tar.add(child, arcname=child.name)
-    shutil.move(partial, path)

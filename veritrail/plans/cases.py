@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tarfile
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -11,6 +10,7 @@ from pyspark.sql import functions as F
 from veritrail.functions.answers import extract_answer
 from veritrail.operators import datasets, gates, validation, verify
 from veritrail.plans import registry
+from veritrail.sources import archive
 from veritrail.sources import trajectories as log
 from veritrail.sources.shared import new_path
 from veritrail.streaming import gate as stream
@@ -140,10 +140,10 @@ def task_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def task_archive(spark: SparkSession, sf_dir: str) -> DataFrame:
-    root = tree(spark, sf_dir)
-    datasets.archive(root, f"{root}.tar.gz")
-    with tarfile.open(f"{root}.tar.gz") as tar:
-        return spark.createDataFrame([(m.name, m.size) for m in tar.getmembers() if m.isfile()], "name string, size long")
+    """The files of a task for each part, as one archive, and its entries read back member by member."""
+    manifests = registry.sql(spark, sf_dir, registry.MANIFESTS, "part").withColumns({"seed_files": F.expr("map('d/a.py', instruction)"), "test_files": F.expr("map('test.sh', 'exit 0')")})
+    path = new_path(spark, "task-data") + ".tar.gz"
+    return archive.read(spark, archive.write(datasets.file_rows(manifests), path), path)
 
 
 def completion_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -263,7 +263,10 @@ ORACLES: dict[str, str] = {
     "broken_manifests": """SELECT rule, count(*) AS n FROM (SELECT 'unsafe_id' AS rule FROM part WHERE p_partkey % 6 = 0 UNION ALL SELECT 'no_test' FROM part WHERE p_partkey % 4 = 0
       UNION ALL SELECT 'outside' FROM part WHERE p_partkey % 5 = 0 UNION ALL SELECT 'count' FROM part WHERE p_partkey % 3 = 0 OR p_size < 1) x GROUP BY rule""",
     "task_tree": f"WITH {_TREE} SELECT id AS task_id, path, content FROM f",
-    "task_archive": f"WITH {_TREE} SELECT concat(id, '/', path) AS name, CAST(strlen(content) AS BIGINT) AS size FROM f",
+    "task_archive": f"""WITH m AS ({registry.MANIFESTS}), d AS (SELECT id, unnest(['', '/environment', '/environment/seeds', '/environment/seeds/d', '/tests']) AS path FROM m)
+      SELECT concat(id, path) AS name, CAST(0 AS BIGINT) AS size, true AS folder FROM d UNION ALL SELECT concat(id, '/environment/seeds/d/a.py'), CAST(strlen(instruction) AS BIGINT), false FROM m
+      UNION ALL SELECT concat(id, '/tests/test.sh'), 6, false FROM m UNION ALL SELECT concat(id, '/instruction.md'), CAST(strlen(trim(instruction, concat(chr(9), chr(10), ' '))) AS BIGINT) + 1, false FROM m
+      UNION ALL SELECT concat(id, '/image.txt'), CAST(strlen(image) AS BIGINT) - 1, false FROM m""",
     "completion_scan": "SELECT n_nationkey, n_name AS answer, CAST(length(n_name) + 24 AS INT) AS n_chars FROM nation",
     "report_json": registry._report(),
     "gate_messages": f"""WITH r AS ({registry._report()}) SELECT * FROM (
