@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from veritrail.operators import contamination, exact, gates
+from veritrail.operators import contamination, exact, mixture, monitoring
 from veritrail.plans import registry
 from veritrail.sources.shared import new_path
 from veritrail.streaming import gate as stream
@@ -58,7 +58,65 @@ def streaming_gate_closed(spark: SparkSession, sf_dir: str) -> DataFrame:
     return report.withColumn("late", F.lit(stream.late_rows(spark, state)))
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (contamination_spans, contamination_matches, decontaminated, exact_means, streaming_gate_closed)}
+def weighted(spark: SparkSession, sf_dir: str, until: str) -> DataFrame:
+    key = lambda name, c: table(spark, sf_dir, name).select(F.col(c).cast("bigint").alias("id"), F.when(F.col(c) % 10 == 0, "test").otherwise("train").alias("split"))
+    sets = [mixture.Dataset("orders", key("orders", "o_orderkey"), 3.0, "train"), mixture.Dataset("part", key("part", "p_partkey"), 1.5, "train"), mixture.Dataset("customer", key("customer", "c_custkey"), 0.5)]
+    return mixture.mixture(sets, F.md5(F.col("id").cast("string").cast("binary")), until).select("dataset", "dataset_row", "place", "id")
+
+
+def dataset_mixture(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Three datasets by weight, two of them by split, up to where one has no more."""
+    return weighted(spark, sf_dir, "first")
+
+
+def dataset_mixture_all(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same to the end of all."""
+    return weighted(spark, sf_dir, "all")
+
+
+EVERY = 30  #: days
+
+
+def shipped(spark: SparkSession, sf_dir: str) -> DataFrame:
+    lines = table(spark, sf_dir, "lineitem")
+    return lines.select(F.col("l_shipdate").cast("timestamp").alias("created_at"), F.when(F.col("l_suppkey") % 3 == 0, "code").otherwise("math").alias("task_kind"), F.col("l_extendedprice").cast("bigint").alias("response_tokens"),
+        F.lit(50_000).alias("max_response_tokens"), F.when(F.col("l_discount") > 0.095, "timeout").alias("error_type"))
+
+
+def with_rank_errors(report: DataFrame, rows: DataFrame, every: str) -> DataFrame:
+    """Whether each window's median and 90th percentile are within the sketch's error of the exact ranks."""
+    named = rows.select(F.window("created_at", every)["start"].alias("start"), "task_kind", "response_tokens")
+    ranks = named.join(report.select("start", "task_kind", "samples", "tokens_p50", "tokens_p90"), ["start", "task_kind"]).groupBy("start", "task_kind").agg(
+        *[F.struct(F.count_if(F.col("response_tokens") < F.col(c)).alias("lo"), F.count_if(F.col("response_tokens") <= F.col(c)).alias("hi"), F.first("samples").alias("n")).alias(c) for c in ("tokens_p50", "tokens_p90")]
+    )
+    near = lambda c, q: (F.col(f"{c}.lo") <= F.ceil((q + monitoring.ERROR) * F.col(f"{c}.n"))) & (F.col(f"{c}.hi") >= F.floor((q - monitoring.ERROR) * F.col(f"{c}.n")))
+    good = ranks.select("start", "task_kind", near("tokens_p50", 0.5).alias("p50_within"), near("tokens_p90", 0.9).alias("p90_within"))
+    columns = ("task_kind", "samples", "tokens", "truncated", "errors", "most_tokens", F.round("tokens_per_second", 6).alias("tokens_per_second"), "p50_within", "p90_within")
+    return report.join(good, ["start", "task_kind"]).select(F.unix_timestamp("start").alias("start"), *columns)
+
+
+def monitoring_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Partials of five days, stored, and merged into windows of thirty."""
+    rows = shipped(spark, sf_dir)
+    path = new_path(spark, "monitoring")
+    monitoring.partials(rows, f"{EVERY // 6} days").write.parquet(path)
+    report = monitoring.report(monitoring.merged(spark.read.parquet(path), f"{EVERY} days"))
+    return with_rank_errors(report, rows, f"{EVERY} days")
+
+
+def monitoring_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The windows that a stream has closed: those that end twenty days before the newest row, or earlier."""
+    path = new_path(spark, "shipped")
+    shipped(spark, sf_dir).write.parquet(path)
+    rows = spark.read.parquet(path)
+    out = new_path(spark, "windows")
+    monitoring.start(spark.readStream.schema(rows.schema).parquet(path), out, new_path(spark, "windows-checkpoint"), f"{EVERY} days", "20 days").awaitTermination()
+    return with_rank_errors(monitoring.report(monitoring.merged(spark.read.parquet(out))), rows, f"{EVERY} days")
+
+
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    f.__name__: f for f in (contamination_spans, contamination_matches, decontaminated, exact_means, streaming_gate_closed, dataset_mixture, dataset_mixture_all, monitoring_windows, monitoring_stream)
+}
 
 #: All windows of both sides against each other by equality, without an index, rarity order or islands of the document.
 _MATCHES = f"""d AS (SELECT doc_id, regexp_extract_all(lower(text), '{contamination.WORD}') AS w FROM documents),
@@ -83,7 +141,21 @@ _EXACT = """v AS (SELECT l_returnflag, 'l_discount' AS name, l_discount AS x FRO
   f AS (SELECT *, q + CASE WHEN 2 * r > p OR (2 * r = p AND q % 2 = 1) THEN 1 ELSE 0 END AS m FROM h),
   e AS (SELECT l_returnflag, name, n, CAST(CAST(m AS BIGINT) AS DOUBLE) * pow(2.0, k - 60) AS sum FROM f)"""
 
+_MIXED = """s AS (SELECT 1 AS k, 'orders' AS dataset, o_orderkey AS id, 1 AS stride FROM orders WHERE o_orderkey % 10 > 0 UNION ALL SELECT 2, 'part', p_partkey, 2 FROM part WHERE p_partkey % 10 > 0 UNION ALL SELECT 3, 'customer', c_custkey, 6 FROM customer),
+  i AS (SELECT *, row_number() OVER (PARTITION BY k ORDER BY md5(CAST(id AS VARCHAR))) - 1 AS dataset_row FROM s),
+  t AS (SELECT *, (2 * dataset_row + 1) * stride AS time FROM i),
+  m AS (SELECT dataset, k, dataset_row, time, row_number() OVER (ORDER BY time, k) - 1 AS place, id FROM t),
+  o AS (SELECT k, (2 * count(*) + 1) * any_value(stride) AS time FROM s GROUP BY k)"""
+_SECONDS = 86400 * EVERY
+_WINDOWS = f"""SELECT CAST(floor(epoch(l_shipdate) / {_SECONDS}) * {_SECONDS} AS BIGINT) AS start, CASE WHEN l_suppkey % 3 = 0 THEN 'code' ELSE 'math' END AS task_kind, count(*) AS samples, CAST(sum(trunc(l_extendedprice)) AS BIGINT) AS tokens,
+  count(*) FILTER (trunc(l_extendedprice) >= 50000) AS truncated, count(*) FILTER (l_discount > 0.095) AS errors, CAST(max(trunc(l_extendedprice)) AS BIGINT) AS most_tokens,
+  round(sum(trunc(l_extendedprice)) / {_SECONDS}, 6) AS tokens_per_second, true AS p50_within, true AS p90_within FROM lineitem GROUP BY ALL"""
+
 ORACLES: dict[str, str] = {
+    "dataset_mixture": f"WITH {_MIXED} SELECT dataset, dataset_row, place, id FROM m WHERE (time, k) < (SELECT min((time, k)) FROM o)",
+    "dataset_mixture_all": f"WITH {_MIXED} SELECT dataset, dataset_row, place, id FROM m",
+    "monitoring_windows": _WINDOWS,
+    "monitoring_stream": f"SELECT * FROM ({_WINDOWS}) w WHERE start + {_SECONDS} <= (SELECT max(epoch(l_shipdate)) FROM lineitem) - 20 * 86400",
     "exact_means": f'WITH {_EXACT} SELECT l_returnflag, name, n, "sum", "sum" / n AS mean FROM e',
     "streaming_gate_closed": registry._report("WHERE NOT (CAST(l_quantity AS INT) = 50 AND year(l_shipdate) > (SELECT min(year(l_shipdate)) FROM lineitem))")
     .replace("year(l_shipdate) AS policy_version", "year(l_shipdate) - CASE WHEN CAST(l_quantity AS INT) = 50 THEN 4 ELSE 0 END AS policy_version")
