@@ -5,22 +5,25 @@ from __future__ import annotations
 import os
 import shutil
 import signal
+import socket
 import subprocess
 import tempfile
 import time
 from collections.abc import Iterator
-from contextlib import suppress
+from contextlib import contextmanager, suppress
 from dataclasses import dataclass
 from pathlib import Path
+from random import random, sample
 from threading import Thread
 from typing import IO, Protocol
 
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from veritrail.functions.answers import extract_answer, extract_code, with_match
 from veritrail.schemas import RESULT
+from veritrail.sources.shared import exists, settle
 
 CAPTURE = 32_000  #: characters kept of the end of a program's output
 TIMEOUT = 120.0
@@ -81,6 +84,45 @@ class ContainerRunner:
         return executed([program, "exec", *flags, self.image, *command], timeout, None)
 
 
+class Slots:
+    """At most so many sandboxes at a time on a machine, whatever the number of tasks and workers there.
+
+    A lease is a bound local socket of the pool's name and a number, which has no file and ends with its process, however that ends.
+    """
+
+    def __init__(self, limit: int, pool: str = "sandbox"):
+        if limit < 1:
+            raise ValueError("limit: 1 or more")
+        self.limit, self.pool = limit, pool
+
+    @contextmanager
+    def lease(self) -> Iterator[int]:
+        """Waits for a free slot; gives its number."""
+        while True:
+            for k in sample(range(self.limit), self.limit):
+                held = socket.socket(socket.AF_UNIX)
+                try:
+                    held.bind(f"\0veritrail-{self.pool}-{k}")
+                except OSError:
+                    held.close()
+                    continue
+                with held:
+                    yield k
+                return
+            time.sleep(0.02 + 0.03 * random())
+
+
+class LimitedRunner:
+    """Runs what another runner does in one of some slots. Waiting is no part of the time that a program has."""
+
+    def __init__(self, runner: SandboxRunner, slots: Slots):
+        self.runner, self.slots = runner, slots
+
+    def run(self, workspace: str, command: list[str], timeout: float) -> Execution:
+        with self.slots.lease():
+            return self.runner.run(workspace, command, timeout)
+
+
 class Tail(Thread):
     """Drains a pipe and keeps its end."""
 
@@ -165,6 +207,41 @@ def code_verify(rows: DataFrame, runner: SandboxRunner, timeout: float = TIMEOUT
     return df.mapInPandas(run, f"id string, {RESULT}")
 
 
+def program_key(name: str) -> Column:
+    """What a run depends on, as one digest: its program, files in order of name, command, and the name of what runs it."""
+    files = F.array_sort(F.map_entries(F.coalesce("files", F.create_map().cast("map<string,string>"))))
+    return F.sha2(F.to_json(F.struct(F.lit(name).alias("by"), F.coalesce("candidate_path", F.lit("solution.py")).alias("at"), "test_command", files.alias("files"), extract_code(F.col("completion")).alias("code"))), 256)
+
+
+def verify_resumable(rows: DataFrame, runner: SandboxRunner, store: str, name: str = "", timeout: float = TIMEOUT, slots: int | None = None, batch: int = 10_000, again: tuple[str, ...] = ("sandbox_error",)) -> DataFrame:
+    """code_verify() with a table of results at store, by what a run depends on: equal programs run once, now and in later runs.
+
+    name: of what runs them, such as the image; results of another one don't count. Programs without a result are run `batch` at a time, and each batch's results
+    are committed before the next one begins, so a run that was killed goes on after its last whole batch. Results of the kinds in again are tried once more by the next call.
+    A program has one result however often its row is there; where an earlier one was to be tried again, the last one counts.
+    """
+    spark = rows.sparkSession
+    keyed = rows.withColumn("program", program_key(f"{name} {timeout:g}"))
+    schema = f"program string, {RESULT}, batch long"
+
+    def known() -> DataFrame:
+        there = spark.createDataFrame([], schema) if not exists(spark, store) else spark.read.schema(schema).parquet(store)
+        columns = [c.split()[0] for c in RESULT.split(", ")]
+        return there.groupBy("program").agg(F.max_by(F.struct(*columns), "batch").alias("r")).select("program", "r.*")
+
+    final = known().filter(~F.coalesce(F.col("error_type").isin(*again), F.lit(False))) if again else known()
+    todo = keyed.join(final.select("program"), "program", "left_anti").groupBy("program").agg(F.first(F.struct("kind", "candidate_path", "test_command", F.map_entries("files").alias("files"), "completion")).alias("t"))
+    todo = settle(todo.select(F.col("program").alias("id"), "t.*").withColumn("files", F.map_from_entries("files")), "programs")
+    count = todo.count()
+    parts = -(-count // batch)
+    last = 0 if not exists(spark, store) else (spark.read.schema(schema).parquet(store).agg(F.max("batch")).first()[0] or 0)
+    for k in range(parts):
+        part = todo.filter(F.pmod(F.xxhash64("id"), F.lit(parts)) == k)
+        done = code_verify(part, runner, timeout, slots).withColumnRenamed("id", "program").withColumn("batch", F.lit(last + k + 1).cast("long"))
+        done.write.mode("append").parquet(store)
+    return keyed.select("id", "program").join(known(), "program").drop("program")
+
+
 class Verifier(Protocol):
     """Tasks with completions (id, kind, ground_truth, candidate_path, test_command, files, completion) -> (id, RESULT)."""
 

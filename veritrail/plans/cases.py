@@ -232,11 +232,26 @@ def no_container(spark: SparkSession, sf_dir: str) -> DataFrame:
     return verify.code_verify(rows, verify.ContainerRunner("image", "no-such-container-program")).select("id", "passed", "error_type")
 
 
+def verified_again(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Programs of customers, many of them alike: half of the rows first, then all; each program has run once. At most two run at a time on a machine."""
+    k = F.col("c_nationkey")
+    body = F.concat(F.lit("def twice(x):\n    return "), F.when(k % 3 == 0, F.lit("x + 1")).otherwise(F.lit("2 * x")), F.lit("  # "), k.cast("string"))
+    rows = spark.read.parquet(f"{sf_dir}/customer.parquet").select(
+        F.col("c_custkey").cast("string").alias("id"), F.lit("code").alias("kind"), F.lit(None).cast("string").alias("candidate_path"), F.array(F.lit("python"), F.lit("check.py")).alias("test_command"),
+        F.create_map(F.lit("check.py"), F.lit("import solution\nassert solution.twice(3) == 6\n")).alias("files"), body.alias("completion"),
+    )
+    store, runner = new_path(spark, "results"), verify.LimitedRunner(verify.LocalRunner(trusted=True), verify.Slots(2, "verified-again"))
+    verify.verify_resumable(rows.filter("CAST(id AS BIGINT) % 2 = 0"), runner, store, batch=10)
+    done = verify.verify_resumable(rows, runner, store, batch=10)
+    runs = spark.read.parquet(store).count()
+    return done.select("id", "passed", "reward", "error_type", F.lit(runs).alias("runs"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
         log_scan, log_rejects, log_missing, log_lines, log_strict, log_append, rows_parquet, rows_jsonl, task_rules, broken_manifests, task_tree, task_archive, completion_scan,
-        report_json, gate_messages, streaming_gate, math_several_truths, deep_fractions, case_folding, verified, no_container,
+        report_json, gate_messages, streaming_gate, math_several_truths, deep_fractions, case_folding, verified, verified_again, no_container,
     )
 }
 
@@ -282,5 +297,6 @@ ORACLES: dict[str, str] = {
     "case_folding": "SELECT c_custkey AS id, c_custkey % 2 = 0 AS passed FROM customer",
     "verified": f"""WITH n AS (SELECT CAST(n_nationkey AS VARCHAR) AS id, n_nationkey % 6 AS way, {_WAY.replace("way", "n_nationkey % 6")} AS e FROM nation) SELECT id, CASE WHEN way = 0 THEN 'math' ELSE 'code' END AS verifier,
       way IN (0, 5) AS passed, CASE WHEN way IN (0, 5) THEN 1.0e0 ELSE 0.0e0 END AS reward, CASE WHEN e <> 'tests' THEN e END AS error_type, CASE WHEN way = 5 OR way = 1 AND id = '3' THEN 32000 ELSE 0 END AS n_stdout FROM n""",
+    "verified_again": "SELECT CAST(c_custkey AS VARCHAR) AS id, c_nationkey % 3 > 0 AS passed, CASE WHEN c_nationkey % 3 > 0 THEN 1.0e0 ELSE 0.0e0 END AS reward, CAST(NULL AS VARCHAR) AS error_type, (SELECT count(DISTINCT c_nationkey) FROM customer) AS runs FROM customer",
     "no_container": "SELECT CAST(r_regionkey AS VARCHAR) AS id, false AS passed, 'sandbox_error' AS error_type FROM region",
 }

@@ -13,13 +13,7 @@ from pyspark.sql import functions as F
 from veritrail.operators.gates import policy_lag, truncated
 from veritrail.operators.validation import broken_rules
 from veritrail.schemas import REQUIRED, TRAJECTORY, TRAJECTORY_FIELDS, VERIFIER_FIELDS
-from veritrail.sources.shared import settle
-
-
-def exists(spark: SparkSession, path: str) -> bool:
-    jvm = spark._jvm
-    at = jvm.org.apache.hadoop.fs.Path(path)
-    return bool(at.getFileSystem(spark._jsc.hadoopConfiguration()).globStatus(at) or [])
+from veritrail.sources.shared import exists, settle
 
 
 def blank(text: Column) -> Column:
