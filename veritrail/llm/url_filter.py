@@ -1,14 +1,15 @@
 """URL filters: host and path rules, then exact list membership by a cascade of Bloom filters.
 
 A list is a table of keys: hosts, each with all its subdomains, and directories (a host and the first part of a path). The universe is all keys that the urls of a
-corpus have: their hosts, the domains above these, and their directories.
+corpus have and that a list can hold: their hosts and the domains above these, of as many labels as some listed host has, and their directories. So a host of
+any length takes as many tests as the list has numbers of labels, not as many as it has labels itself.
 
 The cascade's first level encodes the listed keys. Over the complete universe, the second
 encodes the first's false positives, the third those listed keys that the second wrongly holds, and so
 on until a level has no false positive. A key is listed if the number of levels that hold it, up to
 the first that doesn't, is odd. Every level is a constant of the plan, so judging a row takes no join.
 
-A long list is cut into shards of about SHARD_KEYS keys by a hash of the key, each with a cascade of its own. A plan holds the constants of
+A long list is cut into shards of about SHARD_KEYS keys by a hash of the key, each with a cascade of its own, built together level by level. A plan holds the constants of
 up to SHARDS_AT_ONCE of them; for a longer list the rows are read in as many passes as that takes, each of which adds what its shards
 list, so no size of a list leads to a join.
 
@@ -73,10 +74,22 @@ def directory_of(host: Column, path: Column) -> Column:
     return F.concat(host, F.regexp_extract(path, r"^(?:/[^/]*/)?", 0))
 
 
-def domains_of(host: Column) -> Column:
-    """The host and all domains above it."""
-    labels = F.split(host, r"\.")
-    return F.transform(F.sequence(F.lit(1), F.size(labels)), lambda i: F.array_join(F.slice(labels, i, F.size(labels)), "."))
+def labels_of(host: Column) -> Column:
+    return F.length(host) - F.length(F.replace(host, F.lit("."), F.lit(""))) + 1
+
+
+def domains_of(host: Column, counts: Sequence[int]) -> Column:
+    """The host and the domains above it that have so many labels as counts says; no others can be on a list of such keys."""
+    if not counts:
+        return F.array().cast("array<string>")
+    fitting = F.filter(F.array(*map(F.lit, counts)), lambda n: n <= labels_of(host))
+    return F.transform(fitting, lambda n: F.call_function("substring_index", host, F.lit("."), -n))
+
+
+def label_counts(listed: DataFrame) -> list[int]:
+    """How many labels the listed hosts have: as many numbers as there are different ones."""
+    hosts = listed.filter(~F.col("key").contains("/"))
+    return sorted(r.n for r in hosts.select(labels_of(F.col("key")).alias("n")).distinct().collect())
 
 
 class Level:
@@ -109,17 +122,25 @@ def size_for(keys: int, rate: float) -> tuple[int, int]:
     return -(-bits // chunk) * chunk, min(hashes, 7)
 
 
-def filter_chunks(keys: DataFrame, number: int, bits: int, hashes: int) -> dict[int, bytes]:
-    """The filter's bits by chunk: words are summed up as a partially aggregated bitwise or, and put together natively."""
-    at = F.explode(F.array(*positions(F.col("key"), number, bits, hashes))).alias("at")
+def filter_chunks(keys: DataFrame, number: int, sizes: dict[int, tuple[int, int]]) -> dict[int, dict[int, bytes]]:
+    """By shard, the filter's bits by chunk, from rows (key, shard). sizes: bits and hash functions of each shard.
+
+    One aggregation for all shards: words are summed up as a partially aggregated bitwise or, and put together natively.
+    """
+    at = F.array().cast("array<long>")
+    for s, (bits, hashes) in sizes.items():
+        at = F.when(F.col("shard") == s, F.array(*positions(F.col("key"), number, bits, hashes))).otherwise(at)
     word = F.floor(F.col("at") / WORD_BITS).alias("word")
     mask = F.bit_or(F.call_function("shiftleft", F.lit(1).cast("long"), (F.col("at") % WORD_BITS).cast("int"))).alias("mask")
-    words = keys.select(at).groupBy(word).agg(mask)
+    words = keys.select("shard", F.explode(at).alias("at")).groupBy("shard", word).agg(mask)
     held = F.map_from_entries(F.collect_list(F.struct((F.col("word") % CHUNK_WORDS).cast("int"), "mask")))  # CHUNK_WORDS at most
-    chunks = words.groupBy(F.floor(F.col("word") / CHUNK_WORDS).alias("chunk")).agg(held.alias("m"))
+    chunks = words.groupBy("shard", F.floor(F.col("word") / CHUNK_WORDS).alias("chunk")).agg(held.alias("m"))
     digits = F.transform(F.sequence(F.lit(0), F.lit(CHUNK_WORDS - 1)), lambda i: F.lpad(F.hex(F.coalesce(F.try_element_at(F.col("m"), i), F.lit(0).cast("long"))), WORD_BITS // 4, "0"))
-    rows = chunks.select("chunk", F.unhex(F.array_join(digits, "")).alias("bytes")).collect()  # bits / 8 bytes
-    return {int(r.chunk): bytes(r.bytes) for r in rows}
+    rows = chunks.select("shard", "chunk", F.unhex(F.array_join(digits, "")).alias("bytes")).collect()  # bits / 8 bytes
+    out: dict[int, dict[int, bytes]] = {s: {} for s in sizes}
+    for r in rows:
+        out[r.shard][int(r.chunk)] = bytes(r.bytes)
+    return out
 
 
 class Cascade:
@@ -136,23 +157,35 @@ class Cascade:
         return out
 
 
-def build_cascade(universe: DataFrame, rate: float = FALSE_POSITIVES) -> Cascade:
-    """From rows (key string, listed boolean), each key once.
+def build_cascades(universe: DataFrame, shards: int = 1, own: Sequence[int] = (0,), rate: float = FALSE_POSITIVES) -> dict[int, Cascade]:
+    """From rows (key string, listed boolean), each key once: the cascades of the shards in own, each over its part of the universe.
 
-    Each level takes one pass over the keys still in question, and its bits reach the driver as one value for each chunk.
+    A level of all of them takes one aggregation over the keys still in question, which are written once a level: after the first, the listed and one in a hundred others.
     """
-    levels: list[Level] = []
-    asked = universe
+    key = F.col("key")
+    asked = universe.withColumn("shard", shard_of(key, shards))
+    if len(own) < shards:
+        asked = asked.filter(F.col("shard").isin(*own))
+    levels: dict[int, list[Level]] = {s: [] for s in own}
+    number = 0
     while True:
-        number = len(levels)
         side = F.col("listed") if number % 2 == 0 else ~F.col("listed")
-        keys = asked.filter(side).count()
-        if keys == 0 and levels:
-            return Cascade(levels)
-        bits, hashes = size_for(keys, rate)
-        level = Level(number, bits, hashes, filter_chunks(asked.filter(side), number, bits, hashes) if keys else {})
-        levels.append(level)
-        asked = asked.filter(level.holds(F.col("key")))
+        counts = {r.shard: r.n for r in asked.filter(side).groupBy("shard").agg(F.count("*").alias("n")).collect()}
+        going = list(own) if not number else [s for s in own if counts.get(s)]
+        if not going:
+            return {s: Cascade(ls) for s, ls in levels.items()}
+        sizes = {s: size_for(counts.get(s, 0), rate) for s in going}
+        chunks = filter_chunks(asked.filter(side), number, sizes)
+        held = F.lit(False)  # a shard that has come to its end has nothing in question
+        for s in going:
+            levels[s].append(Level(number, *sizes[s], chunks[s]))
+            held = F.when(F.col("shard") == s, levels[s][-1].holds(key)).otherwise(held)
+        asked = settle(asked.filter(held), "url-asked")
+        number += 1
+
+
+def build_cascade(universe: DataFrame, rate: float = FALSE_POSITIVES) -> Cascade:
+    return build_cascades(universe, rate=rate)[0]
 
 
 def shard_of(key: Column, shards: int) -> Column:
@@ -178,8 +211,7 @@ def marked(rows: DataFrame, keys: Column, universe: DataFrame, out: str, shard_k
     shards = max(1, -(-universe.filter("listed").count() // shard_keys))
     for first in range(0, shards, at_once):
         own = range(first, min(first + at_once, shards))
-        cascades = {s: build_cascade(universe.filter(shard_of(F.col("key"), shards) == s)) for s in own}
-
+        cascades = build_cascades(universe, shards, own)
         found = F.exists(keys, in_shards(cascades, shards))
         rows = rows.withColumn(out, found if not first else F.col(out) | found)
         if first + at_once < shards:  # the constants of one pass at a time
@@ -203,10 +235,11 @@ def judge_urls(pages: DataFrame, rules: Sequence[tuple[str, str]] = RULES, terms
     """
     full = pages.select("page_id", "url", host_of(F.col("url")).alias("host"), path_of(F.col("url")).alias("path"))
     rows = full.drop("url")
-    keys = F.array_append(domains_of(F.col("host")), directory_of(F.col("host"), F.col("path")))
-    mark = (default_list(full, terms) if listed is None else listed.select("key")).dropna().distinct().withColumn("listed", F.lit(True))
+    mark = settle((default_list(full, terms) if listed is None else listed.select("key")).dropna().distinct().withColumn("listed", F.lit(True)), "url-list")
+    counts = label_counts(mark)
+    keys = F.array_append(domains_of(F.col("host"), counts), directory_of(F.col("host"), F.col("path")))
     places = rows.select("host", directory_of(F.col("host"), F.col("path")).alias("place")).distinct()  # before keys are listed, so that each is once
-    every = places.select(F.explode(F.array_append(domains_of(F.col("host")), F.col("place"))).alias("key")).distinct()
+    every = places.select(F.explode(F.array_append(domains_of(F.col("host"), counts), F.col("place"))).alias("key")).distinct()
     universe = settle(every.join(mark, "key", "left").withColumn("listed", F.coalesce("listed", F.lit(False))), "url-keys")
     rule, verdict = rule_of(F.col("host"), F.col("path"), rules)
     blocked = free_name(rows, "blocked")
