@@ -83,16 +83,36 @@ def resolved(x: Column) -> Column:
     return F.when(count > 0, F.aggregate(F.sequence(F.lit(1), count), start, step)["text"]).otherwise(x)
 
 
-def normalize_answer(x: Column) -> Column:
-    """Plain numbers are in normal form; marks of formulas are looked for only behind a backslash."""
-    text = F.regexp_replace(strip(x), r"^\$+|\$+\z", "")
-    formula = text
+def opened(x: Column) -> Column:
+    """Stripped, without dollars around it and without marks of formulas, which are looked for only behind a backslash; two rounds of fractions written out."""
+    text = formula = F.regexp_replace(strip(x), r"^\$+|\$+\z", "")
     for mark in ("\\left", "\\right", "\\,", "\\!"):
         formula = F.replace(formula, F.lit(mark), F.lit(""))
-    text = F.when(text.contains("\\"), resolved(formula)).otherwise(text)
+    for _ in range(2):
+        formula = F.regexp_replace(formula, FRACTION, "(($1)/($2))")
+    return F.when(x.contains("\\"), formula).otherwise(text)
+
+
+def closed(text: Column) -> Column:
+    """Deeper fractions written out, signs made plain, white space and one mark at the end left out."""
+    text = F.when(text.contains("\\") & text.rlike(FRACTION), resolved(text)).otherwise(text)
     text = F.replace(F.replace(text, F.lit("−"), F.lit("-")), F.lit("^"), F.lit("**"))
-    text = F.regexp_replace(F.regexp_replace(text, rf"(?U){BLANK}+", ""), r"[.,;:]\z", "")
-    return F.when(x.rlike(r"^-?[0-9]+(?:[./][0-9]+)?\z"), x).otherwise(text)
+    return F.regexp_replace(F.regexp_replace(text, rf"(?U){BLANK}+", ""), r"[.,;:]\z", "")
+
+
+PLAIN = r"^-?[0-9]+(?:[./][0-9]+)?\z"
+
+
+def normalize_answer(x: Column) -> Column:
+    """The normal form; plain numbers are in it already. with_normal() is the same for a whole column, and computes each step once."""
+    return F.when(x.rlike(PLAIN), x).otherwise(closed(opened(x)))
+
+
+def with_normal(rows: DataFrame, answer: str, out: str) -> DataFrame:
+    """rows with the normal form of a column, its steps as columns, so that what is used twice is computed once."""
+    step = f"_{out}_opened"
+    opening = rows.withColumn(step, F.when(F.col(answer).rlike(PLAIN), F.col(answer)).otherwise(opened(F.col(answer))))
+    return opening.withColumn(out, closed(F.col(step))).drop(step)
 
 
 def same_value(a: str, b: str) -> bool:
@@ -144,7 +164,7 @@ def with_match(rows: DataFrame, answer: str, truths: str, out: str) -> DataFrame
     Normal forms and the native verdict are columns of their own, so each is computed once a row.
     """
     a, ys, native = "_match_answer", "_match_truths", "_match_native"
-    df = rows.withColumns({a: normalize_answer(F.col(answer)), ys: F.transform(truths, normalize_answer)})
+    df = with_normal(rows, answer, a).withColumn(ys, F.transform(truths, normalize_answer))
     df = df.withColumn(native, native_match(F.col(a), F.col(ys)))
     left = any_same_value(F.when(F.col(native).isNull(), F.col(a)), F.col(ys))
     return df.withColumn(out, F.coalesce(native, left, F.lit(False))).drop(a, ys, native)

@@ -10,7 +10,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from veritrail.functions.answers import extract_answer, extract_code, normalize_answer
+from veritrail.functions.answers import extract_answer, extract_code, with_normal
 from veritrail.operators import datasets, gates, validation, verify
 
 TRAJECTORIES = """
@@ -134,7 +134,8 @@ def extract_answers(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def normalize_answers(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return completions(spark, sf_dir).select("id", normalize_answer(extract_answer(F.col("completion"))).alias("answer"))
+    extracted = completions(spark, sf_dir).select("id", extract_answer(F.col("completion")).alias("raw"))
+    return with_normal(extracted, "raw", "answer").select("id", "answer")
 
 
 def math_verify(spark: SparkSession, sf_dir: str) -> DataFrame:
