@@ -348,6 +348,34 @@ def test_neighbours_of_repeated_rows(spark):
     assert got == want
 
 
+def test_rotations():
+    """Norms and cosines stay, whatever the length; estimates are within their bounds nearly always; a worker keeps few matrices."""
+    r = np.random.default_rng(1)
+    for d in (3, 64, 600, 2048, 2049, 5000):
+        x = r.standard_normal((6, d))
+        y = ann.rotated(x)
+        assert y.shape == (6, ann.code_bits(d)) and np.allclose(y @ y.T, x @ x.T)
+        c = ann.encode(r.standard_normal((40, d)))
+        assert c["words"].shape[1] * 64 == ann.code_bits(d)
+    x = r.standard_normal((60, 3000))
+    x[30:] += x[:30]
+    guess, bound = ann.estimate(ann.encode(x), ann.encode(x))
+    exact = (x @ x.T) / np.sqrt((x * x).sum(1))[:, None] / np.sqrt((x * x).sum(1))[None, :]
+    off = ~np.eye(60, dtype=bool)
+    assert (np.abs(guess - exact) <= bound)[off].mean() > 0.97
+    for d in range(5, 25):
+        ann.rotated(r.standard_normal((1, d)))
+    assert len(ann.process_store()["rotations"]) <= ann.ROTATIONS
+
+
+def test_long_vectors(spark):
+    r = np.random.default_rng(2)
+    x = {k: r.standard_normal(64 if k % 3 else 3000).tolist() for k in range(0, 200)}
+    got = ann.nearest(spark.createDataFrame([(k, v) for k, v in x.items()], "vec_id long, embedding array<float>")).collect()
+    assert {(g.query_id, g["rank"]) for g in got} == {(q, n) for q in range(0, 200, 50) for n in range(1, 6)}
+    assert all(len(x[g.query_id]) == len(x[g.vec_id]) for g in got)
+
+
 def test_urls(spark):
     urls = ["http://A.Example.ORG/es/1?x", "https://example.org/en/12", "https://notexample.org/en/12", "http://x.com/fr/", "http://x.com/fr", "http://x.com/de/#a", "http://casino.net/", None, "no scheme", "http://", "http://org/", "a://b://c/d", "http://www.free-bets.example.net?q", "http://casino.net/"]
     df = spark.createDataFrame([(k, u, "h") for k, u in enumerate(urls)], "page_id long, url string, host string")

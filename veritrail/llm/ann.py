@@ -16,7 +16,7 @@ Nothing is broadcast; vectors are known by 64-bit hashes; only the lengths of qu
 Nearness is the cosine in double precision on the original vectors, each scaled by a power of two, which changes no digit, so that norms don't
 overflow; equal scores go to the smaller vec_id. Vectors that are null, zero, or hold a null or non-finite component take no part. Rows that repeat an id
 take part each, and each is answered as a query; a row is no candidate for itself alone. Rows with a null id take no part. Vectors of another length than
-the query's take no part in its search. An empty table gives an empty table. Further columns are ignored.
+the query's take no part in its search. Vectors may be of any length; the time and memory of one's code grow in proportion, but for a logarithm. An empty table gives an empty table. Further columns are ignored.
 """
 
 from __future__ import annotations
@@ -28,11 +28,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from veritrail.llm.common import batches_of, settle
+from veritrail.llm.common import batches_of, process_store, settle
 
 QUERY_STEP, K = 50, 5
 CODE_BITS = 512  #: at least; the error of an estimate falls with their root
 QUERY_BITS = 4
+DENSE, ROTATIONS = 2048, 8  #: components of a vector that a matrix turns, and matrices that a worker keeps: 32 MB each at most
 BOUND = 2.5  #: standard deviations
 FIRST = 8  #: times k, the number of best estimates that set the score to beat
 ROWS, QUERIES = 32_768, 32_768  #: largest blocks, on average: some MB of codes and of queries
@@ -45,7 +46,7 @@ CODED = "key long, d int, words binary, ones int, own double, planes binary, low
 
 
 def code_bits(d: int) -> int:
-    return max(CODE_BITS, -(-d // 64) * 64)
+    return max(CODE_BITS, -(-d // 64) * 64) if d <= DENSE else 1 << (d - 1).bit_length()
 
 
 def rotation(d: int) -> np.ndarray:
@@ -55,6 +56,32 @@ def rotation(d: int) -> np.ndarray:
     return (q * np.sign(np.diag(r)))[:d]
 
 
+def rotated(x: np.ndarray) -> np.ndarray:
+    """Rows, filled up to code_bits, turned at random: by a matrix that a worker makes once for each of the last few lengths, and beyond
+    DENSE components by three rounds of random signs and a Walsh-Hadamard transform, which take no matrix."""
+    d = x.shape[1]
+    if d <= DENSE:
+        known = process_store().setdefault("rotations", {})
+        if d not in known:
+            while len(known) >= ROTATIONS:
+                del known[next(iter(known))]
+            known[d] = rotation(d)
+        return x @ known[d]
+    n = code_bits(d)
+    out = np.zeros((len(x), n))
+    out[:, :d] = x
+    signs = np.random.default_rng(SEED).choice([-1.0, 1.0], (3, n))
+    for turn in signs:
+        out *= turn
+        half = 1
+        while half < n:
+            pairs = out.reshape(len(x), -1, 2, half)
+            out = np.stack([pairs[:, :, 0] + pairs[:, :, 1], pairs[:, :, 0] - pairs[:, :, 1]], axis=2).reshape(len(x), n)
+            half *= 2
+        out /= np.sqrt(n)
+    return out
+
+
 def scaled(x: np.ndarray) -> np.ndarray:
     """Rows times powers of two, so that the largest component is between 0.5 and 1."""
     return np.ldexp(x, -np.frexp(np.abs(x).max(axis=1))[1][:, None])
@@ -68,7 +95,7 @@ def packed(bits: np.ndarray) -> np.ndarray:
 def encode(x: np.ndarray) -> dict[str, np.ndarray]:
     """Of vectors (rows): code words, their number of ones, correction scalars; and as queries, bit planes, range and sums of levels."""
     x = scaled(x)
-    turned = (x / np.sqrt((x * x).sum(axis=1))[:, None]) @ rotation(x.shape[1])
+    turned = rotated(x / np.sqrt((x * x).sum(axis=1))[:, None])
     low = turned.min(axis=1)
     step = np.maximum(turned.max(axis=1) - low, 1e-300) / (2**QUERY_BITS - 1)
     level = np.rint((turned - low[:, None]) / step[:, None]).astype(np.uint8)
