@@ -244,7 +244,7 @@ def verified_again(spark: SparkSession, sf_dir: str) -> DataFrame:
     verify.verify_resumable(rows.filter("CAST(id AS BIGINT) % 2 = 0"), runner, store, batch=10)
     done = verify.verify_resumable(rows, runner, store, batch=10)
     runs = spark.read.parquet(store).count()
-    return done.select("id", "passed", "reward", "error_type", F.lit(runs).alias("runs"))
+    return done.select("id", "passed", "reward", "error_type", F.lit(runs).cast("bigint").alias("runs"))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {

@@ -55,7 +55,7 @@ def streaming_gate_closed(spark: SparkSession, sf_dir: str) -> DataFrame:
     state = new_path(spark, "gate-state")
     stream.start(source, state, new_path(spark, "gate-checkpoint"), keep=1).awaitTermination()
     report = registry.report_columns(stream.report(spark, state))
-    return report.withColumn("late", F.lit(stream.late_rows(spark, state)))
+    return report.withColumn("late", F.lit(stream.late_rows(spark, state)).cast("bigint"))
 
 
 def weighted(spark: SparkSession, sf_dir: str, until: str) -> DataFrame:
