@@ -53,10 +53,12 @@ def test_all_pairs_of_documents(spark):
     assert ids(stage(spark, docs, SF)) == want
 
 
-@pytest.mark.parametrize(("hot", "leaders"), [(4096, 32), (10, 2)])
-def test_large_groups(spark, monkeypatch, hot, leaders):
-    """More near copies of a text than are compared each with each, some alike only through others."""
+@pytest.mark.parametrize(("hot", "leaders", "tile", "tiles"), [(4096, 32, 256, 16), (10, 2, 8, 16), (10, 2, 8, 1)])
+def test_large_groups(spark, monkeypatch, hot, leaders, tile, tiles):
+    """More near copies of a text than are compared each with each, some alike only through others; clusters of several tiles, and larger ones than tiles take."""
     monkeypatch.setattr(similar, "LEADERS", leaders)
+    monkeypatch.setattr(similar, "TILE", tile)
+    monkeypatch.setattr(similar, "MOST_TILES", tiles)
     r = random.Random(3)
     words = [f"w{k}" for k in range(400)]
     rows = []

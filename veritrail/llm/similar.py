@@ -15,8 +15,9 @@ random orders of its shingles. Sets alike at 0.8 have a key in common with a cha
    m - ceil(0.8 m) + 1. Rare shingles come first in that order, so rows that only have a common passage do not meet; how rare they are is counted on a sample, which has
    a say in how large groups are only. In groups that hold several components, each row is paired with the nearest of another one, again decided by whole sets, and
    this is repeated while components grow: those of many copies do so in a few rounds, and little is left to compare.
-3. In groups that still hold several components, all rows of different ones are compared, bit-sliced; in those of more than HOT rows, the rows outside the most
-   frequent component are compared with all, part by part. Again whole sets decide.
+3. What groups that still hold several components connect is a cluster. In one of a bounded size its rows are dealt to parts, and every two parts meet in one task with their whole sets: pairs within
+   the radius are compared there, the nearest first, until their components are one, so that links leave the task and not pairs. In groups of larger clusters, all rows of different components are
+   compared, bit-sliced; in groups of more than HOT rows, the rows outside the most frequent component are compared with all, part by part. Again whole sets decide.
 
 Edge cases: words are cut at the six ASCII spaces and A-Z is lowered; a text of fewer words than a shingle is one shingle, so null and
 empty texts and those of white space are alike. Shingles and sets are known by 64-bit hashes. An empty table gives an empty table.
@@ -44,6 +45,8 @@ SAMPLE_DOCS, OFTEN, MAX_OFTEN = 8192, 3, 65_536  #: for the order of shingles al
 MAX_SENT = 1 << 20  #: up to so many nodes' keys are broadcast to find their texts; more are joined
 HOT = 4096  #: rows of a bucket that one task compares at a time
 NEAREST_ROUNDS = 1  #: at most, before all pairs that are left are compared
+TILE, MOST_TILES = 256, 16  #: rows of a part of a cluster, on average, and parts of one whose rows all meet with their sets
+MOST_SHINGLES = 1 << 22  #: of all sets of such a cluster: 32 MB
 LEADERS = 32  #: chosen in a bucket before the rest waits for the second step
 BATCH_ROWS = 1 << 16
 QUERIES = 64
@@ -296,11 +299,94 @@ def first_shingles(rows: DataFrame, nodes: DataFrame, sets: DataFrame) -> DataFr
     return settle(each.join(nodes.select("node", F.col("best.n").alias("n"), F.col("best.fp").alias("fp")), "node"), "similar-shingles")
 
 
-def cross_pairs(shingles: DataFrame, roots: DataFrame, hot: int, nearest: bool) -> DataFrame:
-    """(a, b) of candidates across components, in groups that hold several."""
+def alive_rows(shingles: DataFrame, roots: DataFrame) -> DataFrame:
+    """(token, node, n, p, fp, root, rows) of the groups that hold several components; rows: of the group."""
     named = shingles.join(roots.select(F.col("u").alias("node"), F.col("v").alias("root")), "node", "left").withColumn("root", F.coalesce("root", "node"))
     sizes = named.groupBy("token").agg(F.count("*").alias("rows"), F.min("root").alias("r0"), F.max("root").alias("r1")).filter("r0 < r1").select("token", "rows")
-    alive = settle(named.join(settle(sizes, "similar-live"), "token"), "similar-alive")
+    return settle(named.join(settle(sizes, "similar-live"), "token"), "similar-alive")
+
+
+def tiled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(u, v): links that join the components of each tile's rows, decided by whole sets; from batches sorted by (cluster, x, y)."""
+    for t in tables(batches, ("cluster", "x", "y")):
+        node, n, fp, root, side = (t.column(c).to_numpy() for c in ("node", "n", "fp", "root", "part"))
+        x, y = t.column("x")[0].as_py(), t.column("y")[0].as_py()
+        own, other = np.flatnonzero(side == x), np.flatnonzero(side == y)
+        sets = [s.values.to_numpy().view(np.uint64) for s in t.column("found")]
+        up = {r: r for r in root.tolist()}
+
+        def top(r: int, up: dict[int, int] = up) -> int:
+            while up[r] != r:
+                up[r] = r = up[up[r]]
+            return r
+
+        found = []
+        for k in range(0, len(own), QUERIES):
+            i, j = (z.ravel() for z in np.meshgrid(own[k : k + QUERIES], other, indexing="ij"))
+            use = (root[i] != root[j]) & may_be_alike(n[i], n[j])
+            if x == y:
+                use &= i < j
+            i, j = i[use], j[use]
+            far = np.bitwise_count(fp[i].view(np.uint64) ^ fp[j].view(np.uint64))
+            order = np.argsort(far, kind="stable")
+            order = order[: np.searchsorted(far[order], RADIUS, "right")]
+            for a, b in zip(i[order].tolist(), j[order].tolist(), strict=True):  # the nearest first, so that components are soon one
+                p, q = top(int(root[a])), top(int(root[b]))
+                if p == q:
+                    continue
+                common = np.searchsorted(sets[a], sets[b], "right") - np.searchsorted(sets[a], sets[b], "left")
+                if (SHARE[0] + SHARE[1]) * int(common.sum()) >= SHARE[0] * (len(sets[a]) + len(sets[b])):
+                    up[max(p, q)] = min(p, q)
+                    found.append((int(node[a]), int(node[b])))
+        yield pa.RecordBatch.from_arrays([pa.array([f[k] for f in found], pa.int64()) for k in range(2)], names=["u", "v"])
+
+
+def tables(batches: Iterator[pa.RecordBatch], keys: tuple[str, ...]) -> Iterator[pa.Table]:
+    """The runs of rows with the same keys, of batches sorted by them; a run is held whole."""
+    held: list[pa.RecordBatch] = []
+    last = None
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        values = [batch.column(k).to_numpy() for k in keys]
+        cuts = np.flatnonzero(np.logical_or.reduce([v[1:] != v[:-1] for v in values])) + 1
+        for a, b in zip([0, *cuts.tolist()], [*cuts.tolist(), batch.num_rows], strict=True):
+            key = tuple(v[a] for v in values)
+            if held and key != last:
+                yield pa.Table.from_batches(held)
+                held = []
+            last = key
+            held.append(batch.slice(a, b - a))
+    if held:
+        yield pa.Table.from_batches(held)
+
+
+def tile_links(alive: DataFrame, sets: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(links (u, v) of the clusters of a bounded size, nodes of larger ones).
+
+    A cluster is what groups that still hold several components connect. Its rows are dealt to parts of TILE rows, and every two parts meet in one task with their whole sets,
+    each row with as many others as there are parts: MOST_TILES at most.
+    """
+    least = alive.groupBy("token").agg(F.min("node").alias("v"))
+    edges = alive.select("token", F.col("node").alias("u")).join(least, "token").filter("u <> v").select("u", "v").distinct()
+    clusters = components(settle(edges, "similar-edges"))
+    nodes = alive.select("node", "n", "fp", "root").distinct().join(clusters.select(F.col("u").alias("node"), F.col("v").alias("cluster")), "node", "left").withColumn("cluster", F.coalesce("cluster", "node"))
+    nodes = settle(nodes, "similar-clustered")
+    sizes = nodes.groupBy("cluster").agg(F.ceil(F.count("*") / F.lit(TILE)).cast("int").alias("parts"), F.sum("n").alias("weight"))
+    fits = (F.col("parts") <= MOST_TILES) & (F.col("weight") <= MOST_SHINGLES)
+    sizes = settle(sizes.withColumn("fits", fits), "similar-clusters")
+    named = nodes.join(sizes, "cluster")
+    part = F.pmod(F.xxhash64("node"), F.col("parts")).cast("int")
+    dealt = named.filter("fits").withColumn("part", part).withColumn("o", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
+    dealt = dealt.select("cluster", F.least("part", "o").alias("x"), F.greatest("part", "o").alias("y"), "part", "node", "n", "fp", "root")
+    whole = dealt.join(sets, "node").repartition("cluster", "x", "y").sortWithinPartitions("cluster", "x", "y")
+    with batches_of(alive.sparkSession, 1024):
+        links = settle(whole.mapInArrow(tiled, "u long, v long"), "similar-tiles")
+    return links, settle(named.filter(~F.col("fits")).select("node"), "similar-large-clusters")
+
+
+def cross_pairs(alive: DataFrame, hot: int, nearest: bool) -> DataFrame:
+    """(a, b) of candidates across components, in groups that hold several."""
     out = alive.filter(F.col("rows") <= hot).withColumns({"part": F.lit(0).cast("long"), "side": F.lit(0)}).select(*LIVE)
     large = alive.filter(F.col("rows") > hot)
     if not large.isEmpty():
@@ -316,7 +402,7 @@ def cross_pairs(shingles: DataFrame, roots: DataFrame, hot: int, nearest: bool)
             out = out.unionByName(inside.select(*LIVE)).unionByName(outside.withColumn("side", (F.col("part") > 0).cast("int")).select(*LIVE))
     dealt = out.repartition("token", "part").sortWithinPartitions("token", "part", "node")
     of = across(nearest)
-    with batches_of(shingles.sparkSession, 16384):
+    with batches_of(alive.sparkSession, 16384):
         return settle(dealt.mapInArrow(lambda batches: grouped(batches, of), "a long, b long").distinct(), "similar-cross")
 
 
@@ -366,17 +452,18 @@ def groups(rows: DataFrame, nodes: DataFrame, hot: int = HOT) -> DataFrame:
     # a pair of the first step that is not in one component yet is among those found by first shingles, if it is alike
     open_ = between(pairs.select("a", "b"), roots).select(F.explode(F.array("a", "b")).alias("node"))
     shingles = first_shingles(rows, nodes, sets.join(few(waiting.unionByName(open_).distinct()), "node"))
-    nearest, rounds = True, 0
-    while True:
-        cross = cross_pairs(shingles, roots, hot, nearest)
-        more = None if cross.isEmpty() else alike(cross, sets)
-        grown = more is not None and not more.isEmpty()
-        if grown:
-            roots = joined(roots, more)
-        if not nearest:
-            return roots
-        rounds += 1
-        nearest = grown and rounds < NEAREST_ROUNDS
+    for _ in range(NEAREST_ROUNDS):
+        more = alike(cross_pairs(alive_rows(shingles, roots), hot, nearest=True), sets)
+        if more.isEmpty():
+            break
+        roots = joined(roots, more)
+    alive = alive_rows(shingles, roots)
+    if alive.isEmpty():
+        return roots
+    links, large = tile_links(alive, sets)
+    if not large.isEmpty():
+        links = links.unionByName(alike(cross_pairs(settle(alive.join(large, "node", "left_semi"), "similar-large-alive"), hot, nearest=False), sets))
+    return roots if links.isEmpty() else joined(roots, links)
 
 
 def joined(roots: DataFrame, links: DataFrame) -> DataFrame:
