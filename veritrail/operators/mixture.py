@@ -12,10 +12,10 @@ Edge cases: an empty dataset's first row is due and missing. Weights are rounded
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterable, Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Row, SparkSession, Window
 from pyspark.sql import functions as F
 
 from veritrail.sources.shared import settle
@@ -32,6 +32,20 @@ class Dataset:
     split: str | None = None  #: rows whose column split says so; all, without it
 
 
+def of_configuration(spark: SparkSession, datasets: Iterable[Row]) -> list[Dataset]:
+    """The datasets (path, weight, split) of a configuration that configs.read() found whole: Parquet, or JSON lines, by the path's ending.
+
+    A dataset without a column split is its train split. Each is called by the last part of its path, without the ending.
+    """
+    out = []
+    for d in datasets:
+        rows = spark.read.parquet(d.path) if d.path.rstrip("/").endswith(".parquet") else spark.read.json(d.path)
+        if "split" not in rows.columns and d.split != "train":
+            raise ValueError(f"{d.path} has no splits")
+        out.append(Dataset(d.path.rstrip("/").rsplit("/", 1)[-1].rsplit(".", 1)[0], rows, d.weight, d.split if "split" in rows.columns else None))
+    return out
+
+
 def numbered(rows: DataFrame, key: Column) -> DataFrame:
     """rows with dataset_row: 0, 1, 2 ... in order of key, by counts of the sorted partitions."""
     ordered = rows.withColumn("_key", key).withColumn("_tie", F.xxhash64(*[F.col(f"`{c}`") for c in rows.columns]))

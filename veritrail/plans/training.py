@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -9,6 +10,7 @@ from pyspark.sql import functions as F
 
 from veritrail.operators import contamination, exact, mixture, monitoring
 from veritrail.plans import registry
+from veritrail.sources import configs
 from veritrail.sources.shared import new_path
 from veritrail.streaming import gate as stream
 
@@ -59,8 +61,20 @@ def streaming_gate_closed(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def weighted(spark: SparkSession, sf_dir: str, until: str) -> DataFrame:
-    key = lambda name, c: table(spark, sf_dir, name).select(F.col(c).cast("bigint").alias("id"), F.when(F.col(c) % 10 == 0, "test").otherwise("train").alias("split"))
-    sets = [mixture.Dataset("orders", key("orders", "o_orderkey"), 3.0, "train"), mixture.Dataset("part", key("part", "p_partkey"), 1.5, "train"), mixture.Dataset("customer", key("customer", "c_custkey"), 0.5)]
+    """Three tables written as datasets, with the weights and splits of a configuration file that names them."""
+    path = new_path(spark, "datasets")
+    split = lambda c: F.when(F.col(c) % 10 == 0, "test").otherwise("train").alias("split")
+    table(spark, sf_dir, "orders").select(F.col("o_orderkey").cast("bigint").alias("id"), split("o_orderkey")).write.parquet(f"{path}/orders.parquet")
+    table(spark, sf_dir, "part").select(F.col("p_partkey").cast("bigint").alias("id"), split("p_partkey")).write.json(f"{path}/part.jsonl")
+    table(spark, sf_dir, "customer").select(F.col("c_custkey").cast("bigint").alias("id")).write.parquet(f"{path}/customer.parquet")
+    names = {"orders.parquet": 3.0, "part.jsonl": 1.5, "customer.parquet": 0.5}
+    config = {
+        "name": "mixed", "platform": {"accelerator": "cuda", "nodes": 1, "gpus_per_node": 8, "container": "c", "account": "a", "partition": "p"}, "backend": {"repo_path": "r", "commit": "c"}, "model": {"name_or_path": "m"}, "task": {"kind": "math"},
+        "datasets": [{"path": f"{path}/{n}", "weight": w} for n, w in names.items()], "rollout": {"engines": 4}, "training": {"learner_gpus_per_node": [4]}, "output": {"directory": "o", "rollout_directory": "r", "experiment_name": "e"},
+    }
+    spark.createDataFrame([(json.dumps(config),)], "value string").coalesce(1).write.text(f"{path}/configuration")
+    found = configs.read(spark, f"{path}/configuration", "yaml").filter(F.size("problems") == 0).first()
+    sets = mixture.of_configuration(spark, found.datasets)
     return mixture.mixture(sets, F.md5(F.col("id").cast("string").cast("binary")), until).select("dataset", "dataset_row", "place", "id")
 
 
