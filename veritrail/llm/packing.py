@@ -10,7 +10,8 @@ but fill worse, and which lengths pay depends on the pieces. That is settled joi
 capacities that may be opened, and the plan of least total cost after downsizing stays.
 
 Documents are dealt into blocks of about BLOCK rows by a hash of id, text and, for rows repeated in full, the number of the copy,
-and each block is packed alone, so no task has more than that; text itself does not move.
+and each block is packed alone; text itself does not move. A task holds the pieces of its block: a few numbers for each document, and for each full
+piece of the largest capacity, so a text of any length is a few bytes for every thousand words.
 
 Edge cases: sizes are numbers of words; a null or empty text is one piece of no words, put where least room is left.
 Rows with the same id or text are packed each. An empty table gives an empty table. Further columns are ignored.

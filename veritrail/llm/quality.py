@@ -8,7 +8,8 @@ become an ordered conditional expression, after the base limits, whose default i
 
 Edge cases: a null or empty text has no words and fails the base limits. Repeated rows are judged
 alike. Without labels of both kinds the list is empty and the base limits alone decide. Labels with a
-null id or quality are left out; of several labels of an id the least counts. An empty table gives an empty table. Further columns of documents, whatever
+null id or quality are left out; of several labels of an id the least counts. Texts of any length are counted whole: a text's words and windows of five words stand
+in one row's arrays, some ten times the text. An empty table gives an empty table. Further columns of documents, whatever
 their names, are kept by keep_good() and ignored by quality_report().
 """
 

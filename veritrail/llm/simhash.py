@@ -10,7 +10,7 @@ larger goes to several tasks as pairs of blocks; no link is lost.
 
 Edge cases: a null or empty text, or one of white space only, has fingerprint zero and is linked like any
 other; a text of fewer words than a shingle is one shingle. Rows with the same id stand for one document: both
-are returned, and stay or go together. Further columns are ignored by near_duplicates() and kept
+are returned, and stay or go together. Texts of any length are read whole, CHUNK shingles at a time. Further columns are ignored by near_duplicates() and kept
 by drop_near_duplicates(). An empty table gives an empty table.
 """
 

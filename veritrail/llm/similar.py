@@ -20,7 +20,7 @@ random orders of its shingles. Sets alike at 0.8 have a key in common with a cha
    compared, bit-sliced; in groups of more than HOT rows, the rows outside the most frequent component are compared with all, part by part. Again whole sets decide.
 
 Edge cases: words are cut at the six ASCII spaces and A-Z is lowered; a text of fewer words than a shingle is one shingle, so null and
-empty texts and those of white space are alike. Shingles and sets are known by 64-bit hashes. An empty table gives an empty table.
+empty texts and those of white space are alike. Texts of any length are taken whole; a comparison holds two whole sets, eight bytes a distinct shingle. Shingles and sets are known by 64-bit hashes. An empty table gives an empty table.
 """
 
 from __future__ import annotations
