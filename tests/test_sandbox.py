@@ -37,17 +37,17 @@ def test_killed_run_resumes(spark, tmp_path):
     class Counting:
         def run(self, workspace, command, timeout):
             code = Path(workspace, "solution.py").read_text().strip()
-            if len(list(marks.iterdir())) >= 3 and fuse.exists():
+            if len(list(marks.iterdir())) >= 5 and fuse.exists():
                 raise KeyboardInterrupt  # not an error of the sandbox: the task dies
             (marks / f"{code[2:]}-{time.time_ns()}").write_text("")
             return verify.Execution(int(code == "# 5"), "", "", 0.0)
 
     rows = spark.createDataFrame([program(k, f"# {k % 8}") for k in range(24)], SCHEMA).coalesce(1)
     store = str(tmp_path / "store")
-    with pytest.raises(Exception):  # noqa: B017, PT011  whatever Spark makes of it
+    with pytest.raises(Exception) as raised:  # noqa: B017, PT011  whatever Spark makes of it
         verify.verify_resumable(rows, Counting(), store, batch=1)
-    kept = spark.read.parquet(store).count()
-    assert 1 <= kept <= 3
+    kept = spark.read.parquet(store).count() if Path(store).exists() else 0
+    assert kept <= 5 and (kept or "KeyboardInterrupt" not in str(raised.value)), str(raised.value)[:2000]
     fuse.unlink()
     before = len(list(marks.iterdir()))
     done = verify.verify_resumable(rows, Counting(), store, batch=3).collect()
