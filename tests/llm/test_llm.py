@@ -293,6 +293,38 @@ def test_suffix_order():
             assert lcp[k] == min(50, next((i for i, (x, y) in enumerate(zip(a, b, strict=False)) if x != y), min(len(a), len(b))))
 
 
+def test_sort_direct_makes_no_string_a_suffix():
+    class Whole(bytes):
+        def __getitem__(self, at):
+            assert isinstance(at, int), "a suffix was copied"
+            return super().__getitem__(at)
+
+    r = np.random.default_rng(1)
+    for _ in range(200):
+        d = bytes(r.integers(int(r.choice([0, 97])), 99, int(r.integers(1, 80))).astype(np.uint8)) * int(r.integers(1, 9))
+        at = np.flatnonzero(r.random(len(d)) < 0.7)
+        for depth in (1, 13, 200, len(d) + 1):
+            got = suffix_array.sort_direct(Whole(d), at, depth)
+            assert [d[i : i + depth] for i in got] == sorted(d[i : i + depth] for i in at.tolist())
+
+
+@pytest.mark.parametrize("hot", [2, 8192])
+def test_only_hot_keys_are_counted_by_bytes(spark, rows, hot, monkeypatch):
+    """The bytes of all other keys are dealt once, to be sorted, and meet no join."""
+    plans = []
+
+    def noted(df, name, settle=suffix_dedup.settle):
+        plans.append((name, df._jdf.queryExecution().optimizedPlan().toString()))
+        return settle(df, name)
+
+    monkeypatch.setattr(suffix_dedup, "settle", noted)
+    suffix_dedup.covered(spark.createDataFrame([(r[0], r[1]) for r in rows], "doc_id long, text string"), hot)
+    after = plans[[name for name, _ in plans].index("repeat-bytes") + 1 :]
+    assert after[0][0] == "repeat-found" and "Join" not in after[0][1]
+    assert (len(after) > 1) == (hot == 2)
+    assert all("hot" in plan for name, plan in after[1:3])
+
+
 def test_anchor_runs_cover_every_window():
     texts = [b"", b"x" * 199, b"ab" * 700, bytes(np.random.default_rng(1).integers(0, 256, 300_000).astype(np.uint8))]
     found = anchors.runs(texts, anchors.Roller())

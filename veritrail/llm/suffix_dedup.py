@@ -11,7 +11,7 @@
 Rows are told apart by a number that is written with them, so each of many copies of a row is a row of its own and at most two
 of them are fetched.
 
-A key with more contents than HOT is dealt anew: its windows are halved by where the anchor lies in them, and each
+A key with more contents to fetch than HOT is known from the counts and dealt anew as it is fetched: its windows are halved by where the anchor lies in them, and each
 half's key is a hash of all bytes that its windows share, which are more than before. At the end
 that is the window itself. Contents and keys are compared by 64-bit hashes, of two kinds; suffixes byte by byte.
 
@@ -24,10 +24,12 @@ and kept by drop_repeats(), which drops a character that is only partly removed.
 from __future__ import annotations
 
 import hashlib
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
+from itertools import chain, repeat
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, IntegerType, LongType, StructField, StructType
@@ -159,16 +161,15 @@ def sort_task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     size = 0
 
     def emit() -> pa.RecordBatch:
-        found = repeated([r[5] for r in held], np.array([r[4] for r in held], np.int64), LENGTH)
-        keys, prints, ranges = [], [], []
-        for r, at in zip(held, found, strict=True):
-            if len(at) and not r[6]:
-                cuts = np.flatnonzero(np.diff(at) > 1)
-                keys.append(r[1])
-                prints.append(r[2])
-                ranges.append([{"a": int(a) + r[3], "b": int(b) + 1 + r[3]} for a, b in zip(at[np.append(0, cuts + 1)], at[np.append(cuts, len(at) - 1)], strict=True)])
-        kind = pa.list_(pa.struct([("a", pa.int32()), ("b", pa.int32())]))
-        return pa.RecordBatch.from_arrays([pa.array(keys, pa.int64()), pa.array(prints, pa.int64()), pa.array(ranges, kind)], names=["key", "print", "ranges"])
+        _, keys, prints, at, n, data, twin = zip(*held, strict=True)
+        part, first, end = repeated(list(data), np.array(n, np.int64), LENGTH)
+        use = ~np.array(twin)[part]
+        part, first, end = part[use], first[use], end[use]
+        own = np.flatnonzero(np.append(True, part[1:] != part[:-1])) if len(part) else part
+        shift = np.array(at, np.int64)[part]
+        pairs = pa.StructArray.from_arrays([pa.array((x + shift).astype(np.int32)) for x in (first, end)], names=["a", "b"])
+        ranges = pa.ListArray.from_arrays(pa.array(np.append(own, len(part)).astype(np.int32)), pairs)
+        return pa.RecordBatch.from_arrays([*(pa.array(np.array(k, np.int64)[part[own]]) for k in (keys, prints)), ranges], names=["key", "print", "ranges"])
 
     for batch in batches:
         for row in zip(*(c.to_pylist() for c in batch.columns), strict=True):
@@ -181,33 +182,38 @@ def sort_task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield emit()
 
 
-def halve(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def halved(rows: Iterable[tuple], roller: Roller) -> list[tuple]:
     """Rows of hot groups -> the same windows in halves, with keys of more bytes.
 
     lo and hi bound the anchor's offset from a window's start; windows of a row run from offset place down.
     """
+    out = []
+    for group, key, print_, at, n, data, twin, place, lo, hi in rows:
+        mid = (lo + hi) // 2
+        sums = roller.sums(np.frombuffer(data, np.uint8))
+        for a, b in ((lo, mid), (mid + 1, hi)):
+            first, last = max(0, place - b), min(n - 1, place - a)  # windows whose anchor's offset is in a..b
+            if first > last:
+                continue
+            core = (place - a, place - b + LENGTH)  # what all windows of that kind share
+            part = (first, last + LENGTH)
+            ends = roller.of(sums, np.array([core[0]]), np.array([core[1]]))
+            new = int((ends * np.uint64(a * LENGTH + b + 1)).view(np.int64)[0])
+            out.append((new, key, print_, at + first, last - first + 1, data[part[0] : part[1]], twin, place - first, a, b))
+    return out
+
+
+def halve(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     roller = Roller()
     for batch in batches:
-        out = []
-        for group, key, print_, at, n, data, twin, place, lo, hi in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-            mid = (lo + hi) // 2
-            sums = roller.sums(np.frombuffer(data, np.uint8))
-            for a, b in ((lo, mid), (mid + 1, hi)):
-                first, last = max(0, place - b), min(n - 1, place - a)  # windows whose anchor's offset is in a..b
-                if first > last:
-                    continue
-                core = (place - a, place - b + LENGTH)  # what all windows of that kind share
-                part = (first, last + LENGTH)
-                ends = roller.of(sums, np.array([core[0]]), np.array([core[1]]))
-                new = int((ends * np.uint64(a * LENGTH + b + 1)).view(np.int64)[0])
-                out.append((new, key, print_, at + first, last - first + 1, data[part[0] : part[1]], twin, place - first, a, b))
-        yield split_batch(out)
+        yield split_batch(halved(zip(*(c.to_pylist() for c in batch.columns), strict=True), roller))
 
 
 SPLIT = "group long, key long, print long, at int, n int, bytes binary, twin boolean, place int, lo int, hi int"
 SPLIT_NAMES = [c.split()[0] for c in SPLIT.split(", ")]
 KINDS = {"long": pa.int64(), "int": pa.int32(), "binary": pa.binary(), "boolean": pa.bool_()}
 SPLIT_TYPES = [KINDS[c.split()[1]] for c in SPLIT.split(", ")]
+WANTED = ["key", "print", "start", "n", "place", "twin", "hot"]
 FOUND = "key long, print long, ranges array<struct<a:int,b:int>>"
 
 
@@ -217,34 +223,43 @@ def split_batch(rows: list[tuple]) -> pa.RecordBatch:
 
 
 def fetch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(text, wanted runs) -> their bytes."""
+    """(text, wanted runs) -> their bytes; those of hot keys in halves."""
+    roller = Roller()
     for batch in batches:
-        out = []
-        for text, want in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-            data = to_utf8(text)
-            for w in want:
-                out.append((w["key"], w["key"], w["print"], 0, w["n"], data[w["start"] : w["start"] + w["n"] + LENGTH - 1], w["twin"], w["place"], 0, LENGTH - GRAM))
-        yield split_batch(out)
+        want = dict(zip(WANTED, batch.column(1).flatten().flatten(), strict=True))
+        start, n, hot = (want[k].to_numpy(zero_copy_only=False) for k in ("start", "n", "hot"))
+        counts = pc.list_value_length(batch.column(1)).to_pylist()
+        texts = chain.from_iterable(repeat(to_utf8(t), c) for t, c in zip(batch.column(0).to_pylist(), counts, strict=True))
+        data = pa.array([t[a:b] for t, a, b in zip(texts, start.tolist(), (start + n + LENGTH - 1).tolist(), strict=True)], pa.binary())
+        bounds = [pa.array(np.full(len(n), k, np.int32)) for k in (0, LENGTH - GRAM)]
+        rows = pa.RecordBatch.from_arrays([want["key"], want["key"], want["print"], bounds[0], want["n"], data, want["twin"], want["place"], *bounds], names=SPLIT_NAMES)
+        yield rows.filter(pa.array(~hot)).append_column("hot", pa.array(np.zeros(len(n) - hot.sum(), bool)))
+        if hot.any():
+            large = rows.filter(want["hot"])
+            halves = split_batch(halved(zip(*(c.to_pylist() for c in large.columns), strict=True), roller))
+            yield halves.append_column("hot", pa.array(np.ones(halves.num_rows, bool)))
+
+
+def shared_windows(contents: DataFrame, hot: int, any_hot: bool) -> list[DataFrame]:
+    """Tables (key, print, ranges) of what the contents of each group share. Only what is hot is counted and moved again."""
+    names = ["group", "key", "print", "at", "n", "bytes", "twin"]
 
+    def ordered(few: DataFrame) -> DataFrame:
+        return settle(few.select(*names).repartition("group").sortWithinPartitions("group").mapInArrow(sort_task, FOUND), "repeat-found")
 
-def shared_windows(contents: DataFrame, hot: int) -> list[DataFrame]:
-    """Tables (key, print, ranges) of what the contents of each group share."""
-    found = []
-    names = ["group", "key", "print", "at", "n", "bytes", "twin"]
-    while True:
-        groups = settle(contents.groupBy("group").agg(F.count("*").alias("rows")).filter("rows > 1"), "repeat-groups")
-        few = contents.join(groups.filter(F.col("rows") <= hot).select("group"), "group").select(*names)
-        found.append(settle(few.repartition("group").sortWithinPartitions("group").mapInArrow(sort_task, FOUND), "repeat-found"))
-        many = groups.filter(F.col("rows") > hot).select("group")
-        if many.isEmpty():
-            return found
-        large = contents.join(many, "group")
+    found = [ordered(contents.filter("not hot"))]
+    contents = contents.filter("hot").drop("hot")
+    while any_hot:
         # what can't be halved any more is one window: all of a group's bytes are the same, and need no order
-        same = settle(large.groupBy("group").agg((F.min("bytes") == F.max("bytes")).alias("same")), "repeat-same")
-        marked = settle(large.join(same, "group"), "repeat-large")
-        whole = marked.filter("same").select("key", "print", F.array(F.struct(F.col("at").alias("a"), (F.col("at") + F.col("n")).alias("b"))).alias("ranges"))
+        groups = contents.groupBy("group").agg(F.count("*").alias("rows"), (F.min("bytes") == F.max("bytes")).alias("same")).filter("rows > 1")
+        large = settle(contents.join(settle(groups, "repeat-groups"), "group"), "repeat-large")
+        found.append(ordered(large.filter(F.col("rows") <= hot)))
+        many = large.filter(F.col("rows") > hot)
+        whole = many.filter("same").select("key", "print", F.array(F.struct(F.col("at").alias("a"), (F.col("at") + F.col("n")).alias("b"))).alias("ranges"))
         found.append(settle(whole, "repeat-found"))
-        contents = settle(marked.filter("not same").select(*names, "place", "lo", "hi").mapInArrow(halve, SPLIT), "repeat-halves")
+        contents = settle(many.filter("not same").select(*names, "place", "lo", "hi").mapInArrow(halve, SPLIT), "repeat-halves")
+        any_hot = not contents.isEmpty()
+    return found
 
 
 def covered(docs: DataFrame, hot: int, *kept: str) -> tuple[DataFrame, DataFrame]:
@@ -256,16 +271,18 @@ def covered(docs: DataFrame, hot: int, *kept: str) -> tuple[DataFrame, DataFrame
     each = page.select("row", F.explode("runs").alias("r")).select("row", "r.*")
     place = F.struct("row", "start", "n", "place")
     contents = settle(each.groupBy("key", "print").agg(F.count("*").alias("c"), F.min(place).alias("p"), F.max(place).alias("q")), "repeat-contents")
-    asked = settle(contents.groupBy("key").agg(F.sum("c").alias("of_key")).filter("of_key > 1").select("key"), "repeat-asked")
+    sizes = contents.groupBy("key").agg(F.sum("c").alias("of_key"), F.sum(F.least("c", F.lit(2))).alias("rows"))
+    asked = settle(sizes.filter("of_key > 1").select("key", (F.col("rows") > hot).alias("hot")), "repeat-asked")
+    any_hot = not asked.filter("hot").isEmpty()
 
     def copy_at(at: str, twin: bool) -> Column:
-        return F.struct(F.col(f"{at}.row").alias("row"), F.struct("key", "print", f"{at}.start", f"{at}.n", f"{at}.place", F.lit(twin).alias("twin")).alias("w"))
+        return F.struct(F.col(f"{at}.row").alias("row"), F.struct("key", "print", f"{at}.start", f"{at}.n", f"{at}.place", F.lit(twin).alias("twin"), "hot").alias("w"))
 
     copies = F.when(F.col("c") > 1, F.array(copy_at("p", False), copy_at("q", True))).otherwise(F.array(copy_at("p", False)))
     wanted = contents.join(asked, "key").select(F.explode(copies).alias("x")).groupBy("x.row").agg(F.collect_list("x.w").alias("want"))  # of one row's text each
     texts = page.filter(F.size("runs") > 0).select("row", "text")
-    contents_bytes = settle(texts.join(wanted, "row").select("text", "want").mapInArrow(fetch, SPLIT), "repeat-bytes")
-    found, *more = shared_windows(contents_bytes, hot)
+    contents_bytes = settle(texts.join(wanted, "row").select("text", "want").mapInArrow(fetch, f"{SPLIT}, hot boolean"), "repeat-bytes")
+    found, *more = shared_windows(contents_bytes, hot, any_hot)
     for f in more:
         found = found.unionByName(f)
     back = each.select("row", "key", "print", "start").join(found, ["key", "print"])
@@ -282,7 +299,9 @@ def repeats_report(docs: DataFrame, hot: int = HOT) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            got = [result_of(to_utf8(t), *edges(r))[:4] for t, r in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist(), strict=True)]
+            a, b = (x.to_numpy() for x in batch.column(2).flatten().flatten())
+            cuts = np.append(0, np.cumsum(pc.fill_null(pc.list_value_length(batch.column(2)), 0).to_numpy())).tolist()
+            got = [result_of(to_utf8(t), a[i:j], b[i:j])[:4] for t, i, j in zip(batch.column(1).to_pylist(), cuts, cuts[1:], strict=False)]
             columns = list(zip(*got, strict=True)) or [[]] * 4
             kinds = [pa.int64(), pa.int64(), pa.int64(), pa.string()]
             yield pa.RecordBatch.from_arrays([batch.column(0), *(pa.array(c, t) for c, t in zip(columns, kinds, strict=True))], names=["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256"])
