@@ -40,3 +40,14 @@ def test_random_texts(library):
     for k in range(0, len(texts), 500):
         mine = texts[k : k + 500]
         assert ids(encoder, mine) == library(mine)
+
+
+def test_new_pieces_are_one_text(library):
+    """A batch's new pieces, with marks, digits and line breaks in them, go to the library together."""
+    encoder, sent = token_store.PieceEncoder(PATH), []
+    raw = encoder.raw
+    encoder.raw = lambda texts: sent.append(len(texts)) or raw(texts)
+    texts = ["one " + " ".join(f"w{k}.\nx {k} wörd{k}, |{k}| a{k}" for k in range(100))]
+    assert ids(encoder, texts) == library(texts) and sum(sent) == 2  # the first piece, and all others as one
+    texts = ["one <|endoftext|> two", "<|endoftext|>", "a<|endoftext|> b"]
+    assert ids(encoder, texts) == library(texts)

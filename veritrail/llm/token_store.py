@@ -42,7 +42,6 @@ SHARD_BYTES = 4 << 20  #: a shard is closed after the document that passes this
 LEVEL = 1
 BATCH_ROWS, BATCH_SHARDS = 512, 16  #: handed to Python at a time
 MAX_PIECES = 600_000  #: cached encodings a worker, before those of the next batch; the newer half goes beyond that
-MARKS = ".,;:!?|%$#*&<>()[]{}\"-+=/@~^"  #: punctuation that may be cut from the end of a word
 
 SHARDS = "part int, seq int, n_docs int, part_start long, n_tokens long, dict_hash string, shard binary"
 DECODED = "doc_id long, part_start long, n_tokens long, ids_crc32 long"
@@ -53,8 +52,8 @@ class PieceEncoder:
 
     The byte-level pre-tokenizer takes a space only as the first character of a piece, so a text whose
     spaces all stand singly between visible characters can be cut before each of them, and the pieces' ids joined
-    are the text's. Any other text is encoded as it is. It also cuts letters from the punctuation after them, so
-    words are cached without it; new words are encoded together, as one text of single words.
+    are the text's. Any other text is encoded as it is. New
+    pieces are encoded together, as one text, and its ids cut where a token starts with a space.
     """
 
     def __init__(self, path: str):
@@ -64,8 +63,10 @@ class PieceEncoder:
         self.tokenizer = Tokenizer.from_file(path)
         self.width = 2 if self.tokenizer.get_vocab_size() <= 1 << 16 else 4
         self.kind = "HI"[self.width // 4]
+        vocab = self.tokenizer.get_vocab()
+        self.led = np.zeros(max(vocab.values(), default=0) + 1, bool)  # by id: the token starts with a space, so where it is a word begins
+        self.led[[k for t, k in vocab.items() if t[0] in " \u0120"]] = True  # U+0120 is a byte-level space
         self.pieces: dict[str, bytes | None] = {}
-        self.marks: dict[str, bytes] = {}  # punctuation after letters; apart, as a piece may be any string
 
     @classmethod
     def of_process(cls, path: str) -> PieceEncoder:
@@ -80,36 +81,24 @@ class PieceEncoder:
         return [array(self.kind, e.ids).tobytes() for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
     def words(self, words: list[str]) -> list[bytes]:
-        """Ids of words of letters, each with a space before it."""
-        if not words:
-            return []
-        found = self.tokenizer.encode(" " + " ".join(words), add_special_tokens=False)
-        raw, of = array(self.kind, found.ids).tobytes(), np.array(found.word_ids)
-        cuts = np.flatnonzero(np.diff(of, prepend=-1, append=of[-1] + 1)) * self.width
-        if len(cuts) != len(words) + 1:  # not one piece a word after all
+        """Ids of words without white space at their ends or spaces, each with a space before it, from one text of all."""
+        raw = self.raw([f" {' '.join(words)}"])[0]
+        cuts = (np.flatnonzero(self.led[np.frombuffer(raw, f"u{self.width}")]) * self.width).tolist()
+        if len(cuts) != len(words) or cuts[:1] != [0]:  # a special token took a space
             return self.raw([f" {w}" for w in words])
-        cuts = cuts.tolist()
-        return [raw[a:b] for a, b in zip(cuts, cuts[1:], strict=False)]
+        return [raw[a:b] for a, b in zip(cuts, [*cuts[1:], len(raw)], strict=True)]
 
     def learn(self, new: list[str]) -> None:
         """Cache new pieces; None marks one that touches white space, so that its text can't be cut."""
-        known = self.pieces
-        cores = {p: p.rstrip(MARKS) for p in new}
-        letters = [c for c in set(cores.values()).difference(known) if c.isalpha()]
-        known.update(zip(letters, self.words(letters), strict=True))
-        known.update(dict.fromkeys(p for p in new if not p or p[0].isspace() or p[-1].isspace()))
-        ends = {p: p[len(c) :] for p, c in cores.items() if len(c) < len(p) and c.isalpha()}
-        fresh = list(set(ends.values()).difference(self.marks))
-        self.marks.update(zip(fresh, self.raw(fresh), strict=True))
-        known.update((p, known[cores[p]] + self.marks[m]) for p, m in ends.items())
-        rest = [p for p in new if p not in known]
-        known.update(zip(rest, self.raw([f" {p}" for p in rest]), strict=True))
+        whole = [p for p in new if p and p.strip() == p]
+        self.pieces.update(zip(whole, self.words(whole), strict=True))
+        if len(whole) < len(new):
+            self.pieces.update(dict.fromkeys(p for p in new if not p or p.strip() != p))
 
     def encode(self, texts: list[str]) -> list[bytes]:
         cut = [t.split(" ") for t in texts]
         if len(self.pieces) > MAX_PIECES:  # the oldest half has the frequent words
             self.pieces = dict(islice(self.pieces.items(), MAX_PIECES // 2))
-            self.marks = dict(islice(self.marks.items(), MAX_PIECES // 2))
         known = self.pieces
         self.learn(list(set().union(*(c[1:] for c in cut)).difference(known)))
         first = self.raw([c[0] for c in cut])
@@ -118,11 +107,8 @@ class PieceEncoder:
             if len(c) == 1:
                 out.append(head)
                 continue
-            ids = None
-            if not c[0][-1:].isspace():
-                found = [known[p] for p in c[1:]]
-                ids = None if None in found else head + b"".join(found)
-            out.append(self.raw([text])[0] if ids is None else ids)
+            found = None if c[0][-1:].isspace() else [head, *map(known.__getitem__, c[1:])]
+            out.append(self.raw([text])[0] if found is None or None in found else b"".join(found))
         return out
 
 
