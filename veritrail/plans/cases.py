@@ -12,7 +12,7 @@ from veritrail.operators import datasets, gates, validation, verify
 from veritrail.plans import registry
 from veritrail.sources import archive
 from veritrail.sources import trajectories as log
-from veritrail.sources.shared import new_path
+from veritrail.sources.shared import new_path, settle
 from veritrail.streaming import gate as stream
 
 #: One JSON line for each order; what is wrong with it depends on its key.
@@ -76,8 +76,8 @@ def log_strict(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def log_append(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Two appends, compacted to Parquet and read back."""
-    rows = log.read_trajectories(spark, log_path(spark, sf_dir))[0]
+    """Two appends, compacted to Parquet and read back. The rows are written once, so that the second append doesn't parse the log again."""
+    rows = settle(log.read_trajectories(spark, log_path(spark, sf_dir))[0], "rows")
     shards = new_path(spark, "shards")
     log.append(rows, shards)
     log.append(rows, shards)

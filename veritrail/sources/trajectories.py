@@ -26,12 +26,12 @@ def parse(lines: DataFrame) -> DataFrame:
     row = F.from_json(text, TRAJECTORY, {"timestampFormat": "yyyy-MM-dd'T'HH:mm:ss[.SSSSSS][XXX]"})
     raw, inner = F.from_json(text, "map<string,string>"), F.from_json(F.col("raw")["verifier"], "map<string,string>")
     keys = lambda x, known: F.size(F.array_except(F.map_keys(x), F.array(*map(F.lit, known)))) > 0
-    lost = [F.col("raw")[k].isNotNull() & F.col(f"row.{k}").isNull() for k in TRAJECTORY_FIELDS]
-    lost += [F.col("inner")[k].isNotNull() & F.col(f"row.verifier.{k}").isNull() for k in VERIFIER_FIELDS]
+    lost = [F.col(f"row.{k}").isNull() & F.col("raw")[k].isNotNull() for k in TRAJECTORY_FIELDS]
+    lost += [F.col(f"row.verifier.{k}").isNull() & F.col("inner")[k].isNotNull() for k in VERIFIER_FIELDS]
     missing = [F.col("raw")[k].isNull() for k in REQUIRED]
-    df = lines.withColumns({"row": row, "raw": raw}).withColumn("inner", inner)
+    df = lines.withColumns({"row": row, "raw": raw, "none": F.json_object_keys(text).isNull()}).withColumn("inner", inner)
     any_of = lambda xs: F.exists(F.array(*[F.coalesce(x, F.lit(False)) for x in xs]), lambda x: x)
-    none = F.json_object_keys(text).isNull()
+    none = F.col("none")
     reasons = F.array_compact(
         F.array(
             F.when(none, F.lit("not_an_object")),
@@ -40,7 +40,18 @@ def parse(lines: DataFrame) -> DataFrame:
             F.when(any_of(lost), F.lit("wrong_type")),
         )
     )
-    return df.withColumn("reasons", reasons).drop("raw", "inner")
+    return df.withColumn("reasons", reasons).drop("raw", "inner", "none")
+
+
+def judge(lines: DataFrame) -> DataFrame:
+    """lines (value, ...) -> (..., value, the row's columns, reasons): why a line is rejected, by its JSON or else by the rules.
+
+    A generator makes the columns. A filter on plain ones would move below them and parse the line again for every field that it asks for, a hundred times in all.
+    """
+    parsed = parse(lines)
+    checked = broken_rules(parsed.select("row.*", *[c for c in parsed.columns if c != "row"]))
+    once = checked.withColumn("reasons", F.when(F.size("reasons") > 0, F.col("reasons")).otherwise(F.col("broken"))).drop("broken")
+    return once.select(F.inline(F.array(F.struct(*once.columns))))
 
 
 def read_trajectories(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
@@ -57,13 +68,10 @@ def read_trajectories(spark: SparkSession, path: str) -> tuple[DataFrame, DataFr
 
 def split(lines: DataFrame, *kept: str) -> tuple[DataFrame, DataFrame]:
     """Lines (value, *kept) -> rows, and rejects (value, *kept, reasons)."""
-    parsed = parse(lines.filter(~blank(F.col("value"))))
-    good = parsed.filter(F.size("reasons") == 0).select("row.*", "value", *kept)
-    good = good.withColumns({"created_at": F.coalesce("created_at", F.current_timestamp()), "metadata": F.coalesce("metadata", F.lit("{}"))})
-    checked = broken_rules(good)
-    rejects = parsed.filter(F.size("reasons") > 0).select(*kept, "value", "reasons")
-    rejects = rejects.unionByName(checked.filter(F.size("broken") > 0).select(*kept, "value", F.col("broken").alias("reasons")))
-    rows = checked.filter(F.size("broken") == 0).drop("broken", "value", *kept)
+    judged = judge(lines.filter(~blank(F.col("value"))))
+    rejects = judged.filter(F.size("reasons") > 0).select(*kept, "value", "reasons")
+    rows = judged.filter(F.size("reasons") == 0).drop("reasons", "value", *kept)
+    rows = rows.withColumns({"created_at": F.coalesce("created_at", F.current_timestamp()), "metadata": F.coalesce("metadata", F.lit("{}"))})
     return rows.withColumns({"truncated": truncated(), "policy_lag": policy_lag()}), rejects
 
 
@@ -78,11 +86,9 @@ def numbered_rejects(spark: SparkSession, path: str) -> DataFrame:
         return spark.createDataFrame([], "file string, line long, value string, reasons array<string>")
     meta = lambda k: F.col(f"_metadata.{k}")
     lines = spark.read.text(path).select("value", meta("file_path").alias("file"), meta("file_block_start").alias("split"), F.monotonically_increasing_id().alias("number"))
-    own = ["value", "file", "split", "number"]
-    judged = broken_rules(parse(lines).select("row.*", *own, "reasons"))
-    why = F.when(blank(F.col("value")), F.array().cast("array<string>")).when(F.size("reasons") > 0, F.col("reasons")).otherwise(F.col("broken"))
-    bad = F.size("reasons") > 0
-    slim = judged.select(*own, why.alias("reasons")).select("file", "split", "number", F.when(bad, F.col("value")).alias("value"), F.when(bad, F.col("reasons")).alias("reasons"))
+    judged = judge(lines)
+    bad = ~blank(F.col("value")) & (F.size("reasons") > 0)
+    slim = judged.select("file", "split", "number", F.when(bad, F.col("value")).alias("value"), F.when(bad, F.col("reasons")).alias("reasons"))
     slim = settle(slim, "lines")
     before = Window.partitionBy("file").orderBy("split").rowsBetween(Window.unboundedPreceding, -1)
     splits = slim.groupBy("file", "split").agg(F.min("number").alias("first"), F.count("*").alias("n")).withColumn("base", F.coalesce(F.sum("n").over(before), F.lit(0)))
