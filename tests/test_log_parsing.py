@@ -21,3 +21,12 @@ def test_second_append_does_not_parse_again(spark, monkeypatch):
     monkeypatch.setattr(log, "append", lambda rows, path: (appended.append(plan(rows)), append(rows, path)))
     assert cases.log_append(spark, SF).count() > 0
     assert len(appended) == 2 and not any("from_json" in p for p in appended)
+
+
+def passes(text: str) -> int:
+    """Parses of JSON in a plan; a line takes three: the row, its raw fields and the raw fields within."""
+    return text.count("from_json")
+
+
+def test_rows_parse_a_line_once(spark):
+    assert passes(plan(cases.log_scan(spark, SF))) == 3

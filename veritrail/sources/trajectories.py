@@ -46,7 +46,7 @@ def parse(lines: DataFrame) -> DataFrame:
 def judge(lines: DataFrame) -> DataFrame:
     """lines (value, ...) -> (..., value, the row's columns, reasons): why a line is rejected, by its JSON or else by the rules.
 
-    A generator makes the columns. A filter on plain ones would move below them and parse the line again for every field that it asks for, a hundred times in all.
+    A generator makes the columns. A filter on plain ones would move below them and parse the line again for every field that it asks for, some ninety times in all.
     """
     parsed = parse(lines)
     checked = broken_rules(parsed.select("row.*", *[c for c in parsed.columns if c != "row"]))
