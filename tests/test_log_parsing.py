@@ -30,3 +30,8 @@ def passes(text: str) -> int:
 
 def test_rows_parse_a_line_once(spark):
     assert passes(plan(cases.log_scan(spark, SF))) == 3
+
+
+def test_counting_parses_a_line_once(spark):
+    """Three for the log that isn't there, three for the one that is."""
+    assert passes(plan(cases.log_missing(spark, SF))) == 6
