@@ -35,3 +35,9 @@ def test_rows_parse_a_line_once(spark):
 def test_counting_parses_a_line_once(spark):
     """Three for the log that isn't there, three for the one that is."""
     assert passes(plan(cases.log_missing(spark, SF))) == 6
+
+
+def test_rejects_parse_a_line_once(spark):
+    """Rejects of either kind come from one scan."""
+    text = plan(cases.log_rejects(spark, SF))
+    assert passes(text) == 3 and "Union" not in text
